@@ -65,3 +65,395 @@ SELECT symbol, date, {o.r6(o.ALL_FEATURES)} FROM f""")
 def q_tabular_features(spark, sf_dir):
     df = feat.tabular_features(orders_bars(spark, sf_dir))
     return round_doubles(df.select("symbol", "date", *o.ALL_FEATURES))
+
+
+def _select(df: DataFrame, *cols: str) -> DataFrame:
+    return round_doubles(df.select(*cols))
+
+
+def _features(spark, sf_dir, horizon=None):
+    return feat.tabular_features(orders_bars(spark, sf_dir), horizon=horizon)
+
+
+def _feature_query(name: str, cols: list[str]):
+    @register(name, f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {o.r6(cols)} FROM f""")
+    def q(spark, sf_dir):
+        return _select(_features(spark, sf_dir), "symbol", "date", *cols)
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_feature_query("return_lags", ["r_lag_1", "r_lag_2", "r_lag_5"])
+_feature_query("return_rolling_mean", ["r_mean_3", "r_mean_5", "r_mean_10"])
+_feature_query("return_rolling_std", ["r_std_3", "r_std_5", "r_std_10"])
+_feature_query("return_rolling_min", ["r_min_3", "r_min_5", "r_min_10"])
+_feature_query("return_rolling_max", ["r_max_3", "r_max_5", "r_max_10"])
+_feature_query("volume_lag", ["vol_lag_1"])
+_feature_query("volume_rolling", ["vol_mean_5", "vol_std_5", "vol_mean_10", "vol_std_10"])
+_feature_query("price_lag", ["price_lag_1"])
+_feature_query("price_rolling", ["price_mean_5", "price_std_5", "price_mean_10", "price_std_10"])
+
+
+@register("candle_features", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {o.r6(["hl_range", "oc_body", "hl_range_pct", "oc_body_pct"])} FROM f""")
+def q_candle_features(spark, sf_dir):
+    from candlewick.functions.columns import candle_columns
+
+    bars = orders_bars(spark, sf_dir)
+    return _select(bars.select("symbol", "date", *[e.alias(n) for n, e in candle_columns().items()]),
+                   "symbol", "date", "hl_range", "oc_body", "hl_range_pct", "oc_body_pct")
+
+
+@register("forward_target", f"""
+WITH {o.features_ctes(horizon=1)}
+SELECT symbol, date, {o.r6(["target"])} FROM f WHERE target IS NOT NULL""")
+def q_forward_target(spark, sf_dir):
+    r = feat.add_returns(orders_bars(spark, sf_dir))
+    return _select(feat.forward_target(r, 1), "symbol", "date", "target")
+
+
+@register("forward_target_h5", f"""
+WITH {o.features_ctes(horizon=5)}
+SELECT symbol, date, {o.r6(["log_return_1", "target"])} FROM f WHERE target IS NOT NULL""")
+def q_forward_target_h5(spark, sf_dir):
+    df = feat.tabular_features(orders_bars(spark, sf_dir), horizon=5, segment="month").dropna(subset=["target"])
+    return _select(df, "symbol", "date", "log_return_1", "target")
+
+
+# --------------------------------------------------------------------------
+# 2.1-2.3 load path, filters, scalar functions
+# --------------------------------------------------------------------------
+
+_DATE_TEXT_SQL = ("CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%d') || 'x' "
+                  "ELSE strftime(o_orderdate, '%Y-%m-%d') END")
+
+
+def _orders_with_text_dates(spark, sf_dir):
+    o_ = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    txt = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return o_.select("o_orderkey", F.col("o_orderpriority").alias("symbol"),
+                     F.when(F.col("o_orderstatus") == "P", F.concat(txt, F.lit("x"))).otherwise(txt).alias("date"))
+
+
+@register("coerce_date", f"""
+SELECT o_orderkey, CAST(TRY_CAST({_DATE_TEXT_SQL} AS TIMESTAMP) AS DATE) AS date FROM orders""")
+def q_coerce_date(spark, sf_dir):
+    df = src.coerce_date(_orders_with_text_dates(spark, sf_dir), "date")
+    return df.select("o_orderkey", F.to_date("date").alias("date"))
+
+
+@register("drop_missing_keys", f"""
+SELECT o_orderkey, CAST(TRY_CAST({_DATE_TEXT_SQL} AS TIMESTAMP) AS DATE) AS date, o_orderpriority AS symbol
+FROM orders WHERE TRY_CAST({_DATE_TEXT_SQL} AS TIMESTAMP) IS NOT NULL AND o_orderpriority IS NOT NULL""")
+def q_drop_missing_keys(spark, sf_dir):
+    df = src.drop_missing_keys(src.coerce_date(_orders_with_text_dates(spark, sf_dir), "date"), ("date", "symbol"))
+    return df.select("o_orderkey", F.to_date("date").alias("date"), "symbol")
+
+
+UNIVERSE = ["1-URGENT", "3-MEDIUM", "5-LOW"]
+
+
+@register("filter_universe", f"""
+SELECT symbol, date, {o.r6(["open", "high", "low", "close", "adj_close"])}, volume
+FROM ({o.BARS_ORDERS}) b WHERE symbol IN ('1-URGENT', '3-MEDIUM', '5-LOW')""")
+def q_filter_universe(spark, sf_dir):
+    return round_doubles(src.filter_universe(orders_bars(spark, sf_dir), UNIVERSE))
+
+
+@register("coerce_double", """
+SELECT o_orderkey, TRY_CAST(o_custkey AS DOUBLE) AS o_custkey, TRY_CAST(o_orderstatus AS DOUBLE) AS o_orderstatus,
+       CAST(CAST(round(TRY_CAST(o_totalprice AS DOUBLE), 9) AS FLOAT) AS DOUBLE) AS o_totalprice,
+       TRY_CAST(CAST(o_orderkey AS VARCHAR) AS DOUBLE) AS key_text
+FROM orders""")
+def q_coerce_double(spark, sf_dir):
+    from candlewick.functions.columns import coerce_double
+
+    o_ = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderkey").cast("string").alias("key_text"))
+    out = coerce_double(o_, ["o_custkey", "o_orderstatus", "o_totalprice", "key_text"])
+    return round_doubles(out)
+
+
+@register("inf_to_null", f"""
+SELECT o_orderkey, {o.cn("CASE WHEN isinf(exp(o_totalprice / 500.0)) THEN NULL ELSE ln(exp(o_totalprice / 500.0)) END")} AS v
+FROM orders""")
+def q_inf_to_null(spark, sf_dir):
+    from candlewick.functions.columns import inf_to_null
+
+    o_ = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.exp(F.col("o_totalprice") / 500.0).alias("v"))
+    out = inf_to_null(o_, ["v"]).select("o_orderkey", F.ln("v").alias("v"))
+    return round_doubles(out)
+
+
+_ZF = ["r_lag_5", "r_mean_10", "r_std_10", "vol_std_10", "price_std_10"]
+
+
+@register("zero_fill", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {", ".join(f"{o.cn(f'coalesce({c}, 0.0)')} AS {c}" for c in _ZF)} FROM f""")
+def q_zero_fill(spark, sf_dir):
+    from candlewick.functions.columns import zero_fill
+
+    return _select(zero_fill(_features(spark, sf_dir), _ZF), "symbol", "date", *_ZF)
+
+
+@register("align_features", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {", ".join(f"{o.cn(c)} AS {c}" if c in o.BAR_VALUE_COLUMNS + ["log_return_1"] else f"0.0 AS {c}" for c in o.ALL_FEATURES)}
+FROM r""")
+def q_align_features(spark, sf_dir):
+    from candlewick.operators.guards import align_features
+
+    r = feat.add_returns(orders_bars(spark, sf_dir)).withColumn("extra_column", F.lit(1.0))
+    return round_doubles(align_features(r, o.ALL_FEATURES, keep=["symbol", "date"]))
+
+
+@register("price_from_return", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {o.cn("price_lag_1 * exp(log_return_1)")} AS pred_price FROM f""")
+def q_price_from_return(spark, sf_dir):
+    from candlewick.functions.columns import price_from_return
+
+    f = _features(spark, sf_dir)
+    return _select(f.select("symbol", "date", price_from_return("price_lag_1", "log_return_1").alias("pred_price")),
+                   "symbol", "date", "pred_price")
+
+
+@register("return_from_price", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {o.cn("ln(greatest(adj_close, 1e-12) / greatest(price_lag_1, 1e-12))")} AS pred_return FROM f""")
+def q_return_from_price(spark, sf_dir):
+    from candlewick.functions.columns import return_from_price
+
+    f = _features(spark, sf_dir)
+    return _select(f.select("symbol", "date", return_from_price("adj_close", "price_lag_1").alias("pred_return")),
+                   "symbol", "date", "pred_return")
+
+
+# --------------------------------------------------------------------------
+# Training rows, positions and splits
+# --------------------------------------------------------------------------
+
+def _training_rows(spark, sf_dir, by="position"):
+    from candlewick.operators.train import training_rows
+
+    return training_rows(orders_bars(spark, sf_dir), horizon=1, by=by)
+
+
+_T = o.training_rows_ctes()
+_P = _T + ",\np AS (SELECT *, CAST(row_number() OVER (ORDER BY symbol, date) - 1 AS BIGINT) AS pos FROM t)"
+_N = _P + ",\nnn AS (SELECT count(*) AS n, count(*) // 6 AS tsz FROM p)"
+
+
+@register("drop_incomplete", f"""
+WITH {_T}
+SELECT symbol, date, {o.r6(["target", "r_std_10", "price_std_10"])} FROM t""")
+def q_drop_incomplete(spark, sf_dir):
+    from candlewick.operators.guards import drop_incomplete
+
+    f = _features(spark, sf_dir, horizon=1)
+    rows = drop_incomplete(f, feat.model_feature_names(f), "target")
+    return _select(rows, "symbol", "date", "target", "r_std_10", "price_std_10")
+
+
+@register("min_rows_guard", f"""
+WITH {_T}
+SELECT count(*) AS n_rows, 500 AS min_rows, count(*) >= 500 AS passed FROM t""")
+def q_min_rows_guard(spark, sf_dir):
+    from candlewick.operators.guards import MIN_TRAINING_ROWS, min_rows_guard
+
+    rows = _training_rows(spark, sf_dir)
+    min_rows_guard(rows.df, known_rows=rows.n)
+    return rows.df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(MIN_TRAINING_ROWS).alias("min_rows"), (F.col("n_rows") >= MIN_TRAINING_ROWS).alias("passed"))
+
+
+@register("global_position", f"""
+WITH {_P}
+SELECT symbol, date, pos FROM p""")
+def q_global_position(spark, sf_dir):
+    return _training_rows(spark, sf_dir).df.select("symbol", "date", "pos")
+
+
+@register("walk_forward_folds", f"""
+WITH {_N}
+SELECT symbol, date, pos,
+       CAST(CASE WHEN pos >= n - 5 * tsz THEN (pos - (n - 5 * tsz)) // tsz END AS INTEGER) AS fold
+FROM p, nn""")
+def q_walk_forward_folds(spark, sf_dir):
+    from candlewick.operators.splits import walk_forward_folds
+
+    rows = _training_rows(spark, sf_dir)
+    df, _ = walk_forward_folds(rows.df, rows.n, 5)
+    return df.select("symbol", "date", "pos", "fold")
+
+
+@register("chronological_holdout", f"""
+WITH {_N}
+SELECT symbol, date, pos, pos < CAST(floor(n * 0.8) AS BIGINT) AS is_train FROM p, nn""")
+def q_chronological_holdout(spark, sf_dir):
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    return chronological_holdout(rows.df, rows.n).select("symbol", "date", "pos", "is_train")
+
+
+@register("date_folds", f"""
+WITH {_T},
+d AS (SELECT *, CAST(rank() OVER (ORDER BY date) - 1 AS BIGINT) AS dpos FROM t),
+nn AS (SELECT count(*) AS n, count(*) // 6 AS tsz FROM t)
+SELECT symbol, date, dpos,
+       CAST(CASE WHEN dpos >= n - 5 * tsz THEN (dpos - (n - 5 * tsz)) // tsz END AS INTEGER) AS fold,
+       dpos < CAST(floor(n * 0.8) AS BIGINT) AS is_train
+FROM d, nn""")
+def q_date_folds(spark, sf_dir):
+    from candlewick.operators.splits import date_folds
+
+    f = _features(spark, sf_dir, horizon=1)
+    from candlewick.operators.guards import drop_incomplete
+
+    rows = drop_incomplete(f, feat.model_feature_names(f), "target")
+    df, _ = date_folds(rows, 5)
+    return df.select("symbol", "date", "dpos", "fold", "is_train")
+
+
+# --------------------------------------------------------------------------
+# 2.6 aggregates (baseline predictor p = r_mean_5 on the walk-forward folds)
+# --------------------------------------------------------------------------
+
+_FOLDED = _N + """,
+fp AS (SELECT *, CAST(CASE WHEN pos >= n - 5 * tsz THEN (pos - (n - 5 * tsz)) // tsz END AS INTEGER) AS fold FROM p, nn)"""
+
+
+def _baseline_preds(spark, sf_dir):
+    from candlewick.operators.splits import walk_forward_folds
+
+    rows = _training_rows(spark, sf_dir)
+    df, _ = walk_forward_folds(rows.df, rows.n, 5)
+    return df.where(F.col("fold").isNotNull()).withColumn("prediction", F.col("r_mean_5"))
+
+
+@register("mae", f"""
+WITH {_FOLDED}
+SELECT fold, {o.cn("avg(abs(target - r_mean_5))")} AS mae FROM fp WHERE fold IS NOT NULL GROUP BY fold""")
+def q_mae(spark, sf_dir):
+    from candlewick.operators.metrics import mae
+
+    return round_doubles(mae(_baseline_preds(spark, sf_dir), by=["fold"]))
+
+
+@register("directional_accuracy", f"""
+WITH {_FOLDED}
+SELECT fold, {o.cn("avg(CASE WHEN (target >= 0) = (r_mean_5 >= 0) THEN 1.0 ELSE 0.0 END)")} AS diracc
+FROM fp WHERE fold IS NOT NULL GROUP BY fold""")
+def q_directional_accuracy(spark, sf_dir):
+    from candlewick.operators.metrics import directional_accuracy
+
+    return round_doubles(directional_accuracy(_baseline_preds(spark, sf_dir), by=["fold"]))
+
+
+@register("run_summary", f"""
+WITH {_T}
+SELECT count(*) AS rows, count(DISTINCT symbol) AS universe_size, CAST(36 AS BIGINT) AS num_features FROM t""")
+def q_run_summary(spark, sf_dir):
+    from candlewick.operators.metrics import run_summary
+
+    rows = _training_rows(spark, sf_dir)
+    return run_summary(rows.df, rows.feature_cols)
+
+
+# One-feature ridge (x = log_return_1 -> next-day return): closed form in SQL.
+_RIDGE_FOLDS = _FOLDED + """,
+folds AS (SELECT CAST(i AS INTEGER) AS fold, n - (5 - i) * tsz AS start FROM nn, range(5) r(i)),
+st AS (SELECT folds.fold, avg(p.log_return_1) AS mx, avg(p.target) AS my,
+              covar_pop(p.log_return_1, p.target) * count(*) / (var_pop(p.log_return_1) * count(*) + 1.0) AS b
+       FROM folds JOIN p ON p.pos < folds.start GROUP BY folds.fold),
+pr AS (SELECT fp.fold, fp.target, st.my - st.b * st.mx + st.b * fp.log_return_1 AS prediction
+       FROM fp JOIN st ON fp.fold = st.fold)"""
+
+
+def _ridge1_cv(spark, sf_dir):
+    from candlewick.operators.train import cross_validate
+
+    rows = _training_rows(spark, sf_dir)
+    metrics, _ = cross_validate(rows, "ridge", 5, 1.0, feature_cols=["log_return_1"])
+    return metrics
+
+
+@register("cross_validate", f"""
+WITH {_RIDGE_FOLDS}
+SELECT 'ridge' AS family, fold, {o.cn("avg(abs(target - prediction))")} AS mae,
+       {o.cn("avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END)")} AS diracc,
+       count(*) AS n
+FROM pr GROUP BY fold""")
+def q_cross_validate(spark, sf_dir):
+    return round_doubles(_ridge1_cv(spark, sf_dir))
+
+
+@register("cv_summary", f"""
+WITH {_RIDGE_FOLDS},
+fm AS (SELECT fold, avg(abs(target - prediction)) AS mae,
+              avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END) AS diracc FROM pr GROUP BY fold)
+SELECT 'ridge' AS family, {o.cn("avg(mae)")} AS mae_cv_mean, {o.cn("avg(diracc)")} AS diracc_cv_mean,
+       count(*) AS folds FROM fm""")
+def q_cv_summary(spark, sf_dir):
+    from candlewick.operators.metrics import cv_summary
+
+    return round_doubles(cv_summary(_ridge1_cv(spark, sf_dir)))
+
+
+@register("metrics_table", f"""
+WITH {_RIDGE_FOLDS},
+fm AS (SELECT fold, avg(abs(target - prediction)) AS mae,
+              avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END) AS diracc FROM pr GROUP BY fold),
+lng AS (SELECT fold, 'mae_fold_' || fold AS metric, mae AS value FROM fm
+        UNION ALL SELECT fold, 'diracc_fold_' || fold, diracc FROM fm
+        UNION ALL SELECT NULL, 'mae_cv_mean', avg(mae) FROM fm
+        UNION ALL SELECT NULL, 'diracc_cv_mean', avg(diracc) FROM fm)
+SELECT 'ridge_one_feature' AS run, 'ridge' AS family, CAST(fold AS INTEGER) AS fold, metric, {o.cn("value")} AS value
+FROM lng""")
+def q_metrics_table(spark, sf_dir):
+    from candlewick.operators.metrics import cv_summary, metrics_long
+
+    fm = _ridge1_cv(spark, sf_dir)
+    return round_doubles(metrics_long(fm, cv_summary(fm), "ridge_one_feature"))
+
+
+_RIDGE_HOLDOUT = _N + """,
+st AS (SELECT avg(log_return_1) AS mx, avg(target) AS my,
+              covar_pop(log_return_1, target) * count(*) / (var_pop(log_return_1) * count(*) + 1.0) AS b
+       FROM p, nn WHERE pos < CAST(floor(n * 0.8) AS BIGINT))"""
+
+
+def _ridge1_holdout(spark, sf_dir):
+    from candlewick.operators.models import ridge_fit
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    model = ridge_fit(split.where("is_train"), ["log_return_1"], 1.0)
+    return model, split
+
+
+@register("ridge_fit", f"""
+WITH {_RIDGE_HOLDOUT}
+SELECT {o.cn("b")} AS coefficient, {o.cn("my - b * mx")} AS intercept FROM st""")
+def q_ridge_fit(spark, sf_dir):
+    model, _ = _ridge1_holdout(spark, sf_dir)
+    lr = model.model.stages[-1]
+    return round_doubles(spark.createDataFrame(
+        [(float(lr.coefficients[0]), float(lr.intercept))], "coefficient double, intercept double"))
+
+
+@register("ridge_score", f"""
+WITH {_RIDGE_HOLDOUT}
+SELECT symbol, date, {o.cn("my - b * mx + b * log_return_1")} AS prediction
+FROM p, nn, st WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)""")
+def q_ridge_score(spark, sf_dir):
+    from candlewick.operators.models import ridge_score
+
+    model, split = _ridge1_holdout(spark, sf_dir)
+    return round_doubles(ridge_score(model, split.where("NOT is_train"), keep=["symbol", "date"]))

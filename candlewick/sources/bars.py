@@ -103,9 +103,9 @@ def bars_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("o_totalprice").alias("high"),
             F.min("o_totalprice").alias("low"),
             F.max_by("o_totalprice", "o_orderkey").alias("close"),
+            F.max_by("o_totalprice", "o_orderkey").alias("adj_close"),
             F.count(F.lit(1)).alias("volume"),
         )
-        .withColumn("adj_close", F.col("close"))
         .select("symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
     )
 
@@ -123,9 +123,9 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_extendedprice").alias("high"),
             F.min("l_extendedprice").alias("low"),
             F.max_by("l_extendedprice", key).alias("close"),
+            F.max_by("l_extendedprice", key).alias("adj_close"),
             F.count(F.lit(1)).alias("volume"),
         )
-        .withColumn("adj_close", F.col("close"))
         .select("symbol", "date", "open", "high", "low", "close", "adj_close", "volume")
     )
 
