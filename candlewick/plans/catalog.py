@@ -457,3 +457,181 @@ def q_ridge_score(spark, sf_dir):
 
     model, split = _ridge1_holdout(spark, sf_dir)
     return round_doubles(ridge_score(model, split.where("NOT is_train"), keep=["symbol", "date"]))
+
+
+# --------------------------------------------------------------------------
+# 2.2 / 2.3 / 2.8 request path
+# --------------------------------------------------------------------------
+
+def _requests(spark, sf_dir):
+    from candlewick.sources.requests import requests_from_bars
+
+    return requests_from_bars(orders_bars(spark, sf_dir))
+
+
+_REQ = f"req AS ({o.REQUESTS})"
+
+
+@register("validate_requests", f"""
+WITH {_REQ},
+v AS (SELECT request_id,
+             nullif(concat_ws('; ',
+               CASE WHEN symbol IS NULL THEN 'symbol is required' END,
+               CASE WHEN horizon IS NULL OR horizon < 1 OR horizon > 30 THEN 'horizon must be between 1 and 30' END,
+               CASE WHEN last_close IS NOT NULL AND NOT (last_close > 0) THEN 'last_close must be > 0' END,
+               CASE WHEN last_returns IS NOT NULL AND (len(last_returns) < 5 OR len(last_returns) > 240)
+                    THEN 'last_returns must hold 5 to 240 values' END,
+               CASE WHEN ohlcv_window IS NOT NULL AND NOT list_bool_and(list_transform(ohlcv_window, lambda b:
+                      coalesce(NOT isnan(b.open) AND NOT isnan(b.high) AND NOT isnan(b.low) AND NOT isnan(b.close)
+                               AND NOT isnan(b.adj_close) AND NOT isnan(b.volume), false)))
+                    THEN 'every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume' END),
+             '') AS reject_reason
+      FROM req)
+SELECT request_id, reject_reason IS NULL AS accepted, reject_reason FROM v""")
+def q_validate_requests(spark, sf_dir):
+    from candlewick.operators.scoring import validate_requests
+
+    return validate_requests(_requests(spark, sf_dir)).select("request_id", "accepted", "reject_reason")
+
+
+@register("min_window_guard", f"""
+WITH {_REQ}
+SELECT request_id, CAST(len(ohlcv_window) AS INTEGER) AS n_bars,
+       ohlcv_window IS NULL OR len(ohlcv_window) >= 11 AS window_ok FROM req""")
+def q_min_window_guard(spark, sf_dir):
+    from candlewick.operators.scoring import min_window_guard
+
+    return min_window_guard(_requests(spark, sf_dir)).select("request_id", "n_bars", "window_ok")
+
+
+@register("route_mode", f"""
+WITH {_REQ}
+SELECT request_id,
+       CASE WHEN ohlcv_window IS NOT NULL THEN 'window'
+            WHEN last_close IS NOT NULL AND last_returns IS NOT NULL THEN 'minimal' ELSE 'rejected' END AS route,
+       CASE WHEN ohlcv_window IS NOT NULL AND len(ohlcv_window) < 11
+              THEN 'ohlcv_window must contain at least 11 rows (needed for rolling features).'
+            WHEN ohlcv_window IS NOT NULL THEN NULL
+            WHEN last_close IS NULL OR last_returns IS NULL THEN 'Provide last_close + last_returns.' END AS route_reason
+FROM req""")
+def q_route_mode(spark, sf_dir):
+    from candlewick.operators.scoring import route_mode
+
+    return route_mode(_requests(spark, sf_dir), allow_minimal=True).select("request_id", "route", "route_reason")
+
+
+@register("explode_window", f"""
+WITH {_REQ},
+x AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
+      FROM req, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL)
+SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
+       {", ".join(f"{o.cn(f'bar.{c}')} AS {c}" for c in ("open", "high", "low", "close", "adj_close", "volume"))}
+FROM x""")
+def q_explode_window(spark, sf_dir):
+    from candlewick.operators.scoring import explode_window
+
+    df = explode_window(_requests(spark, sf_dir))
+    return round_doubles(df.withColumn("date", F.to_date("date")))
+
+
+_MINIMAL_STATS = f"""
+WITH {_REQ},
+m AS (SELECT request_id, symbol, last_close, last_returns AS r,
+             list_slice(last_returns, greatest(len(last_returns) - 4, 1), len(last_returns)) AS s5,
+             list_slice(last_returns, greatest(len(last_returns) - 9, 1), len(last_returns)) AS s10
+      FROM req WHERE last_returns IS NOT NULL AND len(last_returns) > 0)
+SELECT request_id, symbol,
+       {o.cn("list_avg(s5)")} AS r_mean_5,
+       {o.cn("CASE WHEN len(s5) > 1 THEN list_stddev_samp(s5) ELSE 0.0 END")} AS r_std_5,
+       {o.cn("list_avg(s10)")} AS r_mean_10,
+       {o.cn("CASE WHEN len(s10) > 1 THEN list_stddev_samp(s10) ELSE 0.0 END")} AS r_std_10,
+       {o.cn("r[len(r)]")} AS r_last, {o.cn("last_close")} AS last_close
+FROM m"""
+
+
+@register("minimal_return_stats", _MINIMAL_STATS)
+def q_minimal_return_stats(spark, sf_dir):
+    from candlewick.operators.scoring import minimal_return_stats
+
+    req = _requests(spark, sf_dir).where(F.col("last_returns").isNotNull() & (F.size("last_returns") > 0))
+    return round_doubles(minimal_return_stats(req))
+
+
+def _request_feature_sql() -> str:
+    part = "PARTITION BY request_id ORDER BY date, bar_index"
+    feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
+    cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
+    return f"""
+WITH {_REQ},
+x AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
+      FROM req, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
+bars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
+                bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
+                bar.adj_close AS adj_close, bar.volume AS volume
+         FROM x WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
+r AS ({o.returns_cte(part=part)}),
+f AS (SELECT *, {feats} FROM r)
+SELECT request_id, date, {o.r6(o.ALL_FEATURES)} FROM f WHERE {cond}"""
+
+
+@register("features_for_requests", _request_feature_sql())
+def q_features_for_requests(spark, sf_dir):
+    from candlewick.operators.scoring import features_for_requests
+
+    df = features_for_requests(_requests(spark, sf_dir))
+    return _select(df.withColumn("date", F.to_date("date")), "request_id", "date", *o.ALL_FEATURES)
+
+
+@register("tail_rows", f"""
+SELECT symbol, date, CAST(rn AS INTEGER) AS rn
+FROM (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM ({o.BARS_ORDERS}) b)
+WHERE rn <= 11""")
+def q_tail_rows(spark, sf_dir):
+    from candlewick.operators.scoring import tail_rows
+
+    return tail_rows(orders_bars(spark, sf_dir), 11).select("symbol", "date", "rn")
+
+
+def _full_ridge(spark, sf_dir):
+    """36-feature ridge on the 80 % holdout of the orders bars (cached per sf_dir)."""
+    from candlewick.operators.models import ridge_fit
+    from candlewick.operators.splits import chronological_holdout
+
+    key = (id(spark), sf_dir)
+    if key not in _MODEL_CACHE:
+        rows = _training_rows(spark, sf_dir)
+        split = chronological_holdout(rows.df, rows.n)
+        _MODEL_CACHE[key] = ridge_fit(split.where("is_train"), rows.feature_cols, 1.0)
+    return _MODEL_CACHE[key]
+
+
+_MODEL_CACHE: dict = {}
+
+
+@register("score_windows")
+def q_score_windows(spark, sf_dir):
+    from candlewick.operators.scoring import score_windows
+
+    res = score_windows(_requests(spark, sf_dir), _full_ridge(spark, sf_dir), model_uri="ridge:holdout")
+    return round_doubles(res.scored)
+
+
+@register("score_windows_rejected")
+def q_score_windows_rejected(spark, sf_dir):
+    from candlewick.operators.scoring import score_windows
+
+    return score_windows(_requests(spark, sf_dir), _full_ridge(spark, sf_dir)).rejected
+
+
+@register("score_minimal")
+def q_score_minimal(spark, sf_dir):
+    from candlewick.operators.scoring import score_minimal
+
+    return round_doubles(score_minimal(_requests(spark, sf_dir), _full_ridge(spark, sf_dir)).scored)
+
+
+@register("score_latest_bars")
+def q_score_latest_bars(spark, sf_dir):
+    from candlewick.operators.scoring import score_latest_bars
+
+    return round_doubles(score_latest_bars(orders_bars(spark, sf_dir), _full_ridge(spark, sf_dir)))

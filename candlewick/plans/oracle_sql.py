@@ -100,3 +100,22 @@ def training_rows_ctes(bars_sql: str = BARS_ORDERS, horizon: int = 1) -> str:
     """CTE ``t``: complete rows (all 36 features and the target present)."""
     cond = " AND ".join(f"{c} IS NOT NULL" for c in ALL_FEATURES + ["target"])
     return features_ctes(bars_sql, horizon) + f",\nt AS (SELECT * FROM f WHERE {cond})"
+
+
+# One request per (symbol, month): odd months send the bars, even months
+# send last_close + the month's log returns; December asks for horizon 31.
+REQUESTS = f"""
+WITH rb AS (SELECT * FROM ({BARS_ORDERS}) b),
+g AS (SELECT symbol || ':' || strftime(date, '%Y-%m') AS request_id, symbol, max(month(date)) AS m,
+             max(date) AS last_date,
+             list(adj_close ORDER BY date) AS p,
+             list({{'date': strftime(date, '%Y-%m-%d'), 'open': open, 'high': high, 'low': low, 'close': close,
+                    'adj_close': adj_close, 'volume': CAST(volume AS DOUBLE)}} ORDER BY date) AS bars
+      FROM rb GROUP BY 1, 2)
+SELECT request_id, symbol, CAST(CASE WHEN m = 12 THEN 31 ELSE 1 END AS INTEGER) AS horizon,
+       strftime(last_date, '%Y-%m-%d') AS as_of,
+       CASE WHEN m % 2 = 0 THEN p[len(p)] END AS last_close,
+       CASE WHEN m % 2 = 0 THEN list_transform(range(2, len(p) + 1), lambda i: ln(p[i]) - ln(p[i - 1])) END AS last_returns,
+       CASE WHEN m % 2 = 1 THEN bars END AS ohlcv_window
+FROM g
+"""
