@@ -635,3 +635,192 @@ def q_score_latest_bars(spark, sf_dir):
     from candlewick.operators.scoring import score_latest_bars
 
     return round_doubles(score_latest_bars(orders_bars(spark, sf_dir), _full_ridge(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# 2.4 / 2.6 / 2.7 sequence windows, price context, sample quantiles
+# --------------------------------------------------------------------------
+
+def _canon_array(c: str):
+    from candlewick.functions.columns import canonical
+
+    return F.transform(c, lambda x: canonical(x))
+
+
+@register("sequence_windows", f"""
+WITH {_T},
+s AS (SELECT symbol, date, target,
+             list(log_return_1) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS seq
+      FROM t)
+SELECT symbol, date, {o.cn("target")} AS target,
+       list_transform(seq, lambda x: CAST(CAST(round(x, 9) AS FLOAT) AS DOUBLE)) AS seq
+FROM s WHERE len(seq) = 30""")
+def q_sequence_windows(spark, sf_dir):
+    from candlewick.operators.models import sequence_windows
+
+    rows = _training_rows(spark, sf_dir)
+    sw = sequence_windows(rows.df, ["log_return_1"], 30)
+    return round_doubles(sw).select("symbol", "date", "target", _canon_array("seq").alias("seq"))
+
+
+_VALID = f"""bars AS ({o.BARS_ORDERS}),
+v AS (SELECT symbol, date, adj_close AS p FROM bars WHERE adj_close IS NOT NULL AND NOT isnan(adj_close) AND NOT isinf(adj_close)),
+cnt AS (SELECT symbol, count(*) AS n_context FROM v GROUP BY symbol),
+tl AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r FROM v)"""
+
+
+@register("price_context", f"""
+WITH {_VALID}
+SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted,
+       list_transform(list(p ORDER BY date), lambda x: CAST(CAST(round(x, 9) AS FLOAT) AS DOUBLE)) AS context
+FROM cnt JOIN tl ON cnt.symbol = tl.symbol WHERE r <= 64 GROUP BY cnt.symbol, cnt.n_context""")
+def q_price_context(spark, sf_dir):
+    from candlewick.operators.models import price_context
+
+    pc = price_context(orders_bars(spark, sf_dir), min_context=64, last=64)
+    return pc.select("symbol", "n_context", "accepted", _canon_array("context").alias("context"))
+
+
+def _paths_sql(h: int, num_samples: int = 256) -> str:
+    steps = ", ".join([f"lag(ln(p), {h - s}) OVER (PARTITION BY symbol ORDER BY date)" for s in range(1, h)] + ["ln(p)"])
+    return f"""{_VALID},
+tt AS (SELECT * FROM tl WHERE r <= {num_samples + h}),
+pw AS (SELECT symbol, r, p, first_value(p) OVER (PARTITION BY symbol ORDER BY date DESC) AS last_price,
+              lag(ln(p), {h}) OVER (PARTITION BY symbol ORDER BY date) AS base, [{steps}] AS steps FROM tt),
+s AS (SELECT symbol, r - 1 AS sample_id, step, last_price, last_price * exp(steps[step] - base) AS price
+      FROM pw, range(1, {h + 1}) z(step) WHERE r <= {num_samples} AND base IS NOT NULL),
+q AS (SELECT symbol, step, quantile_cont(price, 0.5) AS qv FROM s GROUP BY symbol, step),
+qq AS (SELECT symbol, arg_max(qv, step) AS q_value, CAST(max(step) AS INTEGER) AS last_step FROM q GROUP BY symbol),
+lp AS (SELECT symbol, any_value(last_price) AS last_price FROM s GROUP BY symbol)"""
+
+
+@register("sample_quantile", f"""
+WITH {_paths_sql(2)}
+SELECT symbol, {o.cn("q_value")} AS q_value, last_step FROM qq""")
+def q_sample_quantile(spark, sf_dir):
+    from candlewick.operators.metrics import sample_quantile
+    from candlewick.operators.models import sample_paths
+
+    paths = sample_paths(orders_bars(spark, sf_dir), horizon=2, num_samples=256)
+    return round_doubles(sample_quantile(paths, 0.5, ["symbol"], "step", "price"))
+
+
+@register("quantile_forecast", f"""
+WITH {_paths_sql(1)}
+SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted, {o.cn("lp.last_price")} AS last_price,
+       {o.cn("CASE WHEN cnt.n_context >= 64 THEN qq.q_value END")} AS pred_price,
+       {o.cn("CASE WHEN cnt.n_context >= 64 THEN ln(greatest(qq.q_value, 1e-12) / greatest(lp.last_price, 1e-12)) END")} AS pred_return
+FROM cnt LEFT JOIN qq ON cnt.symbol = qq.symbol LEFT JOIN lp ON cnt.symbol = lp.symbol""")
+def q_quantile_forecast(spark, sf_dir):
+    from candlewick.operators.models import quantile_forecast
+
+    return round_doubles(quantile_forecast(orders_bars(spark, sf_dir), horizon=1, num_samples=256, quantile=0.5,
+                                           min_context=64))
+
+
+# --------------------------------------------------------------------------
+# 2.7 model jobs with no SQL oracle (rows-only check)
+# --------------------------------------------------------------------------
+
+@register("select_model")
+def q_select_model(spark, sf_dir):
+    from candlewick.operators.models import select_model
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    res = select_model(split.where("is_train"), split.where("NOT is_train"), rows.feature_cols)
+    best = res.best.params.get("estimator")
+    out = [(t["estimator"], float(t["val_mae"]), t["estimator"] == best and float(t["val_mae"]) == res.best.params["val_mae"])
+           for t in res.trials]
+    return round_doubles(spark.createDataFrame(out, "estimator string, val_mae double, best boolean"))
+
+
+@register("sequence_regressor")
+def q_sequence_regressor(spark, sf_dir):
+    from candlewick.operators.metrics import fold_metrics
+    from candlewick.operators.models import sequence_fit, sequence_predict
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    model, history = sequence_fit(split.where("is_train"), rows.feature_cols, seq_len=30)
+    val_keys = split.where("NOT is_train").select("symbol", "date")
+    preds = sequence_predict(model, rows.df, rows.feature_cols, 30).join(val_keys, ["symbol", "date"])
+    m = fold_metrics(preds.withColumn("family", F.lit("custom_transformer")).withColumn("fold", F.lit(None).cast("int")),
+                     by=("family",))
+    return round_doubles(m.withColumn("iterations", F.lit(len(history))))
+
+
+@register("compare_families")
+def q_compare_families(spark, sf_dir):
+    from candlewick.operators.models import ridge_fit, select_model
+    from candlewick.operators.scoring import compare_families
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    tr, va = split.where("is_train"), split.where("NOT is_train")
+    models = {"ridge": ridge_fit(tr, rows.feature_cols),
+              "ridge_one_feature": ridge_fit(tr, ["log_return_1"]),
+              "automl": select_model(tr, va, rows.feature_cols).best}
+    _, metrics = compare_families(va, models)
+    return round_doubles(metrics)
+
+
+@register("write_model")
+def q_write_model(spark, sf_dir):
+    from candlewick.operators.models import read_model, write_model
+    from candlewick.streaming.scoring_stream import scratch_dir
+
+    model = _full_ridge(spark, sf_dir)
+    path = scratch_dir(spark, "model")
+    write_model(model, path)
+    again = read_model(path)
+    rows = _training_rows(spark, sf_dir)
+    a = model.transform(rows.df, keep=["symbol", "date"])
+    b = again.transform(rows.df, keep=["symbol", "date"]).withColumnRenamed("prediction", "reloaded")
+    return round_doubles(a.join(b, ["symbol", "date"]).withColumn(
+        "same", F.col("prediction") == F.col("reloaded")).withColumn(
+        "same_features", F.lit(again.feature_cols == model.feature_cols)))
+
+
+QUERIES["read_model"] = QUERIES["write_model"]
+
+
+@register("train_pipeline")
+def q_train_pipeline(spark, sf_dir):
+    from candlewick.operators.train import train_pipeline
+
+    res = train_pipeline(orders_bars(spark, sf_dir), family="ridge", horizon=1, n_splits=5, run="ridge_full")
+    return round_doubles(res.metrics)
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    from candlewick.sources.requests import write_requests_json
+    from candlewick.streaming.scoring_stream import score_stream, scratch_dir
+
+    base = scratch_dir(spark, "stream")
+    write_requests_json(_requests(spark, sf_dir).repartition(4, "request_id"), f"{base}/in")
+    scored, rejected = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", _full_ridge(spark, sf_dir),
+                                    allow_minimal=True, max_files_per_trigger=2)
+    return round_doubles(scored.unionByName(
+        rejected.select("request_id", "symbol", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("pred_return", "double"), ("pred_price", "double"), ("model_uri", "string"),
+            ("loaded_at_unix", "double"))], F.concat(F.lit("rejected: "), F.col("reason")).alias("used_mode"))))
+
+
+# --------------------------------------------------------------------------
+# Flagship: orders -> bars -> complete training rows (36 features + target)
+# --------------------------------------------------------------------------
+
+@register("training_rows", f"""
+WITH {_T}
+SELECT symbol, date, {o.r6(o.ALL_FEATURES + ["target"])} FROM t""")
+def flagship(spark, sf_dir):
+    from candlewick.operators.guards import drop_incomplete
+
+    f = feat.tabular_features(orders_bars(spark, sf_dir), horizon=1)
+    rows = drop_incomplete(f, feat.model_feature_names(f), "target")
+    return _select(rows, "symbol", "date", *o.ALL_FEATURES, "target")
