@@ -34,10 +34,10 @@ def global_position(df: DataFrame, group_col: str = "symbol", order: Sequence[st
                     segment: str | Column | None = "year", out: str = "pos") -> Positioned:
     """Row 32: dense 0..n-1 position in (group, order) order."""
     d = df.withColumn(SEG, segment_of("date", segment))
-    counts = d.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n"))
-    offs = running_offsets(counts, [group_col, SEG], "_n", "_segoff")
-    stats = offs.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
+    counts = d.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
+    stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
     n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
+    offs = running_offsets(counts, [group_col, SEG], "_n", "_segoff", rows=n_segs)
     w = Window.partitionBy(group_col, SEG).orderBy(*order)
     local = d.withColumn("_rn", F.row_number().over(w) - 1)
     out_df = (
@@ -53,10 +53,10 @@ def date_position(df: DataFrame, date_col: str = "date", out: str = "dpos") -> P
 
     All rows of one date share it, so a cut on it never splits a date.
     """
-    counts = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n"))
-    offs = running_offsets(counts, [date_col], "_n", out)
-    stats = offs.agg(F.count(F.lit(1)).alias("dates"), F.sum("_n").alias("rows")).first()
+    counts = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n")).persist()
+    stats = counts.agg(F.count(F.lit(1)).alias("dates"), F.sum("_n").alias("rows")).first()
     n_dates, n = int(stats["dates"]), int(stats["rows"] or 0)
+    offs = running_offsets(counts, [date_col], "_n", out, rows=n_dates)
     out_df = join_small(df, offs.select(date_col, out), [date_col], small_rows=n_dates)
     return Positioned(out_df, n)
 

@@ -9,6 +9,7 @@ predictions feed one grouped aggregate.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -57,6 +58,8 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     feats = tabular_features(df, price_col=price_col, horizon=horizon, segment=segment).dropna(subset=["target"])
     feature_cols = model_feature_names(feats)
     rows = drop_incomplete(feats, feature_cols, "target")
+    if checkpoint:
+        rows = rows.persist()  # read by the position jobs and by the final write
     if by == "date":
         framed, _ = date_folds(rows)
         framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
@@ -65,7 +68,8 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         pos = global_position(rows, segment=segment)
         framed, n = pos.df, pos.n
     if checkpoint:
-        framed = materialize(framed)
+        framed = materialize(framed, "training-rows")
+        rows.unpersist()
     if n is None:
         n = framed.count()
     return TrainingRows(framed, n, feature_cols)
@@ -84,19 +88,28 @@ def fit_family(family: str, alpha: float = M.RIDGE_ALPHA) -> Callable[[DataFrame
 
 
 def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5, alpha: float = M.RIDGE_ALPHA,
-                   feature_cols: Sequence[str] | None = None) -> tuple[DataFrame, FoldPlan]:
+                   feature_cols: Sequence[str] | None = None, parallelism: int | None = None
+                   ) -> tuple[DataFrame, FoldPlan]:
     """Row 50: k expanding folds; every fold is a filter of one checkpointed
     frame plus a distributed fit; predictions unioned, one aggregate."""
     fam = family_of(family)
     cols = list(feature_cols or rows.feature_cols)
     plan = fold_plan(rows.n, n_splits)
     fit = fit_family(fam, alpha)
-    preds = None
-    for i in range(plan.k):
+
+    def one(i: int) -> DataFrame:
         tr, te = fold_train(rows.df, plan, i), fold_test(rows.df, plan, i)
         model = fit(tr, cols, te)
-        p = model.transform(te, keep=["target"]).withColumn("fold", F.lit(i))
-        preds = p if preds is None else preds.unionByName(p)
+        return model.transform(te, keep=["target"]).withColumn("fold", F.lit(i))
+
+    # Fold fits are independent Spark jobs: submit them from a small thread
+    # pool (as CrossValidator's ``parallelism`` does) so they share the cluster.
+    workers = max(1, min(parallelism or plan.k, plan.k))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        parts = list(pool.map(one, range(plan.k)))
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
     metrics = fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold"))
     return metrics, plan
 
@@ -129,7 +142,7 @@ def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_s
             fold_df = _cv_sequence(rows, fam, n_splits)
         else:
             fold_df, _ = cross_validate(rows, fam, n_splits, alpha)
-        fold_df = materialize(fold_df)
+        fold_df = materialize(fold_df, "fold-metrics")
 
     cut = holdout_cut(rows.n)
     split = chronological_holdout(rows.df, rows.n)

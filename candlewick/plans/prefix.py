@@ -22,6 +22,8 @@ from candlewick.session import materialize
 
 # Largest table (rows) we are willing to broadcast in ``join_small``.
 BROADCAST_MAX_ROWS = 2_000_000
+# Largest table (rows) whose prefix sum may run as one small task.
+SINGLE_TASK_MAX_ROWS = 200_000
 
 
 def _pieces(df: DataFrame) -> int:
@@ -30,15 +32,23 @@ def _pieces(df: DataFrame) -> int:
 
 
 def running_offsets(df: DataFrame, order: Sequence[str], weight: str, out: str = "_offset",
-                    pieces: int | None = None) -> DataFrame:
+                    pieces: int | None = None, rows: int | None = None,
+                    single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows strictly before each row.
 
-    ``order`` must be a total order of ``df`` (unique keys).
+    ``order`` must be a total order of ``df`` (unique keys).  ``rows`` is the
+    row count if the caller knows it; a table of at most
+    ``single_task_max_rows`` rows (a checked bound) takes one small window,
+    anything larger the distributed path.
     """
     order = list(order)
+    n = df.count() if rows is None else rows
+    if n <= single_task_max_rows:
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, (F.sum(weight).over(w) - F.col(weight)).cast("long"))
     pieces = pieces or _pieces(df)
     ranged = materialize(
-        df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id())
+        df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()), "prefix"
     )
     wp = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(weight).over(wp) - F.col(weight))

@@ -78,24 +78,22 @@ def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
     heads = edge(fwd, False) if fwd > 0 else None
 
     # Per-segment table: dense index k inside the key and cumulative halo
-    # counts.  One row per (key, segment): this window is over segments,
-    # not rows, so its size is bounded by the calendar, not by the data.
-    counts = None
-    for name, edge_df in (("nt", tails), ("nh", heads)):
-        if edge_df is None:
-            continue
-        c = edge_df.groupBy(*part).agg(F.count(F.lit(1)).alias(name))
-        counts = c if counts is None else counts.join(c, part, "full")
-    counts = counts.na.fill(0)
+    # counts.  Every segment is non-empty, so its tail / head holds
+    # least(n, back) / least(n, fwd) rows: one partial aggregate gives both.
+    # The window below runs over segments, not rows (one row per (key,
+    # segment)), so its size is bounded by the calendar, not by the data.
+    counts = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
     upto = ws.rowsBetween(Window.unboundedPreceding, 0)
     seg_cols = [F.col(k) for k in part] + [F.row_number().over(ws).alias("_k")]
     if tails is not None:
-        seg_cols.append(F.sum("nt").over(upto).alias("_ct"))
-        seg_cols.append((F.sum("nt").over(upto) - F.col("nt")).alias("_ct_prev"))
+        nt = F.least(F.col("_n"), F.lit(back))
+        seg_cols.append(F.sum(nt).over(upto).alias("_ct"))
+        seg_cols.append((F.sum(nt).over(upto) - nt).alias("_ct_prev"))
     if heads is not None:
-        seg_cols.append(F.sum("nh").over(upto).alias("_ch"))
-        seg_cols.append((F.sum("nh").over(upto) - F.col("nh")).alias("_ch_prev"))
+        nh = F.least(F.col("_n"), F.lit(fwd))
+        seg_cols.append(F.sum(nh).over(upto).alias("_ch"))
+        seg_cols.append((F.sum(nh).over(upto) - nh).alias("_ch_prev"))
     segs = counts.select(*seg_cols)
 
     pieces = [own.select(*cols, SEG, HALO)]

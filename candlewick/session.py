@@ -59,7 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and read it back.
+
+    One pass computes and writes the data (a reliable ``checkpoint()`` of an
+    unpersisted plan computes it twice); the table survives executor loss,
+    and later reads prune columns and push filters like any Parquet scan.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/candlewick-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
