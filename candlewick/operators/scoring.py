@@ -172,18 +172,12 @@ def _finish(df: DataFrame, model: FittedModel, model_uri: str, loaded_at: float,
     )
 
 
-def score_windows(req: DataFrame, model: FittedModel, min_rows: int = MIN_FEATURE_ROWS, row: str = "last",
-                  model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
-    """Row 53: window-mode requests -> features -> tail of ``min_rows`` complete
-    rows -> predict.  ``row='last'`` scores the newest row; ``row='first'``
-    the oldest row of the tail (the reference's ``y_hat[0]``, quirk Q2).
-    The last price is the last bar *as sent* (quirk Q3)."""
-    t = triage(req, allow_minimal=False, min_rows=min_rows)
+def _score_window_route(t: DataFrame, model: FittedModel, min_rows: int, row: str, model_uri: str,
+                        loaded_at: float) -> tuple[DataFrame, DataFrame]:
     win = t.where(F.col("route") == "window")
     feats = features_for_requests(win)
     tail = tail_rows(feats, min_rows, "request_id", ["date", "bar_index"])
-    pick = 1 if row == "last" else None
-    if pick is None:
+    if row != "last":
         w = Window.partitionBy("request_id").orderBy("date", "bar_index")
         tail = tail.withColumn("rn", F.row_number().over(w))
     chosen = tail.where(F.col("rn") == 1)
@@ -193,36 +187,45 @@ def score_windows(req: DataFrame, model: FittedModel, min_rows: int = MIN_FEATUR
     no_rows = (win.join(preds.select("request_id"), "request_id", "left_anti")
                .select("request_id", "symbol", F.lit(
                    "After feature engineering, no usable rows remain. Provide a longer ohlcv_window.").alias("reason")))
-    rejected = t.where(F.col("route") == "rejected").select("request_id", "symbol", "reason").unionByName(no_rows)
-    return ScoreResult(scored, rejected)
+    return scored, no_rows
+
+
+def _score_minimal_route(t: DataFrame, model: FittedModel, model_uri: str, loaded_at: float) -> DataFrame:
+    feats = minimal_return_stats(t.where(F.col("route") == "minimal"))
+    preds = model.transform(feats, keep=["request_id", "symbol", "last_close"])
+    return _finish(preds.withColumnRenamed("last_close", "last_price"), model, model_uri, loaded_at, MODE_MINIMAL)
+
+
+def _rejected(t: DataFrame) -> DataFrame:
+    return t.where(F.col("route") == "rejected").select("request_id", "symbol", "reason")
+
+
+def score_windows(req: DataFrame, model: FittedModel, min_rows: int = MIN_FEATURE_ROWS, row: str = "last",
+                  model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
+    """Row 53: window-mode requests -> features -> tail of ``min_rows`` complete
+    rows -> predict.  ``row='last'`` scores the newest row; ``row='first'``
+    the oldest row of the tail (the reference's ``y_hat[0]``, quirk Q2).
+    The last price is the last bar *as sent* (quirk Q3)."""
+    t = triage(req, allow_minimal=False, min_rows=min_rows)
+    scored, no_rows = _score_window_route(t, model, min_rows, row, model_uri, loaded_at)
+    return ScoreResult(scored, _rejected(t).unionByName(no_rows))
 
 
 def score_minimal(req: DataFrame, model: FittedModel, model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
     """Row 54: minimal-mode requests -> return stats -> align -> predict."""
     t = triage(req, allow_minimal=True)
-    mini = t.where(F.col("route") == "minimal")
-    feats = minimal_return_stats(mini)
-    preds = model.transform(feats, keep=["request_id", "symbol", "last_close"])
-    scored = _finish(preds.withColumnRenamed("last_close", "last_price"), model, model_uri, loaded_at, MODE_MINIMAL)
-    rejected = t.where(F.col("route") == "rejected").select("request_id", "symbol", "reason")
-    return ScoreResult(scored, rejected)
+    return ScoreResult(_score_minimal_route(t, model, model_uri, loaded_at), _rejected(t))
 
 
 def score_requests(req: DataFrame, model: FittedModel, allow_minimal: bool = False, min_rows: int = MIN_FEATURE_ROWS,
                    row: str = "last", model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
-    """Both modes over one request table; every request ends up in exactly
-    one of ``scored`` / ``rejected``."""
+    """Both modes over one request table, triaged once; every request ends up
+    in exactly one of ``scored`` / ``rejected``."""
     t = triage(req, allow_minimal=allow_minimal, min_rows=min_rows)
-    base = t.drop("route", "reason")
-    w = score_windows(base.join(t.where(F.col("route") == "window").select("request_id"), "request_id"),
-                      model, min_rows, row, model_uri, loaded_at)
-    scored, rejected = w.scored, w.rejected
+    scored, no_rows = _score_window_route(t, model, min_rows, row, model_uri, loaded_at)
     if allow_minimal:
-        m = score_minimal(base.join(t.where(F.col("route") == "minimal").select("request_id"), "request_id"),
-                          model, model_uri, loaded_at)
-        scored = scored.unionByName(m.scored)
-    rejected = rejected.unionByName(t.where(F.col("route") == "rejected").select("request_id", "symbol", "reason"))
-    return ScoreResult(scored, rejected.dropDuplicates(["request_id"]))
+        scored = scored.unionByName(_score_minimal_route(t, model, model_uri, loaded_at))
+    return ScoreResult(scored, _rejected(t).unionByName(no_rows))
 
 
 def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = "year") -> DataFrame:

@@ -30,10 +30,11 @@ SEG = "_seg"
 HALO = "_halo"  # 0 = own row, 1 = look-back copy, 2 = look-ahead copy
 
 
-def segment_of(date_col: str, unit: str | Column | None) -> Column:
-    """Segment id (bigint) that never decreases along a series' date order."""
+def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
+    """Segment id (bigint) that never decreases along a series' date order;
+    ``None`` when the series should not be split."""
     if unit is None or unit == "none":
-        return F.lit(0).cast("long")
+        return None
     if isinstance(unit, Column):
         return unit.cast("long")
     d = F.col(date_col)
@@ -54,7 +55,7 @@ def _order_cols(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
+def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column | None,
               back: int, fwd: int = 0) -> DataFrame:
     """Return ``df`` plus halo copies, with columns ``_seg`` and ``_halo``.
 
@@ -62,6 +63,8 @@ def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
     Rows with ``_halo = 0`` are the input rows, each exactly once.
     """
     keys = list(keys)
+    if segment is None:  # one segment per key: nothing to copy
+        return df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HALO, F.lit(0))
     base = df.withColumn(SEG, segment.cast("long"))
     own = base.withColumn(HALO, F.lit(0))
     if back <= 0 and fwd <= 0:
