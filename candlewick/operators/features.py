@@ -88,12 +88,14 @@ def _prepare(bars: DataFrame, tiebreak: str | None) -> tuple[DataFrame, list[str
 
 def tabular_features(bars: DataFrame, group_col: str = "symbol", price_col: str = "adj_close",
                      horizon: int | None = None, segment: str | Column | None = "year",
-                     tiebreak: str | None = None, keep_tiebreak: bool = False) -> DataFrame:
+                     tiebreak: str | None = None, keep_internal: bool = False) -> DataFrame:
     """Rows 20-31: returns, lags, guarded rolling stats, candle features, and
     (if ``horizon`` is given) the forward target ``lead(log_return_1, h)``.
 
     ``segment`` cuts long series into parallel pieces with an exact halo;
-    ``None`` partitions by symbol only.
+    ``None`` partitions by symbol only.  ``keep_internal`` keeps the segment
+    id ``_seg`` and the tie-breaker, so a later window with the same spec
+    (``series_window``) reuses this plan's partitioning and sort order.
     """
     df, order = _prepare(bars, tiebreak)
     fwd = int(horizon) if horizon else 0
@@ -104,9 +106,11 @@ def tabular_features(bars: DataFrame, group_col: str = "symbol", price_col: str
     extra = [e.alias(n) for n, e in feats]
     if fwd:
         extra.append(F.lead("log_return_1", fwd).over(w).alias("target"))
-    out = level1.select("*", *extra).where(F.col(HALO) == 0).drop(SEG, HALO)
-    if not keep_tiebreak and "_tb" in out.columns and tiebreak is None:
-        out = out.drop("_tb")
+    out = level1.select("*", *extra).where(F.col(HALO) == 0).drop(HALO)
+    if not keep_internal:
+        out = out.drop(SEG)
+        if tiebreak is None:
+            out = out.drop("_tb")
     return out
 
 

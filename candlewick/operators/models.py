@@ -19,9 +19,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.functions.columns import PRICE_COLUMN_PREFERENCE, finite_or_null, return_from_price
-from candlewick.operators.guards import align_features
 from candlewick.operators.metrics import mae, sample_quantile
 from candlewick.plans.segments import HALO, SEG, segment_of, with_halo
 
@@ -41,10 +41,20 @@ class FittedModel:
     params: dict = field(default_factory=dict)
 
     def prepare(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Rows 13-16 for model input: exact columns in order, double, absent
+        or non-finite -> 0.0, in one projection (``abs(x) < inf`` is false for
+        NULL, NaN and +-inf)."""
         keep = [c for c in keep if c not in self.feature_cols]
-        aligned = align_features(df, self.feature_cols, keep=keep)
-        cleaned = aligned.select(*keep, *[F.coalesce(finite_or_null(c), F.lit(0.0)).alias(c) for c in self.feature_cols])
-        return cleaned
+        types = {f.name: f.dataType for f in df.schema.fields}
+        inf = F.lit(float("inf"))
+        cols = []
+        for c in self.feature_cols:
+            if c not in types:
+                cols.append(F.lit(0.0).alias(c))
+                continue
+            x = F.col(c) if isinstance(types[c], T.DoubleType) else F.col(c).try_cast("double")
+            cols.append(F.when(F.abs(x) < inf, x).otherwise(F.lit(0.0)).alias(c))
+        return df.select(*keep, *cols)
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Align, zero-fill, predict; output = ``keep`` columns + ``prediction``."""

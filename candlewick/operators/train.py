@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import models as M
-from candlewick.operators.features import model_feature_names, tabular_features
+from candlewick.operators.features import model_feature_names, series_window, tabular_features
 from candlewick.operators.guards import drop_incomplete, min_rows_guard
 from candlewick.operators.metrics import cv_summary, fold_metrics, metrics_long, run_summary
 from candlewick.operators.splits import (
     FoldPlan, chronological_holdout, date_folds, fold_plan, fold_test, fold_train, global_position, holdout_cut,
 )
+from candlewick.plans.prefix import join_small, running_offsets
+from candlewick.plans.segments import SEG
 from candlewick.session import materialize
 from candlewick.sources.bars import filter_universe, require_columns
 
@@ -51,27 +53,46 @@ class TrainingRows:
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
                   segment: str | Column | None = "year", by: str = "position", checkpoint: bool = True) -> TrainingRows:
-    """Rows 1, 6, 20, 30, 31, 13, 16, 7, 32: complete rows with their position."""
+    """Rows 1, 6, 20, 30, 31, 13, 16, 7, 32: complete rows with their position.
+
+    ``by="position"`` (the reference's order) runs as one feature pass: the
+    complete-row filter keeps the (symbol, segment) partitioning and sort, so
+    the per-segment rank is a third Window over the same spec (no extra
+    exchange or sort).  That frame is written once; positions are the
+    segment offsets (a small prefix sum over per-segment counts, joined back
+    behind a size check) plus the rank.
+    """
     require_columns(bars, ["date", "symbol", price_col])
     df = bars.dropna(subset=[price_col, "symbol", "date"])
     df = filter_universe(df, list(universe) if universe else None)
-    feats = tabular_features(df, price_col=price_col, horizon=horizon, segment=segment).dropna(subset=["target"])
+    if by == "date" or not checkpoint:
+        feats = tabular_features(df, price_col=price_col, horizon=horizon, segment=segment).dropna(subset=["target"])
+        feature_cols = model_feature_names(feats)
+        rows = drop_incomplete(feats, feature_cols, "target")
+        if by == "date":
+            framed, _ = date_folds(rows)
+            framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
+            if checkpoint:
+                framed = materialize(framed, "training-rows")
+            return TrainingRows(framed, framed.count(), feature_cols)
+        pos = global_position(rows, segment=segment)
+        return TrainingRows(pos.df, pos.n, feature_cols)
+
+    feats = tabular_features(df, price_col=price_col, horizon=horizon, segment=segment, keep_internal=True)
     feature_cols = model_feature_names(feats)
+    order = ["date", "_tb"]
     rows = drop_incomplete(feats, feature_cols, "target")
-    if checkpoint:
-        rows = rows.persist()  # read by the position jobs and by the final write
-    if by == "date":
-        framed, _ = date_folds(rows)
-        framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
-        n = None
-    else:
-        pos = global_position(rows, segment=segment)
-        framed, n = pos.df, pos.n
-    if checkpoint:
-        framed = materialize(framed, "training-rows")
-        rows.unpersist()
-    if n is None:
-        n = framed.count()
+    ranked = rows.withColumn("_rn", F.row_number().over(series_window("symbol", order)) - 1)
+    stored = materialize(ranked.drop("_tb"), "training-rows")
+    counts = stored.groupBy("symbol", SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
+    stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
+    n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
+    offs = running_offsets(counts, ["symbol", SEG], "_n", "_segoff", rows=n_segs).select("symbol", SEG, "_segoff")
+    framed = (
+        join_small(stored, offs, ["symbol", SEG], small_rows=n_segs)
+        .withColumn("pos", (F.col("_segoff") + F.col("_rn")).cast("long"))
+        .drop("_segoff", "_rn", SEG)
+    )
     return TrainingRows(framed, n, feature_cols)
 
 
