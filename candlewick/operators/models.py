@@ -292,3 +292,71 @@ def quantile_forecast(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SA
         F.when(accepted, F.col("q_value")).alias("pred_price"),
         F.when(accepted, return_from_price("q_value", "last_price")).alias("pred_return"),
     )
+
+
+# --------------------------------------------------------------------------
+# Rows 45 + 50, one-pass form: ridge over expanding folds from block Gram
+# matrices.  Fold i trains on blocks 0..i, so every fold's normal equations
+# are a prefix sum of per-block sufficient statistics, all gathered in ONE
+# pass over the data (numpy Gram per partition and block, summed per block
+# by Spark).  Only k+1 matrices of (d+2)^2 numbers reach the driver.
+# --------------------------------------------------------------------------
+
+@dataclass
+class LinearCoefficients:
+    feature_cols: list[str]
+    weights: list[float]
+    intercept: float
+
+    def sql(self) -> str:
+        """The prediction as SQL text (same input cleaning as
+        ``FittedModel.prepare``: non-finite or missing -> 0.0)."""
+        terms = [repr(float(self.intercept))]
+        for c, w in zip(self.feature_cols, self.weights):
+            x = f"CAST(`{c}` AS DOUBLE)"
+            terms.append(f"{float(w)!r} * (CASE WHEN abs({x}) < double('inf') THEN {x} ELSE 0.0 END)")
+        return " + ".join(terms)
+
+    def predict(self) -> Column:
+        """One built-in expression, built from text in a single call."""
+        return F.expr(self.sql())
+
+
+def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, label: str = "target") -> dict[int, "np.ndarray"]:
+    """Sum of z z^T per block, z = [1, x_1..x_d, y] (non-finite x -> 0.0)."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.ml.stat import Summarizer
+
+    cols = list(feature_cols)
+    m = len(cols) + 2
+
+    def grams(batches):
+        acc: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float, na_value=np.nan)
+            x[~np.isfinite(x)] = 0.0
+            z = np.column_stack([np.ones(len(pdf)), x, pdf[label].to_numpy(dtype=float)])
+            for b in np.unique(pdf["_blk"].to_numpy()):
+                zb = z[pdf["_blk"].to_numpy() == b]
+                acc[int(b)] = acc.get(int(b), 0.0) + zb.T @ zb
+        if acc:
+            yield pd.DataFrame({"_blk": list(acc), "gram": [g.reshape(-1).tolist() for g in acc.values()]})
+
+    per_part = df.select(block.cast("int").alias("_blk"), *[F.col(c).cast("double") for c in cols],
+                         F.col(label).cast("double")).mapInPandas(grams, "_blk int, gram array<double>")
+    summed = per_part.groupBy("_blk").agg(Summarizer.sum(array_to_vector("gram")).alias("g"))
+    return {int(r["_blk"]): np.asarray(r["g"].toArray()).reshape(m, m) for r in summed.collect()}
+
+
+def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float) -> LinearCoefficients:
+    """argmin ||y - Xw - b||^2 + alpha ||w||^2 (intercept unpenalised)."""
+    import numpy as np
+
+    d = len(feature_cols)
+    n = g[0, 0]
+    xbar, ybar = g[0, 1:d + 1] / n, g[0, d + 1] / n
+    a = g[1:d + 1, 1:d + 1] - n * np.outer(xbar, xbar) + alpha * np.eye(d)
+    rhs = g[1:d + 1, d + 1] - n * xbar * ybar
+    w = np.linalg.solve(a, rhs)
+    return LinearCoefficients(list(feature_cols), [float(v) for v in w], float(ybar - xbar @ w))

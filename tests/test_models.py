@@ -117,3 +117,17 @@ def test_train_pipeline_metrics_shape(spark):
     m = res.metrics.toPandas()
     assert set(m["metric"]) >= {"mae_fold_0", "mae_fold_1", "diracc_fold_1", "mae_cv_mean", "diracc_cv_mean", "val_mae"}
     assert res.params["n_splits"] == 2
+
+
+def test_gram_cv_equals_per_fold_spark_fits(rows):
+    from candlewick.operators.train import cross_validate
+
+    g, _ = cross_validate(rows, "ridge", 3, method="gram")
+    f, _ = cross_validate(rows, "ridge", 3, method="fit")
+    a = {r.fold: r for r in g.collect()}
+    b = {r.fold: r for r in f.collect()}
+    assert a.keys() == b.keys() == {0, 1, 2}
+    for k in a:
+        assert a[k].n == b[k].n
+        assert math.isclose(a[k].mae, b[k].mae, rel_tol=1e-7)
+        assert math.isclose(a[k].diracc, b[k].diracc, abs_tol=1.5 / a[k].n)
