@@ -13,7 +13,8 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -66,12 +67,24 @@ def _assembler(feature_cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error")
 
 
+def _assembled(train: DataFrame, feature_cols: Sequence[str], label: str) -> DataFrame:
+    """Model input as (features vector, label), cached for the passes of one
+    fit (MEMORY_AND_DISK: spills instead of failing when it does not fit)."""
+    tmp = FittedModel(None, list(feature_cols), "")  # type: ignore[arg-type]
+    data = _assembler(feature_cols).transform(tmp.prepare(train, keep=[label])).select("features", label)
+    return data.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _fit(train: DataFrame, feature_cols: Sequence[str], regressor, family: str, label: str = "target",
-         params: dict | None = None) -> FittedModel:
+         params: dict | None = None, assembled: DataFrame | None = None) -> FittedModel:
     feature_cols = list(feature_cols)
-    tmp = FittedModel(None, feature_cols, family)  # type: ignore[arg-type]
-    data = tmp.prepare(train, keep=[label])
-    pm = Pipeline(stages=[_assembler(feature_cols), regressor]).fit(data)
+    data = assembled if assembled is not None else _assembled(train, feature_cols, label)
+    try:
+        fitted = regressor.fit(data)
+    finally:
+        if assembled is None:
+            data.unpersist()
+    pm = PipelineModel(stages=[_assembler(feature_cols), fitted])
     return FittedModel(pm, feature_cols, family, params or {})
 
 
@@ -87,10 +100,14 @@ def ridge_reg_param(train: DataFrame, alpha: float, label: str = "target") -> fl
 
 def ridge_fit(train: DataFrame, feature_cols: Sequence[str], alpha: float = RIDGE_ALPHA, label: str = "target") -> FittedModel:
     """Row 45: L2 regression, intercept unpenalised, no scaling."""
-    reg = ridge_reg_param(train, alpha, label)
-    lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction", solver="normal",
-                          standardization=False, elasticNetParam=0.0, regParam=reg, fitIntercept=True)
-    return _fit(train, feature_cols, lr, "ridge", label, {"alpha": alpha, "regParam": reg})
+    data = _assembled(train, feature_cols, label)
+    try:
+        reg = ridge_reg_param(data, alpha, label)
+        lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction", solver="normal",
+                              standardization=False, elasticNetParam=0.0, regParam=reg, fitIntercept=True)
+        return _fit(train, feature_cols, lr, "ridge", label, {"alpha": alpha, "regParam": reg}, assembled=data)
+    finally:
+        data.unpersist()
 
 
 def ridge_score(model: FittedModel, df: DataFrame, keep: Sequence[str] = ("symbol", "date", "target")) -> DataFrame:
@@ -157,16 +174,18 @@ class SelectionResult:
 
 def select_model(train: DataFrame, val: DataFrame, feature_cols: Sequence[str], label: str = "target",
                  grid: list | None = None) -> SelectionResult:
-    train_c = train.persist()
+    data = _assembled(train, feature_cols, label)
     trials = []
     best, best_mae = None, float("inf")
-    for name, params, reg in grid or default_grid(label):
-        m = _fit(train_c, feature_cols, reg, "automl", label, {"estimator": name, **params})
-        score = validation_mae(m, val, label)
-        trials.append({"estimator": name, **params, "val_mae": score})
-        if score < best_mae:
-            best, best_mae = m, score
-    train_c.unpersist()
+    try:
+        for name, params, reg in grid or default_grid(label):
+            m = _fit(train, feature_cols, reg, "automl", label, {"estimator": name, **params}, assembled=data)
+            score = validation_mae(m, val, label)
+            trials.append({"estimator": name, **params, "val_mae": score})
+            if score < best_mae:
+                best, best_mae = m, score
+    finally:
+        data.unpersist()
     assert best is not None
     best.params["best_estimator"] = best.params.get("estimator")
     best.params["val_mae"] = best_mae
