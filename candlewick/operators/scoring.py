@@ -228,7 +228,7 @@ def score_requests(req: DataFrame, model: FittedModel, allow_minimal: bool = Fal
     return ScoreResult(scored, _rejected(t).unionByName(no_rows))
 
 
-def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = "year") -> DataFrame:
+def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = "auto") -> DataFrame:
     """Row 55: the newest complete feature row of every symbol, scored."""
     feats = tabular_features(bars, segment=segment)
     cols = model_feature_names(feats)

@@ -31,9 +31,9 @@ class Positioned:
 
 
 def global_position(df: DataFrame, group_col: str = "symbol", order: Sequence[str] = ("date",),
-                    segment: str | Column | None = "year", out: str = "pos") -> Positioned:
+                    segment: str | Column | None = "auto", out: str = "pos") -> Positioned:
     """Row 32: dense 0..n-1 position in (group, order) order."""
-    seg = segment_of("date", segment)
+    seg = segment_of("date", segment, df, [group_col])
     d = df.withColumn(SEG, seg if seg is not None else F.lit(0).cast("long"))
     counts = d.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
     stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()

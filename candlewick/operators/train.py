@@ -52,7 +52,7 @@ class TrainingRows:
 
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
-                  segment: str | Column | None = "year", by: str = "position", checkpoint: bool = True) -> TrainingRows:
+                  segment: str | Column | None = "auto", by: str = "position", checkpoint: bool = True) -> TrainingRows:
     """Rows 1, 6, 20, 30, 31, 13, 16, 7, 32: complete rows with their position.
 
     ``by="position"`` (the reference's order) runs as one feature pass: the
@@ -174,7 +174,7 @@ class TrainResult:
 def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_splits: int = 5,
                    universe: Sequence[str] | None = None, alpha: float = M.RIDGE_ALPHA, run: str = "run",
                    cv_for_deep_models: bool = False, by: str = "position", model_path: str | None = None,
-                   metrics_path: str | None = None, segment: str | Column | None = "year") -> TrainResult:
+                   metrics_path: str | None = None, segment: str | Column | None = "auto") -> TrainResult:
     """Row 51: training rows -> guard -> walk-forward CV -> 80/20 holdout fit
     -> save model + metrics."""
     fam = family_of(family)

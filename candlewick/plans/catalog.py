@@ -824,3 +824,23 @@ def flagship(spark, sf_dir):
     f = feat.tabular_features(orders_bars(spark, sf_dir), horizon=1)
     rows = drop_incomplete(f, feat.model_feature_names(f), "target")
     return _select(rows, "symbol", "date", *o.ALL_FEATURES, "target")
+
+
+@register("tabular_features_by_week", f"""
+WITH {o.features_ctes(horizon=2)}
+SELECT symbol, date, {o.r6(o.ALL_FEATURES + ["target"])} FROM f""")
+def q_tabular_features_by_week(spark, sf_dir):
+    """Row 30 with explicit weekly segments (exercises the multi-hop halo)."""
+    df = feat.tabular_features(orders_bars(spark, sf_dir), horizon=2, segment="week")
+    return _select(df, "symbol", "date", *o.ALL_FEATURES, "target")
+
+
+@register("training_rows_by_month", f"""
+WITH {_P}
+SELECT symbol, date, pos, {o.r6(["target", "r_std_10"])} FROM p""")
+def q_training_rows_by_month(spark, sf_dir):
+    """Rows 30-32 on monthly segments: features, complete rows and positions."""
+    from candlewick.operators.train import training_rows
+
+    rows = training_rows(orders_bars(spark, sf_dir), horizon=1, segment="month")
+    return _select(rows.df, "symbol", "date", "pos", "target", "r_std_10")

@@ -30,13 +30,19 @@ SEG = "_seg"
 HALO = "_halo"  # 0 = own row, 1 = look-back copy, 2 = look-ahead copy
 
 
-def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
+def segment_of(date_col: str, unit: str | Column | None, df: DataFrame | None = None,
+               keys: Sequence[str] = ("symbol",)) -> Column | None:
     """Segment id (bigint) that never decreases along a series' date order;
-    ``None`` when the series should not be split."""
-    if unit is None or unit == "none":
-        return None
+    ``None`` when the series should not be split.  ``"auto"`` sizes the
+    segments from the data (needs ``df``; see ``auto_segment``)."""
     if isinstance(unit, Column):
         return unit.cast("long")
+    if unit is None or unit == "none":
+        return None
+    if unit == "auto":
+        if df is None:
+            raise ValueError("segment='auto' needs the frame to size segments from")
+        return auto_segment(df, date_col, keys)
     d = F.col(date_col)
     if unit == "year":
         return F.year(d).cast("long")
@@ -51,6 +57,33 @@ def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
     raise ValueError(f"unknown segment unit: {unit!r}")
 
 
+# Rows one (key, segment) task should hold at most, for ``segment="auto"``.
+AUTO_SEGMENT_ROWS = 2_000_000
+SECONDS_PER_DAY = 86_400
+
+
+def auto_segment(df: DataFrame, date_col: str = "date", keys: Sequence[str] = ("symbol",),
+                 target_rows: int = AUTO_SEGMENT_ROWS) -> Column | None:
+    """Pick a segment span from the data so no (key, segment) holds much more
+    than ``target_rows`` rows, however hot one key is.
+
+    One partial aggregate gives the total row count and the densest
+    (key, day).  A table of at most ``target_rows`` rows is not split
+    (``None``); otherwise the span is a whole number of days, or of seconds
+    when a single key-day already exceeds the target (intraday bars).
+    """
+    per_day = df.groupBy(*keys, F.to_date(F.col(date_col)).alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
+    st = per_day.agg(F.sum("_c").alias("rows"), F.max("_c").alias("dense")).first()
+    rows, dense = int(st["rows"] or 0), int(st["dense"] or 0)
+    if rows <= target_rows or dense == 0:
+        return None
+    if dense >= target_rows:
+        span = max(1, SECONDS_PER_DAY * target_rows // dense)
+        return F.floor(F.unix_seconds(F.col(date_col).cast("timestamp")) / span).cast("long")
+    span_days = max(1, target_rows // dense)
+    return F.floor(F.unix_date(F.to_date(F.col(date_col))) / span_days).cast("long")
+
+
 def _order_cols(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
