@@ -844,3 +844,143 @@ def q_training_rows_by_month(spark, sf_dir):
 
     rows = training_rows(orders_bars(spark, sf_dir), horizon=1, segment="month")
     return _select(rows.df, "symbol", "date", "pos", "target", "r_std_10")
+
+
+# --------------------------------------------------------------------------
+# Scoring with a one-feature ridge (closed form in SQL) so rows 4 and 53-56
+# get value oracles too; the 36-feature versions above stay rows-only.
+# --------------------------------------------------------------------------
+
+def _request_feature_ctes(req_cte: str = "req") -> str:
+    """CTEs qx -> qbars -> qr -> qf -> qc (complete per-request feature rows)."""
+    part = "PARTITION BY request_id ORDER BY date, bar_index"
+    feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
+    cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
+    return f"""qx AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
+      FROM {req_cte}, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
+qbars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
+                bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
+                bar.adj_close AS adj_close, bar.volume AS volume
+         FROM qx WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
+qr AS ({o.returns_cte(src="qbars", part=part)}),
+qf AS (SELECT *, {feats} FROM qr),
+qc AS (SELECT * FROM qf WHERE {cond})"""
+
+
+def _holdout_ridge_ctes(x: str, name: str) -> str:
+    return f"""{name} AS (SELECT avg({x}) AS mx, avg(target) AS my,
+              covar_pop({x}, target) * count(*) / (var_pop({x}) * count(*) + 1.0) AS b
+       FROM p, nn WHERE pos < CAST(floor(n * 0.8) AS BIGINT))"""
+
+
+_ONE_FEATURE_BASE = _N + ",\n" + _holdout_ridge_ctes("log_return_1", "st") + ",\n" + \
+    _holdout_ridge_ctes("r_mean_5", "st5") + f",\nreq AS ({o.REQUESTS}),\n" + _request_feature_ctes()
+
+_WINDOW_SCORED_SQL = f"""
+ok AS (SELECT * FROM req WHERE symbol IS NOT NULL AND horizon BETWEEN 1 AND 30 AND ohlcv_window IS NOT NULL
+              AND len(ohlcv_window) >= 11),
+ql AS (SELECT request_id, symbol, log_return_1,
+              row_number() OVER (PARTITION BY request_id ORDER BY date DESC, bar_index DESC) AS rn FROM qc),
+ws AS (SELECT ql.request_id, ql.symbol, st.my - st.b * st.mx + st.b * ql.log_return_1 AS pred,
+              ok.ohlcv_window[len(ok.ohlcv_window)].adj_close AS last_price
+       FROM ql JOIN ok ON ql.request_id = ok.request_id, st WHERE rn = 1)"""
+
+_MINIMAL_SCORED_SQL = """
+mk AS (SELECT request_id, symbol, last_close,
+              list_slice(last_returns, greatest(len(last_returns) - 4, 1), len(last_returns)) AS s5
+       FROM req WHERE ohlcv_window IS NULL AND symbol IS NOT NULL AND horizon BETWEEN 1 AND 30
+             AND last_close IS NOT NULL AND last_close > 0
+             AND last_returns IS NOT NULL AND len(last_returns) BETWEEN 5 AND 240)"""
+
+
+def _one_feature_models(spark, sf_dir):
+    key = (id(spark), sf_dir, "1f")
+    if key not in _MODEL_CACHE:
+        from candlewick.operators.models import ridge_fit
+        from candlewick.operators.splits import chronological_holdout
+
+        rows = _training_rows(spark, sf_dir)
+        tr = chronological_holdout(rows.df, rows.n).where("is_train")
+        _MODEL_CACHE[key] = (ridge_fit(tr, ["log_return_1"], 1.0), ridge_fit(tr, ["r_mean_5"], 1.0))
+    return _MODEL_CACHE[key]
+
+
+_SCORED_COLS = f"""{o.cn("pred")} AS pred_return, {o.cn("last_price * exp(pred)")} AS pred_price"""
+
+
+@register("score_windows_1f", f"""
+WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL}
+SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:log_return_1' AS model_uri, 0.0 AS loaded_at_unix,
+       'tabular_from_window_adj_close' AS used_mode FROM ws""")
+def q_score_windows_1f(spark, sf_dir):
+    from candlewick.operators.scoring import score_windows
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    return round_doubles(score_windows(_requests(spark, sf_dir), m1, model_uri="ridge:log_return_1").scored)
+
+
+@register("score_minimal_1f", f"""
+WITH {_ONE_FEATURE_BASE},{_MINIMAL_SCORED_SQL},
+ms AS (SELECT request_id, symbol, st5.my - st5.b * st5.mx + st5.b * list_avg(s5) AS pred, last_close AS last_price
+       FROM mk, st5)
+SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:r_mean_5' AS model_uri, 0.0 AS loaded_at_unix,
+       'tabular_minimal' AS used_mode FROM ms""")
+def q_score_minimal_1f(spark, sf_dir):
+    from candlewick.operators.scoring import score_minimal
+
+    _, m5 = _one_feature_models(spark, sf_dir)
+    return round_doubles(score_minimal(_requests(spark, sf_dir), m5, model_uri="ridge:r_mean_5").scored)
+
+
+@register("score_latest_bars_1f", f"""
+WITH {_ONE_FEATURE_BASE},
+fc AS (SELECT symbol, date, adj_close, log_return_1,
+              row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn
+       FROM f WHERE {" AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)}),
+ls AS (SELECT symbol, date, st.my - st.b * st.mx + st.b * log_return_1 AS pred, adj_close AS last_price
+       FROM fc, st WHERE rn = 1)
+SELECT symbol, date, {_SCORED_COLS} FROM ls""")
+def q_score_latest_bars_1f(spark, sf_dir):
+    from candlewick.operators.scoring import score_latest_bars
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    return round_doubles(score_latest_bars(orders_bars(spark, sf_dir), m1))
+
+
+@register("read_model_1f", f"""
+WITH {_ONE_FEATURE_BASE}
+SELECT symbol, date, {o.cn("st.my - st.b * st.mx + st.b * log_return_1")} AS prediction
+FROM p, nn, st WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)""")
+def q_read_model_1f(spark, sf_dir):
+    """Row 4: write the model, read it back, score the holdout rows with the copy."""
+    from candlewick.operators.models import read_model, ridge_score, write_model
+    from candlewick.operators.splits import chronological_holdout
+    from candlewick.streaming.scoring_stream import scratch_dir
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    path = scratch_dir(spark, "model-1f")
+    write_model(m1, path)
+    again = read_model(path)
+    rows = _training_rows(spark, sf_dir)
+    va = chronological_holdout(rows.df, rows.n).where("NOT is_train")
+    return round_doubles(ridge_score(again, va, keep=["symbol", "date"]))
+
+
+@register("score_stream_1f", f"""
+WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL},{_MINIMAL_SCORED_SQL},
+ms AS (SELECT request_id, symbol, st.my - st.b * st.mx AS pred, last_close AS last_price FROM mk, st)
+SELECT request_id, symbol, {_SCORED_COLS}, 'tabular_from_window_adj_close' AS used_mode FROM ws
+UNION ALL
+SELECT request_id, symbol, {_SCORED_COLS}, 'tabular_minimal' AS used_mode FROM ms""")
+def q_score_stream_1f(spark, sf_dir):
+    """Row 56 with a one-feature model: JSON request files -> micro-batches ->
+    scored rows (minimal mode has no log return, so it predicts the intercept)."""
+    from candlewick.sources.requests import write_requests_json
+    from candlewick.streaming.scoring_stream import score_stream, scratch_dir
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    base = scratch_dir(spark, "stream-1f")
+    write_requests_json(_requests(spark, sf_dir).repartition(4, "request_id"), f"{base}/in")
+    scored, _ = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", m1, allow_minimal=True,
+                             max_files_per_trigger=2)
+    return round_doubles(scored.select("request_id", "symbol", "pred_return", "pred_price", "used_mode"))
