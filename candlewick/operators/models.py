@@ -245,20 +245,26 @@ def pick_price_col(df: DataFrame) -> str:
     raise ValueError("No price column found (expected adj_close/close/price).")
 
 
+# Newest prices kept per symbol by ``price_context`` (bounded array per group).
+CONTEXT_ROWS = 512
+
+
 def price_context(df: DataFrame, group_col: str = "symbol", min_context: int = MIN_CONTEXT,
-                  last: int | None = None) -> DataFrame:
+                  last: int = CONTEXT_ROWS) -> DataFrame:
     """Row 35: valid prices per symbol in date order, with the context guard.
 
-    With ``last`` only the newest ``last`` valid prices are kept (top-k per
-    symbol, pre-limited on the map side) — the whole-series form collects
-    one array per symbol and is meant for bounded series.
+    ``n_context`` / ``accepted`` count every valid price (an aggregate); the
+    ``context`` array holds the newest ``last`` of them (top-k per symbol,
+    pre-limited on the map side), so no group ever collects a whole series.
+    The forecaster (row 49) needs only ``num_samples + horizon`` prices.
     """
+    if last is None or last <= 0:
+        raise ValueError("price_context needs a positive bound on the context length")
     pc = pick_price_col(df)
     valid = df.select(group_col, "date", finite_or_null(pc).alias("price")).where(F.col("price").isNotNull())
     counts = valid.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_context"))
-    if last is not None:
-        w = Window.partitionBy(group_col).orderBy(F.col("date").desc())
-        valid = valid.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last).drop("_r")
+    w = Window.partitionBy(group_col).orderBy(F.col("date").desc())
+    valid = valid.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last).drop("_r")
     ctx = valid.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct("date", "price"))).alias("_ctx"))
     return (
         counts.join(ctx, group_col)
