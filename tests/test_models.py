@@ -131,3 +131,12 @@ def test_gram_cv_equals_per_fold_spark_fits(rows):
         assert a[k].n == b[k].n
         assert math.isclose(a[k].mae, b[k].mae, rel_tol=1e-7)
         assert math.isclose(a[k].diracc, b[k].diracc, abs_tol=1.5 / a[k].n)
+
+
+@pytest.mark.parametrize("family,cv", [("automl", False), ("transformer", True), ("hf", True)])
+def test_other_families_train(spark, family, cv):
+    res = train_pipeline(bars_from_orders(spark, SF), family=family, n_splits=2, run="t", cv_for_deep_models=cv)
+    m = res.metrics.toPandas()
+    if cv:
+        assert {"mae_fold_0", "mae_fold_1", "mae_cv_mean"} <= set(m["metric"])
+    assert len(m) > 0
