@@ -80,9 +80,12 @@ def price_from_return(last_price: str | Column, pred_return: str | Column) -> Co
 
 
 def return_from_price(pred_price: str | Column, last_price: str | Column) -> Column:
-    """Row 18: ln(max(pred, floor) / max(last, floor))."""
+    """Row 18: ln(max(pred, floor) / max(last, floor)); NULL if either is NULL
+    (Spark's ``greatest`` would otherwise skip the NULL and return the floor)."""
     floor = F.lit(PRICE_FLOOR)
-    return F.ln(F.greatest(_c(pred_price), floor) / F.greatest(_c(last_price), floor))
+    pred, last = _c(pred_price), _c(last_price)
+    return F.when(pred.isNotNull() & last.isNotNull(),
+                  F.ln(F.greatest(pred, floor) / F.greatest(last, floor)))
 
 
 def canonical(c: str | Column) -> Column:

@@ -385,3 +385,31 @@ def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float)
     rhs = g[1:d + 1, d + 1] - n * xbar * ybar
     w = np.linalg.solve(a, rhs)
     return LinearCoefficients(list(feature_cols), [float(v) for v in w], float(ybar - xbar @ w))
+
+
+def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, quantile: float = QUANTILE,
+                           min_context: int = MIN_CONTEXT, group_col: str = "symbol",
+                           segment: str | Column | None = "auto") -> DataFrame:
+    """Row 49 for every row (quirk Q8): the forecast a request ending at that
+    row would get.  Paths replayed from the row's own price p_t scale with
+    p_t, so the quantile of the last step is p_t * percentile(exp(r_h)) over
+    the newest ``num_samples`` h-step log returns r_h, a sliding window
+    aggregate.  The context guard counts the newest ``min_context`` valid
+    prices.  Long series are segmented with an exact halo."""
+    pc = pick_price_col(df)
+    valid = df.select(group_col, "date", finite_or_null(pc).alias("p")).where(F.col("p").isNotNull())
+    back = max(num_samples + horizon - 1, min_context - 1)
+    halo = with_halo(valid, [group_col], ["date"], segment_of("date", segment, valid, [group_col]), back=back)
+    w = Window.partitionBy(group_col, SEG).orderBy("date")
+    lp = F.ln(F.col("p"))
+    step = halo.select("*", (lp - F.lag(lp, horizon).over(w)).alias("_rh"))
+    frame = w.rowsBetween(-(num_samples - 1), 0)
+    ctx = w.rowsBetween(-(min_context - 1), 0)
+    full = F.count(F.col("_rh")).over(frame) == num_samples
+    q_price = F.col("p") * F.percentile(F.exp(F.col("_rh")), quantile).over(frame)
+    accepted = (F.count(F.lit(1)).over(ctx) == min_context) & full
+    out = step.select(
+        group_col, "date", F.col("p").alias("last_price"), accepted.alias("accepted"),
+        F.when(accepted, q_price).alias("pred_price"), HALO,
+    ).where(F.col(HALO) == 0).drop(HALO)
+    return out.withColumn("pred_return", return_from_price("pred_price", "last_price"))

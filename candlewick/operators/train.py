@@ -235,9 +235,10 @@ def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int) -> DataFrame:
             model, _ = M.sequence_fit(tr, rows.feature_cols)
             p = M.sequence_predict(model, rows.df, rows.feature_cols).join(te_keys, ["symbol", "date"])
         else:
-            q = M.quantile_forecast(tr.select("symbol", "date", "adj_close"))
+            # every test row gets the forecast made from the prices up to it
+            q = M.quantile_forecast_rows(rows.df.select("symbol", "date", "adj_close"))
             p = (fold_test(rows.df, plan, i).select("symbol", "date", "target")
-                 .join(q.select("symbol", F.col("pred_return").alias("prediction")), "symbol"))
+                 .join(q.select("symbol", "date", F.col("pred_return").alias("prediction")), ["symbol", "date"]))
         p = p.select("target", "prediction").withColumn("fold", F.lit(i))
         preds = p if preds is None else preds.unionByName(p)
     return fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold"))

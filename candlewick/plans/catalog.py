@@ -224,7 +224,9 @@ def q_price_from_return(spark, sf_dir):
 
 @register("return_from_price", f"""
 WITH {o.features_ctes()}
-SELECT symbol, date, {o.cn("ln(greatest(adj_close, 1e-12) / greatest(price_lag_1, 1e-12))")} AS pred_return FROM f""")
+SELECT symbol, date,
+       {o.cn("CASE WHEN adj_close IS NOT NULL AND price_lag_1 IS NOT NULL THEN ln(greatest(adj_close, 1e-12) / greatest(price_lag_1, 1e-12)) END")} AS pred_return
+FROM f""")
 def q_return_from_price(spark, sf_dir):
     from candlewick.functions.columns import return_from_price
 
@@ -984,3 +986,24 @@ def q_score_stream_1f(spark, sf_dir):
     scored, _ = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", m1, allow_minimal=True,
                              max_files_per_trigger=2)
     return round_doubles(scored.select("request_id", "symbol", "pred_return", "pred_price", "used_mode"))
+
+
+@register("quantile_forecast_rows", f"""
+WITH bars AS ({o.BARS_ORDERS}),
+v AS (SELECT symbol, date, adj_close AS p FROM bars WHERE adj_close IS NOT NULL AND NOT isnan(adj_close) AND NOT isinf(adj_close)),
+rh AS (SELECT symbol, date, p, ln(p) - lag(ln(p), 1) OVER (PARTITION BY symbol ORDER BY date) AS r FROM v),
+w AS (SELECT symbol, date, p,
+             count(r) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS nr,
+             count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
+             quantile_cont(exp(r), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS qe
+      FROM rh)
+SELECT symbol, date, {o.cn("p")} AS last_price, nc = 64 AND nr = 256 AS accepted,
+       {o.cn("CASE WHEN nc = 64 AND nr = 256 THEN p * qe END")} AS pred_price,
+       {o.cn("CASE WHEN nc = 64 AND nr = 256 THEN ln(greatest(p * qe, 1e-12) / greatest(p, 1e-12)) END")} AS pred_return
+FROM w""")
+def q_quantile_forecast_rows(spark, sf_dir):
+    """Row 49 per row (quirk Q8): the forecast a request ending at each bar would get."""
+    from candlewick.operators.models import quantile_forecast_rows
+
+    return round_doubles(quantile_forecast_rows(orders_bars(spark, sf_dir), horizon=1, num_samples=256,
+                                                quantile=0.5, min_context=64))

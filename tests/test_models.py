@@ -140,3 +140,23 @@ def test_other_families_train(spark, family, cv):
     if cv:
         assert {"mae_fold_0", "mae_fold_1", "mae_cv_mean"} <= set(m["metric"])
     assert len(m) > 0
+
+
+def test_quantile_forecast_rows_brute_force(spark):
+    bars = bars_from_orders(spark, SF)
+    for seg in (None, "month"):
+        got = {(r.symbol, r.date): r for r in
+               M.quantile_forecast_rows(bars, horizon=3, num_samples=20, quantile=0.4, min_context=25, segment=seg).collect()}
+        pdf = bars.toPandas().sort_values(["symbol", "date"])
+        for s, g in pdf.groupby("symbol"):
+            p = g["adj_close"].to_numpy()
+            lp = np.log(p)
+            for t in range(len(p)):
+                r = got[(s, g["date"].iloc[t])]
+                ok = t >= 24 and t - 19 >= 3
+                assert r.accepted == ok
+                if ok:
+                    samples = [p[t] * math.exp(lp[k] - lp[k - 3]) for k in range(t - 19, t + 1)]
+                    q = float(np.quantile(samples, 0.4))
+                    assert math.isclose(r.pred_price, q, rel_tol=1e-9)
+                    assert math.isclose(r.pred_return, math.log(q / p[t]), rel_tol=1e-7, abs_tol=1e-12)
