@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +88,10 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     counts = stored.groupBy("symbol", SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
     stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
     n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
-    offs = running_offsets(counts, ["symbol", SEG], "_n", "_segoff", rows=n_segs).select("symbol", SEG, "_segoff")
+    # one row per segment; kept (memory, spilling to disk) because every fold reads it
+    offs = running_offsets(counts, ["symbol", SEG], "_n", "_segoff", rows=n_segs).select(
+        "symbol", SEG, "_segoff").persist(StorageLevel.MEMORY_AND_DISK)
+    counts.unpersist()
     framed = (
         join_small(stored, offs, ["symbol", SEG], small_rows=n_segs)
         .withColumn("pos", (F.col("_segoff") + F.col("_rn")).cast("long"))

@@ -129,3 +129,20 @@ def test_batch_and_stream_agree(spark, model, tmp_path):
 def test_latest_bar_scoring(spark, model):
     out = S.score_latest_bars(bars_from_orders(spark, SF), model).collect()
     assert len(out) == 5 and all(r.pred_price > 0 for r in out)
+
+
+def test_stream_restart_adds_no_duplicates(spark, model, tmp_path):
+    """New files after a restart from the same checkpoint are scored once;
+    files already processed are not replayed."""
+    reqs = requests_from_bars(bars_from_orders(spark, "/root/testdata/sf0.01"))
+    a = reqs.where(F.col("request_id") < "3")
+    b = reqs.where(F.col("request_id") >= "3")
+    src_dir, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    write_requests_json(a, f"{src_dir}/a")
+    first, _ = score_stream(spark, f"{src_dir}/*", out, ck, model, allow_minimal=True)
+    n_first = first.count()
+    write_requests_json(b, f"{src_dir}/b")
+    second, rej = score_stream(spark, f"{src_dir}/*", out, ck, model, allow_minimal=True)
+    ids = [r.request_id for r in second.select("request_id").collect()]
+    assert len(ids) == len(set(ids)) and len(ids) > n_first
+    assert len(ids) + rej.count() == reqs.count()
