@@ -72,9 +72,19 @@ def load_bars(spark: SparkSession, path: str, fmt: str = "parquet", options: dic
     return prepare_bars(df, universe)
 
 
+def numeric_text_to_double(df: DataFrame, cols=PRICE_COLUMNS + ("volume",)) -> DataFrame:
+    """Row 13 at load: value columns that arrive as text (CSV without schema
+    inference, JSON strings) become double; text that is not a number -> NULL."""
+    text = {c for c in cols if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)}
+    if not text:
+        return df
+    return df.select([F.col(c).try_cast("double").alias(c) if c in text else F.col(c) for c in df.columns])
+
+
 def prepare_bars(df: DataFrame, universe: list[str] | None = None) -> DataFrame:
     require_columns(df, REQUIRED_BAR_COLUMNS)
     df = filter_universe(df, universe)
+    df = numeric_text_to_double(df)
     df = coerce_date(df, "date")
     df = drop_missing_keys(df, ("date", "symbol"))
     return clean_prices(df)
