@@ -178,11 +178,15 @@ class TrainResult:
 def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_splits: int = 5,
                    universe: Sequence[str] | None = None, alpha: float = M.RIDGE_ALPHA, run: str = "run",
                    cv_for_deep_models: bool = False, by: str = "position", model_path: str | None = None,
-                   metrics_path: str | None = None, segment: str | Column | None = "auto") -> TrainResult:
+                   metrics_path: str | None = None, segment: str | Column | None = "auto",
+                   feature_cols: Sequence[str] | None = None) -> TrainResult:
     """Row 51: training rows -> guard -> walk-forward CV -> 80/20 holdout fit
-    -> save model + metrics."""
+    -> save model + metrics.  ``feature_cols`` restricts the model inputs
+    (default: every numeric column, as the reference infers them)."""
     fam = family_of(family)
     rows = training_rows(bars, horizon, universe=universe, segment=segment, by=by)
+    if feature_cols:
+        rows = TrainingRows(rows.df, rows.n, list(feature_cols))
     min_rows_guard(rows.df, known_rows=rows.n)
     spark = rows.df.sparkSession
     run_info = run_summary(rows.df, rows.feature_cols)

@@ -1007,3 +1007,47 @@ def q_quantile_forecast_rows(spark, sf_dir):
 
     return round_doubles(quantile_forecast_rows(orders_bars(spark, sf_dir), horizon=1, num_samples=256,
                                                 quantile=0.5, min_context=64))
+
+
+@register("compare_families_1f", f"""
+WITH {_ONE_FEATURE_BASE},
+va AS (SELECT * FROM p, nn WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)),
+pr AS (SELECT 'ridge_log_return_1' AS family, target, st.my - st.b * st.mx + st.b * log_return_1 AS prediction FROM va, st
+       UNION ALL
+       SELECT 'ridge_r_mean_5', target, st5.my - st5.b * st5.mx + st5.b * r_mean_5 FROM va, st5)
+SELECT family, {o.cn("avg(abs(target - prediction))")} AS mae,
+       {o.cn("avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END)")} AS diracc, count(*) AS n
+FROM pr GROUP BY family""")
+def q_compare_families_1f(spark, sf_dir):
+    """Row 57 with closed-form-checkable models: two one-feature ridges side by side."""
+    from candlewick.operators.scoring import compare_families
+    from candlewick.operators.splits import chronological_holdout
+
+    m1, m5 = _one_feature_models(spark, sf_dir)
+    rows = _training_rows(spark, sf_dir)
+    va = chronological_holdout(rows.df, rows.n).where("NOT is_train")
+    _, metrics = compare_families(va, {"ridge_log_return_1": m1, "ridge_r_mean_5": m5})
+    return round_doubles(metrics)
+
+
+@register("train_pipeline_1f", f"""
+WITH {_RIDGE_FOLDS},
+""" + _holdout_ridge_ctes("log_return_1", "sth") + f""",
+fm AS (SELECT fold, avg(abs(target - prediction)) AS mae,
+              avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END) AS diracc FROM pr GROUP BY fold),
+vm AS (SELECT avg(abs(target - (sth.my - sth.b * sth.mx + sth.b * log_return_1))) AS v
+       FROM p, nn, sth WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)),
+lng AS (SELECT fold, 'mae_fold_' || fold AS metric, mae AS value FROM fm
+        UNION ALL SELECT fold, 'diracc_fold_' || fold, diracc FROM fm
+        UNION ALL SELECT NULL, 'mae_cv_mean', avg(mae) FROM fm
+        UNION ALL SELECT NULL, 'diracc_cv_mean', avg(diracc) FROM fm
+        UNION ALL SELECT NULL, 'val_mae', v FROM vm)
+SELECT 'ridge_one_feature' AS run, 'ridge' AS family, CAST(fold AS INTEGER) AS fold, metric, {o.cn("value")} AS value
+FROM lng""")
+def q_train_pipeline_1f(spark, sf_dir):
+    """Row 51 end to end with one model input: CV metrics, holdout fit, val_mae."""
+    from candlewick.operators.train import train_pipeline
+
+    res = train_pipeline(orders_bars(spark, sf_dir), family="ridge", horizon=1, n_splits=5, run="ridge_one_feature",
+                         feature_cols=["log_return_1"])
+    return round_doubles(res.metrics)
