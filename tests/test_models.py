@@ -160,3 +160,28 @@ def test_quantile_forecast_rows_brute_force(spark):
                     q = float(np.quantile(samples, 0.4))
                     assert math.isclose(r.pred_price, q, rel_tol=1e-9)
                     assert math.isclose(r.pred_return, math.log(q / p[t]), rel_tol=1e-7, abs_tol=1e-12)
+
+
+def test_select_model_picks_lowest_validation_mae(rows):
+    from candlewick.operators.splits import chronological_holdout
+
+    split = chronological_holdout(rows.df, rows.n)
+    tr, va = split.where("is_train"), split.where("NOT is_train")
+    cols = ["log_return_1", "r_mean_5", "r_std_10", "vol_mean_5"]
+    res = M.select_model(tr, va, cols)
+    assert len(res.trials) == 5
+    best = min(res.trials, key=lambda t: t["val_mae"])
+    assert res.best.params["estimator"] == best["estimator"]
+    assert math.isclose(M.validation_mae(res.best, va), best["val_mae"], rel_tol=1e-12)
+    again = M.select_model(tr, va, cols)
+    assert [t["val_mae"] for t in again.trials] == [t["val_mae"] for t in res.trials]
+
+
+def test_sequence_regressor_shapes(rows):
+    cols = ["log_return_1", "r_mean_5"]
+    model, history = M.sequence_fit(rows.df, cols, seq_len=5, max_iter=20)
+    assert model.coefficients.size == 10 and len(history) >= 1
+    preds = M.sequence_predict(model, rows.df, cols, seq_len=5)
+    n_symbols = rows.df.select("symbol").distinct().count()
+    assert preds.count() == rows.n - 5 * n_symbols
+    assert preds.where("prediction IS NULL OR isnan(prediction)").count() == 0
