@@ -40,8 +40,10 @@ PATTERNS = {
 
 
 def executed(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Run the DataFrame's own physical plan, so the adaptive plan is final."""
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().execute().count()
+    return qe.executedPlan().toString()
 
 
 def strip_cached(plan: str) -> str:
@@ -59,11 +61,23 @@ def strip_cached(plan: str) -> str:
     return "\n".join(out)
 
 
+def final_only(plan: str) -> str:
+    """Keep the ``== Final Plan ==`` part of an adaptive plan."""
+    out = []
+    for line in plan.splitlines():
+        if "== Initial Plan ==" in line:
+            break
+        out.append(line)
+    return "\n".join(out)
+
+
 def summarize(name: str, plan: str) -> str:
-    plan = strip_cached(plan)
+    plan = final_only(strip_cached(plan))
     lines = [f"### {name}", "", "| operator | count |", "| --- | --- |"]
     for label, pat in PATTERNS.items():
         lines.append(f"| {label} | {len(re.findall(pat, plan))} |")
+    spans = set(re.findall(r'\*\((\d+)\)', plan))
+    lines.append(f"| whole-stage codegen spans | {len(spans)} |")
     scans = sorted({m.strip() for m in re.findall(r"(PushedFilters: \[[^\]\n]*\]?|ReadSchema: [^\n]*)", plan)})
     if scans:
         lines += ["", "Scan details:", ""] + [f"* `{s[:160]}`" for s in scans]
