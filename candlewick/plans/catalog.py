@@ -1051,3 +1051,30 @@ def q_train_pipeline_1f(spark, sf_dir):
     res = train_pipeline(orders_bars(spark, sf_dir), family="ridge", horizon=1, n_splits=5, run="ridge_one_feature",
                          feature_cols=["log_return_1"])
     return round_doubles(res.metrics)
+
+
+_DATE_RIDGE_FOLDS = _T + """,
+p AS (SELECT *, CAST(rank() OVER (ORDER BY date) - 1 AS BIGINT) AS pos FROM t),
+nn AS (SELECT count(*) AS n, count(*) // 6 AS tsz FROM p),
+fp AS (SELECT *, CAST(CASE WHEN pos >= n - 5 * tsz THEN (pos - (n - 5 * tsz)) // tsz END AS INTEGER) AS fold FROM p, nn),
+folds AS (SELECT CAST(i AS INTEGER) AS fold, n - (5 - i) * tsz AS start FROM nn, range(5) r(i)),
+st AS (SELECT folds.fold, avg(p.log_return_1) AS mx, avg(p.target) AS my,
+              covar_pop(p.log_return_1, p.target) * count(*) / (var_pop(p.log_return_1) * count(*) + 1.0) AS b
+       FROM folds JOIN p ON p.pos < folds.start GROUP BY folds.fold),
+pr AS (SELECT fp.fold, fp.target, st.my - st.b * st.mx + st.b * fp.log_return_1 AS prediction
+       FROM fp JOIN st ON fp.fold = st.fold)"""
+
+
+@register("cross_validate_by_date", f"""
+WITH {_DATE_RIDGE_FOLDS}
+SELECT 'ridge' AS family, fold, {o.cn("avg(abs(target - prediction))")} AS mae,
+       {o.cn("avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END)")} AS diracc,
+       count(*) AS n
+FROM pr GROUP BY fold""")
+def q_cross_validate_by_date(spark, sf_dir):
+    """Rows 38 + 50: walk-forward ridge CV on date cuts (every symbol shares each cut)."""
+    from candlewick.operators.train import cross_validate, training_rows
+
+    rows = training_rows(orders_bars(spark, sf_dir), horizon=1, by="date")
+    metrics, _ = cross_validate(rows, "ridge", 5, 1.0, feature_cols=["log_return_1"])
+    return round_doubles(metrics)
