@@ -100,9 +100,6 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     return TrainingRows(framed, n, feature_cols)
 
 
-FitFn = Callable[[DataFrame, list[str]], M.FittedModel]
-
-
 def fit_family(family: str, alpha: float = M.RIDGE_ALPHA) -> Callable[[DataFrame, list[str], DataFrame | None], M.FittedModel]:
     fam = family_of(family)
     if fam == "ridge":

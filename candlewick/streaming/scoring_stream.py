@@ -12,7 +12,6 @@ instead of duplicating it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candlewick.operators.models import FittedModel
 from candlewick.operators.scoring import score_requests
@@ -63,4 +62,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["start_scoring_stream", "score_stream", "read_scored", "scratch_dir", "F"]
+__all__ = ["start_scoring_stream", "score_stream", "read_scored", "scratch_dir"]
