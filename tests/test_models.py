@@ -185,3 +185,12 @@ def test_sequence_regressor_shapes(rows):
     n_symbols = rows.df.select("symbol").distinct().count()
     assert preds.count() == rows.n - 5 * n_symbols
     assert preds.where("prediction IS NULL OR isnan(prediction)").count() == 0
+
+
+def test_train_pipeline_writes_model_and_metrics(spark, tmp_path):
+    res = train_pipeline(bars_from_orders(spark, SF), family="ridge", n_splits=2, run="r1",
+                         model_path=str(tmp_path / "model"), metrics_path=str(tmp_path / "metrics"))
+    stored = spark.read.parquet(str(tmp_path / "metrics"))
+    assert stored.where("family = 'ridge'").count() == res.metrics.count()
+    again = M.read_model(str(tmp_path / "model"))
+    assert again.feature_cols == res.feature_cols and again.family == "ridge"
