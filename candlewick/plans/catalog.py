@@ -202,7 +202,7 @@ def q_zero_fill(spark, sf_dir):
 
 @register("align_features", f"""
 WITH {o.features_ctes()}
-SELECT symbol, date, {", ".join(f"{o.cn(c)} AS {c}" if c in o.BAR_VALUE_COLUMNS + ["log_return_1"] else f"0.0 AS {c}" for c in o.ALL_FEATURES)}
+SELECT symbol, date, {", ".join(f"{o.cn(c)} AS {c}" if c in o.BAR_VALUE_COLUMNS + ["log_return_1"] else f"CAST(0.0 AS DOUBLE) AS {c}" for c in o.ALL_FEATURES)}
 FROM r""")
 def q_align_features(spark, sf_dir):
     from candlewick.operators.guards import align_features
@@ -912,7 +912,7 @@ _SCORED_COLS = f"""{o.cn("pred")} AS pred_return, {o.cn("last_price * exp(pred)"
 
 @register("score_windows_1f", f"""
 WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL}
-SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:log_return_1' AS model_uri, 0.0 AS loaded_at_unix,
+SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:log_return_1' AS model_uri, CAST(0.0 AS DOUBLE) AS loaded_at_unix,
        'tabular_from_window_adj_close' AS used_mode FROM ws""")
 def q_score_windows_1f(spark, sf_dir):
     from candlewick.operators.scoring import score_windows
@@ -925,7 +925,7 @@ def q_score_windows_1f(spark, sf_dir):
 WITH {_ONE_FEATURE_BASE},{_MINIMAL_SCORED_SQL},
 ms AS (SELECT request_id, symbol, st5.my - st5.b * st5.mx + st5.b * list_avg(s5) AS pred, last_close AS last_price
        FROM mk, st5)
-SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:r_mean_5' AS model_uri, 0.0 AS loaded_at_unix,
+SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:r_mean_5' AS model_uri, CAST(0.0 AS DOUBLE) AS loaded_at_unix,
        'tabular_minimal' AS used_mode FROM ms""")
 def q_score_minimal_1f(spark, sf_dir):
     from candlewick.operators.scoring import score_minimal
