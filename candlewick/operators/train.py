@@ -47,9 +47,17 @@ def family_of(name: str) -> str:
 
 @dataclass
 class TrainingRows:
-    df: DataFrame          # features + target + pos, checkpointed
+    df: DataFrame          # features + target + pos, read from a written table
     n: int
     feature_cols: list[str]
+    stored: DataFrame | None = None  # the written table behind ``df``
+
+    def release(self) -> None:
+        """Delete the written table once no lazy result still reads it."""
+        from candlewick.session import release
+
+        if self.stored is not None:
+            release(self.stored)
 
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
@@ -75,7 +83,7 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
             framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
             if checkpoint:
                 framed = materialize(framed, "training-rows")
-            return TrainingRows(framed, framed.count(), feature_cols)
+            return TrainingRows(framed, framed.count(), feature_cols, framed if checkpoint else None)
         pos = global_position(rows, segment=segment)
         return TrainingRows(pos.df, pos.n, feature_cols)
 
@@ -97,7 +105,7 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         .withColumn("pos", (F.col("_segoff") + F.col("_rn")).cast("long"))
         .drop("_segoff", "_rn", SEG)
     )
-    return TrainingRows(framed, n, feature_cols)
+    return TrainingRows(framed, n, feature_cols, stored)
 
 
 def fit_family(family: str, alpha: float = M.RIDGE_ALPHA) -> Callable[[DataFrame, list[str], DataFrame | None], M.FittedModel]:

@@ -73,4 +73,22 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/candlewick-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _MATERIALIZED[id(out)] = path
+    return out
+
+
+_MATERIALIZED: dict[int, str] = {}
+
+
+def release(df: DataFrame) -> bool:
+    """Delete the folder written by ``materialize`` for ``df`` (through the
+    Hadoop FileSystem API, so it works on any shared store).  Only call it
+    once nothing lazy still reads ``df``."""
+    path = _MATERIALIZED.pop(id(df), None)
+    if path is None:
+        return False
+    jvm = df.sparkSession._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -69,3 +69,16 @@ def test_date_folds_never_split_a_date(spark, make_bars):
     for i in range(plan.k):
         first = df.where(F.col("fold") == i).agg(F.min("date")).first()[0]
         assert df.where(F.col("dpos") < plan.test_start(i)).where(F.col("date") >= first).count() == 0
+
+
+def test_training_rows_release_deletes_the_table(spark):
+    import os
+
+    from candlewick.operators.train import training_rows
+    from candlewick.sources.bars import bars_from_orders
+
+    rows = training_rows(bars_from_orders(spark, "/root/testdata/sf0.001"))
+    path = rows.stored.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    assert os.path.isdir(path)
+    rows.release()
+    assert not os.path.exists(path)
