@@ -51,3 +51,19 @@ def test_row_order_and_partition_count_do_not_change_results(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert base == other
+
+
+def test_training_rank_reuses_the_feature_sort(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.guards import drop_incomplete
+
+    src.bars_from_orders(spark, SF).write.parquet(str(tmp_path / "b"))
+    bars = spark.read.parquet(str(tmp_path / "b"))
+    f = feat.tabular_features(bars, horizon=1, segment=None, keep_internal=True)
+    rows = drop_incomplete(f, feat.model_feature_names(f), "target")
+    ranked = rows.withColumn("_rn", F.row_number().over(feat.series_window("symbol", ["date", "_tb"])))
+    ranked.write.format("noop").mode("overwrite").save()
+    plan = plan_of(ranked)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1 and plan.count("Window [") == 3
