@@ -97,23 +97,27 @@ def triage(req: DataFrame, allow_minimal: bool = False, min_rows: int = MIN_FEAT
     return v.select(*req.columns, route.alias("route"), reason.alias("reason"))
 
 
-def explode_window(req: DataFrame) -> DataFrame:
-    """Row 19: one row per bar (position kept as the tie-breaker), date parsed."""
+def explode_window(req: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Row 19: one row per bar (position kept as the tie-breaker), date parsed.
+    ``carry`` columns of the request are repeated on every bar row."""
     from candlewick.sources.bars import coerce_date
 
-    flat = req.select("request_id", "symbol", F.posexplode("ohlcv_window").alias("bar_index", "bar")).select(
-        "request_id", "symbol", "bar_index", "bar.*")
+    carry = list(carry)
+    flat = req.select("request_id", "symbol", *carry, F.posexplode("ohlcv_window").alias("bar_index", "bar")).select(
+        "request_id", "symbol", *carry, "bar_index", "bar.*")
     return coerce_date(flat, "date")
 
 
-def features_for_requests(req: DataFrame, price_col: str = "adj_close") -> DataFrame:
+def features_for_requests(req: DataFrame, price_col: str = "adj_close", carry: Sequence[str] = ()) -> DataFrame:
     """Row 52: per-request feature rebuild; complete rows only.
 
     Every request is its own series (partitioned by ``request_id``), so no
-    window ever mixes two requests.
+    window ever mixes two requests.  ``carry`` request columns ride along
+    (names starting with ``_`` never count as model inputs).
     """
-    bars = explode_window(req).dropna(subset=["adj_close", "date"])
-    bars = bars.select(F.col("request_id"), "symbol", "date", "bar_index",
+    carry = list(carry)
+    bars = explode_window(req, carry).dropna(subset=["adj_close", "date"])
+    bars = bars.select(F.col("request_id"), "symbol", *carry, "date", "bar_index",
                        *[finite_or_null(c).alias(c) for c in ("open", "high", "low", "close", "adj_close")],
                        F.col("volume"))
     feats = tabular_features(bars, group_col="request_id", price_col=price_col, segment=None, tiebreak="bar_index")
@@ -174,16 +178,18 @@ def _finish(df: DataFrame, model: FittedModel, model_uri: str, loaded_at: float,
 
 def _score_window_route(t: DataFrame, model: FittedModel, min_rows: int, row: str, model_uri: str,
                         loaded_at: float) -> tuple[DataFrame, DataFrame]:
-    win = t.where(F.col("route") == "window")
-    feats = features_for_requests(win)
+    # the last bar *as sent* prices the forecast (quirk Q3); it rides along on
+    # the bar rows, so no join back to the requests is needed
+    win = t.where(F.col("route") == "window").withColumn(
+        "_last_price", F.element_at("ohlcv_window", -1)["adj_close"])
+    feats = features_for_requests(win, carry=["_last_price"])
     tail = tail_rows(feats, min_rows, "request_id", ["date", "bar_index"])
     if row != "last":
         w = Window.partitionBy("request_id").orderBy("date", "bar_index")
         tail = tail.withColumn("rn", F.row_number().over(w))
     chosen = tail.where(F.col("rn") == 1)
-    preds = model.transform(chosen, keep=["request_id", "symbol"])
-    last_price = win.select("request_id", F.element_at("ohlcv_window", -1)["adj_close"].alias("last_price"))
-    scored = _finish(preds.join(last_price, "request_id"), model, model_uri, loaded_at, MODE_WINDOW)
+    preds = model.transform(chosen, keep=["request_id", "symbol", "_last_price"])
+    scored = _finish(preds.withColumnRenamed("_last_price", "last_price"), model, model_uri, loaded_at, MODE_WINDOW)
     no_rows = (win.join(preds.select("request_id"), "request_id", "left_anti")
                .select("request_id", "symbol", F.lit(
                    "After feature engineering, no usable rows remain. Provide a longer ohlcv_window.").alias("reason")))
