@@ -643,26 +643,20 @@ def q_score_latest_bars(spark, sf_dir):
 # 2.4 / 2.6 / 2.7 sequence windows, price context, sample quantiles
 # --------------------------------------------------------------------------
 
-def _canon_array(c: str):
-    from candlewick.functions.columns import canonical
-
-    return F.transform(c, lambda x: canonical(x))
-
-
 @register("sequence_windows", f"""
 WITH {_T},
 s AS (SELECT symbol, date, target,
              list(log_return_1) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS seq
       FROM t)
-SELECT symbol, date, {o.cn("target")} AS target,
-       list_transform(seq, lambda x: CAST(CAST(round(x, 9) AS FLOAT) AS DOUBLE)) AS seq
-FROM s WHERE len(seq) = 30""")
+SELECT symbol, date, {o.cn("target")} AS target, CAST(k - 1 AS INTEGER) AS k, {o.cn("seq[k]")} AS value
+FROM s, range(1, 31) r(k) WHERE len(seq) = 30""")
 def q_sequence_windows(spark, sf_dir):
+    """Row 33, one row per window element (k = 0 is the oldest of the 30)."""
     from candlewick.operators.models import sequence_windows
 
     rows = _training_rows(spark, sf_dir)
     sw = sequence_windows(rows.df, ["log_return_1"], 30)
-    return round_doubles(sw).select("symbol", "date", "target", _canon_array("seq").alias("seq"))
+    return round_doubles(sw.select("symbol", "date", "target", F.posexplode("seq").alias("k", "value")))
 
 
 _VALID = f"""bars AS ({o.BARS_ORDERS}),
@@ -672,15 +666,17 @@ tl AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r
 
 
 @register("price_context", f"""
-WITH {_VALID}
-SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted,
-       list_transform(list(p ORDER BY date), lambda x: CAST(CAST(round(x, 9) AS FLOAT) AS DOUBLE)) AS context
-FROM cnt JOIN tl ON cnt.symbol = tl.symbol WHERE r <= 64 GROUP BY cnt.symbol, cnt.n_context""")
+WITH {_VALID},
+c AS (SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted, list(p ORDER BY date) AS context
+      FROM cnt JOIN tl ON cnt.symbol = tl.symbol WHERE r <= 64 GROUP BY cnt.symbol, cnt.n_context)
+SELECT symbol, n_context, accepted, CAST(k - 1 AS INTEGER) AS k, {o.cn("context[k]")} AS price
+FROM c, range(1, 65) r(k) WHERE k <= len(context)""")
 def q_price_context(spark, sf_dir):
+    """Row 35, one row per context price (k = 0 is the oldest kept price)."""
     from candlewick.operators.models import price_context
 
     pc = price_context(orders_bars(spark, sf_dir), min_context=64, last=64)
-    return pc.select("symbol", "n_context", "accepted", _canon_array("context").alias("context"))
+    return round_doubles(pc.select("symbol", "n_context", "accepted", F.posexplode("context").alias("k", "price")))
 
 
 def _paths_sql(h: int, num_samples: int = 256) -> str:
