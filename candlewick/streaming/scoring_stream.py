@@ -27,9 +27,14 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, out_dir: str, che
     stream = reader.json(source_dir)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        res = score_requests(batch, model, allow_minimal=allow_minimal, model_uri=model_uri)
-        res.scored.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
-        res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
+        # two sinks read the batch: keep it for the length of this call only
+        batch = batch.persist()
+        try:
+            res = score_requests(batch, model, allow_minimal=allow_minimal, model_uri=model_uri)
+            res.scored.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
+            res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
