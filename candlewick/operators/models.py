@@ -14,7 +14,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -63,6 +65,36 @@ class FittedModel:
         return out.select(*keep, "prediction")
 
 
+class LinearExpressionModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted linear model as a Spark ML stage: ``prediction`` is one
+    built-in SQL expression over the input columns (no UDF), and the stage
+    saves and loads inside a ``PipelineModel`` like any other."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "feature columns, in model order", TypeConverters.toListString)
+    weights = Param(Params._dummy(), "weights", "one coefficient per input column", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+
+    def __init__(self, inputCols: list[str] | None = None, weights: list[float] | None = None, intercept: float = 0.0):
+        super().__init__()
+        self._set(inputCols=list(inputCols or []), weights=[float(w) for w in (weights or [])],
+                  intercept=float(intercept))
+
+    def getInputCols(self) -> list[str]:
+        return list(self.getOrDefault(self.inputCols))
+
+    def coefficients(self) -> "LinearCoefficients":
+        return LinearCoefficients(self.getInputCols(), list(self.getOrDefault(self.weights)),
+                                  float(self.getOrDefault(self.intercept)))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("prediction", self.coefficients().predict())
+
+
+def fitted_from_coefficients(coefs: "LinearCoefficients", family: str, params: dict | None = None) -> FittedModel:
+    stage = LinearExpressionModel(coefs.feature_cols, coefs.weights, coefs.intercept)
+    return FittedModel(PipelineModel(stages=[stage]), list(coefs.feature_cols), family, params or {})
+
+
 def _assembler(feature_cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error")
 
@@ -138,7 +170,7 @@ def read_model(path: str) -> FittedModel:
     from pyspark.sql import SparkSession
 
     pm = PipelineModel.load(path)
-    cols = list(pm.stages[0].getInputCols())
+    cols = list(pm.stages[0].getInputCols())  # VectorAssembler or LinearExpressionModel
     if not cols:
         raise RuntimeError(f"model at {path} carries no feature list; refusing to score")
     try:
@@ -413,3 +445,28 @@ def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = N
         F.when(accepted, q_price).alias("pred_price"), HALO,
     ).where(F.col(HALO) == 0).drop(HALO)
     return out.withColumn("pred_return", return_from_price("pred_price", "last_price"))
+
+
+def ridge_prefix_models(df: DataFrame, feature_cols: Sequence[str], cuts: Sequence[int], alpha: float = RIDGE_ALPHA,
+                        pos: str = "pos", label: str = "target") -> dict[int, LinearCoefficients]:
+    """Ridge fitted on every training prefix ``pos < cut``, all from ONE pass.
+
+    Rows are cut into blocks at the sorted cuts; each prefix is a sum of
+    whole blocks' Gram matrices.  Used for the walk-forward folds and the
+    final holdout fit of the ridge family together.
+    """
+    bounds = sorted({int(c) for c in cuts})
+    p = F.col(pos)
+    block = F.lit(len(bounds))
+    for j in reversed(range(len(bounds))):
+        block = F.when(p < bounds[j], F.lit(j)).otherwise(block)
+    grams = block_grams(df.where(p < bounds[-1]), feature_cols, block, label)
+    out, acc = {}, None
+    for j, b in enumerate(bounds):
+        g = grams.get(j)
+        if g is not None:
+            acc = g if acc is None else acc + g
+        if acc is None:
+            raise ValueError(f"no training rows before position {b}")
+        out[b] = ridge_from_gram(acc, feature_cols, alpha)
+    return out

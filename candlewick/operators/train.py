@@ -131,7 +131,7 @@ def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5,
     cols = list(feature_cols or rows.feature_cols)
     plan = fold_plan(rows.n, n_splits)
     if fam == "ridge" and method == "gram":
-        return _ridge_cv_gram(rows, plan, cols, alpha), plan
+        return _ridge_cv_gram(rows, plan, cols, alpha)[0], plan
     fit = fit_family(fam, alpha)
 
     def one(i: int) -> DataFrame:
@@ -151,23 +151,23 @@ def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5,
     return metrics, plan
 
 
-def _ridge_cv_gram(rows: TrainingRows, plan: FoldPlan, cols: list[str], alpha: float) -> DataFrame:
+def _ridge_cv_gram(rows: TrainingRows, plan: FoldPlan, cols: list[str], alpha: float,
+                   extra_cuts: Sequence[int] = ()) -> tuple[DataFrame, dict]:
+    """Walk-forward ridge metrics from one Gram pass; ``extra_cuts`` (e.g. the
+    holdout cut) get their prefix models from the same pass."""
+    starts = [plan.test_start(i) for i in range(plan.k)]
+    models = M.ridge_prefix_models(rows.df, cols, starts + list(extra_cuts), alpha)
     pos = F.col("pos")
-    block = F.when(pos < plan.first_test, F.lit(0)).otherwise(F.floor((pos - plan.first_test) / plan.size) + 1)
-    grams = M.block_grams(rows.df, cols, block)
-    acc, models = None, []
-    for i in range(plan.k):
-        acc = grams[i] if acc is None else acc + grams[i]
-        models.append(M.ridge_from_gram(acc, cols, alpha))
     # one scan: each test row is predicted by its fold's linear expression
     fold = F.floor((pos - plan.first_test) / plan.size).cast("int")
-    cases = " ".join(f"WHEN _fold = {i} THEN {m.sql()}" for i, m in enumerate(models))
+    cases = " ".join(f"WHEN _fold = {i} THEN {models[st].sql()}" for i, st in enumerate(starts))
     preds = (
         rows.df.where(pos >= plan.first_test)
         .select(fold.alias("_fold"), "target", *cols)
         .select(F.col("_fold").alias("fold"), "target", F.expr(f"CASE {cases} END").alias("prediction"))
     )
-    return fold_metrics(preds.withColumn("family", F.lit("ridge")), by=("family", "fold"))
+    metrics = fold_metrics(preds.withColumn("family", F.lit("ridge")), by=("family", "fold"))
+    return metrics, models
 
 
 @dataclass
@@ -196,20 +196,25 @@ def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_s
     spark = rows.df.sparkSession
     run_info = run_summary(rows.df, rows.feature_cols)
 
-    fold_df = None
-    if fam not in SEQUENCE_FAMILIES or cv_for_deep_models:
+    cut = holdout_cut(rows.n)
+    fold_df, holdout_model = None, None
+    if fam == "ridge":
+        # folds and the final 80/20 fit from one pass of block Gram matrices
+        fold_df, prefix = _ridge_cv_gram(rows, fold_plan(rows.n, n_splits), rows.feature_cols, alpha, [cut])
+        holdout_model = M.fitted_from_coefficients(prefix[cut], "ridge", {"alpha": alpha, "solver": "gram"})
+        fold_df = materialize(fold_df, "fold-metrics")
+    elif fam not in SEQUENCE_FAMILIES or cv_for_deep_models:
         if fam in SEQUENCE_FAMILIES:
             fold_df = _cv_sequence(rows, fam, n_splits)
         else:
             fold_df, _ = cross_validate(rows, fam, n_splits, alpha)
         fold_df = materialize(fold_df, "fold-metrics")
 
-    cut = holdout_cut(rows.n)
     split = chronological_holdout(rows.df, rows.n)
     tr, va = split.where("is_train"), split.where("NOT is_train")
     extra = []
     if fam in ("ridge", "automl"):
-        model = fit_family(fam, alpha)(tr, rows.feature_cols, va)
+        model = holdout_model or fit_family(fam, alpha)(tr, rows.feature_cols, va)
         from candlewick.operators.metrics import mae as mae_agg
 
         val = mae_agg(model.transform(va, keep=["target"])).first()["mae"]

@@ -194,3 +194,18 @@ def test_train_pipeline_writes_model_and_metrics(spark, tmp_path):
     assert stored.where("family = 'ridge'").count() == res.metrics.count()
     again = M.read_model(str(tmp_path / "model"))
     assert again.feature_cols == res.feature_cols and again.family == "ridge"
+
+
+def test_prefix_ridge_equals_spark_ml_and_round_trips(spark, rows, tmp_path):
+    cut = int(rows.n * 0.8)
+    coefs = M.ridge_prefix_models(rows.df, rows.feature_cols, [cut, rows.n // 2], 1.0)
+    gram_model = M.fitted_from_coefficients(coefs[cut], "ridge")
+    ml_model = M.ridge_fit(rows.df.where(f"pos < {cut}"), rows.feature_cols, 1.0)
+    a = gram_model.transform(rows.df, keep=["pos"]).orderBy("pos").toPandas()["prediction"].to_numpy()
+    b = ml_model.transform(rows.df, keep=["pos"]).orderBy("pos").toPandas()["prediction"].to_numpy()
+    assert np.allclose(a, b, atol=1e-8)
+    M.write_model(gram_model, str(tmp_path / "g"))
+    again = M.read_model(str(tmp_path / "g"))
+    assert again.feature_cols == rows.feature_cols
+    c = again.transform(rows.df, keep=["pos"]).orderBy("pos").toPandas()["prediction"].to_numpy()
+    assert np.array_equal(a, c)
