@@ -16,11 +16,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 from candlewick.operators import features as feat  # noqa: E402
-from candlewick.operators.guards import drop_incomplete  # noqa: E402
-from candlewick.operators.models import quantile_forecast, ridge_fit  # noqa: E402
+from candlewick.operators.models import quantile_forecast  # noqa: E402
 from candlewick.operators.scoring import score_requests  # noqa: E402
-from candlewick.operators.splits import chronological_holdout  # noqa: E402
-from candlewick.operators.train import cross_validate, training_rows  # noqa: E402
+from candlewick.operators.train import cross_validate, train_pipeline, training_rows  # noqa: E402
 from candlewick.session import local_session, materialize  # noqa: E402
 from candlewick.sources.bars import bars_from_lineitem, bars_from_orders  # noqa: E402
 from candlewick.sources.requests import requests_from_bars  # noqa: E402
@@ -64,18 +62,13 @@ def main() -> None:
         metrics.collect()
     timed("walk_forward_ridge_orders", cv_orders)
 
-    timed("training_rows_lineitem", lambda: state.__setitem__("lrows", training_rows(lb, horizon=1)))
-
-    def cv_lineitem():
-        metrics, _ = cross_validate(state["lrows"], "ridge", 5)
-        metrics.collect()
-    timed("walk_forward_ridge_lineitem", cv_lineitem)
-
-    def fit_holdout():
-        rows = state["lrows"]
-        split = chronological_holdout(rows.df, rows.n)
-        state["model"] = ridge_fit(split.where("is_train"), rows.feature_cols)
-    timed("ridge_fit_holdout_lineitem", fit_holdout)
+    # end to end: features -> complete rows -> positions -> 5-fold walk-forward
+    # ridge and the 80/20 holdout model (one Gram pass) -> validation metrics
+    def pipeline_lineitem():
+        res = train_pipeline(lb, family="ridge", horizon=1, n_splits=5, run="bench")
+        res.metrics.collect()
+        state["model"] = res.model
+    timed("train_pipeline_lineitem", pipeline_lineitem)
 
     timed("build_requests_lineitem", lambda: state.__setitem__("req", materialize(requests_from_bars(lb), "requests")))
 
