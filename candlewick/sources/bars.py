@@ -30,16 +30,24 @@ def require_columns(df: DataFrame, cols) -> None:
         raise MissingColumnsError(f"Dataset missing required columns: {sorted(missing)}. Found columns: {df.columns}")
 
 
+# Text date layouts tried after the ISO forms, in this order
+# (month-first for slashed dates, as a lenient date parser reads them).
+DATE_FALLBACK_FORMATS = ("MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "yyyy/MM/dd", "yyyyMMdd", "dd-MMM-yyyy")
+
+
 def coerce_date(df: DataFrame, col: str = "date") -> DataFrame:
     """Row 2: parse the date; a value that does not parse becomes NULL.
 
     Temporal columns are kept as they are; text goes through
-    ``try_to_timestamp`` (a plain cast raises under ANSI mode).
+    ``try_to_timestamp`` (a plain cast raises under ANSI mode): ISO forms
+    first, then the fixed fallback layouts, first match wins.
     """
     dt = df.schema[col].dataType
     if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return df
-    parsed = F.try_to_timestamp(F.col(col).cast("string"))
+    text = F.trim(F.col(col).cast("string"))
+    parsed = F.coalesce(F.try_to_timestamp(text),
+                        *[F.try_to_timestamp(text, F.lit(fmt)) for fmt in DATE_FALLBACK_FORMATS])
     return df.withColumn(col, parsed)
 
 
