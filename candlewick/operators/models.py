@@ -251,6 +251,9 @@ def sequence_fit(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_
     """Row 48: Huber-loss linear model on the flattened window; returns the
     fitted model and the per-iteration objective (the reference logs a
     per-epoch training error)."""
+    # not cached here: LinearRegression persists its own instance RDD for the
+    # L-BFGS passes when its input is not cached (measured faster than a
+    # columnar cache of the wide vectors)
     seqs = sequence_windows(df, feature_cols, seq_len, group_col, label).select(
         label, array_to_vector("seq").alias("features"))
     lr = LinearRegression(featuresCol="features", labelCol=label, loss="huber", maxIter=max_iter,
