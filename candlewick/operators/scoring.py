@@ -183,11 +183,14 @@ def _score_window_route(t: DataFrame, model: FittedModel, min_rows: int, row: st
     win = t.where(F.col("route") == "window").withColumn(
         "_last_price", F.element_at("ohlcv_window", -1)["adj_close"])
     feats = features_for_requests(win, carry=["_last_price"])
-    tail = tail_rows(feats, min_rows, "request_id", ["date", "bar_index"])
-    if row != "last":
-        w = Window.partitionBy("request_id").orderBy("date", "bar_index")
-        tail = tail.withColumn("rn", F.row_number().over(w))
-    chosen = tail.where(F.col("rn") == 1)
+    # position among the request's complete rows, counted with the order the
+    # feature windows already sorted by (no second sort): the newest row is
+    # i = n, the oldest of the last ``min_rows`` is i = max(1, n - min_rows + 1)
+    w = Window.partitionBy("request_id").orderBy("date", "bar_index")
+    ranked = (feats.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("request_id")))
+              .withColumn("_i", F.row_number().over(w)))
+    target = F.col("_n") if row == "last" else F.greatest(F.col("_n") - (min_rows - 1), F.lit(1))
+    chosen = ranked.where(F.col("_i") == target)
     preds = model.transform(chosen, keep=["request_id", "symbol", "_last_price"])
     scored = _finish(preds.withColumnRenamed("_last_price", "last_price"), model, model_uri, loaded_at, MODE_WINDOW)
     no_rows = (win.join(preds.select("request_id"), "request_id", "left_anti")
