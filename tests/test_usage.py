@@ -24,3 +24,24 @@ def test_readme_usage(spark, tmp_path):
     assert result.params["universe_size"] == 3 and result.metrics.count() > 0
     assert scored.scored.count() == s_scored.count() > 0
     assert scored.rejected.count() == s_rejected.count()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from candlewick.__main__ import main
+
+    bars_path, req_path = str(tmp_path / "bars"), str(tmp_path / "req")
+    bars_from_orders(spark, "/root/testdata/sf0.01").write.parquet(bars_path)
+    requests_from_bars(bars_from_orders(spark, "/root/testdata/sf0.01")).write.json(req_path)
+    assert main(["train", "--bars", bars_path, "--family", "ridge", "--n-splits", "3",
+                 "--model-path", str(tmp_path / "m"), "--metrics-path", str(tmp_path / "metrics")]) == 0
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["family"] == "ridge" and summary["features"] == 36
+    assert main(["score", "--requests", req_path, "--model", str(tmp_path / "m"), "--out", str(tmp_path / "o"),
+                 "--allow-minimal"]) == 0
+    assert main(["score", "--requests", req_path, "--model", str(tmp_path / "m"), "--out", str(tmp_path / "so"),
+                 "--allow-minimal", "--stream", "--available-now", "--checkpoint", str(tmp_path / "ck")]) == 0
+    batch = spark.read.parquet(str(tmp_path / "o" / "scored")).count()
+    stream = spark.read.parquet(str(tmp_path / "so" / "scored")).count()
+    assert batch == stream > 0
