@@ -152,19 +152,31 @@ def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5,
 
 
 def _ridge_cv_gram(rows: TrainingRows, plan: FoldPlan, cols: list[str], alpha: float,
-                   extra_cuts: Sequence[int] = ()) -> tuple[DataFrame, dict]:
-    """Walk-forward ridge metrics from one Gram pass; ``extra_cuts`` (e.g. the
-    holdout cut) get their prefix models from the same pass."""
+                   holdout_cut: int | None = None) -> tuple[DataFrame, dict]:
+    """Walk-forward ridge metrics from one Gram pass plus one scan.
+
+    With ``holdout_cut`` the same Gram pass also fits the 80/20 model, and the
+    same scan scores its validation rows as ``fold = -1``: every row emits
+    one (fold, prediction) pair per region it belongs to.
+    """
     starts = [plan.test_start(i) for i in range(plan.k)]
-    models = M.ridge_prefix_models(rows.df, cols, starts + list(extra_cuts), alpha)
+    cuts = starts + ([holdout_cut] if holdout_cut is not None else [])
+    models = M.ridge_prefix_models(rows.df, cols, cuts, alpha)
     pos = F.col("pos")
-    # one scan: each test row is predicted by its fold's linear expression
     fold = F.floor((pos - plan.first_test) / plan.size).cast("int")
     cases = " ".join(f"WHEN _fold = {i} THEN {models[st].sql()}" for i, st in enumerate(starts))
+    entries = [F.when(pos >= plan.first_test,
+                      F.struct(F.col("_fold").alias("fold"), F.expr(f"CASE {cases} END").alias("prediction")))]
+    low = plan.first_test
+    if holdout_cut is not None:
+        entries.append(F.when(pos >= holdout_cut,
+                              F.struct(F.lit(-1).alias("fold"), models[holdout_cut].predict().alias("prediction"))))
+        low = min(low, holdout_cut)
     preds = (
-        rows.df.where(pos >= plan.first_test)
-        .select(fold.alias("_fold"), "target", *cols)
-        .select(F.col("_fold").alias("fold"), "target", F.expr(f"CASE {cases} END").alias("prediction"))
+        rows.df.where(pos >= low)
+        .select(fold.alias("_fold"), "pos", "target", *cols)
+        .select("target", F.explode(F.array_compact(F.array(*entries))).alias("_p"))
+        .select("target", F.col("_p.fold").alias("fold"), F.col("_p.prediction").alias("prediction"))
     )
     metrics = fold_metrics(preds.withColumn("family", F.lit("ridge")), by=("family", "fold"))
     return metrics, models
@@ -197,12 +209,16 @@ def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_s
     run_info = run_summary(rows.df, rows.feature_cols)
 
     cut = holdout_cut(rows.n)
-    fold_df, holdout_model = None, None
+    fold_df, holdout_model, holdout_mae = None, None, None
     if fam == "ridge":
-        # folds and the final 80/20 fit from one pass of block Gram matrices
-        fold_df, prefix = _ridge_cv_gram(rows, fold_plan(rows.n, n_splits), rows.feature_cols, alpha, [cut])
+        # folds and the final 80/20 fit from one Gram pass; fold metrics and
+        # the validation MAE from one scan (validation rows are fold -1)
+        all_m, prefix = _ridge_cv_gram(rows, fold_plan(rows.n, n_splits), rows.feature_cols, alpha, holdout_cut=cut)
+        all_m = materialize(all_m, "fold-metrics")
+        fold_df = all_m.where(F.col("fold") >= 0)
+        val_row = all_m.where(F.col("fold") == -1).first()
+        holdout_mae = None if val_row is None else val_row["mae"]
         holdout_model = M.fitted_from_coefficients(prefix[cut], "ridge", {"alpha": alpha, "solver": "gram"})
-        fold_df = materialize(fold_df, "fold-metrics")
     elif fam not in SEQUENCE_FAMILIES or cv_for_deep_models:
         if fam in SEQUENCE_FAMILIES:
             fold_df = _cv_sequence(rows, fam, n_splits)
@@ -217,7 +233,7 @@ def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_s
         model = holdout_model or fit_family(fam, alpha)(tr, rows.feature_cols, va)
         from candlewick.operators.metrics import mae as mae_agg
 
-        val = mae_agg(model.transform(va, keep=["target"])).first()["mae"]
+        val = holdout_mae if holdout_model is not None else mae_agg(model.transform(va, keep=["target"])).first()["mae"]
         extra.append((fam, None, "val_mae", float(val) if val is not None else None))
         if model_path:
             M.write_model(model, model_path)
