@@ -230,18 +230,21 @@ def select_model(train: DataFrame, val: DataFrame, feature_cols: Sequence[str],
 
 def sequence_windows(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN, group_col: str = "symbol",
                      label: str | None = "target", segment: str | Column | None = "auto",
-                     order: Sequence[str] = ("date",), include_current: bool = False) -> DataFrame:
+                     order: Sequence[str] = ("date",), include_current: bool = False,
+                     keep: Sequence[str] = ()) -> DataFrame:
     """Row 33: for each row, the ``seq_len`` feature rows before it (flattened,
     oldest first), kept only when the window is full.  Windows never cross
-    series; long series are segmented with an exact ``seq_len`` halo."""
+    series; long series are segmented with an exact ``seq_len`` halo.
+    ``keep`` columns (e.g. ``pos``) ride along."""
     feats = [F.coalesce(finite_or_null(c), F.lit(0.0)) for c in feature_cols]
-    base = df.select(group_col, *order, *([label] if label else []), F.array(*feats).alias("_x"))
+    extra = [*([label] if label else []), *keep]
+    base = df.select(group_col, *order, *extra, F.array(*feats).alias("_x"))
     halo = with_halo(base, [group_col], list(order), segment_of(order[0], segment, df, [group_col]), back=seq_len)
     w = Window.partitionBy(group_col, SEG).orderBy(*order)
     hi = 0 if include_current else -1
     frame = w.rowsBetween(-(seq_len - 1) + hi, hi)
     seq = F.flatten(F.collect_list("_x").over(frame))
-    out = halo.select(group_col, *order, *([label] if label else []), seq.alias("seq"), HALO)
+    out = halo.select(group_col, *order, *extra, seq.alias("seq"), HALO)
     width = seq_len * len(feature_cols)
     return out.where((F.col(HALO) == 0) & (F.size("seq") == width)).drop(HALO)
 

@@ -260,19 +260,39 @@ def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_s
 
 
 def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int) -> DataFrame:
+    """CV of the sequence families (only with ``cv_for_deep_models``); every
+    test row is predicted (quirk Q8)."""
+    from pyspark import StorageLevel
+    from pyspark.ml.functions import array_to_vector
+
     plan = fold_plan(rows.n, n_splits)
-    preds = None
-    for i in range(plan.k):
-        tr = fold_train(rows.df, plan, i)
-        te_keys = fold_test(rows.df, plan, i).select("symbol", "date")
-        if fam == "custom_transformer":
-            model, _ = M.sequence_fit(tr, rows.feature_cols)
-            p = M.sequence_predict(model, rows.df, rows.feature_cols).join(te_keys, ["symbol", "date"])
-        else:
-            # every test row gets the forecast made from the prices up to it
-            q = M.quantile_forecast_rows(rows.df.select("symbol", "date", "adj_close"))
-            p = (fold_test(rows.df, plan, i).select("symbol", "date", "target")
-                 .join(q.select("symbol", "date", F.col("pred_return").alias("prediction")), ["symbol", "date"]))
-        p = p.select("target", "prediction").withColumn("fold", F.lit(i))
-        preds = p if preds is None else preds.unionByName(p)
+    pos = F.col("pos")
+    fold = F.floor((pos - plan.first_test) / plan.size).cast("int")
+    if fam == "custom_transformer":
+        # windows over all rows (a test row's window may reach into training
+        # rows) built once for every fold; each fold fits on its own prefix
+        windows = (M.sequence_windows(rows.df, rows.feature_cols, keep=["pos"])
+                   .where(pos >= plan.first_test)
+                   .select(fold.alias("fold"), "target", array_to_vector("seq").alias("features"))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+
+        def one(i: int) -> DataFrame:
+            model, _ = M.sequence_fit(fold_train(rows.df, plan, i), rows.feature_cols)
+            return model.transform(windows.where(F.col("fold") == i)).select("fold", "target", "prediction")
+
+        with ThreadPoolExecutor(max_workers=plan.k) as pool:
+            parts = list(pool.map(one, range(plan.k)))
+        preds = parts[0]
+        for p in parts[1:]:
+            preds = preds.unionByName(p)
+        # write the (small) metrics before dropping the cached windows
+        out = materialize(fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold")), "seq-metrics")
+        windows.unpersist()
+        return out
+    else:
+        # every test row gets the forecast made from the prices up to it
+        q = M.quantile_forecast_rows(rows.df.select("symbol", "date", "adj_close"))
+        preds = (rows.df.where(pos >= plan.first_test).select("symbol", "date", "target", fold.alias("fold"))
+                 .join(q.select("symbol", "date", F.col("pred_return").alias("prediction")), ["symbol", "date"])
+                 .select("fold", "target", "prediction"))
     return fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold"))
