@@ -79,10 +79,13 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         feature_cols = model_feature_names(feats)
         rows = drop_incomplete(feats, feature_cols, "target")
         if by == "date":
+            if checkpoint:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by the date counts and the write
             framed, _ = date_folds(rows)
             framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
             if checkpoint:
                 framed = materialize(framed, "training-rows")
+                rows.unpersist()
             return TrainingRows(framed, framed.count(), feature_cols, framed if checkpoint else None)
         pos = global_position(rows, segment=segment)
         return TrainingRows(pos.df, pos.n, feature_cols)
