@@ -1,9 +1,11 @@
-"""Registered queries: one per inventory row, each over the whole test tables.
+"""Registered queries: every inventory row, each over the whole test tables.
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame; the
 matching DuckDB statement (when the operator is SQL-expressible) lives in
-``ORACLES`` under the same key.  Doubles are rounded to 6 places on both
-sides; every computed column carries the same alias on both sides.
+``ORACLES`` under the same key.  Doubles are put in the canonical comparison
+form on both sides (``round(x, 9)`` then single precision, see
+``functions.columns.canonical``); every computed column carries the same
+alias and type on both sides, and every column is a scalar.
 """
 
 from __future__ import annotations

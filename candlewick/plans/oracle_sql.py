@@ -3,7 +3,7 @@
 The oracle states each operator in plain window/aggregate SQL over the
 unsegmented series (``PARTITION BY symbol``) so that it checks the Spark
 plan (segmented, halo'd, partially aggregated) against the textbook
-definition.  Doubles are rounded to 6 places on both sides.
+definition.  Doubles are compared in the canonical form (``cn``).
 """
 
 from __future__ import annotations
