@@ -205,19 +205,29 @@ class SelectionResult:
 
 
 def select_model(train: DataFrame, val: DataFrame, feature_cols: Sequence[str], label: str = "target",
-                 grid: list | None = None) -> SelectionResult:
+                 grid: list | None = None, parallelism: int = 4) -> SelectionResult:
+    from concurrent.futures import ThreadPoolExecutor
+
     data = _assembled(train, feature_cols, label)
-    trials = []
-    best, best_mae = None, float("inf")
+    points = grid or default_grid(label)
+
+    def trial(point):
+        name, params, reg = point
+        m = _fit(train, feature_cols, reg, "automl", label, {"estimator": name, **params}, assembled=data)
+        return m, {"estimator": name, **params, "val_mae": validation_mae(m, val, label)}
+
     try:
-        for name, params, reg in grid or default_grid(label):
-            m = _fit(train, feature_cols, reg, "automl", label, {"estimator": name, **params}, assembled=data)
-            score = validation_mae(m, val, label)
-            trials.append({"estimator": name, **params, "val_mae": score})
-            if score < best_mae:
-                best, best_mae = m, score
+        # independent fits on one cached input, submitted together (as
+        # CrossValidator's ``parallelism``); results keep the grid order
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(points))) as pool:
+            results = list(pool.map(trial, points))
     finally:
         data.unpersist()
+    trials = [t for _, t in results]
+    best, best_mae = None, float("inf")
+    for m, t in results:
+        if t["val_mae"] < best_mae:
+            best, best_mae = m, t["val_mae"]
     assert best is not None
     best.params["best_estimator"] = best.params.get("estimator")
     best.params["val_mae"] = best_mae
