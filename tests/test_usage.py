@@ -45,3 +45,19 @@ def test_command_line(spark, tmp_path, capsys):
     batch = spark.read.parquet(str(tmp_path / "o" / "scored")).count()
     stream = spark.read.parquet(str(tmp_path / "so" / "scored")).count()
     assert batch == stream > 0
+
+
+def test_bench_prints_one_json_line():
+    """bench.py stays runnable and keeps its one-line JSON contract."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="4")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=900, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and d["value"] > 0 and "train_pipeline_lineitem" in d["queries"]
