@@ -596,6 +596,22 @@ def q_tail_rows(spark, sf_dir):
     return tail_rows(orders_bars(spark, sf_dir), 11).select("symbol", "date", "rn")
 
 
+def _request_feature_ctes_text() -> str:
+    """CTEs qx -> qbars -> qr -> qf -> qc over a CTE named ``req``."""
+    part = "PARTITION BY request_id ORDER BY date, bar_index"
+    feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
+    cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
+    return f"""qx AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
+      FROM req, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
+qbars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
+                bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
+                bar.adj_close AS adj_close, bar.volume AS volume
+         FROM qx WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
+qr AS ({o.returns_cte(src="qbars", part=part)}),
+qf AS (SELECT *, {feats} FROM qr),
+qc AS (SELECT * FROM qf WHERE {cond})"""
+
+
 def _full_ridge(spark, sf_dir):
     """36-feature ridge on the 80 % holdout of the orders bars (cached per sf_dir)."""
     from candlewick.operators.models import ridge_fit
@@ -620,7 +636,35 @@ def q_score_windows(spark, sf_dir):
     return round_doubles(res.scored)
 
 
-@register("score_windows_rejected")
+_VALIDATION_REASON = """nullif(concat_ws('; ',
+               CASE WHEN symbol IS NULL THEN 'symbol is required' END,
+               CASE WHEN horizon IS NULL OR horizon < 1 OR horizon > 30 THEN 'horizon must be between 1 and 30' END,
+               CASE WHEN last_close IS NOT NULL AND NOT (last_close > 0) THEN 'last_close must be > 0' END,
+               CASE WHEN last_returns IS NOT NULL AND (len(last_returns) < 5 OR len(last_returns) > 240)
+                    THEN 'last_returns must hold 5 to 240 values' END,
+               CASE WHEN ohlcv_window IS NOT NULL AND NOT list_bool_and(list_transform(ohlcv_window, lambda b:
+                      coalesce(NOT isnan(b.open) AND NOT isnan(b.high) AND NOT isnan(b.low) AND NOT isnan(b.close)
+                               AND NOT isnan(b.adj_close) AND NOT isnan(b.volume), false)))
+                    THEN 'every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume' END),
+             '')"""
+
+
+@register("score_windows_rejected", f"""
+WITH req AS ({o.REQUESTS}),
+{_request_feature_ctes_text()},
+rr AS (SELECT request_id, symbol,
+              coalesce({_VALIDATION_REASON},
+                       CASE WHEN ohlcv_window IS NOT NULL AND len(ohlcv_window) < 11
+                              THEN 'ohlcv_window must contain at least 11 rows (needed for rolling features).'
+                            WHEN ohlcv_window IS NOT NULL THEN NULL
+                            ELSE 'This deployed model requires ohlcv_window with adj_close. Minimal mode is disabled.'
+                       END) AS reason
+       FROM req)
+SELECT request_id, symbol, reason FROM rr WHERE reason IS NOT NULL
+UNION ALL
+SELECT request_id, symbol,
+       'After feature engineering, no usable rows remain. Provide a longer ohlcv_window.' AS reason
+FROM rr WHERE reason IS NULL AND request_id NOT IN (SELECT request_id FROM qc)""")
 def q_score_windows_rejected(spark, sf_dir):
     from candlewick.operators.scoring import score_windows
 
@@ -853,18 +897,8 @@ def q_training_rows_by_month(spark, sf_dir):
 
 def _request_feature_ctes(req_cte: str = "req") -> str:
     """CTEs qx -> qbars -> qr -> qf -> qc (complete per-request feature rows)."""
-    part = "PARTITION BY request_id ORDER BY date, bar_index"
-    feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
-    cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
-    return f"""qx AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
-      FROM {req_cte}, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
-qbars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
-                bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
-                bar.adj_close AS adj_close, bar.volume AS volume
-         FROM qx WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
-qr AS ({o.returns_cte(src="qbars", part=part)}),
-qf AS (SELECT *, {feats} FROM qr),
-qc AS (SELECT * FROM qf WHERE {cond})"""
+    assert req_cte == "req"
+    return _request_feature_ctes_text()
 
 
 def _holdout_ridge_ctes(x: str, name: str) -> str:
