@@ -25,6 +25,11 @@ RETURNS_MIN, RETURNS_MAX = 5, 240
 MODE_WINDOW = "tabular_from_window_adj_close"
 MODE_MINIMAL = "tabular_minimal"
 BAR_FIELDS = ("open", "high", "low", "close", "adj_close", "volume")
+# Rejection texts a caller of the service would have seen.
+MSG_WINDOW_TOO_SHORT = "ohlcv_window must contain at least {min_rows} rows (needed for rolling features)."
+MSG_MINIMAL_DISABLED = "This deployed model requires ohlcv_window with adj_close. Minimal mode is disabled."
+MSG_MINIMAL_INPUTS = "Provide last_close + last_returns."
+MSG_NO_USABLE_ROWS = "After feature engineering, no usable rows remain. Provide a longer ohlcv_window."
 
 RESULT_COLUMNS = ("request_id", "symbol", "pred_return", "pred_price", "model_uri", "loaded_at_unix", "used_mode")
 
@@ -80,11 +85,11 @@ def route_mode(req: DataFrame, allow_minimal: bool = False, min_rows: int = MIN_
     )
     why = (
         F.when(has_window & (F.size("ohlcv_window") < min_rows),
-               F.lit(f"ohlcv_window must contain at least {min_rows} rows (needed for rolling features)."))
+               F.lit(MSG_WINDOW_TOO_SHORT.format(min_rows=min_rows)))
         .when(has_window, F.lit(None).cast("string"))
         .when(~F.lit(allow_minimal),
-              F.lit("This deployed model requires ohlcv_window with adj_close. Minimal mode is disabled."))
-        .when(~has_minimal, F.lit("Provide last_close + last_returns."))
+              F.lit(MSG_MINIMAL_DISABLED))
+        .when(~has_minimal, F.lit(MSG_MINIMAL_INPUTS))
     )
     return req.withColumn("route", route).withColumn("route_reason", why)
 
@@ -194,8 +199,7 @@ def _score_window_route(t: DataFrame, model: FittedModel, min_rows: int, row: st
     preds = model.transform(chosen, keep=["request_id", "symbol", "_last_price"])
     scored = _finish(preds.withColumnRenamed("_last_price", "last_price"), model, model_uri, loaded_at, MODE_WINDOW)
     no_rows = (win.join(preds.select("request_id"), "request_id", "left_anti")
-               .select("request_id", "symbol", F.lit(
-                   "After feature engineering, no usable rows remain. Provide a longer ohlcv_window.").alias("reason")))
+               .select("request_id", "symbol", F.lit(MSG_NO_USABLE_ROWS).alias("reason")))
     return scored, no_rows
 
 

@@ -30,8 +30,8 @@ def require_columns(df: DataFrame, cols) -> None:
         raise MissingColumnsError(f"Dataset missing required columns: {sorted(missing)}. Found columns: {df.columns}")
 
 
-# Text date layouts tried after the ISO forms, in this order
-# (month-first for slashed dates, as a lenient date parser reads them).
+# Text date layouts tried after the ISO forms, in this order (our choice;
+# month-first for slashed dates, as a lenient date parser reads them).
 DATE_FALLBACK_FORMATS = ("MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "yyyy/MM/dd", "yyyyMMdd", "dd-MMM-yyyy")
 
 
