@@ -26,6 +26,7 @@ RETURN_LAGS = (1, 2, 5)
 RETURN_WINDOWS = (3, 5, 10)
 VOLUME_WINDOWS = (5, 10)
 PRICE_WINDOWS = (5, 10)
+MSG_NO_FEATURES = "No numeric feature columns found after filtering."
 # Longest look-back any feature needs (rolling 10 over returns needs 10 prior prices).
 FEATURE_LOOKBACK = 10
 # Raw bars needed for one complete feature row.
@@ -152,5 +153,5 @@ def model_feature_names(df: DataFrame) -> list[str]:
         if isinstance(f.dataType, T.NumericType) and f.name not in NON_FEATURE_COLUMNS and not f.name.startswith("_")
     ]
     if not names:
-        raise ValueError("No numeric feature columns found after filtering.")
+        raise ValueError(MSG_NO_FEATURES)
     return sorted(names)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Fixed value that must equal the reference's.
+# Fixed values that must equal the reference's.
 MIN_TRAINING_ROWS = 500
+MSG_NOT_ENOUGH_ROWS = "Not enough training rows after feature/target creation: {rows}"
 
 
 class NotEnoughRowsError(ValueError):
@@ -42,7 +43,7 @@ def min_rows_guard(df: DataFrame, min_rows: int = MIN_TRAINING_ROWS, known_rows:
     """Row 8: fail when fewer than ``min_rows`` usable rows remain."""
     seen = known_rows if known_rows is not None else count_at_least(df, min_rows)
     if seen < min_rows:
-        raise NotEnoughRowsError(f"Not enough training rows after feature/target creation: {seen}")
+        raise NotEnoughRowsError(MSG_NOT_ENOUGH_ROWS.format(rows=seen))
     return seen
 
 

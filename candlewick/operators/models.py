@@ -34,6 +34,7 @@ SEQ_LEN = 30
 NUM_SAMPLES = 256
 QUANTILE = 0.5
 MIN_CONTEXT = 64
+MSG_NO_PRICE_COLUMN = "No price column found (expected adj_close/close/price)."
 
 
 @dataclass
@@ -290,7 +291,7 @@ def pick_price_col(df: DataFrame) -> str:
     for c in PRICE_COLUMN_PREFERENCE:
         if c in df.columns:
             return c
-    raise ValueError("No price column found (expected adj_close/close/price).")
+    raise ValueError(MSG_NO_PRICE_COLUMN)
 
 
 # Newest prices kept per symbol by ``price_context`` (bounded array per group).

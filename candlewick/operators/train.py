@@ -36,12 +36,13 @@ FAMILY_ALIASES = {
     "hf_finetune": "hf_finetune", "hf": "hf_finetune",
 }
 SEQUENCE_FAMILIES = ("custom_transformer", "hf_finetune")
+MSG_UNKNOWN_FAMILY = "Unknown model_family: {name}"
 
 
 def family_of(name: str) -> str:
     key = name.lower()
     if key not in FAMILY_ALIASES:
-        raise ValueError(f"Unknown model_family: {name}")
+        raise ValueError(MSG_UNKNOWN_FAMILY.format(name=name))
     return FAMILY_ALIASES[key]
 
 

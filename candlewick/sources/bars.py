@@ -17,6 +17,7 @@ from candlewick.functions.columns import finite_or_null
 # The bar columns every input must carry.
 REQUIRED_BAR_COLUMNS = ("symbol", "date", "open", "high", "low", "close", "volume", "adj_close")
 PRICE_COLUMNS = ("open", "high", "low", "close", "adj_close")
+MSG_MISSING_COLUMNS = "Dataset missing required columns: {missing}. Found columns: {found}"
 
 
 class MissingColumnsError(ValueError):
@@ -27,7 +28,7 @@ def require_columns(df: DataFrame, cols) -> None:
     """Fail listing missing and found columns when a required one is absent."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise MissingColumnsError(f"Dataset missing required columns: {sorted(missing)}. Found columns: {df.columns}")
+        raise MissingColumnsError(MSG_MISSING_COLUMNS.format(missing=sorted(missing), found=df.columns))
 
 
 # Text date layouts tried after the ISO forms, in this order (our choice;
