@@ -122,7 +122,8 @@ def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
     # counts.  Every segment is non-empty, so its tail / head holds
     # least(n, back) / least(n, fwd) rows: one partial aggregate gives both.
     # The window below runs over segments, not rows (one row per (key,
-    # segment)), so its size is bounded by the calendar, not by the data.
+    # segment)): per key at most (calendar units) or (key rows / target
+    # rows) entries, a tiny fraction of the data.
     counts = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
     upto = ws.rowsBetween(Window.unboundedPreceding, 0)
