@@ -18,11 +18,7 @@ def _session(args) -> SparkSession:
         from candlewick.session import local_session
 
         return local_session(args.local)
-    spark = SparkSession.builder.appName("candlewick").getOrCreate()
-    from candlewick.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    return spark
+    return SparkSession.builder.appName("candlewick").getOrCreate()
 
 
 def _train(args) -> int:

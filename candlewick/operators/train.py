@@ -25,7 +25,7 @@ from candlewick.operators.splits import (
 )
 from candlewick.plans.prefix import join_small, running_offsets
 from candlewick.plans.segments import SEG
-from candlewick.session import materialize
+from candlewick.session import Saved, materialize, save
 from candlewick.sources.bars import filter_universe, require_columns
 
 # Family names and aliases accepted by the reference.
@@ -51,14 +51,12 @@ class TrainingRows:
     df: DataFrame          # features + target + pos, read from a written table
     n: int
     feature_cols: list[str]
-    stored: DataFrame | None = None  # the written table behind ``df``
+    stored: Saved | None = None  # the written table behind ``df``
 
     def release(self) -> None:
         """Delete the written table once no lazy result still reads it."""
-        from candlewick.session import release
-
         if self.stored is not None:
-            release(self.stored)
+            self.stored.drop()
 
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
@@ -85,9 +83,10 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
             framed, _ = date_folds(rows)
             framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
             if checkpoint:
-                framed = materialize(framed, "training-rows")
+                stored = save(framed, "training-rows")
                 rows.unpersist()
-            return TrainingRows(framed, framed.count(), feature_cols, framed if checkpoint else None)
+                return TrainingRows(stored.df, stored.df.count(), feature_cols, stored)
+            return TrainingRows(framed, framed.count(), feature_cols)
         pos = global_position(rows, segment=segment)
         return TrainingRows(pos.df, pos.n, feature_cols)
 
@@ -96,7 +95,8 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     order = ["date", "_tb"]
     rows = drop_incomplete(feats, feature_cols, "target")
     ranked = rows.withColumn("_rn", F.row_number().over(series_window("symbol", order)) - 1)
-    stored = materialize(ranked.drop("_tb"), "training-rows")
+    saved = save(ranked.drop("_tb"), "training-rows")
+    stored = saved.df
     counts = stored.groupBy("symbol", SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
     stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
     n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
@@ -109,7 +109,7 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         .withColumn("pos", (F.col("_segoff") + F.col("_rn")).cast("long"))
         .drop("_segoff", "_rn", SEG)
     )
-    return TrainingRows(framed, n, feature_cols, stored)
+    return TrainingRows(framed, n, feature_cols, saved)
 
 
 def fit_family(family: str, alpha: float = M.RIDGE_ALPHA) -> Callable[[DataFrame, list[str], DataFrame | None], M.FittedModel]:

@@ -1,15 +1,14 @@
 """Session helpers: a local session for tests/bench and lineage cutting.
 
-Library code never creates its own session; it takes the caller's.  The only
-session-level thing the library needs is a reliable checkpoint directory,
-which it reads from the session (``spark.checkpoint.dir``) and only sets
-itself when it is missing *and* the master is local (tests, bench).
+Library code never creates its own session; it takes the caller's.  Tables
+that cut lineage go to the folder that the session names (``shared_dir``).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,65 +29,50 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, reading it from the session.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share, for tables that cut lineage.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured and the master is local do we set
-    a private scratch folder (a machine-local folder is never used on a
-    cluster: we raise instead).
+    ``spark.checkpoint.dir`` of the session, else a folder in the session's
+    warehouse (which Spark always has, and which a cluster shares as well).
+    No machine-local temporary folder is ever used.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="candlewick-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a shared folder "
-        "(HDFS/S3/ABFS) so lineage can be cut reliably"
-    )
+    return (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_candlewick").rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
-    and read it back.
+@dataclass
+class Saved:
+    """A written table: ``df`` reads it, ``drop()`` deletes its folder."""
+
+    df: DataFrame
+    path: str
+
+    def drop(self) -> bool:
+        """Delete the folder through the Hadoop FileSystem API (any shared
+        store).  Call it once nothing lazy still reads ``df``."""
+        spark = self.df.sparkSession
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return bool(hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True))
+
+
+def save(df: DataFrame, name: str = "table") -> Saved:
+    """Cut lineage: write ``df`` as Parquet under :func:`shared_dir` and read
+    it back.
 
     One pass computes and writes the data (a reliable ``checkpoint()`` of an
     unpersisted plan computes it twice); the table survives executor loss,
     and later reads prune columns and push filters like any Parquet scan.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/candlewick-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/candlewick-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _MATERIALIZED[id(out)] = path
-    return out
-
+    return Saved(spark.read.schema(df.schema).parquet(path), path)
 
-_MATERIALIZED: dict[int, str] = {}
 
-
-def release(df: DataFrame) -> bool:
-    """Delete the folder written by ``materialize`` for ``df`` (through the
-    Hadoop FileSystem API, so it works on any shared store).  Only call it
-    once nothing lazy still reads ``df``."""
-    path = _MATERIALIZED.pop(id(df), None)
-    if path is None:
-        return False
-    jvm = df.sparkSession._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    return bool(fs.delete(hpath, True))
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """:func:`save` for a table that stays (the caller needs no handle)."""
+    return save(df, name).df

@@ -61,9 +61,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's (shared) checkpoint directory."""
     import uuid
 
-    from candlewick.session import ensure_checkpoint_dir
+    from candlewick.session import shared_dir
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = shared_dir(spark)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -78,7 +78,7 @@ def test_training_rows_release_deletes_the_table(spark):
     from candlewick.sources.bars import bars_from_orders
 
     rows = training_rows(bars_from_orders(spark, "/root/testdata/sf0.001"))
-    path = rows.stored.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    path = rows.stored.path.replace("file:", "")
     assert os.path.isdir(path)
     rows.release()
     assert not os.path.exists(path)
