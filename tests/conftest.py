@@ -15,7 +15,7 @@ BAR_SCHEMA = ("symbol string, date date, open double, high double, low double, c
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = local_session(4, shuffle_partitions=8, app="candlewick-tests")
-    s.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('tables')}")
+    s.sparkContext.setCheckpointDir(f"file://{tmp_path_factory.mktemp('tables')}")
     yield s
 
 
