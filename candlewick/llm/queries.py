@@ -28,8 +28,32 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("_q_host_rate", 6).alias("host_rate"), F.col("_q_kept").alias("kept"))
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from candlewick.llm.bpe import bpe_decode, bpe_encode
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe_encode(_documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe_decode(path, "ids"), 256).alias("decoded_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.langid import fit_language_model, held_out, identify_language
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    test = held_out(F.col("doc_id"))
+    out = identify_language(docs, fit_language_model(docs, ~test))
+    return out.select("doc_id", test.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op6_language_id": op6_language_id,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
