@@ -50,10 +50,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", test.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from candlewick.llm.packing import pack
+
+    pieces = pack(_documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_language_id": op6_language_id,
+    "op9_hilbert_packing": op9_hilbert_packing,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
