@@ -59,11 +59,19 @@ def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.ann import nearest
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_language_id": op6_language_id,
     "op9_hilbert_packing": op9_hilbert_packing,
+    "op10_graph_neighbours": op10_graph_neighbours,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
