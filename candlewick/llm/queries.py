@@ -66,10 +66,56 @@ def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two archive records per page: the full response and a later 304.
+
+    Times are spread over days by the URL's digest; every 304 carries the
+    page's entity tag, a changed one, only a date, or no validator at all."""
+    page = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    c = F.conv(F.substring(F.md5("url"), 1, 7), 16, 10).cast("long")
+    page = page.withColumns({"c": c, "tag": F.md5("html"), "t": F.lit(1_700_000_000) + F.pmod(c, F.lit(2_592_000)) + F.pmod("page_id", F.lit(7))})
+    date = F.concat(F.lit("Day "), F.floor(F.col("t") / 86_400).cast("string"))
+    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
+    full = F.concat(line("ETag", F.concat(F.lit('"'), "tag", F.lit('"'))), line("Last-Modified", date),
+                    line("Content-Type", F.lit("text/html")), line("Cache-Control", F.lit("max-age=60")),
+                    line("Content-Length", F.length("html").cast("string")))
+    case = F.pmod("c", F.lit(5))
+    check = (F.when(case <= 1, line("ETag", F.concat(F.lit('W/"'), "tag", F.lit('"'))))
+             .when(case == 2, line("ETag", F.lit('"changed"'))).when(case == 3, line("Last-Modified", date)).otherwise(""))
+    again = F.concat(check, line("Cache-Control", F.lit("max-age=600")), line("Content-Length", F.lit("0")),
+                     line("Expires", F.concat(F.lit("in "), F.pmod("c", F.lit(90)).cast("string"), F.lit(" days"))))
+    later = F.col("t") + F.pmod("c", F.lit(400_000)) - 20_000      # some come before the response
+    records = F.array(F.struct((2 * F.col("page_id")).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("t").alias("s"), full.alias("headers")),
+                      F.struct((2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("kind"), "url", later.alias("s"), again.alias("headers")))
+    return page.select(F.explode(records).alias("r")).select("r.*").withColumn("time", F.timestamp_seconds("s")).drop("s")
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.warc import resolve_revisits
+
+    out = resolve_revisits(_captures(spark, sf_dir))
+    listed = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return out.select("record_id", "url_key", F.unix_timestamp("time").alias("seconds"), "status", "response_id",
+                      F.unix_timestamp("response_time").alias("response_seconds"), F.array_join(listed, "; ").alias("headers"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.license import scan
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "source")
+    folder = F.floor(F.col("doc_id") / 64).cast("string")
+    files = docs.select("doc_id", "text", F.concat("source", F.lit("/"), F.floor(F.col("doc_id") / 1024).cast("string"), F.lit("/"),
+                                                   folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
+    out = scan(files, "doc_id", "path", "text")
+    return out.select("doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "origin")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_language_id": op6_language_id,
+    "op7_warc_revisits": op7_warc_revisits,
+    "op8_license_scan": op8_license_scan,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_graph_neighbours": op10_graph_neighbours,
 }
@@ -101,6 +147,70 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 O
 FROM f LEFT JOIN v ON f.source = v.source
 """
 
+OP7_SQL = r"""
+WITH p AS (SELECT page_id, url, html, c, md5(html) AS tag, 1700000000 + c % 2592000 + page_id % 7 AS t
+           FROM (SELECT *, ('0x' || substr(md5(url), 1, 7))::BIGINT AS c FROM pages)),
+q AS (SELECT *, 'Day ' || (t // 86400) AS date, t + c % 400000 - 20000 AS later,
+             lower(regexp_extract(regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^([^/?]*)', 1)) AS host,
+             regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM p),
+k AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www[.]', '') || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+             list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+                                   lambda x: x <> '' AND NOT regexp_matches(x, '^(?i:utm_[a-z]+|ref|gclid|fbclid)(=|$)'))) AS args FROM q),
+u AS (SELECT *, path || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS url_key FROM k),
+r AS (SELECT v.page_id, v.url_key, v.later, v.c, v.tag AS vtag, v.date AS vdate, f.page_id AS fid, f.t AS ft, f.tag AS ftag, f.date AS fdate, f.html AS fhtml,
+             row_number() OVER (PARTITION BY v.page_id ORDER BY f.t DESC NULLS LAST, f.page_id DESC) AS n
+      FROM u v LEFT JOIN u f ON f.url_key = v.url_key AND f.t < v.later),
+s AS (SELECT *, CASE WHEN fid IS NULL THEN 'no_earlier_response' WHEN c % 5 <= 1 THEN CASE WHEN vtag = ftag THEN 'resolved' ELSE 'validator_mismatch' END
+                     WHEN c % 5 = 2 THEN 'validator_mismatch' WHEN c % 5 = 3 THEN CASE WHEN vdate = fdate THEN 'resolved' ELSE 'validator_mismatch' END
+                     ELSE 'no_validator' END AS status FROM r WHERE n = 1)
+SELECT 2 * page_id + 1 AS record_id, url_key, later AS seconds, status, CASE WHEN status = 'resolved' THEN 2 * fid END AS response_id,
+       CASE WHEN status = 'resolved' THEN ft END AS response_seconds,
+       CASE WHEN status = 'resolved' THEN 'cache-control=max-age=600; content-length=' || length(fhtml) || '; content-type=text/html; etag='
+            || CASE WHEN c % 5 <= 1 THEN 'W/' ELSE '' END || '"' || ftag || '"; expires=in ' || (c % 90) || ' days; last-modified=' || fdate END AS headers
+FROM s
+"""
+
+def _op8_sql() -> str:
+    from candlewick.llm.license import TEMPLATES
+
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+    return rf"""
+WITH t(license, txt) AS (VALUES {rows}),
+tw AS (SELECT license, w, count(*) AS n FROM (SELECT license, unnest(regexp_extract_all(lower(txt), '[a-z0-9]+')) AS w FROM t) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+             source || '/' || doc_id // 1024 || '/' || doc_id // 64 AS dir FROM documents),
+f AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM d)
+      WHERE w IN (SELECT w FROM tw) GROUP BY w),
+n AS (SELECT count(*) AS n FROM d),
+idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN f USING (w), n
+        UNION ALL SELECT '*', ln(1 + n) + 1 FROM n),
+v AS (SELECT license, w, tw.n * idf AS x FROM tw JOIN idf USING (w)),
+share AS (SELECT license, w, x * idf / sqrt(sum(x * x) OVER (PARTITION BY license)) AS x FROM v JOIN idf USING (w)),
+u AS (SELECT k, 0 AS whole, unnest(string_split(text, chr(10))) AS unit FROM d
+      UNION ALL SELECT k, 0, unnest(regexp_split_to_array(text, '
+[ 	]*
+')) FROM d
+      UNION ALL SELECT k, 1, text FROM d),
+h AS (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT * FROM u)),
+tf AS (SELECT i, CASE WHEN w IN (SELECT w FROM tw) THEN w ELSE '*' END AS w, count(*) AS n
+       FROM (SELECT i, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS w FROM h) GROUP BY ALL),
+m AS (SELECT i, sqrt(sum((n * idf) ** 2)) AS norm FROM tf JOIN idf USING (w) GROUP BY i),
+c AS (SELECT i, license, round(sum(n * x) / any_value(norm), 9) AS cosine FROM tf JOIN share USING (w) JOIN m USING (i) GROUP BY ALL),
+s AS (SELECT k, whole, license, cosine FROM c JOIN h USING (i)),
+own AS (SELECT k, license, cosine FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY cosine DESC, license) AS r FROM s WHERE cosine >= 0.8) WHERE r = 1),
+holders AS (SELECT dir, license, cosine FROM (SELECT dir, license, cosine, row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) AS r
+            FROM s JOIN d USING (k) WHERE whole = 1 AND cosine >= 0.6 AND dir IS NOT NULL) WHERE r = 1),
+near AS (SELECT k, license, cosine FROM (SELECT d.k, holders.license, cosine, row_number() OVER (PARTITION BY d.k ORDER BY length(holders.dir) DESC) AS r
+         FROM d JOIN holders ON d.dir = holders.dir OR starts_with(d.dir, holders.dir || '/')) WHERE r = 1)
+SELECT doc_id, dir || '/' || doc_id || '.txt' AS path, coalesce(own.license, near.license) AS license,
+       round(coalesce(own.cosine, near.cosine), 6) AS cosine,
+       CASE WHEN own.k IS NOT NULL THEN 'own' WHEN near.k IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin
+FROM d LEFT JOIN own USING (k) LEFT JOIN near USING (k)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
+    "op7_warc_revisits": OP7_SQL,
+    "op8_license_scan": _op8_sql(),
 }
