@@ -1,7 +1,8 @@
 """BPE encoding and decoding; long unsplit text by tree concatenation.
 
-Texts whose white-space-free runs are all short are encoded in place, a row
-at a time.  A text with a run of ``LONG`` characters or more is taken apart:
+Texts whose runs without white space (and of white space) are all short are
+encoded in place.  A text with a run of ``LONG`` characters or more is taken
+apart:
 
 1. the run is cut by the tokenizer's own pre-tokenizer, and every pre-token
    longer than ``LEAF`` bytes into equal leaves (the leaves of a binary tree);
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.tokens import Encoder, encoder
 
-LONG = 65_536    # characters without white space
+LONG = 65_536    # characters of a run without white space, or of white space
 LEAF = 16_384    # bytes of a tree leaf
 WINDOW = 8       # tokens on each side of a seam, doubled until both agree
 
@@ -46,7 +47,7 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids",
         return pa.array([enc.ids(t or "") for t in texts.to_pylist()], pa.list_(pa.int32()))
 
     body = F.coalesce(F.col(text), F.lit(""))
-    run = (F.length(body) >= long) & body.rlike(rf"(?<!\S)\S{{{long}}}")
+    run = (F.length(body) >= long) & body.rlike(rf"(?<!\S)\S{{{long}}}|(?<!\s)\s{{{long}}}")
     short = docs.where(~run).withColumn(out, encode(F.col(text)))
     joined = _encode_long(docs.where(run).select(F.sha2(body, 256).alias("_bpe_key"), body.alias("_bpe_text")),
                           path, leaf)
@@ -59,9 +60,8 @@ def bpe_decode(path: str, ids: Column | str) -> Column:
     """The text of an array of ids, special tokens included."""
     @F.arrow_udf("string")
     def decode(column: pa.Array) -> pa.Array:
-        tokenizer = encoder(path, "spaced").tokenizer
-        return pa.array([tokenizer.decode(x.values.to_numpy().tolist(), skip_special_tokens=False)
-                         if x.is_valid else None for x in column], pa.string())
+        enc = encoder(path, "spaced")
+        return pa.array([enc.text(x.values.to_numpy().tolist()) if x.is_valid else None for x in column], pa.string())
 
     return decode(ids)
 
