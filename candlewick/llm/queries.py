@@ -16,6 +16,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per repeated passage; documents without any have no row."""
+    from candlewick.llm.suffixes import remove_passages
+
+    out = remove_passages(_documents(spark, sf_dir).select("doc_id", "text"), min_words=50)
+    spans = out.select("doc_id", "n_words", F.inline("spans"))
+    return spans.select("doc_id", "n_words", F.col("start").alias("start_word"), F.col("length").alias("passage_words"),
+                        F.col("removed").alias("removed_words"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.quality import quality_rules
 
@@ -28,6 +38,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("_q_host_rate", 6).alias("host_rate"), F.col("_q_kept").alias("kept"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.debruijn import remove_repeats
+
+    out = remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), k=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -111,7 +128,9 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_language_id": op6_language_id,
     "op7_warc_revisits": op7_warc_revisits,
@@ -188,7 +207,8 @@ v AS (SELECT license, w, tw.n * idf AS x FROM tw JOIN idf USING (w)),
 share AS (SELECT license, w, x * idf / sqrt(sum(x * x) OVER (PARTITION BY license)) AS x FROM v JOIN idf USING (w)),
 u AS (SELECT k, 0 AS whole, unnest(string_split(text, chr(10))) AS unit FROM d
       UNION ALL SELECT k, 0, unnest(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 ')) FROM d
       UNION ALL SELECT k, 1, text FROM d),
 h AS (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT * FROM u)),
