@@ -44,6 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
             or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_candlewick").rstrip("/")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @dataclass
 class Saved:
     """A written table: ``df`` reads it, ``drop()`` deletes its folder."""
@@ -66,10 +69,16 @@ def save(df: DataFrame, name: str = "table") -> Saved:
     One pass computes and writes the data (a reliable ``checkpoint()`` of an
     unpersisted plan computes it twice); the table survives executor loss,
     and later reads prune columns and push filters like any Parquet scan.
+    Shuffle files that only the write needed are deleted with its end.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/candlewick-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    held = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, held)
     return Saved(spark.read.schema(df.schema).parquet(path), path)
 
 
