@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlewick.llm.minimizers import MANY, PIECE, buckets, chain_rows, cover, keyed, pieces, settled, unpack
+from candlewick.session import save
 
 K = 35
 
@@ -67,7 +68,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """``docs`` without the text, with ``kept_text`` (kept words joined by one
     space), ``n_words`` and ``n_removed``."""
     docs = keyed(docs, key, text)
-    lists = path_pieces(docs, text, k).groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_at", "_n")).alias("_pieces"))
+    # written, so that the windows' shuffle is gone before texts are shuffled
+    lists = save(path_pieces(docs, text, k), "path-pieces").df.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_at", "_n")).alias("_pieces"))
     added = ["kept_text", "n_words", "n_removed"]
     joined = docs.join(lists, ["_k1", "_k2"], "left").drop("_k1", "_k2", *[c for c in added if c in docs.columns and c != text])
     kept = [c for c in joined.columns if c not in (text, "_pieces", *added)]

@@ -35,6 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlewick.llm.minimizers import MANY, PIECE, buckets, chain_rows, cover, keyed, pieces, settled, unpack
 from candlewick.llm.words import words_of
+from candlewick.session import save
 
 MIN_WORDS = 50
 SPANS = "array<struct<start:int,length:int,removed:int>>"
@@ -81,7 +82,8 @@ def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     repeated words: first word, length, words removed of them)."""
     added = {"n_words": "int", "n_repeated": "int", "n_removed": "int", "spans": SPANS}
     docs = keyed(docs.drop(*[c for c in added if c in docs.columns]), key, text)
-    lists = repeated_pieces(docs, text, min_words).groupBy("_k1", "_k2").agg(
+    # written, so that the windows' shuffle is gone before texts are shuffled
+    lists = save(repeated_pieces(docs, text, min_words), "passages").df.groupBy("_k1", "_k2").agg(
         F.collect_list(F.struct("_at", "_n", "_first")).alias("_pieces"))
     joined = docs.join(lists, ["_k1", "_k2"], "left").drop("_k1", "_k2")
     schema = joined.drop("_pieces").withColumns({c: F.lit(None).cast(t) for c, t in added.items()}).schema
