@@ -58,6 +58,13 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe_decode(path, "ids"), 256).alias("decoded_sha256"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.jaccard import jaccard_join
+
+    out = jaccard_join(_documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.langid import fit_language_model, held_out, identify_language
 
@@ -132,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_warc_revisits": op7_warc_revisits,
     "op8_license_scan": op8_license_scan,
