@@ -84,7 +84,7 @@ def fold_plan(n: int, n_splits: int = 5) -> FoldPlan:
     k = max(int(n_splits), MIN_SPLITS)
     size = n // (k + 1)
     if size <= 0:
-        raise ValueError(f"Cannot have number of folds={k + 1} greater than the number of samples={n}.")
+        raise ValueError(f"{n} rows are too few for {k} folds: each fold and the first training part need a row")
     return FoldPlan(n, k, size)
 
 
