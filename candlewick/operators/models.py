@@ -396,8 +396,31 @@ class LinearCoefficients:
         return F.expr(self.sql())
 
 
-def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, label: str = "target") -> dict[int, "np.ndarray"]:
-    """Sum of z z^T per block, z = [1, x_1..x_d, y] (non-finite x -> 0.0)."""
+@dataclass
+class Moments:
+    """Pivot and scale of each column (features, then the label)."""
+
+    pivot: "np.ndarray"
+    scale: "np.ndarray"
+
+
+def column_moments(df: DataFrame, feature_cols: Sequence[str], label: str = "target") -> Moments:
+    """Mean and deviation of every cleaned column, one aggregate.  Grams are
+    taken of pivoted and scaled columns, so that rounding stays far below
+    the penalty whatever the number of rows."""
+    import numpy as np
+
+    cols = [F.coalesce(finite_or_null(c), F.lit(0.0)) for c in feature_cols] + [F.col(label).cast("double")]
+    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    value = lambda k, empty: np.array([empty if row[f"{k}{i}"] is None else row[f"{k}{i}"] for i in range(len(cols))], float)
+    scale = value("s", 1.0)
+    return Moments(value("m", 0.0), np.where(scale > 0, scale, 1.0))
+
+
+def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, moments: Moments,
+                label: str = "target") -> dict[int, "np.ndarray"]:
+    """Sum of z z^T per block, z = [1, x_1..x_d, y] with pivoted and scaled
+    x and y (non-finite x -> 0.0 before that)."""
     import numpy as np
     import pandas as pd
     from pyspark.ml.stat import Summarizer
@@ -410,7 +433,8 @@ def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, label
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float, na_value=np.nan)
             x[~np.isfinite(x)] = 0.0
-            z = np.column_stack([np.ones(len(pdf)), x, pdf[label].to_numpy(dtype=float)])
+            xy = (np.column_stack([x, pdf[label].to_numpy(dtype=float)]) - moments.pivot) / moments.scale
+            z = np.column_stack([np.ones(len(pdf)), xy])
             for b in np.unique(pdf["_blk"].to_numpy()):
                 zb = z[pdf["_blk"].to_numpy() == b]
                 acc[int(b)] = acc.get(int(b), 0.0) + zb.T @ zb
@@ -423,17 +447,28 @@ def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, label
     return {int(r["_blk"]): np.asarray(r["g"].toArray()).reshape(m, m) for r in summed.collect()}
 
 
-def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float) -> LinearCoefficients:
-    """argmin ||y - Xw - b||^2 + alpha ||w||^2 (intercept unpenalised)."""
+def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float, moments: Moments) -> LinearCoefficients:
+    """argmin ||y - Xw - b||^2 + alpha ||w||^2 (intercept unpenalised).
+
+    ``g`` is the Gram of pivoted and scaled columns.  The normal equations
+    get a unit diagonal and are solved by symmetric eigendecomposition;
+    directions that are pure rounding are cut off."""
     import numpy as np
 
     d = len(feature_cols)
     n = g[0, 0]
     xbar, ybar = g[0, 1:d + 1] / n, g[0, d + 1] / n
-    a = g[1:d + 1, 1:d + 1] - n * np.outer(xbar, xbar) + alpha * np.eye(d)
+    sx, sy = moments.scale[:d], moments.scale[d]
+    a = g[1:d + 1, 1:d + 1] - n * np.outer(xbar, xbar) + np.diag(alpha / sx ** 2)     # w = v * sy / sx
     rhs = g[1:d + 1, d + 1] - n * xbar * ybar
-    w = np.linalg.solve(a, rhs)
-    return LinearCoefficients(list(feature_cols), [float(v) for v in w], float(ybar - xbar @ w))
+    unit = 1 / np.sqrt(np.maximum(np.diag(a), np.finfo(float).tiny))
+    values, vectors = np.linalg.eigh(a * np.outer(unit, unit))
+    keep = values > max(values[-1], 0.0) * d * np.finfo(float).eps
+    inverse = np.where(keep, 1 / np.where(keep, values, 1.0), 0.0)
+    v = unit * (vectors @ (inverse * (vectors.T @ (unit * rhs))))
+    w = v * sy / sx
+    b = moments.pivot[d] + sy * ybar - w @ (moments.pivot[:d] + sx * xbar)
+    return LinearCoefficients(list(feature_cols), [float(x) for x in w], float(b))
 
 
 def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, quantile: float = QUANTILE,
@@ -466,7 +501,8 @@ def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = N
 
 def ridge_prefix_models(df: DataFrame, feature_cols: Sequence[str], cuts: Sequence[int], alpha: float = RIDGE_ALPHA,
                         pos: str = "pos", label: str = "target") -> dict[int, LinearCoefficients]:
-    """Ridge fitted on every training prefix ``pos < cut``, all from ONE pass.
+    """Ridge fitted on every training prefix ``pos < cut``, all from one
+    aggregate of moments and one pass of Grams.
 
     Rows are cut into blocks at the sorted cuts; each prefix is a sum of
     whole blocks' Gram matrices.  Used for the walk-forward folds and the
@@ -477,7 +513,9 @@ def ridge_prefix_models(df: DataFrame, feature_cols: Sequence[str], cuts: Sequen
     block = F.lit(len(bounds))
     for j in reversed(range(len(bounds))):
         block = F.when(p < bounds[j], F.lit(j)).otherwise(block)
-    grams = block_grams(df.where(p < bounds[-1]), feature_cols, block, label)
+    used = df.where(p < bounds[-1])
+    moments = column_moments(used, feature_cols, label)
+    grams = block_grams(used, feature_cols, block, moments, label)
     out, acc = {}, None
     for j, b in enumerate(bounds):
         g = grams.get(j)
@@ -485,5 +523,5 @@ def ridge_prefix_models(df: DataFrame, feature_cols: Sequence[str], cuts: Sequen
             acc = g if acc is None else acc + g
         if acc is None:
             raise ValueError(f"no training rows before position {b}")
-        out[b] = ridge_from_gram(acc, feature_cols, alpha)
+        out[b] = ridge_from_gram(acc, feature_cols, alpha, moments)
     return out

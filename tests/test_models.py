@@ -209,3 +209,26 @@ def test_prefix_ridge_equals_spark_ml_and_round_trips(spark, rows, tmp_path):
     assert again.feature_cols == rows.feature_cols
     c = again.transform(rows.df, keep=["pos"]).orderBy("pos").toPandas()["prediction"].to_numpy()
     assert np.array_equal(a, c)
+
+
+@pytest.mark.parametrize("times", [1, 1e4, 1e6, 1e8])
+def test_gram_solve_holds_on_collinear_columns_at_any_size(times):
+    """The Gram stands for ``times`` as many rows; a centred SVD is the truth."""
+    import numpy as np
+
+    from candlewick.operators.models import Moments, ridge_from_gram
+
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(2000, 6)) * [1e-2, 1e-2, 1e3, 1.0, 5.0, 1e-3] + [0, 0, 5e4, 3, 0, 0]
+    x = np.column_stack([base, base[:, 0] - base[:, 1], base[:, 2] + base[:, 4], np.ones(2000)])
+    y = base @ rng.normal(size=6) * 1e-3 + 1e-3 * rng.normal(size=2000)
+    xy = np.column_stack([x, y])
+    scale = xy.std(0)
+    moments = Moments(xy.mean(0), np.where(scale > 0, scale, 1.0))
+    z = np.column_stack([np.ones(len(x)), (xy - moments.pivot) / moments.scale])
+    got = ridge_from_gram(times * (z.T @ z), [str(i) for i in range(x.shape[1])], 1.0, moments)
+    xc, yc = x - x.mean(0), y - y.mean()
+    u, s, vt = np.linalg.svd(xc, full_matrices=False)
+    w = vt.T @ (np.where(s > 1e-9 * s[0], s * times / (s * s * times + 1.0), 0) * (u.T @ yc))
+    exp = y.mean() + xc @ w
+    assert np.allclose(x @ np.array(got.weights) + got.intercept, exp, rtol=0, atol=1e-6 * y.std())
