@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +30,10 @@ def _train(args) -> int:
                         universe=[u for u in (args.universe or "").split(",") if u])
     res = cw.train_pipeline(bars, family=args.family, horizon=args.horizon, n_splits=args.n_splits,
                             alpha=args.alpha, run=args.run, cv_for_deep_models=args.cv_for_deep_models,
-                            by=args.split_by, model_path=args.model_path, metrics_path=args.metrics_path)
+                            by=args.split_by, model_path=args.model_path, metrics_path=args.metrics_path,
+                            price_col=args.price_col, segment=args.segment,
+                            family_params={k: v for k in ("seq_len", "num_samples", "quantile", "min_context")
+                                           if (v := getattr(args, k)) is not None})
     summary = {"family": res.family, "rows": res.n_rows, "features": len(res.feature_cols), **res.params}
     print(json.dumps(summary))
     return 0
@@ -37,19 +41,19 @@ def _train(args) -> int:
 
 def _score(args) -> int:
     import candlewick as cw
+    from candlewick.streaming.scoring_stream import write_outcomes
 
     spark = _session(args)
-    model = cw.read_model(args.model)
+    model, loaded_at = cw.read_model(args.model), time.time()
     if args.stream:
         q = cw.start_scoring_stream(spark, args.requests, args.out, args.checkpoint, model,
                                     allow_minimal=args.allow_minimal, available_now=args.available_now,
-                                    model_uri=args.model)
+                                    model_uri=args.model, loaded_at=loaded_at)
         q.awaitTermination()
         return 0
-    res = cw.score_requests(cw.read_requests(spark, args.requests), model, allow_minimal=args.allow_minimal,
-                            row=args.row, model_uri=args.model)
-    res.scored.write.mode("overwrite").parquet(f"{args.out}/scored")
-    res.rejected.write.mode("overwrite").parquet(f"{args.out}/rejected")
+    res = cw.score_requests(cw.read_requests(spark, args.requests, args.multi_line), model, allow_minimal=args.allow_minimal,
+                            row=args.row, model_uri=args.model, loaded_at=loaded_at)
+    write_outcomes(res, args.out)
     return 0
 
 
@@ -69,6 +73,12 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--alpha", type=float, default=1.0)
     t.add_argument("--split-by", choices=["position", "date"], default="position")
     t.add_argument("--cv-for-deep-models", action="store_true")
+    t.add_argument("--price-col", default="adj_close")
+    t.add_argument("--segment", default="year", help="longest piece of a series: year ... day, hour, minute, none")
+    t.add_argument("--seq-len", type=int, help="custom_transformer")
+    t.add_argument("--num-samples", type=int, help="hf_finetune")
+    t.add_argument("--quantile", type=float, help="hf_finetune")
+    t.add_argument("--min-context", type=int, help="hf_finetune")
     t.add_argument("--run", default="run")
     t.add_argument("--model-path")
     t.add_argument("--metrics-path")
@@ -78,6 +88,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--requests", required=True, help="folder of JSON request records")
     s.add_argument("--model", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--multi-line", action="store_true", help="a file is one pretty-printed request or an array")
     s.add_argument("--allow-minimal", action="store_true")
     s.add_argument("--row", choices=["last", "first"], default="last")
     s.add_argument("--stream", action="store_true")

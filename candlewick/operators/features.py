@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.columns import candle_columns, safe_ln
-from candlewick.plans.segments import HALO, SEG, segment_of, with_halo
+from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, total_order, with_halo
 
 # Fixed values that must equal the reference's for the same features.
 RETURN_LAGS = (1, 2, 5)
@@ -81,14 +81,13 @@ def _prepare(bars: DataFrame, tiebreak: str | None) -> tuple[DataFrame, list[str
     if "volume" in df.columns:
         df = df.withColumn("volume", F.col("volume").try_cast("double"))
     if tiebreak is None:
-        if "_tb" not in df.columns:
-            df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in bars.columns]))
-        tiebreak = "_tb"
+        df, order, _ = total_order(df, ["date"])
+        return df, order
     return df, ["date", tiebreak]
 
 
 def tabular_features(bars: DataFrame, group_col: str = "symbol", price_col: str = "adj_close",
-                     horizon: int | None = None, segment: str | Column | None = "auto",
+                     horizon: int | None = None, segment: str | Column | None = DEFAULT_SEGMENT,
                      tiebreak: str | None = None, keep_internal: bool = False) -> DataFrame:
     """Rows 20-31: returns, lags, guarded rolling stats, candle features, and
     (if ``horizon`` is given) the forward target ``lead(log_return_1, h)``.
@@ -100,7 +99,7 @@ def tabular_features(bars: DataFrame, group_col: str = "symbol", price_col: str
     """
     df, order = _prepare(bars, tiebreak)
     fwd = int(horizon) if horizon else 0
-    halo = with_halo(df, [group_col], order, segment_of("date", segment, df, [group_col]), back=FEATURE_LOOKBACK, fwd=fwd)
+    halo = with_halo(df, [group_col], order, segment_of("date", segment), back=FEATURE_LOOKBACK, fwd=fwd)
     w = series_window(group_col, order)
     level1 = halo.select("*", _log_return(price_col, w).alias("log_return_1"))
     feats = feature_columns(df.columns, price_col, w)
@@ -116,22 +115,22 @@ def tabular_features(bars: DataFrame, group_col: str = "symbol", price_col: str
 
 
 def add_returns(bars: DataFrame, price_col: str = "adj_close", group_col: str = "symbol",
-                segment: str | Column | None = "auto", tiebreak: str | None = None) -> DataFrame:
+                segment: str | Column | None = DEFAULT_SEGMENT, tiebreak: str | None = None) -> DataFrame:
     """Row 20: log_return_1 = ln(p_t) - ln(p_{t-1}) per series."""
     df, order = _prepare(bars, tiebreak)
-    halo = with_halo(df, [group_col], order, segment_of("date", segment, df, [group_col]), back=1)
+    halo = with_halo(df, [group_col], order, segment_of("date", segment), back=1)
     w = series_window(group_col, order)
     out = halo.select("*", _log_return(price_col, w).alias("log_return_1")).where(F.col(HALO) == 0).drop(SEG, HALO)
     return out.drop("_tb") if tiebreak is None else out
 
 
 def forward_target(features: DataFrame, horizon: int = 1, group_col: str = "symbol",
-                   segment: str | Column | None = "auto", tiebreak: str | None = None,
+                   segment: str | Column | None = DEFAULT_SEGMENT, tiebreak: str | None = None,
                    drop_missing: bool = True) -> DataFrame:
     """Row 31: target = log_return_1 of the row ``horizon`` steps ahead; rows
     without a target are dropped (as the reference does)."""
     df, order = _prepare(features, tiebreak)
-    halo = with_halo(df, [group_col], order, segment_of("date", segment, df, [group_col]), back=0, fwd=horizon)
+    halo = with_halo(df, [group_col], order, segment_of("date", segment), back=0, fwd=horizon)
     w = series_window(group_col, order)
     out = (
         halo.select("*", F.lead("log_return_1", horizon).over(w).alias("target"))

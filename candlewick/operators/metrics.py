@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -62,10 +62,35 @@ def run_summary(df: DataFrame, feature_cols: Sequence[str], group_col: str = "sy
     )
 
 
+#: Buckets per e-fold of a value's size in ``sample_quantile``.
+QUANTILE_BUCKETS = 4096
+
+
 def sample_quantile(samples: DataFrame, q: float, group: Sequence[str] = ("symbol",), step: str = "step",
                     value: str = "value") -> DataFrame:
-    """Row 43: linear-interpolation quantile per (group, step); keep the last step."""
-    per_step = samples.groupBy(*group, step).agg(F.percentile(value, q).alias("_q"))
+    """Row 43: exact linear-interpolation quantile per (group, step); keep the last step.
+
+    Two levels, so that no task holds a group: values are counted by bucket
+    (a growing function of the value), running counts over a group's buckets
+    find those with the wanted ranks, and only their values are ranked.
+    """
+    keys = [*group, step]
+    v, b = F.col("_v"), F.floor(F.asinh(F.col("_v")) * QUANTILE_BUCKETS)
+    counts = (samples.select(*keys, F.col(value).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", b))
+    over = Window.partitionBy(*keys)
+    upto = over.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.col("_at")
+    buckets = (counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+               .select(*keys, "_b", (F.sum("_bc").over(upto) - F.col("_bc")).alias("_start"), F.sum("_bc").over(upto).alias("_end"),
+                       ((F.sum("_bc").over(over) - 1) * F.lit(float(q))).alias("_at"))
+               .where((F.col("_start") <= F.ceil(at)) & (F.col("_end") > F.floor(at))))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = (counts.join(buckets, [*keys, "_b"])
+            .withColumn("_hi", F.col("_start") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c")))
+    holds = lambda rank: F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), v))
+    per_step = near.groupBy(*keys).agg(holds(F.floor(at)).alias("_x"), holds(F.ceil(at)).alias("_y"), F.first("_at").alias("_at"))
+    per_step = per_step.withColumn("_q", F.col("_x") + (F.col("_y") - F.col("_x")) * (at - F.floor(at)))
     return per_step.groupBy(*group).agg(
         F.max_by("_q", step).alias("q_value"),
         F.max(step).alias("last_step"),
@@ -95,5 +120,7 @@ def metrics_long(fold_df: DataFrame, summary_df: DataFrame, run: str, extra: Dat
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Row 5 (sink): append, partitioned by family (replay-safe per run id)."""
-    metrics.write.mode("append").partitionBy("family").parquet(path)
+    """Row 5 (sink): partitioned by run and family; writing a run again
+    replaces that run's rows and no others."""
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "family").parquet(path))

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.columns import PRICE_COLUMN_PREFERENCE, finite_or_null, return_from_price
 from candlewick.operators.metrics import mae, sample_quantile
-from candlewick.plans.segments import HALO, SEG, segment_of, with_halo
+from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, total_order, with_halo
 
 # Model defaults that must equal the reference's.
 RIDGE_ALPHA = 1.0
@@ -65,6 +65,73 @@ class FittedModel:
         out = self.model.transform(self.prepare(df, keep))
         return out.select(*keep, "prediction")
 
+    def predict_records(self, records: DataFrame, min_rows: int, row: str) -> DataFrame:
+        """Add ``prediction`` to records with ``_rows`` (complete rows, oldest
+        first: date, bar_index, x = model inputs, p = price) or ``_minimal``."""
+        n = F.size("_rows")
+        pick = F.when(n > 0, F.element_at("_rows", n if row == "last" else F.greatest(n - (min_rows - 1), F.lit(1))))["x"]
+        minimal = records.schema["_minimal"].dataType.names
+        inputs = [F.coalesce(pick[i], F.col("_minimal")[c] if c in minimal else F.lit(None).cast("double"), F.lit(0.0)).alias(c)
+                  for i, c in enumerate(self.feature_cols)]
+        kept = [c for c in records.columns if c not in ("_rows", "_minimal")]
+        clash = {c: f"_in_{c}" for c in kept if c in self.feature_cols}
+        flat = records.select(*[F.col(c).alias(clash.get(c, c)) for c in kept], *inputs)
+        out = self.model.transform(flat)
+        return out.select(*[F.col(clash.get(c, c)).alias(c) for c in kept], "prediction")
+
+
+MSG_SEQUENCE_TOO_SHORT = "Need at least seq_len={n} rows."
+MSG_CONTEXT_TOO_SHORT = "Need at least min_context={n} valid prices."
+MSG_NEEDS_WINDOW = "This model needs an ohlcv_window."
+
+
+class SequenceModel(FittedModel):
+    """Row 48's regressor on flattened windows of ``params["seq_len"]`` rows."""
+
+    @property
+    def seq_len(self) -> int:
+        return int(self.params["seq_len"])
+
+    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Predictions of the rows whose window (the rows up to them) is full."""
+        df, _, _ = total_order(df, ["date"])
+        seqs = sequence_windows(df, self.feature_cols, self.seq_len, label=None, include_current=True, keep=keep)
+        return self.model.transform(seqs.withColumn("features", array_to_vector("seq"))).select(*keep, "prediction")
+
+    def predict_records(self, records: DataFrame, min_rows: int, row: str) -> DataFrame:
+        n = self.seq_len
+        short = F.when(F.col("route") == "minimal", MSG_NEEDS_WINDOW).when(F.size("_rows") < n, MSG_SEQUENCE_TOO_SHORT.format(n=n))
+        seq = F.flatten(F.transform(F.slice("_rows", F.greatest(F.size("_rows") - n + 1, F.lit(1)), n), lambda r: r["x"]))
+        full = F.when(F.size(seq) == n * len(self.feature_cols), seq).otherwise(
+            F.array_repeat(F.lit(0.0), n * len(self.feature_cols)))
+        out = self.model.transform(records.withColumn("reason", F.coalesce("reason", short)).withColumn("features", array_to_vector(full)))
+        return out.select(*[c for c in records.columns if c not in ("_rows", "_minimal")], "prediction")
+
+
+class ForecastModel(FittedModel):
+    """Row 49's sample-path forecaster: nothing is fitted, the parameters
+    (horizon, num_samples, quantile, min_context, price_col) are the model."""
+
+    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """The forecast at every row whose context is long enough."""
+        p = self.params
+        rows = quantile_forecast_rows(df, p["horizon"], p["num_samples"], p["quantile"], p["min_context"], price_col=p["price_col"], keep=keep)
+        return rows.where("accepted").select(*keep, F.col("pred_return").alias("prediction"))
+
+    def predict_records(self, records: DataFrame, min_rows: int, row: str) -> DataFrame:
+        p = self.params
+        h, q = int(p["horizon"]), float(p["quantile"])
+        prices = F.filter(F.transform("_rows", lambda r: r["p"]), lambda x: x.isNotNull())
+        short = F.when(F.col("route") == "minimal", MSG_NEEDS_WINDOW).when(F.size(prices) < p["min_context"], MSG_CONTEXT_TOO_SHORT.format(n=p["min_context"]))
+        moves = F.when(F.size(prices) > h, F.transform(F.sequence(F.lit(h + 1), F.size(prices)),
+                                                       lambda i: F.element_at(prices, i) / F.element_at(prices, i - h)))
+        newest = F.array_sort(F.slice(moves, F.greatest(F.size(moves) - p["num_samples"] + 1, F.lit(1)), p["num_samples"]))
+        at = (F.size(newest) - 1) * F.lit(q)
+        lo, hi = (F.element_at(newest, f(at).cast("int") + 1) for f in (F.floor, F.ceil))
+        move = lo + (hi - lo) * (at - F.floor(at))
+        out = records.withColumn("reason", F.coalesce("reason", short)).withColumn("prediction", F.when(F.col("reason").isNull(), F.ln(move)))
+        return out.drop("_rows", "_minimal")
+
 
 class LinearExpressionModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     """A fitted linear model as a Spark ML stage: ``prediction`` is one
@@ -159,9 +226,11 @@ def validation_mae(model: FittedModel, val: DataFrame, label: str = "target") ->
 # --------------------------------------------------------------------------
 
 def write_model(model: FittedModel, path: str) -> None:
+    """Any family: the fitted pipeline (if it has one) and a JSON sidecar."""
     from pyspark.sql import SparkSession
 
-    model.model.write().overwrite().save(path)
+    if model.model is not None:
+        model.model.write().overwrite().save(path)
     meta = json.dumps({"family": model.family, "feature_cols": model.feature_cols, "params": model.params})
     (SparkSession.active().createDataFrame([(meta,)], "value string")
      .coalesce(1).write.mode("overwrite").text(f"{path}/candlewick_meta"))
@@ -170,15 +239,14 @@ def write_model(model: FittedModel, path: str) -> None:
 def read_model(path: str) -> FittedModel:
     from pyspark.sql import SparkSession
 
-    pm = PipelineModel.load(path)
-    cols = list(pm.stages[0].getInputCols())  # VectorAssembler or LinearExpressionModel
-    if not cols:
+    meta = json.loads(SparkSession.active().read.text(f"{path}/candlewick_meta").first()["value"])
+    if not meta["feature_cols"]:
         raise RuntimeError(f"model at {path} carries no feature list; refusing to score")
-    try:
-        meta = json.loads(SparkSession.active().read.text(f"{path}/candlewick_meta").first()["value"])
-    except Exception:  # noqa: BLE001 - the sidecar is optional
-        meta = {"family": "unknown", "params": {}}
-    return FittedModel(pm, cols, meta.get("family", "unknown"), meta.get("params", {}))
+    kind = MODEL_KINDS.get(meta["family"], FittedModel)
+    return kind(None if kind is ForecastModel else PipelineModel.load(path), meta["feature_cols"], meta["family"], meta["params"])
+
+
+MODEL_KINDS = {"custom_transformer": SequenceModel, "hf_finetune": ForecastModel}
 
 
 # --------------------------------------------------------------------------
@@ -240,7 +308,7 @@ def select_model(train: DataFrame, val: DataFrame, feature_cols: Sequence[str],
 # --------------------------------------------------------------------------
 
 def sequence_windows(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN, group_col: str = "symbol",
-                     label: str | None = "target", segment: str | Column | None = "auto",
+                     label: str | None = "target", segment: str | Column | None = DEFAULT_SEGMENT,
                      order: Sequence[str] = ("date",), include_current: bool = False,
                      keep: Sequence[str] = ()) -> DataFrame:
     """Row 33: for each row, the ``seq_len`` feature rows before it (flattened,
@@ -248,10 +316,12 @@ def sequence_windows(df: DataFrame, feature_cols: Sequence[str], seq_len: int =
     series; long series are segmented with an exact ``seq_len`` halo.
     ``keep`` columns (e.g. ``pos``) ride along."""
     feats = [F.coalesce(finite_or_null(c), F.lit(0.0)) for c in feature_cols]
+    keep = [c for c in keep if c not in (group_col, *order, label)]
     extra = [*([label] if label else []), *keep]
-    base = df.select(group_col, *order, *extra, F.array(*feats).alias("_x"))
-    halo = with_halo(base, [group_col], list(order), segment_of(order[0], segment, df, [group_col]), back=seq_len)
-    w = Window.partitionBy(group_col, SEG).orderBy(*order)
+    df, full, _ = total_order(df, order)
+    base = df.select(group_col, *full, *extra, F.array(*feats).alias("_x"))
+    halo = with_halo(base, [group_col], full, segment_of(order[0], segment), back=seq_len)
+    w = Window.partitionBy(group_col, SEG).orderBy(*full)
     hi = 0 if include_current else -1
     frame = w.rowsBetween(-(seq_len - 1) + hi, hi)
     seq = F.flatten(F.collect_list("_x").over(frame))
@@ -260,11 +330,10 @@ def sequence_windows(df: DataFrame, feature_cols: Sequence[str], seq_len: int =
     return out.where((F.col(HALO) == 0) & (F.size("seq") == width)).drop(HALO)
 
 
-def sequence_fit(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN, label: str = "target",
-                 max_iter: int = 50, group_col: str = "symbol") -> tuple[object, list[float]]:
-    """Row 48: Huber-loss linear model on the flattened window; returns the
-    fitted model and the per-iteration objective (the reference logs a
-    per-epoch training error)."""
+def sequence_model(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN, label: str = "target",
+                   max_iter: int = 50, group_col: str = "symbol") -> tuple["SequenceModel", list[float]]:
+    """Row 48: Huber-loss linear model on the flattened window, with its
+    training mean absolute error (the reference logs one per epoch)."""
     # not cached here: LinearRegression persists its own instance RDD for the
     # L-BFGS passes when its input is not cached (measured faster than a
     # columnar cache of the wide vectors)
@@ -272,15 +341,17 @@ def sequence_fit(df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_
         label, array_to_vector("seq").alias("features"))
     lr = LinearRegression(featuresCol="features", labelCol=label, loss="huber", maxIter=max_iter,
                           regParam=0.0, standardization=True)
-    model = lr.fit(seqs)
-    return model, list(model.summary.objectiveHistory)
+    fitted = lr.fit(seqs)
+    model = SequenceModel(PipelineModel(stages=[fitted]), list(feature_cols), "custom_transformer",
+                          {"seq_len": seq_len, "iterations": len(fitted.summary.objectiveHistory)})
+    return model, [float(fitted.summary.meanAbsoluteError)]
 
 
-def sequence_predict(model, df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN,
+def sequence_predict(model: "SequenceModel", df: DataFrame, feature_cols: Sequence[str], seq_len: int = SEQ_LEN,
                      group_col: str = "symbol", label: str | None = "target") -> DataFrame:
     seqs = sequence_windows(df, feature_cols, seq_len, group_col, label)
     keep = [group_col, "date"] + ([label] if label else [])
-    return model.transform(seqs.withColumn("features", array_to_vector("seq"))).select(*keep, "prediction")
+    return model.model.transform(seqs.withColumn("features", array_to_vector("seq"))).select(*keep, "prediction")
 
 
 # --------------------------------------------------------------------------
@@ -294,72 +365,71 @@ def pick_price_col(df: DataFrame) -> str:
     raise ValueError(MSG_NO_PRICE_COLUMN)
 
 
-# Newest prices kept per symbol by ``price_context`` (bounded array per group).
-CONTEXT_ROWS = 512
+def _valid_prices(df: DataFrame, group_col: str, price_col: str | None = None) -> tuple[DataFrame, list[str]]:
+    """(group, date, tie-breaker, price) of the valid prices, and the total order."""
+    pc = price_col or pick_price_col(df)
+    df, full, _ = total_order(df, ["date"])
+    valid = df.select(group_col, *full, finite_or_null(pc).alias("price"))
+    return valid.where(F.col("price").isNotNull()), full
 
 
 def price_context(df: DataFrame, group_col: str = "symbol", min_context: int = MIN_CONTEXT,
-                  last: int = CONTEXT_ROWS) -> DataFrame:
-    """Row 35: valid prices per symbol in date order, with the context guard.
+                  segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None) -> DataFrame:
+    """Row 35: every valid price per symbol, one row each: ``k`` (0 = oldest),
+    ``price``, and the context guard ``n_context`` / ``accepted``.
 
-    ``n_context`` / ``accepted`` count every valid price (an aggregate); the
-    ``context`` array holds the newest ``last`` of them (top-k per symbol,
-    pre-limited on the map side), so no group ever collects a whole series.
-    The forecaster (row 49) needs only ``num_samples + horizon`` prices.
+    Positions are counted inside (symbol, segment) and shifted by the sizes
+    of earlier segments, so no task holds a whole series.
     """
-    if last is None or last <= 0:
-        raise ValueError("price_context needs a positive bound on the context length")
-    pc = pick_price_col(df)
-    valid = df.select(group_col, "date", finite_or_null(pc).alias("price")).where(F.col("price").isNotNull())
-    counts = valid.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_context"))
-    w = Window.partitionBy(group_col).orderBy(F.col("date").desc())
-    valid = valid.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last).drop("_r")
-    ctx = valid.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct("date", "price"))).alias("_ctx"))
-    return (
-        counts.join(ctx, group_col)
-        .select(group_col, "n_context", F.col("_ctx.price").alias("context"),
-                (F.col("n_context") >= min_context).alias("accepted"))
-    )
-
-
-def sample_paths(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, group_col: str = "symbol") -> DataFrame:
-    """Long table (symbol, sample_id, step, price): the last ``num_samples``
-    observed ``horizon``-step paths, replayed from the latest price."""
-    pc = pick_price_col(df)
-    valid = df.select(group_col, "date", finite_or_null(pc).alias("p")).where(F.col("p").isNotNull())
-    need = num_samples + horizon
-    w_desc = Window.partitionBy(group_col).orderBy(F.col("date").desc())
-    tail = valid.withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= need)
-    w = Window.partitionBy(group_col).orderBy("date")
-    lp = F.ln(F.col("p"))
-    with_paths = tail.select(
-        group_col, "_r", "p",
-        F.first("p").over(w_desc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_price"),
-        F.lag(lp, horizon).over(w).alias("_base"),
+    valid, full = _valid_prices(df, group_col, price_col)
+    seg = segment_of("date", segment)
+    base = valid.withColumn(SEG, seg if seg is not None else F.lit(0).cast("long"))
+    counts = base.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n"))
+    over = Window.partitionBy(group_col)
+    sizes = counts.select(group_col, SEG, F.sum("_n").over(over).alias("n_context"),
+                          (F.sum("_n").over(over.orderBy(SEG).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+    k = F.row_number().over(Window.partitionBy(group_col, SEG).orderBy(*full)) - 1
+    return (base.withColumn("_k", k).join(sizes, [group_col, SEG])
+            .select(group_col, "date", (F.col("_before") + F.col("_k")).cast("long").alias("k"), "price", "n_context",
+                    (F.col("n_context") >= min_context).alias("accepted")))
+
+
+def sample_paths(df: DataFrame, horizon: int = 1, num_samples: int | None = None, group_col: str = "symbol",
+                 segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None) -> DataFrame:
+    """Long table (symbol, sample_id, step, price, last_price): the observed
+    ``horizon``-step paths of the whole history (``sample_id`` 0 is the
+    newest), replayed from the latest price; ``num_samples`` keeps the newest
+    so many."""
+    context = price_context(df, group_col, 0, segment, price_col)
+    last = context.groupBy(group_col).agg(F.max_by("price", "k").alias("last_price"))
+    halo = with_halo(context, [group_col], ["k"], segment_of("date", segment), back=horizon)
+    w = Window.partitionBy(group_col, SEG).orderBy("k")
+    lp = F.ln(F.col("price"))
+    steps = halo.select(
+        group_col, HALO, (F.col("n_context") - 1 - F.col("k")).alias("sample_id"), F.lag(lp, horizon).over(w).alias("_base"),
         # step s (1..h) of the path ending at this row: ln p[t-h+s]
-        F.array(*[F.lag(lp, horizon - s).over(w) if s < horizon else lp for s in range(1, horizon + 1)]).alias("_steps"),
-    )
-    samples = with_paths.where((F.col("_r") <= num_samples) & F.col("_base").isNotNull())
-    return samples.select(
-        group_col, (F.col("_r") - 1).alias("sample_id"), "last_price",
-        F.posexplode("_steps").alias("_s", "_lp"), "_base",
-    ).select(
-        group_col, "sample_id", (F.col("_s") + 1).alias("step"),
-        (F.col("last_price") * F.exp(F.col("_lp") - F.col("_base"))).alias("price"), "last_price",
-    )
-
-
-def quantile_forecast(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, quantile: float = QUANTILE,
-                      min_context: int = MIN_CONTEXT, group_col: str = "symbol") -> DataFrame:
+        F.array(*[F.lag(lp, horizon - s).over(w) if s < horizon else lp for s in range(1, horizon + 1)]).alias("_steps"))
+    samples = steps.where((F.col(HALO) == 0) & F.col("_base").isNotNull())
+    if num_samples is not None:
+        samples = samples.where(F.col("sample_id") < num_samples)
+    return samples.join(last, group_col).select(
+        group_col, "sample_id", "last_price", F.posexplode("_steps").alias("_s", "_lp"), "_base",
+    ).select(group_col, "sample_id", (F.col("_s") + 1).alias("step"),
+             (F.col("last_price") * F.exp(F.col("_lp") - F.col("_base"))).alias("price"), "last_price")
+
+
+def quantile_forecast(df: DataFrame, horizon: int = 1, num_samples: int | None = None, quantile: float = QUANTILE,
+                      min_context: int = MIN_CONTEXT, group_col: str = "symbol",
+                      segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None) -> DataFrame:
     """Row 49: context guard -> sample paths -> quantile of the last step ->
-    log return against the latest price."""
-    pc = pick_price_col(df)
-    counts = (df.select(group_col, finite_or_null(pc).alias("p")).where(F.col("p").isNotNull())
-              .groupBy(group_col).agg(F.count(F.lit(1)).alias("n_context")))
-    paths = sample_paths(df, horizon, num_samples, group_col)
-    q = sample_quantile(paths, quantile, group=[group_col], step="step", value="price")
-    last = paths.groupBy(group_col).agg(F.first("last_price").alias("last_price"))
-    out = counts.join(q, group_col, "left").join(last, group_col, "left")
+    log return against the latest price.  The whole history is sampled
+    unless ``num_samples`` says how many of the newest paths are."""
+    valid, full = _valid_prices(df, group_col, price_col)
+    counts = valid.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_context"),
+                                          F.max_by("price", F.struct(*full)).alias("last_price"))
+    paths = sample_paths(df, horizon, num_samples, group_col, segment, price_col)
+    q = sample_quantile(paths.where(F.col("step") == horizon), quantile, group=[group_col], step="step", value="price")
+    out = counts.join(q, group_col, "left")
     accepted = F.col("n_context") >= min_context
     return out.select(
         group_col, "n_context", accepted.alias("accepted"), "last_price",
@@ -473,27 +543,31 @@ def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float,
 
 def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, quantile: float = QUANTILE,
                            min_context: int = MIN_CONTEXT, group_col: str = "symbol",
-                           segment: str | Column | None = "auto") -> DataFrame:
-    """Row 49 for every row (quirk Q8): the forecast a request ending at that
-    row would get.  Paths replayed from the row's own price p_t scale with
-    p_t, so the quantile of the last step is p_t * percentile(exp(r_h)) over
-    the newest ``num_samples`` h-step log returns r_h, a sliding window
-    aggregate.  The context guard counts the newest ``min_context`` valid
-    prices.  Long series are segmented with an exact halo."""
-    pc = pick_price_col(df)
-    valid = df.select(group_col, "date", finite_or_null(pc).alias("p")).where(F.col("p").isNotNull())
+                           segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None,
+                           keep: Sequence[str] = ()) -> DataFrame:
+    """Row 49 for every row (quirk Q8): the forecast that
+    ``quantile_forecast(num_samples=...)`` would make of the prices up to it.
+
+    Paths replayed from the row's own price p_t scale with p_t, so the
+    quantile of the last step is p_t * percentile(exp(r_h)) over the newest
+    ``num_samples`` h-step log returns r_h (fewer at a series' start), a
+    sliding window.  Long series are segmented with an exact halo.  ``keep``
+    columns ride along."""
+    keep = [c for c in keep if c not in (group_col, "date")]
+    pc = price_col or pick_price_col(df)
+    df, full, _ = total_order(df, ["date"])
+    valid = df.select(group_col, *full, *[c for c in keep if c not in full], finite_or_null(pc).alias("_p")).where(F.col("_p").isNotNull())
     back = max(num_samples + horizon - 1, min_context - 1)
-    halo = with_halo(valid, [group_col], ["date"], segment_of("date", segment, valid, [group_col]), back=back)
-    w = Window.partitionBy(group_col, SEG).orderBy("date")
-    lp = F.ln(F.col("p"))
+    halo = with_halo(valid, [group_col], full, segment_of("date", segment), back=back)
+    w = Window.partitionBy(group_col, SEG).orderBy(*full)
+    lp = F.ln(F.col("_p"))
     step = halo.select("*", (lp - F.lag(lp, horizon).over(w)).alias("_rh"))
     frame = w.rowsBetween(-(num_samples - 1), 0)
     ctx = w.rowsBetween(-(min_context - 1), 0)
-    full = F.count(F.col("_rh")).over(frame) == num_samples
-    q_price = F.col("p") * F.percentile(F.exp(F.col("_rh")), quantile).over(frame)
-    accepted = (F.count(F.lit(1)).over(ctx) == min_context) & full
+    q_price = F.col("_p") * F.percentile(F.exp(F.col("_rh")), quantile).over(frame)
+    accepted = F.count(F.lit(1)).over(ctx) == min_context
     out = step.select(
-        group_col, "date", F.col("p").alias("last_price"), accepted.alias("accepted"),
+        group_col, "date", *keep, F.col("_p").alias("last_price"), accepted.alias("accepted"),
         F.when(accepted, q_price).alias("pred_price"), HALO,
     ).where(F.col(HALO) == 0).drop(HALO)
     return out.withColumn("pred_return", return_from_price("pred_price", "last_price"))

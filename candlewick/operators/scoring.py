@@ -18,6 +18,8 @@ from candlewick.functions.columns import finite_or_null, price_from_return
 from candlewick.operators.features import MIN_FEATURE_ROWS, model_feature_names, tabular_features
 from candlewick.operators.guards import drop_incomplete
 from candlewick.operators.models import FittedModel
+from candlewick.plans.segments import DEFAULT_SEGMENT, total_order
+from candlewick.sources.bars import parse_date
 
 # Fixed values that must equal the reference's.
 HORIZON_MIN, HORIZON_MAX = 1, 30
@@ -54,12 +56,14 @@ def validate_requests(req: DataFrame) -> DataFrame:
     bars_ok = F.forall("ohlcv_window", bar_ok)
     reason = _join_reasons(
         _reason(F.col("symbol").isNull(), "symbol is required"),
-        _reason(F.col("horizon").isNull() | (F.col("horizon") < HORIZON_MIN) | (F.col("horizon") > HORIZON_MAX),
+        # an omitted horizon is HORIZON_MIN
+        _reason((F.col("horizon") < HORIZON_MIN) | (F.col("horizon") > HORIZON_MAX),
                 f"horizon must be between {HORIZON_MIN} and {HORIZON_MAX}"),
         _reason(F.col("last_close").isNotNull() & ~(F.col("last_close") > 0), "last_close must be > 0"),
         _reason(F.col("last_returns").isNotNull()
                 & ((F.size("last_returns") < RETURNS_MIN) | (F.size("last_returns") > RETURNS_MAX)),
                 f"last_returns must hold {RETURNS_MIN} to {RETURNS_MAX} values"),
+        _reason(F.exists("last_returns", lambda x: x.isNull() | F.isnan(x)), "last_returns must be numbers"),
         _reason(F.col("ohlcv_window").isNotNull() & ~bars_ok,
                 "every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume"),
     )
@@ -113,34 +117,68 @@ def explode_window(req: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return coerce_date(flat, "date")
 
 
+def distinct_records(req: DataFrame) -> DataFrame:
+    """One row per distinct record, with ``_rid`` (a digest of the whole
+    record, the only key of its series) and ``_copies``.
+
+    The sender's ``request_id`` may be absent or repeated, so it is data; the
+    digest is the same when a task runs again.  Records are shuffled once,
+    nested, and everything after is partitioned by ``_rid`` already.
+    """
+    whole = F.struct(*[F.col(c) for c in req.columns])
+    return (req.withColumn("_rid", F.md5(F.to_json(whole)))
+            .groupBy("_rid").agg(F.first(whole).alias("_r"), F.count(F.lit(1)).alias("_copies"))
+            .select("_rid", "_copies", "_r.*"))
+
+
+def _each_copy(df: DataFrame) -> DataFrame:
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies", "_rid")
+
+
+def _usable_bars(window: Column) -> Column:
+    """Bars with a price and a date, with their place in the window."""
+    def bar(b: Column, i: Column) -> Column:
+        return F.struct(i.cast("int").alias("bar_index"), parse_date(b["date"]).alias("date"),
+                        *[finite_or_null(b[c]).alias(c) for c in ("open", "high", "low", "close", "adj_close")],
+                        b["volume"].alias("volume"), b["adj_close"].isNotNull().alias("_priced"))
+
+    return F.filter(F.transform(window, bar), lambda b: b["_priced"] & b["date"].isNotNull())
+
+
+def _record_features(records: DataFrame, window: Column, carry: Sequence[str], price_col: str) -> tuple[DataFrame, list[str]]:
+    """Feature rows of every record (a record without a usable bar has one
+    row of nulls) and the feature names."""
+    bars = records.select("_rid", "_copies", *carry, F.explode_outer(_usable_bars(window)).alias("_b"))
+    bars = bars.select("_rid", "_copies", *carry, "_b.bar_index", "_b.date",
+                       *[F.col(f"_b.{c}") for c in BAR_FIELDS])
+    feats = tabular_features(bars, group_col="_rid", price_col=price_col, segment=None, tiebreak="bar_index")
+    return feats, [c for c in model_feature_names(feats) if c not in ("bar_index", *carry)]
+
+
 def features_for_requests(req: DataFrame, price_col: str = "adj_close", carry: Sequence[str] = ()) -> DataFrame:
     """Row 52: per-request feature rebuild; complete rows only.
 
-    Every request is its own series (partitioned by ``request_id``), so no
-    window ever mixes two requests.  ``carry`` request columns ride along
-    (names starting with ``_`` never count as model inputs).
+    Every record is its own series, whatever its ``request_id``.  ``carry``
+    request columns ride along.
     """
-    carry = list(carry)
-    bars = explode_window(req, carry).dropna(subset=["adj_close", "date"])
-    bars = bars.select(F.col("request_id"), "symbol", *carry, "date", "bar_index",
-                       *[finite_or_null(c).alias(c) for c in ("open", "high", "low", "close", "adj_close")],
-                       F.col("volume"))
-    feats = tabular_features(bars, group_col="request_id", price_col=price_col, segment=None, tiebreak="bar_index")
-    cols = [c for c in model_feature_names(feats) if c != "bar_index"]
-    return drop_incomplete(feats, cols, target=None)
+    carry = ["request_id", "symbol", *carry]
+    feats, cols = _record_features(distinct_records(req), F.col("ohlcv_window"), carry, price_col)
+    return _each_copy(drop_incomplete(feats, cols, target=None))
 
 
 def tail_rows(df: DataFrame, n: int, group_col: str = "symbol", order: Sequence[str] = ("date",)) -> DataFrame:
-    """Row 34: the newest ``n`` rows of every group, ``rn`` = 1 for the newest.
+    """Row 34: the newest ``n`` rows of every group, ``rn`` = 1 for the newest
+    (ties in ``order`` by the tie-breaker, quirk Q10).
 
     ``row_number() <= n`` is planned as a group limit, pre-applied before the
     shuffle, so a hot group never ships more than ``n`` rows per map task.
     """
-    w = Window.partitionBy(group_col).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    df, full, added = total_order(df, order)
+    w = Window.partitionBy(group_col).orderBy(*[F.col(c).desc() for c in full])
+    return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop(*added)
 
 
-def minimal_return_stats(req: DataFrame) -> DataFrame:
+def minimal_columns() -> dict[str, Column]:
     """Row 44: features from ``last_returns`` (mean / sample std of the last 5
     and 10 values, 0.0 std for one value), plus ``r_last`` and ``last_close``."""
     r = F.col("last_returns")
@@ -158,59 +196,63 @@ def minimal_return_stats(req: DataFrame) -> DataFrame:
         return F.when(F.size(a) > 1, F.sqrt(ss / (F.size(a) - 1))).otherwise(F.lit(0.0))
 
     s5, s10 = last_k(5), last_k(10)
-    return req.select(
-        "request_id", "symbol",
-        mean(s5).alias("r_mean_5"), std(s5).alias("r_std_5"),
-        mean(s10).alias("r_mean_10"), std(s10).alias("r_std_10"),
-        F.element_at(r, -1).alias("r_last"), F.col("last_close"),
-    )
+    return {"r_mean_5": mean(s5), "r_std_5": std(s5), "r_mean_10": mean(s10), "r_std_10": std(s10),
+            "r_last": F.element_at(r, -1), "last_close": F.col("last_close")}
 
 
-@dataclass
-class ScoreResult:
-    scored: DataFrame
-    rejected: DataFrame
+def minimal_return_stats(req: DataFrame) -> DataFrame:
+    return req.select("request_id", "symbol", *[c.alias(n) for n, c in minimal_columns().items()])
 
 
-def _finish(df: DataFrame, model: FittedModel, model_uri: str, loaded_at: float, mode: str) -> DataFrame:
-    return df.select(
-        "request_id", "symbol", F.col("prediction").alias("pred_return"),
-        price_from_return("last_price", "prediction").alias("pred_price"),
+@dataclass
+class ScoreResult:
+    """``outcomes`` has one row per record: the response, or a ``reason``.
+    ``scored`` and ``rejected`` are its two halves."""
+
+    outcomes: DataFrame
+
+    @property
+    def scored(self) -> DataFrame:
+        return self.outcomes.where(F.col("reason").isNull()).select(*RESULT_COLUMNS)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.outcomes.where(F.col("reason").isNotNull()).select("request_id", "symbol", "reason")
+
+
+def _outcomes(req: DataFrame, model: FittedModel, allow_minimal: bool, windows: bool, min_rows: int, row: str,
+              model_uri: str, loaded_at: float) -> ScoreResult:
+    """Validation, routing, features and prediction in one pass: a record is
+    shuffled once and comes out in one row, so it is in one half only."""
+    t = triage(distinct_records(req), allow_minimal, min_rows)
+    by_window = (F.col("route") == "window") & F.lit(windows)
+    price = F.coalesce(F.element_at("ohlcv_window", -1)["adj_close"], F.col("last_close"))   # the last bar *as sent* (quirk Q3)
+    stats = {c: F.when(F.col("route") == "minimal", x) for c, x in minimal_columns().items()}
+    t = t.select("_rid", "_copies", "request_id", "symbol", "route", "reason", price.alias("_price"),
+                 F.struct(*[x.alias(c) for c, x in stats.items()]).alias("_minimal"),
+                 F.when(by_window, F.col("ohlcv_window")).alias("_window"))
+    carry = ["request_id", "symbol", "route", "reason", "_price", "_minimal"]
+    feats, cols = _record_features(t, F.col("_window"), carry, "adj_close")
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & finite_or_null(F.col(c).cast("double")).isNotNull()
+    inputs = F.array(*[F.coalesce(finite_or_null(F.col(c).cast("double")), F.lit(0.0)) if c in feats.columns else F.lit(0.0)
+                       for c in model.feature_cols])
+    kept = F.when(complete, F.struct("date", "bar_index", inputs.alias("x"), F.col("adj_close").alias("p")))
+    # a record's complete rows in date order: no more than the bars it was sent with
+    one = feats.groupBy("_rid", "_copies").agg(F.first(F.struct(*carry)).alias("_c"),
+                                               F.array_sort(F.collect_list(kept)).alias("_rows"))
+    one = one.select("_rid", "_copies", "_c.*", "_rows")
+    no_rows = F.when((F.col("route") == "window") & (F.size("_rows") == 0), F.lit(MSG_NO_USABLE_ROWS))
+    one = model.predict_records(one.withColumn("reason", F.coalesce("reason", no_rows)), min_rows, row)
+    done = F.col("reason").isNull()
+    out = one.select(
+        "_rid", "_copies", "request_id", "symbol", "reason",
+        F.when(done, F.col("prediction")).alias("pred_return"),
+        F.when(done, price_from_return("_price", "prediction")).alias("pred_price"),
         F.lit(model_uri).alias("model_uri"), F.lit(float(loaded_at)).alias("loaded_at_unix"),
-        F.lit(mode).alias("used_mode"),
-    )
-
-
-def _score_window_route(t: DataFrame, model: FittedModel, min_rows: int, row: str, model_uri: str,
-                        loaded_at: float) -> tuple[DataFrame, DataFrame]:
-    # the last bar *as sent* prices the forecast (quirk Q3); it rides along on
-    # the bar rows, so no join back to the requests is needed
-    win = t.where(F.col("route") == "window").withColumn(
-        "_last_price", F.element_at("ohlcv_window", -1)["adj_close"])
-    feats = features_for_requests(win, carry=["_last_price"])
-    # position among the request's complete rows, counted with the order the
-    # feature windows already sorted by (no second sort): the newest row is
-    # i = n, the oldest of the last ``min_rows`` is i = max(1, n - min_rows + 1)
-    w = Window.partitionBy("request_id").orderBy("date", "bar_index")
-    ranked = (feats.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("request_id")))
-              .withColumn("_i", F.row_number().over(w)))
-    target = F.col("_n") if row == "last" else F.greatest(F.col("_n") - (min_rows - 1), F.lit(1))
-    chosen = ranked.where(F.col("_i") == target)
-    preds = model.transform(chosen, keep=["request_id", "symbol", "_last_price"])
-    scored = _finish(preds.withColumnRenamed("_last_price", "last_price"), model, model_uri, loaded_at, MODE_WINDOW)
-    no_rows = (win.join(preds.select("request_id"), "request_id", "left_anti")
-               .select("request_id", "symbol", F.lit(MSG_NO_USABLE_ROWS).alias("reason")))
-    return scored, no_rows
-
-
-def _score_minimal_route(t: DataFrame, model: FittedModel, model_uri: str, loaded_at: float) -> DataFrame:
-    feats = minimal_return_stats(t.where(F.col("route") == "minimal"))
-    preds = model.transform(feats, keep=["request_id", "symbol", "last_close"])
-    return _finish(preds.withColumnRenamed("last_close", "last_price"), model, model_uri, loaded_at, MODE_MINIMAL)
-
-
-def _rejected(t: DataFrame) -> DataFrame:
-    return t.where(F.col("route") == "rejected").select("request_id", "symbol", "reason")
+        F.when(F.col("route") == "window", MODE_WINDOW).otherwise(MODE_MINIMAL).alias("used_mode"))
+    return ScoreResult(_each_copy(out))
 
 
 def score_windows(req: DataFrame, model: FittedModel, min_rows: int = MIN_FEATURE_ROWS, row: str = "last",
@@ -219,29 +261,23 @@ def score_windows(req: DataFrame, model: FittedModel, min_rows: int = MIN_FEATUR
     rows -> predict.  ``row='last'`` scores the newest row; ``row='first'``
     the oldest row of the tail (the reference's ``y_hat[0]``, quirk Q2).
     The last price is the last bar *as sent* (quirk Q3)."""
-    t = triage(req, allow_minimal=False, min_rows=min_rows)
-    scored, no_rows = _score_window_route(t, model, min_rows, row, model_uri, loaded_at)
-    return ScoreResult(scored, _rejected(t).unionByName(no_rows))
+    return _outcomes(req, model, False, True, min_rows, row, model_uri, loaded_at)
 
 
 def score_minimal(req: DataFrame, model: FittedModel, model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
-    """Row 54: minimal-mode requests -> return stats -> align -> predict."""
-    t = triage(req, allow_minimal=True)
-    return ScoreResult(_score_minimal_route(t, model, model_uri, loaded_at), _rejected(t))
+    """Row 54: minimal-mode requests -> return stats -> align -> predict.
+    Requests with a window are in neither half."""
+    return _outcomes(req.where(F.col("ohlcv_window").isNull()), model, True, False, MIN_FEATURE_ROWS, "last", model_uri, loaded_at)
 
 
 def score_requests(req: DataFrame, model: FittedModel, allow_minimal: bool = False, min_rows: int = MIN_FEATURE_ROWS,
                    row: str = "last", model_uri: str = "", loaded_at: float = 0.0) -> ScoreResult:
     """Both modes over one request table, triaged once; every request ends up
     in exactly one of ``scored`` / ``rejected``."""
-    t = triage(req, allow_minimal=allow_minimal, min_rows=min_rows)
-    scored, no_rows = _score_window_route(t, model, min_rows, row, model_uri, loaded_at)
-    if allow_minimal:
-        scored = scored.unionByName(_score_minimal_route(t, model, model_uri, loaded_at))
-    return ScoreResult(scored, _rejected(t).unionByName(no_rows))
+    return _outcomes(req, model, allow_minimal, True, min_rows, row, model_uri, loaded_at)
 
 
-def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = "auto") -> DataFrame:
+def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = DEFAULT_SEGMENT) -> DataFrame:
     """Row 55: the newest complete feature row of every symbol, scored."""
     feats = tabular_features(bars, segment=segment)
     cols = model_feature_names(feats)
@@ -262,6 +298,9 @@ def compare_families(df: DataFrame, models: dict[str, FittedModel], keep: Sequen
     for fam, m in models.items():
         p = m.transform(df, keep=list(keep)).withColumn("family", F.lit(fam))
         preds = p if preds is None else preds.unionByName(p)
-    wide = preds.groupBy(*[c for c in keep if c != "target"]).pivot("family", list(models)).agg(F.first("prediction"))
+    # equal keys stay apart: each copy of a key is numbered within its family
+    keys = [c for c in keep if c != "target"]
+    nth = F.row_number().over(Window.partitionBy("family", *keys).orderBy(*[c for c in keep if c not in keys], "prediction"))
+    wide = preds.withColumn("_nth", nth).groupBy(*keys, "_nth").pivot("family", list(models)).agg(F.first("prediction")).drop("_nth")
     metrics = fold_metrics(preds.withColumn("fold", F.lit(None).cast("int")), by=("family",))
     return wide, metrics

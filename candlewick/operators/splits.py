@@ -16,8 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.plans.prefix import join_small, running_offsets
-from candlewick.plans.segments import SEG, segment_of
+from candlewick.plans.prefix import running_offsets
+from candlewick.plans.segments import DEFAULT_SEGMENT, SEG, segment_of, total_order
 
 # Fixed values that must equal the reference's.
 HOLDOUT_TRAIN_FRACTION = 0.8
@@ -31,22 +31,20 @@ class Positioned:
 
 
 def global_position(df: DataFrame, group_col: str = "symbol", order: Sequence[str] = ("date",),
-                    segment: str | Column | None = "auto", out: str = "pos") -> Positioned:
-    """Row 32: dense 0..n-1 position in (group, order) order."""
-    seg = segment_of("date", segment, df, [group_col])
+                    segment: str | Column | None = DEFAULT_SEGMENT, out: str = "pos") -> Positioned:
+    """Row 32: dense 0..n-1 position in (group, order, tie-breaker) order."""
+    df, full, added = total_order(df, order)
+    seg = segment_of("date", segment)
     d = df.withColumn(SEG, seg if seg is not None else F.lit(0).cast("long"))
-    counts = d.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
-    stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
-    n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
-    offs = running_offsets(counts, [group_col, SEG], "_n", "_segoff", rows=n_segs)
-    w = Window.partitionBy(group_col, SEG).orderBy(*order)
+    offs = running_offsets(d.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n")), [group_col, SEG], "_n", "_segoff")
+    w = Window.partitionBy(group_col, SEG).orderBy(*full)
     local = d.withColumn("_rn", F.row_number().over(w) - 1)
     out_df = (
-        join_small(local, offs.select(group_col, SEG, "_segoff"), [group_col, SEG], small_rows=n_segs)
+        local.join(offs.df.select(group_col, SEG, "_segoff"), [group_col, SEG])
         .withColumn(out, (F.col("_segoff") + F.col("_rn")).cast("long"))
-        .drop("_segoff", "_rn", SEG)
+        .drop("_segoff", "_rn", SEG, *added)
     )
-    return Positioned(out_df, n)
+    return Positioned(out_df, offs.total)
 
 
 def date_position(df: DataFrame, date_col: str = "date", out: str = "dpos") -> Positioned:
@@ -54,12 +52,8 @@ def date_position(df: DataFrame, date_col: str = "date", out: str = "dpos") -> P
 
     All rows of one date share it, so a cut on it never splits a date.
     """
-    counts = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n")).persist()
-    stats = counts.agg(F.count(F.lit(1)).alias("dates"), F.sum("_n").alias("rows")).first()
-    n_dates, n = int(stats["dates"]), int(stats["rows"] or 0)
-    offs = running_offsets(counts, [date_col], "_n", out, rows=n_dates)
-    out_df = join_small(df, offs.select(date_col, out), [date_col], small_rows=n_dates)
-    return Positioned(out_df, n)
+    offs = running_offsets(df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n")), [date_col], "_n", out)
+    return Positioned(df.join(offs.df.select(date_col, out), [date_col]), offs.total)
 
 
 @dataclass(frozen=True)

@@ -12,19 +12,18 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import models as M
 from candlewick.operators.features import model_feature_names, series_window, tabular_features
 from candlewick.operators.guards import drop_incomplete, min_rows_guard
-from candlewick.operators.metrics import cv_summary, fold_metrics, metrics_long, run_summary
+from candlewick.operators.metrics import cv_summary, fold_metrics, metrics_long, run_summary, write_metrics
 from candlewick.operators.splits import (
-    FoldPlan, chronological_holdout, date_folds, fold_plan, fold_test, fold_train, global_position, holdout_cut,
+    FoldPlan, chronological_holdout, date_position, fold_plan, fold_test, fold_train, global_position, holdout_cut,
 )
-from candlewick.plans.prefix import join_small, running_offsets
-from candlewick.plans.segments import SEG
+from candlewick.plans.prefix import running_offsets
+from candlewick.plans.segments import DEFAULT_SEGMENT, SEG
 from candlewick.session import Saved, materialize, save
 from candlewick.sources.bars import filter_universe, require_columns
 
@@ -35,7 +34,6 @@ FAMILY_ALIASES = {
     "custom_transformer": "custom_transformer", "transformer": "custom_transformer",
     "hf_finetune": "hf_finetune", "hf": "hf_finetune",
 }
-SEQUENCE_FAMILIES = ("custom_transformer", "hf_finetune")
 MSG_UNKNOWN_FAMILY = "Unknown model_family: {name}"
 
 
@@ -60,7 +58,7 @@ class TrainingRows:
 
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
-                  segment: str | Column | None = "auto", by: str = "position", checkpoint: bool = True) -> TrainingRows:
+                  segment: str | Column | None = DEFAULT_SEGMENT, by: str = "position", checkpoint: bool = True) -> TrainingRows:
     """Rows 1, 6, 20, 30, 31, 13, 16, 7, 32: complete rows with their position.
 
     ``by="position"`` (the reference's order) runs as one feature pass: the
@@ -78,15 +76,13 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         feature_cols = model_feature_names(feats)
         rows = drop_incomplete(feats, feature_cols, "target")
         if by == "date":
-            if checkpoint:
-                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by the date counts and the write
-            framed, _ = date_folds(rows)
-            framed = framed.withColumnRenamed("dpos", "pos").drop("fold", "is_train")
-            if checkpoint:
-                stored = save(framed, "training-rows")
-                rows.unpersist()
-                return TrainingRows(stored.df, stored.df.count(), feature_cols, stored)
-            return TrainingRows(framed, framed.count(), feature_cols)
+            complete = save(rows, "complete-rows") if checkpoint else None     # read by the date counts and the join
+            placed = date_position(complete.df if complete else rows, out="pos")
+            if complete is None:
+                return TrainingRows(placed.df, placed.n, feature_cols)
+            stored = save(placed.df, "training-rows")
+            complete.drop()
+            return TrainingRows(stored.df, placed.n, feature_cols, stored)
         pos = global_position(rows, segment=segment)
         return TrainingRows(pos.df, pos.n, feature_cols)
 
@@ -95,35 +91,33 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     order = ["date", "_tb"]
     rows = drop_incomplete(feats, feature_cols, "target")
     ranked = rows.withColumn("_rn", F.row_number().over(series_window("symbol", order)) - 1)
-    saved = save(ranked.drop("_tb"), "training-rows")
+    saved = save(ranked, "training-rows")       # with the tie-breaker, which later windows use
     stored = saved.df
-    counts = stored.groupBy("symbol", SEG).agg(F.count(F.lit(1)).alias("_n")).persist()
-    stats = counts.agg(F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows")).first()
-    n_segs, n = int(stats["segs"]), int(stats["rows"] or 0)
-    # one row per segment; kept (memory, spilling to disk) because every fold reads it
-    offs = running_offsets(counts, ["symbol", SEG], "_n", "_segoff", rows=n_segs).select(
-        "symbol", SEG, "_segoff").persist(StorageLevel.MEMORY_AND_DISK)
-    counts.unpersist()
+    offs = running_offsets(stored.groupBy("symbol", SEG).agg(F.count(F.lit(1)).alias("_n")), ["symbol", SEG], "_n", "_segoff")
     framed = (
-        join_small(stored, offs, ["symbol", SEG], small_rows=n_segs)
+        stored.join(offs.df.select("symbol", SEG, "_segoff"), ["symbol", SEG])
         .withColumn("pos", (F.col("_segoff") + F.col("_rn")).cast("long"))
         .drop("_segoff", "_rn", SEG)
     )
-    return TrainingRows(framed, n, feature_cols, saved)
+    return TrainingRows(framed, offs.total, feature_cols, saved)
 
 
-def fit_family(family: str, alpha: float = M.RIDGE_ALPHA) -> Callable[[DataFrame, list[str], DataFrame | None], M.FittedModel]:
+def fit_family(family: str, alpha: float = M.RIDGE_ALPHA, grid: list | None = None) -> Callable[[DataFrame, list[str], DataFrame | None], M.FittedModel]:
     fam = family_of(family)
     if fam == "ridge":
         return lambda tr, cols, va: M.ridge_fit(tr, cols, alpha)
     if fam == "automl":
-        return lambda tr, cols, va: M.select_model(tr, va if va is not None else tr, cols).best
+        def select(tr, cols, va):
+            if va is None:
+                raise ValueError("automl needs a validation frame")
+            return M.select_model(tr, va, cols, grid=grid).best
+        return select
     raise ValueError(f"{family} is not a tabular family")
 
 
 def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5, alpha: float = M.RIDGE_ALPHA,
                    feature_cols: Sequence[str] | None = None, parallelism: int | None = None,
-                   method: str = "gram") -> tuple[DataFrame, FoldPlan]:
+                   method: str = "gram", grid: list | None = None) -> tuple[DataFrame, FoldPlan]:
     """Row 50: k expanding folds, predictions unioned, one grouped aggregate.
 
     Ridge with ``method="gram"`` needs one pass over the data for all folds
@@ -136,7 +130,7 @@ def cross_validate(rows: TrainingRows, family: str = "ridge", n_splits: int = 5,
     plan = fold_plan(rows.n, n_splits)
     if fam == "ridge" and method == "gram":
         return _ridge_cv_gram(rows, plan, cols, alpha)[0], plan
-    fit = fit_family(fam, alpha)
+    fit = fit_family(fam, alpha, grid)
 
     def one(i: int) -> DataFrame:
         tr, te = fold_train(rows.df, plan, i), fold_test(rows.df, plan, i)
@@ -196,77 +190,96 @@ class TrainResult:
     params: dict = field(default_factory=dict)
 
 
+#: Parameters of the sequence families and their defaults.
+FAMILY_PARAMS = {
+    "custom_transformer": {"seq_len": M.SEQ_LEN},
+    "hf_finetune": {"num_samples": M.NUM_SAMPLES, "quantile": M.QUANTILE, "min_context": M.MIN_CONTEXT},
+}
+
+
 def train_pipeline(bars: DataFrame, family: str = "ridge", horizon: int = 1, n_splits: int = 5,
                    universe: Sequence[str] | None = None, alpha: float = M.RIDGE_ALPHA, run: str = "run",
                    cv_for_deep_models: bool = False, by: str = "position", model_path: str | None = None,
-                   metrics_path: str | None = None, segment: str | Column | None = "auto",
-                   feature_cols: Sequence[str] | None = None) -> TrainResult:
+                   metrics_path: str | None = None, segment: str | Column | None = DEFAULT_SEGMENT,
+                   feature_cols: Sequence[str] | None = None, price_col: str = "adj_close",
+                   family_params: dict | None = None, grid: list | None = None) -> TrainResult:
     """Row 51: training rows -> guard -> walk-forward CV -> 80/20 holdout fit
     -> save model + metrics.  ``feature_cols`` restricts the model inputs
-    (default: every numeric column, as the reference infers them)."""
+    (default: every numeric column, as the reference infers them);
+    ``family_params`` overrides ``FAMILY_PARAMS``, ``grid`` the automl grid.
+
+    The training rows' table is deleted at the end: what is returned reads
+    only the small metrics table."""
     fam = family_of(family)
-    rows = training_rows(bars, horizon, universe=universe, segment=segment, by=by)
-    if feature_cols:
-        rows = TrainingRows(rows.df, rows.n, list(feature_cols))
+    unknown = set(family_params or {}) - set(FAMILY_PARAMS.get(fam, {}))
+    if unknown:
+        raise ValueError(f"{fam} has no parameters {sorted(unknown)}")
+    fp = FAMILY_PARAMS.get(fam, {}) | (family_params or {})
+    rows = training_rows(bars, horizon, price_col=price_col, universe=universe, segment=segment, by=by)
+    try:
+        return _train(rows, fam, fp, horizon, n_splits, alpha, run, cv_for_deep_models, model_path, metrics_path,
+                      list(feature_cols or rows.feature_cols), price_col, grid)
+    finally:
+        rows.release()
+
+
+def _train(rows: TrainingRows, fam: str, fp: dict, horizon: int, n_splits: int, alpha: float, run: str, deep_cv: bool,
+           model_path: str | None, metrics_path: str | None, cols: list[str], price_col: str, grid: list | None) -> TrainResult:
     min_rows_guard(rows.df, known_rows=rows.n)
     spark = rows.df.sparkSession
-    run_info = run_summary(rows.df, rows.feature_cols)
-
+    rows = TrainingRows(rows.df, rows.n, cols)
+    info = run_summary(rows.df, cols).first()
     cut = holdout_cut(rows.n)
-    fold_df, holdout_model, holdout_mae = None, None, None
+    params = {"rows": int(info["rows"]), "universe_size": int(info["universe_size"]), "num_features": len(cols),
+              "horizon": horizon, "n_splits": max(n_splits, 2), "holdout_cut": cut, "price_col": price_col, **fp}
+    # (metric, value) rows besides the folds: parameters that are numbers, then what the family reports
+    extra: list[tuple[str, float | None]] = [(f"param_{k}", float(v)) for k, v in params.items() if not isinstance(v, str)]
+
+    fold_df: DataFrame | None = None
+    split = chronological_holdout(rows.df, rows.n)
+    tr, va = split.where("is_train"), split.where("NOT is_train")
     if fam == "ridge":
         # folds and the final 80/20 fit from one Gram pass; fold metrics and
         # the validation MAE from one scan (validation rows are fold -1)
-        all_m, prefix = _ridge_cv_gram(rows, fold_plan(rows.n, n_splits), rows.feature_cols, alpha, holdout_cut=cut)
+        all_m, prefix = _ridge_cv_gram(rows, fold_plan(rows.n, n_splits), cols, alpha, holdout_cut=cut)
         all_m = materialize(all_m, "fold-metrics")
         fold_df = all_m.where(F.col("fold") >= 0)
-        val_row = all_m.where(F.col("fold") == -1).first()
-        holdout_mae = None if val_row is None else val_row["mae"]
-        holdout_model = M.fitted_from_coefficients(prefix[cut], "ridge", {"alpha": alpha, "solver": "gram"})
-    elif fam not in SEQUENCE_FAMILIES or cv_for_deep_models:
-        if fam in SEQUENCE_FAMILIES:
-            fold_df = _cv_sequence(rows, fam, n_splits)
-        else:
-            fold_df, _ = cross_validate(rows, fam, n_splits, alpha)
-        fold_df = materialize(fold_df, "fold-metrics")
-
-    split = chronological_holdout(rows.df, rows.n)
-    tr, va = split.where("is_train"), split.where("NOT is_train")
-    extra = []
-    if fam in ("ridge", "automl"):
-        model = holdout_model or fit_family(fam, alpha)(tr, rows.feature_cols, va)
-        from candlewick.operators.metrics import mae as mae_agg
-
-        val = holdout_mae if holdout_model is not None else mae_agg(model.transform(va, keep=["target"])).first()["mae"]
-        extra.append((fam, None, "val_mae", float(val) if val is not None else None))
-        if model_path:
-            M.write_model(model, model_path)
-    elif fam == "custom_transformer":
-        model, history = M.sequence_fit(tr, rows.feature_cols)
-        extra += [(fam, None, f"train_objective_iter_{i}", float(v)) for i, v in enumerate(history)]
-        if model_path:
-            model.write().overwrite().save(model_path)
+        val = all_m.where(F.col("fold") == -1).first()
+        model = M.fitted_from_coefficients(prefix[cut], "ridge", {"alpha": alpha, "solver": "gram"})
+        extra += [("param_alpha", float(alpha)), ("val_mae", None if val is None else val["mae"])]
+    elif fam == "automl":
+        fold_df = materialize(cross_validate(rows, fam, n_splits, alpha, grid=grid)[0], "fold-metrics")
+        found = M.select_model(tr, va, cols, grid=grid)
+        model = found.best
+        extra.append(("val_mae", model.params["val_mae"]))
+        for i, t in enumerate(found.trials):
+            extra.append((f"trial_{i}_{t['estimator']}_val_mae", float(t["val_mae"])))
+            extra += [(f"trial_{i}_{t['estimator']}_{k}", float(v)) for k, v in t.items() if k not in ("estimator", "val_mae")]
     else:
-        model = None  # sample-quantile forecaster is fitted at scoring time from the price context
+        if deep_cv:
+            fold_df = materialize(_cv_sequence(rows, fam, n_splits, fp, horizon, price_col), "fold-metrics")
+        if fam == "custom_transformer":
+            model, history = M.sequence_model(tr, cols, fp["seq_len"])
+            extra += [(f"train_mae_epoch_{i}", v) for i, v in enumerate(history)]
+        else:
+            model = M.ForecastModel(None, cols, fam, {**fp, "horizon": horizon, "price_col": price_col})
+    if model_path:
+        M.write_model(model, model_path)
 
     if fold_df is None:
         fold_df = spark.createDataFrame([], "family string, fold int, mae double, diracc double, n long")
-    summary = cv_summary(fold_df)
-    extra_df = spark.createDataFrame(extra, "family string, fold int, metric string, value double") if extra else None
-    metrics = metrics_long(fold_df, summary, run, extra_df)
-    params_row = run_info.first()
-    params = {"rows": int(params_row["rows"]), "universe_size": int(params_row["universe_size"]),
-              "num_features": len(rows.feature_cols), "horizon": horizon, "n_splits": max(n_splits, 2),
-              "holdout_cut": cut}
+    extra_df = spark.createDataFrame([(fam, None, k, None if v is None else float(v)) for k, v in extra],
+                                     "family string, fold int, metric string, value double")
+    metrics = materialize(metrics_long(fold_df, cv_summary(fold_df), run, extra_df), "metrics")
     if metrics_path:
-        metrics.write.mode("append").partitionBy("family").parquet(metrics_path)
-    return TrainResult(fam, model, rows.feature_cols, rows.n, metrics, params)
+        write_metrics(metrics, metrics_path)
+    return TrainResult(fam, model, cols, rows.n, metrics, params)
 
 
-def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int) -> DataFrame:
+def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int, fp: dict, horizon: int, price_col: str) -> DataFrame:
     """CV of the sequence families (only with ``cv_for_deep_models``); every
-    test row is predicted (quirk Q8)."""
-    from pyspark import StorageLevel
+    test row with a full window or context is predicted (quirk Q8), and all
+    three metrics are of those rows (``n`` counts them)."""
     from pyspark.ml.functions import array_to_vector
 
     plan = fold_plan(rows.n, n_splits)
@@ -275,28 +288,28 @@ def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int) -> DataFrame:
     if fam == "custom_transformer":
         # windows over all rows (a test row's window may reach into training
         # rows) built once for every fold; each fold fits on its own prefix
-        windows = (M.sequence_windows(rows.df, rows.feature_cols, keep=["pos"])
-                   .where(pos >= plan.first_test)
-                   .select(fold.alias("fold"), "target", array_to_vector("seq").alias("features"))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
+        windows = (M.sequence_windows(rows.df, rows.feature_cols, fp["seq_len"], keep=["pos"])
+                   .select("pos", "target", array_to_vector("seq").alias("features")))
+        stored = save(windows, "sequence-windows")
 
         def one(i: int) -> DataFrame:
-            model, _ = M.sequence_fit(fold_train(rows.df, plan, i), rows.feature_cols)
-            return model.transform(windows.where(F.col("fold") == i)).select("fold", "target", "prediction")
+            from pyspark.ml.regression import LinearRegression
+
+            lr = LinearRegression(featuresCol="features", labelCol="target", loss="huber", maxIter=50, regParam=0.0)
+            model = lr.fit(stored.df.where(pos < plan.test_start(i)).select("target", "features"))
+            test = stored.df.where((pos >= plan.test_start(i)) & (pos < plan.test_end(i)))
+            return model.transform(test).select(F.lit(i).alias("fold"), "target", "prediction")
 
         with ThreadPoolExecutor(max_workers=plan.k) as pool:
             parts = list(pool.map(one, range(plan.k)))
         preds = parts[0]
         for p in parts[1:]:
             preds = preds.unionByName(p)
-        # write the (small) metrics before dropping the cached windows
+        # write the (small) metrics before the windows go
         out = materialize(fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold")), "seq-metrics")
-        windows.unpersist()
+        stored.drop()
         return out
-    else:
-        # every test row gets the forecast made from the prices up to it
-        q = M.quantile_forecast_rows(rows.df.select("symbol", "date", "adj_close"))
-        preds = (rows.df.where(pos >= plan.first_test).select("symbol", "date", "target", fold.alias("fold"))
-                 .join(q.select("symbol", "date", F.col("pred_return").alias("prediction")), ["symbol", "date"])
-                 .select("fold", "target", "prediction"))
-    return fold_metrics(preds.withColumn("family", F.lit(fam)), by=("family", "fold"))
+    # every test row gets the forecast made from the prices up to it
+    model = M.ForecastModel(None, rows.feature_cols, fam, {**fp, "horizon": horizon, "price_col": price_col})
+    preds = model.transform(rows.df, keep=["pos", "target"]).where(pos >= plan.first_test)
+    return fold_metrics(preds.select(F.lit(fam).alias("family"), fold.alias("fold"), "target", "prediction"), by=("family", "fold"))

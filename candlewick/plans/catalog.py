@@ -11,6 +11,7 @@ alias and type on both sides, and every column is a scalar.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: Where the queries take their bars from; ``_on_lineitem`` runs some on the many symbols of lineitem.
+_BARS: ContextVar[Query] = ContextVar("bars", default=src.bars_from_orders)
+
+
 def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.bars_from_orders(spark, sf_dir)
+    return _BARS.get()(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------
@@ -43,10 +48,26 @@ def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 @register("load_bars", f"""
-SELECT symbol, date, {o.r6(["open", "high", "low", "close", "adj_close"])}, volume
-FROM ({o.BARS_ORDERS}) b""")
+SELECT symbol, date, {o.r6(["open", "high", "low", "close", "adj_close"])}, CAST(volume AS DOUBLE) AS volume
+FROM ({o.BARS_ORDERS}) b WHERE volume <> 2""")
 def q_load_bars(spark, sf_dir):
-    return round_doubles(src.prepare_bars(orders_bars(spark, sf_dir)))
+    """Row 1 on files: text dates in two layouts, dates that don't parse, keyless rows, text volumes, an extra column."""
+    bars = orders_bars(spark, sf_dir)
+    text = F.when(F.col("volume") % 3 == 0, F.date_format("date", "MM/dd/yyyy")).otherwise(F.date_format("date", "yyyy-MM-dd"))
+    bad = bars.where("volume = 2")
+    files = (bars.where("volume <> 2").withColumn("date", text)
+             .unionByName(bad.withColumn("date", F.lit("not a date")))
+             .unionByName(bad.withColumn("date", text).withColumn("symbol", F.lit(None).cast("string")))
+             .withColumn("volume", F.col("volume").cast("string")).withColumn("note", F.lit("x")))
+    path = _scratch(spark, "bars")
+    files.write.json(path)
+    return round_doubles(src.load_bars(spark, path, fmt="json").withColumn("date", F.to_date("date")).drop("note"))
+
+
+def _scratch(spark, name: str) -> str:
+    from candlewick.streaming.scoring_stream import scratch_dir
+
+    return scratch_dir(spark, name)
 
 
 # --------------------------------------------------------------------------
@@ -476,21 +497,23 @@ def _requests(spark, sf_dir):
 _REQ = f"req AS ({o.REQUESTS})"
 
 
-@register("validate_requests", f"""
-WITH {_REQ},
-v AS (SELECT request_id,
-             nullif(concat_ws('; ',
+_VALIDATION_REASON = """nullif(concat_ws('; ',
                CASE WHEN symbol IS NULL THEN 'symbol is required' END,
-               CASE WHEN horizon IS NULL OR horizon < 1 OR horizon > 30 THEN 'horizon must be between 1 and 30' END,
+               CASE WHEN horizon < 1 OR horizon > 30 THEN 'horizon must be between 1 and 30' END,
                CASE WHEN last_close IS NOT NULL AND NOT (last_close > 0) THEN 'last_close must be > 0' END,
                CASE WHEN last_returns IS NOT NULL AND (len(last_returns) < 5 OR len(last_returns) > 240)
                     THEN 'last_returns must hold 5 to 240 values' END,
+               CASE WHEN len(list_filter(last_returns, lambda x: x IS NULL OR isnan(x))) > 0 THEN 'last_returns must be numbers' END,
                CASE WHEN ohlcv_window IS NOT NULL AND NOT list_bool_and(list_transform(ohlcv_window, lambda b:
                       coalesce(NOT isnan(b.open) AND NOT isnan(b.high) AND NOT isnan(b.low) AND NOT isnan(b.close)
                                AND NOT isnan(b.adj_close) AND NOT isnan(b.volume), false)))
                     THEN 'every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume' END),
-             '') AS reject_reason
-      FROM req)
+             '')"""
+
+
+@register("validate_requests", f"""
+WITH {_REQ},
+v AS (SELECT request_id, {_VALIDATION_REASON} AS reject_reason FROM req)
 SELECT request_id, reject_reason IS NULL AS accepted, reject_reason FROM v""")
 def q_validate_requests(spark, sf_dir):
     from candlewick.operators.scoring import validate_requests
@@ -561,24 +584,26 @@ def q_minimal_return_stats(spark, sf_dir):
     return round_doubles(minimal_return_stats(req))
 
 
-def _request_feature_sql() -> str:
+def _request_feature_ctes_text() -> str:
+    """CTEs qx -> qbars -> qr -> qf -> qc over a CTE named ``req``."""
     part = "PARTITION BY request_id ORDER BY date, bar_index"
     feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
     cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
-    return f"""
-WITH {_REQ},
-x AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
+    return f"""qx AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
       FROM req, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
-bars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
+qbars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
                 bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
                 bar.adj_close AS adj_close, bar.volume AS volume
-         FROM x WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
-r AS ({o.returns_cte(part=part)}),
-f AS (SELECT *, {feats} FROM r)
-SELECT request_id, date, {o.r6(o.ALL_FEATURES)} FROM f WHERE {cond}"""
+         FROM qx WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
+qr AS ({o.returns_cte(src="qbars", part=part)}),
+qf AS (SELECT *, {feats} FROM qr),
+qc AS (SELECT * FROM qf WHERE {cond})"""
 
 
-@register("features_for_requests", _request_feature_sql())
+@register("features_for_requests", f"""
+WITH {_REQ},
+{_request_feature_ctes_text()}
+SELECT request_id, date, {o.r6(o.ALL_FEATURES)} FROM qc""")
 def q_features_for_requests(spark, sf_dir):
     from candlewick.operators.scoring import features_for_requests
 
@@ -596,39 +621,17 @@ def q_tail_rows(spark, sf_dir):
     return tail_rows(orders_bars(spark, sf_dir), 11).select("symbol", "date", "rn")
 
 
-def _request_feature_ctes_text() -> str:
-    """CTEs qx -> qbars -> qr -> qf -> qc over a CTE named ``req``."""
-    part = "PARTITION BY request_id ORDER BY date, bar_index"
-    feats = ",\n       ".join(f"{e} AS {n}" for n, e in o.feature_exprs(part=part))
-    cond = " AND ".join(f"{c} IS NOT NULL" for c in o.ALL_FEATURES)
-    return f"""qx AS (SELECT request_id, symbol, CAST(i - 1 AS INTEGER) AS bar_index, ohlcv_window[i] AS bar
-      FROM req, range(1, len(ohlcv_window) + 1) r(i) WHERE ohlcv_window IS NOT NULL),
-qbars AS (SELECT request_id, symbol, bar_index, CAST(TRY_CAST(bar.date AS TIMESTAMP) AS DATE) AS date,
-                bar.open AS open, bar.high AS high, bar.low AS low, bar.close AS close,
-                bar.adj_close AS adj_close, bar.volume AS volume
-         FROM qx WHERE bar.adj_close IS NOT NULL AND TRY_CAST(bar.date AS TIMESTAMP) IS NOT NULL),
-qr AS ({o.returns_cte(src="qbars", part=part)}),
-qf AS (SELECT *, {feats} FROM qr),
-qc AS (SELECT * FROM qf WHERE {cond})"""
-
-
 def _full_ridge(spark, sf_dir):
-    """36-feature ridge on the 80 % holdout of the orders bars (cached per sf_dir)."""
+    """36-feature ridge on the 80 % holdout of the orders bars."""
     from candlewick.operators.models import ridge_fit
     from candlewick.operators.splits import chronological_holdout
 
-    key = (id(spark), sf_dir)
-    if key not in _MODEL_CACHE:
-        rows = _training_rows(spark, sf_dir)
-        split = chronological_holdout(rows.df, rows.n)
-        _MODEL_CACHE[key] = ridge_fit(split.where("is_train"), rows.feature_cols, 1.0)
-    return _MODEL_CACHE[key]
-
-
-_MODEL_CACHE: dict = {}
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    return ridge_fit(split.where("is_train"), rows.feature_cols, 1.0)
 
 
-@register("score_windows")
+@register("score_windows_full")
 def q_score_windows(spark, sf_dir):
     from candlewick.operators.scoring import score_windows
 
@@ -636,19 +639,6 @@ def q_score_windows(spark, sf_dir):
     return round_doubles(res.scored)
 
 
-_VALIDATION_REASON = """nullif(concat_ws('; ',
-               CASE WHEN symbol IS NULL THEN 'symbol is required' END,
-               CASE WHEN horizon IS NULL OR horizon < 1 OR horizon > 30 THEN 'horizon must be between 1 and 30' END,
-               CASE WHEN last_close IS NOT NULL AND NOT (last_close > 0) THEN 'last_close must be > 0' END,
-               CASE WHEN last_returns IS NOT NULL AND (len(last_returns) < 5 OR len(last_returns) > 240)
-                    THEN 'last_returns must hold 5 to 240 values' END,
-               CASE WHEN ohlcv_window IS NOT NULL AND NOT list_bool_and(list_transform(ohlcv_window, lambda b:
-                      coalesce(NOT isnan(b.open) AND NOT isnan(b.high) AND NOT isnan(b.low) AND NOT isnan(b.close)
-                               AND NOT isnan(b.adj_close) AND NOT isnan(b.volume), false)))
-                    THEN 'every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume' END),
-             '')"""
-
-
 @register("score_windows_rejected", f"""
 WITH req AS ({o.REQUESTS}),
 {_request_feature_ctes_text()},
@@ -671,14 +661,14 @@ def q_score_windows_rejected(spark, sf_dir):
     return score_windows(_requests(spark, sf_dir), _full_ridge(spark, sf_dir)).rejected
 
 
-@register("score_minimal")
+@register("score_minimal_full")
 def q_score_minimal(spark, sf_dir):
     from candlewick.operators.scoring import score_minimal
 
     return round_doubles(score_minimal(_requests(spark, sf_dir), _full_ridge(spark, sf_dir)).scored)
 
 
-@register("score_latest_bars")
+@register("score_latest_bars_full")
 def q_score_latest_bars(spark, sf_dir):
     from candlewick.operators.scoring import score_latest_bars
 
@@ -712,30 +702,26 @@ tl AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r
 
 
 @register("price_context", f"""
-WITH {_VALID},
-c AS (SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted, list(p ORDER BY date) AS context
-      FROM cnt JOIN tl ON cnt.symbol = tl.symbol WHERE r <= 64 GROUP BY cnt.symbol, cnt.n_context)
-SELECT symbol, n_context, accepted, CAST(k - 1 AS INTEGER) AS k, {o.cn("context[k]")} AS price
-FROM c, range(1, 65) r(k) WHERE k <= len(context)""")
+WITH {_VALID}
+SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS k, {o.cn("p")} AS price, n_context,
+       n_context >= 64 AS accepted FROM v JOIN cnt USING (symbol)""")
 def q_price_context(spark, sf_dir):
-    """Row 35, one row per context price (k = 0 is the oldest kept price)."""
+    """Row 35, one row per valid price (k = 0 is the oldest)."""
     from candlewick.operators.models import price_context
 
-    pc = price_context(orders_bars(spark, sf_dir), min_context=64, last=64)
-    return round_doubles(pc.select("symbol", "n_context", "accepted", F.posexplode("context").alias("k", "price")))
+    return round_doubles(price_context(orders_bars(spark, sf_dir), min_context=64))
 
 
-def _paths_sql(h: int, num_samples: int = 256) -> str:
+def _paths_sql(h: int) -> str:
     steps = ", ".join([f"lag(ln(p), {h - s}) OVER (PARTITION BY symbol ORDER BY date)" for s in range(1, h)] + ["ln(p)"])
     return f"""{_VALID},
-tt AS (SELECT * FROM tl WHERE r <= {num_samples + h}),
 pw AS (SELECT symbol, r, p, first_value(p) OVER (PARTITION BY symbol ORDER BY date DESC) AS last_price,
-              lag(ln(p), {h}) OVER (PARTITION BY symbol ORDER BY date) AS base, [{steps}] AS steps FROM tt),
+              lag(ln(p), {h}) OVER (PARTITION BY symbol ORDER BY date) AS base, [{steps}] AS steps FROM tl),
 s AS (SELECT symbol, r - 1 AS sample_id, step, last_price, last_price * exp(steps[step] - base) AS price
-      FROM pw, range(1, {h + 1}) z(step) WHERE r <= {num_samples} AND base IS NOT NULL),
+      FROM pw, range(1, {h + 1}) z(step) WHERE base IS NOT NULL),
 q AS (SELECT symbol, step, quantile_cont(price, 0.5) AS qv FROM s GROUP BY symbol, step),
 qq AS (SELECT symbol, arg_max(qv, step) AS q_value, CAST(max(step) AS INTEGER) AS last_step FROM q GROUP BY symbol),
-lp AS (SELECT symbol, any_value(last_price) AS last_price FROM s GROUP BY symbol)"""
+lp AS (SELECT symbol, arg_max(p, date) AS last_price FROM v GROUP BY symbol)"""
 
 
 @register("sample_quantile", f"""
@@ -745,7 +731,7 @@ def q_sample_quantile(spark, sf_dir):
     from candlewick.operators.metrics import sample_quantile
     from candlewick.operators.models import sample_paths
 
-    paths = sample_paths(orders_bars(spark, sf_dir), horizon=2, num_samples=256)
+    paths = sample_paths(orders_bars(spark, sf_dir), horizon=2)
     return round_doubles(sample_quantile(paths, 0.5, ["symbol"], "step", "price"))
 
 
@@ -758,15 +744,14 @@ FROM cnt LEFT JOIN qq ON cnt.symbol = qq.symbol LEFT JOIN lp ON cnt.symbol = lp.
 def q_quantile_forecast(spark, sf_dir):
     from candlewick.operators.models import quantile_forecast
 
-    return round_doubles(quantile_forecast(orders_bars(spark, sf_dir), horizon=1, num_samples=256, quantile=0.5,
-                                           min_context=64))
+    return round_doubles(quantile_forecast(orders_bars(spark, sf_dir), horizon=1, quantile=0.5, min_context=64))
 
 
 # --------------------------------------------------------------------------
 # 2.7 model jobs with no SQL oracle (rows-only check)
 # --------------------------------------------------------------------------
 
-@register("select_model")
+@register("select_model_full")
 def q_select_model(spark, sf_dir):
     from candlewick.operators.models import select_model
     from candlewick.operators.splits import chronological_holdout
@@ -780,23 +765,23 @@ def q_select_model(spark, sf_dir):
     return round_doubles(spark.createDataFrame(out, "estimator string, val_mae double, best boolean"))
 
 
-@register("sequence_regressor")
+@register("sequence_regressor_full")
 def q_sequence_regressor(spark, sf_dir):
     from candlewick.operators.metrics import fold_metrics
-    from candlewick.operators.models import sequence_fit, sequence_predict
+    from candlewick.operators.models import sequence_model, sequence_predict
     from candlewick.operators.splits import chronological_holdout
 
     rows = _training_rows(spark, sf_dir)
     split = chronological_holdout(rows.df, rows.n)
-    model, history = sequence_fit(split.where("is_train"), rows.feature_cols, seq_len=30)
+    model, _ = sequence_model(split.where("is_train"), rows.feature_cols, seq_len=30)
     val_keys = split.where("NOT is_train").select("symbol", "date")
     preds = sequence_predict(model, rows.df, rows.feature_cols, 30).join(val_keys, ["symbol", "date"])
     m = fold_metrics(preds.withColumn("family", F.lit("custom_transformer")).withColumn("fold", F.lit(None).cast("int")),
                      by=("family",))
-    return round_doubles(m.withColumn("iterations", F.lit(len(history))))
+    return round_doubles(m.withColumn("iterations", F.lit(model.params["iterations"])))
 
 
-@register("compare_families")
+@register("compare_families_full")
 def q_compare_families(spark, sf_dir):
     from candlewick.operators.models import ridge_fit, select_model
     from candlewick.operators.scoring import compare_families
@@ -812,7 +797,7 @@ def q_compare_families(spark, sf_dir):
     return round_doubles(metrics)
 
 
-@register("write_model")
+@register("write_model_full")
 def q_write_model(spark, sf_dir):
     from candlewick.operators.models import read_model, write_model
     from candlewick.streaming.scoring_stream import scratch_dir
@@ -829,10 +814,9 @@ def q_write_model(spark, sf_dir):
         "same_features", F.lit(again.feature_cols == model.feature_cols)))
 
 
-QUERIES["read_model"] = QUERIES["write_model"]
 
 
-@register("train_pipeline")
+@register("train_pipeline_full")
 def q_train_pipeline(spark, sf_dir):
     from candlewick.operators.train import train_pipeline
 
@@ -840,7 +824,7 @@ def q_train_pipeline(spark, sf_dir):
     return round_doubles(res.metrics)
 
 
-@register("score_stream")
+@register("score_stream_full")
 def q_score_stream(spark, sf_dir):
     from candlewick.sources.requests import write_requests_json
     from candlewick.streaming.scoring_stream import score_stream, scratch_dir
@@ -892,15 +876,9 @@ def q_training_rows_by_month(spark, sf_dir):
 
 # --------------------------------------------------------------------------
 # Scoring with a one-feature ridge (closed form in SQL) so rows 4 and 53-56
-# get value oracles too; the 36-feature versions above stay rows-only.
+# get value oracles; the 36-feature runs are the ``*_full`` keys, rows-only.
 # --------------------------------------------------------------------------
 
-def _request_feature_ctes(req_cte: str = "req") -> str:
-    """CTEs qx -> qbars -> qr -> qf -> qc (complete per-request feature rows)."""
-    assert req_cte == "req"
-    return _request_feature_ctes_text()
-
-
 def _holdout_ridge_ctes(x: str, name: str) -> str:
     return f"""{name} AS (SELECT avg({x}) AS mx, avg(target) AS my,
               covar_pop({x}, target) * count(*) / (var_pop({x}) * count(*) + 1.0) AS b
@@ -908,10 +886,10 @@ def _holdout_ridge_ctes(x: str, name: str) -> str:
 
 
 _ONE_FEATURE_BASE = _N + ",\n" + _holdout_ridge_ctes("log_return_1", "st") + ",\n" + \
-    _holdout_ridge_ctes("r_mean_5", "st5") + f",\nreq AS ({o.REQUESTS}),\n" + _request_feature_ctes()
+    _holdout_ridge_ctes("r_mean_5", "st5") + f",\nreq AS ({o.REQUESTS}),\n" + _request_feature_ctes_text()
 
 _WINDOW_SCORED_SQL = f"""
-ok AS (SELECT * FROM req WHERE symbol IS NOT NULL AND horizon BETWEEN 1 AND 30 AND ohlcv_window IS NOT NULL
+ok AS (SELECT * FROM req WHERE symbol IS NOT NULL AND coalesce(horizon, 1) BETWEEN 1 AND 30 AND ohlcv_window IS NOT NULL
               AND len(ohlcv_window) >= 11),
 ql AS (SELECT request_id, symbol, log_return_1,
               row_number() OVER (PARTITION BY request_id ORDER BY date DESC, bar_index DESC) AS rn FROM qc),
@@ -922,27 +900,24 @@ ws AS (SELECT ql.request_id, ql.symbol, st.my - st.b * st.mx + st.b * ql.log_ret
 _MINIMAL_SCORED_SQL = """
 mk AS (SELECT request_id, symbol, last_close,
               list_slice(last_returns, greatest(len(last_returns) - 4, 1), len(last_returns)) AS s5
-       FROM req WHERE ohlcv_window IS NULL AND symbol IS NOT NULL AND horizon BETWEEN 1 AND 30
+       FROM req WHERE ohlcv_window IS NULL AND symbol IS NOT NULL AND coalesce(horizon, 1) BETWEEN 1 AND 30
              AND last_close IS NOT NULL AND last_close > 0
              AND last_returns IS NOT NULL AND len(last_returns) BETWEEN 5 AND 240)"""
 
 
 def _one_feature_models(spark, sf_dir):
-    key = (id(spark), sf_dir, "1f")
-    if key not in _MODEL_CACHE:
-        from candlewick.operators.models import ridge_fit
-        from candlewick.operators.splits import chronological_holdout
+    from candlewick.operators.models import ridge_fit
+    from candlewick.operators.splits import chronological_holdout
 
-        rows = _training_rows(spark, sf_dir)
-        tr = chronological_holdout(rows.df, rows.n).where("is_train")
-        _MODEL_CACHE[key] = (ridge_fit(tr, ["log_return_1"], 1.0), ridge_fit(tr, ["r_mean_5"], 1.0))
-    return _MODEL_CACHE[key]
+    rows = _training_rows(spark, sf_dir)
+    tr = chronological_holdout(rows.df, rows.n).where("is_train")
+    return ridge_fit(tr, ["log_return_1"], 1.0), ridge_fit(tr, ["r_mean_5"], 1.0)
 
 
 _SCORED_COLS = f"""{o.cn("pred")} AS pred_return, {o.cn("last_price * exp(pred)")} AS pred_price"""
 
 
-@register("score_windows_1f", f"""
+@register("score_windows", f"""
 WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL}
 SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:log_return_1' AS model_uri, CAST(0.0 AS DOUBLE) AS loaded_at_unix,
        'tabular_from_window_adj_close' AS used_mode FROM ws""")
@@ -953,7 +928,7 @@ def q_score_windows_1f(spark, sf_dir):
     return round_doubles(score_windows(_requests(spark, sf_dir), m1, model_uri="ridge:log_return_1").scored)
 
 
-@register("score_minimal_1f", f"""
+@register("score_minimal", f"""
 WITH {_ONE_FEATURE_BASE},{_MINIMAL_SCORED_SQL},
 ms AS (SELECT request_id, symbol, st5.my - st5.b * st5.mx + st5.b * list_avg(s5) AS pred, last_close AS last_price
        FROM mk, st5)
@@ -966,7 +941,7 @@ def q_score_minimal_1f(spark, sf_dir):
     return round_doubles(score_minimal(_requests(spark, sf_dir), m5, model_uri="ridge:r_mean_5").scored)
 
 
-@register("score_latest_bars_1f", f"""
+@register("score_latest_bars", f"""
 WITH {_ONE_FEATURE_BASE},
 fc AS (SELECT symbol, date, adj_close, log_return_1,
               row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn
@@ -981,7 +956,7 @@ def q_score_latest_bars_1f(spark, sf_dir):
     return round_doubles(score_latest_bars(orders_bars(spark, sf_dir), m1))
 
 
-@register("read_model_1f", f"""
+@register("read_model", f"""
 WITH {_ONE_FEATURE_BASE}
 SELECT symbol, date, {o.cn("st.my - st.b * st.mx + st.b * log_return_1")} AS prediction
 FROM p, nn, st WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)""")
@@ -1000,7 +975,7 @@ def q_read_model_1f(spark, sf_dir):
     return round_doubles(ridge_score(again, va, keep=["symbol", "date"]))
 
 
-@register("score_stream_1f", f"""
+@register("score_stream", f"""
 WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL},{_MINIMAL_SCORED_SQL},
 ms AS (SELECT request_id, symbol, st.my - st.b * st.mx AS pred, last_close AS last_price FROM mk, st)
 SELECT request_id, symbol, {_SCORED_COLS}, 'tabular_from_window_adj_close' AS used_mode FROM ws
@@ -1025,13 +1000,12 @@ WITH bars AS ({o.BARS_ORDERS}),
 v AS (SELECT symbol, date, adj_close AS p FROM bars WHERE adj_close IS NOT NULL AND NOT isnan(adj_close) AND NOT isinf(adj_close)),
 rh AS (SELECT symbol, date, p, ln(p) - lag(ln(p), 1) OVER (PARTITION BY symbol ORDER BY date) AS r FROM v),
 w AS (SELECT symbol, date, p,
-             count(r) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS nr,
              count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
              quantile_cont(exp(r), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS qe
       FROM rh)
-SELECT symbol, date, {o.cn("p")} AS last_price, nc = 64 AND nr = 256 AS accepted,
-       {o.cn("CASE WHEN nc = 64 AND nr = 256 THEN p * qe END")} AS pred_price,
-       {o.cn("CASE WHEN nc = 64 AND nr = 256 THEN ln(greatest(p * qe, 1e-12) / greatest(p, 1e-12)) END")} AS pred_return
+SELECT symbol, date, {o.cn("p")} AS last_price, nc = 64 AS accepted,
+       {o.cn("CASE WHEN nc = 64 THEN p * qe END")} AS pred_price,
+       {o.cn("CASE WHEN nc = 64 THEN ln(greatest(p * qe, 1e-12) / greatest(p, 1e-12)) END")} AS pred_return
 FROM w""")
 def q_quantile_forecast_rows(spark, sf_dir):
     """Row 49 per row (quirk Q8): the forecast a request ending at each bar would get."""
@@ -1041,7 +1015,7 @@ def q_quantile_forecast_rows(spark, sf_dir):
                                                 quantile=0.5, min_context=64))
 
 
-@register("compare_families_1f", f"""
+@register("compare_families", f"""
 WITH {_ONE_FEATURE_BASE},
 va AS (SELECT * FROM p, nn WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)),
 pr AS (SELECT 'ridge_log_return_1' AS family, target, st.my - st.b * st.mx + st.b * log_return_1 AS prediction FROM va, st
@@ -1062,7 +1036,7 @@ def q_compare_families_1f(spark, sf_dir):
     return round_doubles(metrics)
 
 
-@register("train_pipeline_1f", f"""
+@register("train_pipeline", f"""
 WITH {_RIDGE_FOLDS},
 """ + _holdout_ridge_ctes("log_return_1", "sth") + f""",
 fm AS (SELECT fold, avg(abs(target - prediction)) AS mae,
@@ -1073,7 +1047,11 @@ lng AS (SELECT fold, 'mae_fold_' || fold AS metric, mae AS value FROM fm
         UNION ALL SELECT fold, 'diracc_fold_' || fold, diracc FROM fm
         UNION ALL SELECT NULL, 'mae_cv_mean', avg(mae) FROM fm
         UNION ALL SELECT NULL, 'diracc_cv_mean', avg(diracc) FROM fm
-        UNION ALL SELECT NULL, 'val_mae', v FROM vm)
+        UNION ALL SELECT NULL, 'val_mae', v FROM vm
+        UNION ALL SELECT NULL, 'param_rows', n FROM nn
+        UNION ALL SELECT NULL, 'param_universe_size', count(DISTINCT symbol) FROM p
+        UNION ALL SELECT NULL, 'param_holdout_cut', floor(n * 0.8) FROM nn
+        UNION ALL SELECT NULL, k, x FROM (VALUES ('param_num_features', 1), ('param_horizon', 1), ('param_n_splits', 5), ('param_alpha', 1)) c(k, x))
 SELECT 'ridge_one_feature' AS run, 'ridge' AS family, CAST(fold AS INTEGER) AS fold, metric, {o.cn("value")} AS value
 FROM lng""")
 def q_train_pipeline_1f(spark, sf_dir):
@@ -1110,3 +1088,190 @@ def q_cross_validate_by_date(spark, sf_dir):
     rows = training_rows(orders_bars(spark, sf_dir), horizon=1, by="date")
     metrics, _ = cross_validate(rows, "ridge", 5, 1.0, feature_cols=["log_return_1"])
     return round_doubles(metrics)
+
+
+# --------------------------------------------------------------------------
+# Model rows whose winner, row set or counts SQL can state
+# --------------------------------------------------------------------------
+
+def _holdout_lr_ctes(reg: float, name: str) -> str:
+    return f"""{name} AS (SELECT avg(log_return_1) AS mx, avg(target) AS my, covar_pop(log_return_1, target) * count(*)
+              / (var_pop(log_return_1) * count(*) + {reg} * count(*) / stddev_pop(target)) AS b
+       FROM p, nn WHERE pos < CAST(floor(n * 0.8) AS BIGINT))"""
+
+
+_GRID = (0.0, 0.5, 5.0)
+
+
+@register("select_model", f"""
+WITH {_N}, {", ".join(_holdout_lr_ctes(r, f"m{i}") for i, r in enumerate(_GRID))},
+e AS ({" UNION ALL ".join(f"SELECT {r} AS reg_param, avg(abs(target - (my - b * mx + b * log_return_1))) AS val_mae FROM p, nn, m{i} "
+                          "WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)" for i, r in enumerate(_GRID))})
+SELECT CAST(reg_param AS DOUBLE) AS reg_param, {o.cn("val_mae")} AS val_mae, val_mae = min(val_mae) OVER () AS best FROM e""")
+def q_select_model(spark, sf_dir):
+    """Row 47 on a grid of three one-feature linear models: every trial's error and the winner."""
+    from pyspark.ml.regression import LinearRegression
+
+    from candlewick.operators.models import select_model
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    tr = split.where("is_train")
+    grid = [("linear", {"regParam": r}, LinearRegression(featuresCol="features", labelCol="target", solver="normal", regParam=r,
+                                                         standardization=False, elasticNetParam=0.0)) for r in _GRID]
+    res = select_model(tr, split.where("NOT is_train"), ["log_return_1"], grid=grid)
+    out = [(float(t["regParam"]), float(t["val_mae"]), t["regParam"] == res.best.params["regParam"]) for t in res.trials]
+    return round_doubles(spark.createDataFrame(out, "reg_param double, val_mae double, best boolean"))
+
+
+_SEQ_ROWS = """
+sq AS (SELECT symbol, date, pos, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS k FROM p)"""
+
+
+@register("sequence_regressor", f"""
+WITH {_N},{_SEQ_ROWS}
+SELECT symbol, date, pos, true AS predicted FROM sq, nn WHERE k = 30 AND pos >= CAST(floor(n * 0.8) AS BIGINT)""")
+def q_sequence_regressor(spark, sf_dir):
+    """Row 48: which validation rows get a (finite) prediction from their 30 rows before."""
+    from candlewick.operators.models import sequence_model, sequence_windows
+    from candlewick.operators.splits import chronological_holdout, holdout_cut
+    from pyspark.ml.functions import array_to_vector
+
+    rows = _training_rows(spark, sf_dir)
+    tr = chronological_holdout(rows.df, rows.n).where("is_train")
+    model, _ = sequence_model(tr, ["log_return_1", "r_mean_5"], seq_len=30, max_iter=10)
+    seqs = sequence_windows(rows.df, model.feature_cols, 30, keep=["pos"]).withColumn("features", array_to_vector("seq"))
+    out = model.model.transform(seqs).where(F.col("pos") >= holdout_cut(rows.n))
+    return out.select("symbol", "date", "pos", (F.abs("prediction") < float("inf")).alias("predicted"))
+
+
+_FORECAST = """
+fr AS (SELECT *, ln(adj_close) - lag(ln(adj_close), 1) OVER (PARTITION BY symbol ORDER BY date) AS rh FROM p),
+fc AS (SELECT *, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
+              ln(quantile_cont(exp(rh), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 31 PRECEDING AND CURRENT ROW)) AS fpred
+       FROM fr)"""
+_ERRORS = ("avg(abs(target - prediction)) AS mae, avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END) AS diracc, "
+           "count(*) AS n")
+
+
+def _forecaster(cols):
+    from candlewick.operators.models import ForecastModel
+
+    return ForecastModel(None, cols, "hf_finetune", {"horizon": 1, "num_samples": 32, "quantile": 0.5, "min_context": 64, "price_col": "adj_close"})
+
+
+@register("compare_four_families", f"""
+WITH {_ONE_FEATURE_BASE}, {_holdout_lr_ctes(0.0, "ols")}, {_FORECAST},
+sq AS (SELECT target, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS k FROM p),
+pr AS (SELECT 'ridge' AS family, target, st.my - st.b * st.mx + st.b * log_return_1 AS prediction FROM p, st
+       UNION ALL SELECT 'automl', target, ols.my - ols.b * ols.mx + ols.b * log_return_1 FROM p, ols
+       UNION ALL SELECT 'hf_finetune', target, fpred FROM fc WHERE nc = 64
+       UNION ALL SELECT 'custom_transformer', target, NULL FROM sq WHERE k = 30),
+m AS (SELECT family, {_ERRORS} FROM pr GROUP BY family)
+SELECT family, n, {o.cn("mae")} AS mae, CASE WHEN family <> 'custom_transformer' THEN {o.cn("diracc")} END AS diracc FROM m""")
+def q_compare_four_families(spark, sf_dir):
+    """Row 57: all four families on one input (the sequence family's error has no closed form: its rows are counted)."""
+    from pyspark.ml.regression import LinearRegression
+
+    from candlewick.operators.models import ridge_fit, select_model, sequence_model
+    from candlewick.operators.scoring import compare_families
+    from candlewick.operators.splits import chronological_holdout
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    tr, va, one = split.where("is_train"), split.where("NOT is_train"), ["log_return_1"]
+    grid = [("linear", {"regParam": 0.0}, LinearRegression(featuresCol="features", labelCol="target", solver="normal", regParam=0.0))]
+    models = {"ridge": ridge_fit(tr, one, 1.0), "automl": select_model(tr, va, one, grid=grid).best,
+              "custom_transformer": sequence_model(tr, one, 30, max_iter=5)[0], "hf_finetune": _forecaster(one)}
+    _, metrics = compare_families(rows.df, models)
+    seq = F.col("family") == "custom_transformer"
+    return round_doubles(metrics.select("family", "n", F.when(~seq, F.col("mae")).alias("mae"), F.when(~seq, F.col("diracc")).alias("diracc")))
+
+
+@register("cross_validate_sample_paths", f"""
+WITH {_N}, {_FORECAST},
+pr AS (SELECT CAST((pos - (n - 5 * tsz)) // tsz AS INTEGER) AS fold, target, fpred AS prediction FROM fc, nn
+       WHERE nc = 64 AND pos >= n - 5 * tsz),
+m AS (SELECT fold, {_ERRORS} FROM pr GROUP BY fold)
+SELECT 'hf_finetune' AS family, fold, {o.cn("mae")} AS mae, {o.cn("diracc")} AS diracc, n FROM m""")
+def q_cross_validate_sample_paths(spark, sf_dir):
+    """Row 50 for the sample-path forecaster: every test row with enough context is forecast."""
+    from candlewick.operators.train import _cv_sequence
+
+    fp = {"num_samples": 32, "quantile": 0.5, "min_context": 64}
+    return round_doubles(_cv_sequence(_training_rows(spark, sf_dir), "hf_finetune", 5, fp, 1, "adj_close"))
+
+
+# --------------------------------------------------------------------------
+# Requests without or with repeated ids, ties, many symbols
+# --------------------------------------------------------------------------
+
+def _requests_with_poor_ids(spark, sf_dir):
+    """Ids absent for one month, equal for another; horizons omitted in window mode."""
+    month = F.month("as_of")
+    poor = F.when(month % 3 == 0, F.lit(None).cast("string")).when(month % 3 == 1, F.lit("same")).otherwise(F.col("request_id"))
+    horizon = F.when(F.col("ohlcv_window").isNotNull() & (F.col("horizon") == 1), F.lit(None).cast("int")).otherwise(F.col("horizon"))
+    req = _requests(spark, sf_dir)
+    return req.select(*[poor.alias(c) if c == "request_id" else horizon.alias(c) if c == "horizon" else F.col(c) for c in req.columns])
+
+
+_POOR = """pid AS (SELECT request_id AS own, symbol AS s, CASE WHEN month(CAST(as_of AS DATE)) % 3 = 0 THEN NULL
+                       WHEN month(CAST(as_of AS DATE)) % 3 = 1 THEN 'same' ELSE request_id END AS poor FROM req)"""
+
+
+@register("score_requests_without_ids", f"""
+WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL},{_POOR}
+SELECT poor AS request_id, symbol, {_SCORED_COLS} FROM ws JOIN pid ON own = request_id""")
+def q_score_requests_without_ids(spark, sf_dir):
+    """Row 53: absent and repeated ids and omitted horizons change no prediction."""
+    from candlewick.operators.scoring import score_windows
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    return round_doubles(score_windows(_requests_with_poor_ids(spark, sf_dir), m1).scored.select("request_id", "symbol", "pred_return", "pred_price"))
+
+
+@register("request_outcomes_without_ids", f"""
+WITH req AS ({o.REQUESTS})
+SELECT symbol, count(*) AS records FROM req GROUP BY symbol""")
+def q_request_outcomes_without_ids(spark, sf_dir):
+    """Row 53: every record is in exactly one of scored and rejected."""
+    from candlewick.operators.scoring import score_requests
+
+    m1, _ = _one_feature_models(spark, sf_dir)
+    res = score_requests(_requests_with_poor_ids(spark, sf_dir), m1, allow_minimal=True)
+    both = res.scored.select("symbol").unionByName(res.rejected.select("symbol"))
+    return both.groupBy("symbol").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("global_position_ties", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, CAST(o_orderdate AS DATE), o_orderkey) - 1 AS pos,
+       row_number() OVER (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) <= 7 AS newest
+FROM orders""")
+def q_global_position_ties(spark, sf_dir):
+    """Rows 32, 34 on many rows per (symbol, date), ordered by date and order key."""
+    from candlewick.operators.scoring import tail_rows
+    from candlewick.operators.splits import global_position
+
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("date"))
+    placed = global_position(df, order=["date", "o_orderkey"]).df.select("o_orderkey", "pos")
+    newest = tail_rows(df, 7, order=["date", "o_orderkey"]).select("o_orderkey", F.lit(True).alias("newest"))
+    return placed.join(newest, "o_orderkey", "left").select("o_orderkey", "pos", F.coalesce("newest", F.lit(False)).alias("newest"))
+
+
+def _on_lineitem(name: str):
+    """The query and oracle of ``name`` again on the many symbols of lineitem."""
+    @register(f"{name}_lineitem", ORACLES[name].replace(o.BARS_ORDERS, o.BARS_LINEITEM))
+    def q(spark, sf_dir):
+        held = _BARS.set(src.bars_from_lineitem)
+        try:
+            return QUERIES[name](spark, sf_dir)
+        finally:
+            _BARS.reset(held)
+    return q
+
+
+for _name in ("tabular_features", "training_rows", "walk_forward_folds", "cross_validate", "price_context", "quantile_forecast",
+              "score_windows"):
+    _on_lineitem(_name)

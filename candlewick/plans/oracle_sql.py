@@ -8,8 +8,6 @@ definition.  Doubles are compared in the canonical form (``cn``).
 
 from __future__ import annotations
 
-from candlewick.operators.features import PRICE_WINDOWS, RETURN_LAGS, RETURN_WINDOWS, VOLUME_WINDOWS
-
 BARS_ORDERS = """
 SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
        arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high,
@@ -47,8 +45,8 @@ def returns_cte(src: str = "bars", price: str = "adj_close", part: str = W) -> s
 
 def feature_exprs(price: str = "adj_close", part: str = W) -> list[tuple[str, str]]:
     r = "log_return_1"
-    out = [(f"r_lag_{k}", f"lag({r}, {k}) OVER ({part})") for k in RETURN_LAGS]
-    for n in RETURN_WINDOWS:
+    out = [(f"r_lag_{k}", f"lag({r}, {k}) OVER ({part})") for k in (1, 2, 5)]
+    for n in (3, 5, 10):
         out += [
             (f"r_mean_{n}", guarded("avg", r, n, part)),
             (f"r_std_{n}", guarded("stddev_samp", r, n, part)),
@@ -56,7 +54,7 @@ def feature_exprs(price: str = "adj_close", part: str = W) -> list[tuple[str, st
             (f"r_max_{n}", guarded("max", r, n, part)),
         ]
     out.append(("vol_lag_1", f"lag(volume, 1) OVER ({part})"))
-    for n in VOLUME_WINDOWS:
+    for n in (5, 10):
         out += [(f"vol_mean_{n}", guarded("avg", "volume", n, part)), (f"vol_std_{n}", guarded("stddev_samp", "volume", n, part))]
     out += [
         ("hl_range", "CAST(high - low AS DOUBLE)"),
@@ -65,7 +63,7 @@ def feature_exprs(price: str = "adj_close", part: str = W) -> list[tuple[str, st
         ("oc_body_pct", "(close - open) / nullif(open, 0)"),
     ]
     out.append(("price_lag_1", f"lag({price}, 1) OVER ({part})"))
-    for n in PRICE_WINDOWS:
+    for n in (5, 10):
         out += [(f"price_mean_{n}", guarded("avg", price, n, part)), (f"price_std_{n}", guarded("stddev_samp", price, n, part))]
     return out
 

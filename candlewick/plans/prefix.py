@@ -1,76 +1,45 @@
-"""Distributed exclusive prefix sums and size-checked joins.
+"""Distributed exclusive prefix sums.
 
 ``running_offsets`` gives every row of a (reduced) table the sum of a
 weight over all rows before it in a total order, without a window over the
 whole table in one task:
 
-1. range-partition by the order into P pieces and record the partition id
-   (checkpointed, so the ids are fixed even if a task is re-run);
+1. range-partition by the order into P pieces and record the piece
+   (written, so the ids are fixed even if a task is re-run);
 2. a running sum inside each piece (window partitioned by the piece id);
-3. per-piece totals -> P rows, whose prefix is tiny (bounded by P) and is
-   broadcast back.
+3. per-piece totals -> P rows, whose running sum the driver adds up and
+   hands back as P literals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.session import materialize
+from candlewick.session import save
 
-# Largest table (rows) we are willing to broadcast in ``join_small``.
-BROADCAST_MAX_ROWS = 2_000_000
-# Largest table (rows) whose prefix sum may run as one small task.
-SINGLE_TASK_MAX_ROWS = 200_000
 
+@dataclass
+class Offsets:
+    df: DataFrame   # input rows + the offset
+    total: int      # sum of the weight over all rows
 
-def _pieces(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
-
-def running_offsets(df: DataFrame, order: Sequence[str], weight: str, out: str = "_offset",
-                    pieces: int | None = None, rows: int | None = None,
-                    single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def running_offsets(df: DataFrame, order: Sequence[str], weight: str, out: str = "_offset", pieces: int | None = None) -> Offsets:
     """Add ``out`` = sum of ``weight`` over rows strictly before each row.
 
-    ``order`` must be a total order of ``df`` (unique keys).  ``rows`` is the
-    row count if the caller knows it; a table of at most
-    ``single_task_max_rows`` rows (a checked bound) takes one small window,
-    anything larger the distributed path.
+    ``order`` must be a total order of ``df`` (unique keys).
     """
-    order = list(order)
-    n = df.count() if rows is None else rows
-    if n <= single_task_max_rows:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, (F.sum(weight).over(w) - F.col(weight)).cast("long"))
-    pieces = pieces or _pieces(df)
-    ranged = materialize(
-        df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()), "prefix"
-    )
+    pieces = pieces or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    ranged = save(df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()), "prefix").df
+    # at most ``pieces`` rows of two numbers
+    totals = sorted((r["_piece"], int(r["t"] or 0)) for r in ranged.groupBy("_piece").agg(F.sum(weight).alias("t")).collect())
+    before = dict(zip((p for p, _ in totals), accumulate((t for _, t in totals), initial=0)))
+    base = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("_piece")) if before else F.lit(0)
     wp = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_local", F.sum(weight).over(wp) - F.col(weight))
-    totals = ranged.groupBy("_piece").agg(F.sum(weight).alias("_tot"))
-    # At most ``pieces`` rows: a window without partition is a bounded, tiny job.
-    wt = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
-    piece_off = totals.select("_piece", (F.sum("_tot").over(wt) - F.col("_tot")).alias("_base"))
-    return (
-        local.join(F.broadcast(piece_off), "_piece")
-        .withColumn(out, (F.col("_base") + F.col("_local")).cast("long"))
-        .drop("_piece", "_local", "_base")
-    )
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", small_rows: int | None = None,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when its row count is known to be bounded.
-
-    ``small_rows`` is a count the caller already has (or we take it here);
-    above ``max_rows`` the plain join lets Spark shuffle both sides (and AQE
-    may still pick a broadcast at run time from real sizes).
-    """
-    n = small.count() if small_rows is None else small_rows
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    local = F.sum(weight).over(wp) - F.col(weight)
+    return Offsets(ranged.withColumn(out, (base + local).cast("long")).drop("_piece"), sum(t for _, t in totals))

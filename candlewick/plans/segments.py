@@ -30,19 +30,18 @@ SEG = "_seg"
 HALO = "_halo"  # 0 = own row, 1 = look-back copy, 2 = look-ahead copy
 
 
-def segment_of(date_col: str, unit: str | Column | None, df: DataFrame | None = None,
-               keys: Sequence[str] = ("symbol",)) -> Column | None:
+#: Longest piece of one series that a window holds.  Nothing is counted to
+#: choose it; intraday bars take "hour" or "minute", any other cut a Column.
+DEFAULT_SEGMENT = "year"
+
+
+def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
     """Segment id (bigint) that never decreases along a series' date order;
-    ``None`` when the series should not be split.  ``"auto"`` sizes the
-    segments from the data (needs ``df``; see ``auto_segment``)."""
+    ``None`` when the series should not be split."""
     if isinstance(unit, Column):
         return unit.cast("long")
     if unit is None or unit == "none":
         return None
-    if unit == "auto":
-        if df is None:
-            raise ValueError("segment='auto' needs the frame to size segments from")
-        return auto_segment(df, date_col, keys)
     d = F.col(date_col)
     if unit == "year":
         return F.year(d).cast("long")
@@ -54,39 +53,25 @@ def segment_of(date_col: str, unit: str | Column | None, df: DataFrame | None =
         return F.floor(F.unix_date(F.to_date(d)) / 7).cast("long")
     if unit == "day":
         return F.unix_date(F.to_date(d)).cast("long")
+    if unit in SECONDS:
+        return F.floor(F.unix_seconds(d.cast("timestamp")) / SECONDS[unit]).cast("long")
     raise ValueError(f"unknown segment unit: {unit!r}")
 
 
-# Rows one (key, segment) window group should hold at most, for
-# ``segment="auto"`` (~80 MB at 36 double features: one comfortable task).
-AUTO_SEGMENT_ROWS = 250_000
-SECONDS_PER_DAY = 86_400
+SECONDS = {"hour": 3600, "minute": 60}
 
 
-def auto_segment(df: DataFrame, date_col: str = "date", keys: Sequence[str] = ("symbol",),
-                 target_rows: int = AUTO_SEGMENT_ROWS) -> Column | None:
-    """Pick a segment span from the data so no (key, segment) holds much more
-    than ``target_rows`` rows, however hot one key is.
+TIE = "_tb"
 
-    One partial aggregate gives the total row count, the densest (key, day)
-    and the date range.  No split (``None``) when the whole table fits the
-    target or one span would cover every key's whole date range anyway;
-    otherwise the span is a whole number of days, or of seconds when a single
-    key-day already exceeds the target (intraday bars).
-    """
-    per_day = df.groupBy(*keys, F.to_date(F.col(date_col)).alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
-    st = per_day.agg(F.sum("_c").alias("rows"), F.max("_c").alias("dense"),
-                     F.min("_d").alias("lo"), F.max("_d").alias("hi")).first()
-    rows, dense = int(st["rows"] or 0), int(st["dense"] or 0)
-    if rows <= target_rows or dense == 0:
-        return None
-    if dense >= target_rows:
-        span = max(1, SECONDS_PER_DAY * target_rows // dense)
-        return F.floor(F.unix_seconds(F.col(date_col).cast("timestamp")) / span).cast("long")
-    span_days = max(1, target_rows // dense)
-    if span_days > (st["hi"] - st["lo"]).days:
-        return None  # every key's whole history already fits one segment
-    return F.floor(F.unix_date(F.to_date(F.col(date_col))) / span_days).cast("long")
+
+def total_order(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """``df`` with a tie-breaker, the order with it, and the columns added.
+
+    The tie-breaker is a hash of the whole row (kept if the frame has one
+    already), so rows that still tie are equal and interchangeable."""
+    if TIE in df.columns:
+        return df, [*[c for c in order if c != TIE], TIE], []
+    return df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in df.columns])), [*order, TIE], [TIE]
 
 
 def _order_cols(order: Sequence[str], descending: bool) -> list[Column]:
@@ -118,52 +103,32 @@ def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
     tails = edge(back, True) if back > 0 else None
     heads = edge(fwd, False) if fwd > 0 else None
 
-    # Per-segment table: dense index k inside the key and cumulative halo
-    # counts.  Every segment is non-empty, so its tail / head holds
+    # Per-segment table.  Every segment is non-empty, so its tail / head holds
     # least(n, back) / least(n, fwd) rows: one partial aggregate gives both.
-    # The window below runs over segments, not rows (one row per (key,
-    # segment)): per key at most (calendar units) or (key rows / target
-    # rows) entries, a tiny fraction of the data.
+    # The windows below run over segments, not rows.
     counts = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     ws = Window.partitionBy(*keys).orderBy(SEG)
-    upto = ws.rowsBetween(Window.unboundedPreceding, 0)
-    seg_cols = [F.col(k) for k in part] + [F.row_number().over(ws).alias("_k")]
-    if tails is not None:
-        nt = F.least(F.col("_n"), F.lit(back))
-        seg_cols.append(F.sum(nt).over(upto).alias("_ct"))
-        seg_cols.append((F.sum(nt).over(upto) - nt).alias("_ct_prev"))
-    if heads is not None:
-        nh = F.least(F.col("_n"), F.lit(fwd))
-        seg_cols.append(F.sum(nh).over(upto).alias("_ch"))
-        seg_cols.append((F.sum(nh).over(upto) - nh).alias("_ch_prev"))
-    segs = counts.select(*seg_cols)
+
+    def reach(n: int, before: bool) -> DataFrame:
+        """(keys, source segment, target segment, rows between them) for the
+        sources whose edge rows can lie within ``n`` rows of a target: only
+        those reached, found in the target's own row."""
+        rows = F.least(F.col("_n"), F.lit(n))
+        upto = F.sum(rows).over(ws.rowsBetween(Window.unboundedPreceding, 0))
+        seg = counts.select(*keys, F.col(SEG), rows.alias("_e"), upto.alias("_c"))
+        near = ws.rowsBetween(-n, -1) if before else ws.rowsBetween(1, n)
+        others = F.collect_list(F.struct(F.col(SEG).alias("s"), F.col("_c").alias("c"), F.col("_e").alias("e"))).over(near)
+        gap = ((lambda x: F.col("_c") - F.col("_e") - x["c"]) if before else (lambda x: x["c"] - x["e"] - F.col("_c")))
+        reached = F.filter(F.transform(others, lambda x: F.struct(x["s"].alias("s"), gap(x).alias("gap"))), lambda x: x["gap"] < n)
+        return (seg.select(*keys, F.col(SEG).alias("_to"), reached.alias("_x"))
+                .select(*keys, "_to", F.explode("_x").alias("_x"))
+                .select(*keys, F.col("_x.s").alias(SEG), "_to", F.col("_x.gap").alias("_gap")))
 
     pieces = [own.select(*cols, SEG, HALO)]
-    if tails is not None:
-        # A tail row of segment a (reverse rank r) belongs to the look-back
-        # halo of a later segment b while (r-1) + rows of the segments strictly
-        # between a and b stays below ``back``; that is at most ``back``
-        # segments, so the explode is bounded.
-        src = tails.join(segs.select(*part, "_k", "_ct"), part)
-        src = src.withColumn("_kb", F.explode(F.sequence(F.col("_k") + 1, F.col("_k") + back)))
-        dst = segs.select(*keys, F.col("_k").alias("_kb"), F.col(SEG).alias("_segb"), "_ct_prev")
-        halo = (
-            src.drop(SEG).join(dst, keys + ["_kb"])
-            .where(F.col("_r") - 1 + F.col("_ct_prev") - F.col("_ct") < back)
-            .select(*cols, F.col("_segb").alias(SEG), F.lit(1).alias(HALO))
-        )
-        pieces.append(halo)
-    if heads is not None:
-        src = heads.join(segs.select(*part, "_k", "_ch_prev"), part)
-        src = src.withColumn("_kb", F.explode(F.sequence(F.greatest(F.col("_k") - fwd, F.lit(1)), F.col("_k") - 1)))
-        src = src.where((F.col("_kb") >= 1) & (F.col("_kb") < F.col("_k")))
-        dst = segs.select(*keys, F.col("_k").alias("_kb"), F.col(SEG).alias("_segb"), "_ch")
-        halo = (
-            src.drop(SEG).join(dst, keys + ["_kb"])
-            .where(F.col("_r") - 1 + F.col("_ch_prev") - F.col("_ch") < fwd)
-            .select(*cols, F.col("_segb").alias(SEG), F.lit(2).alias(HALO))
-        )
-        pieces.append(halo)
+    for edges, n, before, kind in ((tails, back, True, 1), (heads, fwd, False, 2)):
+        if edges is not None:
+            pieces.append(edges.join(reach(n, before), part).where(F.col("_r") - 1 + F.col("_gap") < n)
+                          .select(*cols, F.col("_to").alias(SEG), F.lit(kind).alias(HALO)))
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)

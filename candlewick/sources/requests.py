@@ -2,7 +2,8 @@
 
 A request nests its own bar window, so it is one record; tables (batch) or
 JSON file streams (``score_stream``) of requests are scored in parallel,
-with ``request_id`` as the partition key.
+each record being a series of its own (``request_id`` is the sender's, and may
+be absent or repeated).
 """
 
 from __future__ import annotations
@@ -32,9 +33,10 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Requests from JSON lines (one request per line), schema enforced."""
-    return spark.read.schema(REQUEST_SCHEMA).json(path)
+def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Requests from JSON, schema enforced: one request per line, or with
+    ``multi_line`` one (pretty-printed) request or array of them per file."""
+    return spark.read.schema(REQUEST_SCHEMA).option("multiLine", multi_line).json(path)
 
 
 def requests_from_bars(bars: DataFrame) -> DataFrame:

@@ -3,38 +3,35 @@
 Each request carries its whole bar window, so the stream is stateless:
 ``readStream`` of JSON request files -> ``foreachBatch`` runs the batch
 scorer (row windows are not allowed on streaming frames, but are on the
-static frame a batch hands us) -> accepted and rejected rows are written to
-``<out>/scored/batch_id=<id>`` and ``<out>/rejected/batch_id=<id>`` with
-``overwrite``, so a batch replayed after a failure replaces its own output
-instead of duplicating it.
+static frame a batch hands us) -> one write of all outcomes to
+``<out>/batch_id=<id>/kind=scored|rejected`` with ``overwrite``, so a batch
+replayed after a failure replaces its own output instead of duplicating it.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.operators.models import FittedModel
-from candlewick.operators.scoring import score_requests
+from candlewick.operators.scoring import RESULT_COLUMNS, ScoreResult, score_requests
 from candlewick.sources.requests import REQUEST_SCHEMA
 
 
 def start_scoring_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
                          model: FittedModel, allow_minimal: bool = False, available_now: bool = True,
-                         max_files_per_trigger: int | None = None, model_uri: str = ""):
+                         max_files_per_trigger: int | None = None, model_uri: str = "", loaded_at: float | None = None):
     reader = spark.readStream.schema(REQUEST_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
+    loaded_at = time.time() if loaded_at is None else loaded_at
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        # two sinks read the batch: keep it for the length of this call only
-        batch = batch.persist()
-        try:
-            res = score_requests(batch, model, allow_minimal=allow_minimal, model_uri=model_uri)
-            res.scored.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
-            res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        res = score_requests(batch, model, allow_minimal=allow_minimal, model_uri=model_uri, loaded_at=loaded_at)
+        write_outcomes(res, f"{out_dir}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -42,7 +39,22 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, out_dir: str, che
 
 
 def read_scored(spark: SparkSession, out_dir: str, kind: str = "scored") -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/{kind}").drop("batch_id")
+    """Scored or rejected rows of all batches (partition pruned)."""
+    return _halves(spark.read.schema(OUTCOME_SCHEMA).parquet(out_dir).where(F.col("kind") == kind), kind)
+
+
+def _halves(df: DataFrame, kind: str) -> DataFrame:
+    return df.select(*(RESULT_COLUMNS if kind == "scored" else ("request_id", "symbol", "reason")))
+
+
+OUTCOME_SCHEMA = ("request_id string, symbol string, reason string, pred_return double, pred_price double, model_uri string, "
+                  "loaded_at_unix double, used_mode string, batch_id long, kind string")
+
+
+def write_outcomes(res: ScoreResult, path: str) -> None:
+    """One pass over the scored table: both halves, partitioned by ``kind``."""
+    kind = F.when(F.col("reason").isNull(), "scored").otherwise("rejected")
+    res.outcomes.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(path)
 
 
 def score_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str, model: FittedModel,

@@ -4,6 +4,8 @@ import math
 
 import numpy as np
 import pytest
+
+from conftest import day
 from pyspark.sql import functions as F
 
 from candlewick.operators import metrics as MT
@@ -153,10 +155,10 @@ def test_quantile_forecast_rows_brute_force(spark):
             lp = np.log(p)
             for t in range(len(p)):
                 r = got[(s, g["date"].iloc[t])]
-                ok = t >= 24 and t - 19 >= 3
+                ok = t >= 24
                 assert r.accepted == ok
                 if ok:
-                    samples = [p[t] * math.exp(lp[k] - lp[k - 3]) for k in range(t - 19, t + 1)]
+                    samples = [p[t] * math.exp(lp[k] - lp[k - 3]) for k in range(max(3, t - 19), t + 1)]
                     q = float(np.quantile(samples, 0.4))
                     assert math.isclose(r.pred_price, q, rel_tol=1e-9)
                     assert math.isclose(r.pred_return, math.log(q / p[t]), rel_tol=1e-7, abs_tol=1e-12)
@@ -179,8 +181,10 @@ def test_select_model_picks_lowest_validation_mae(rows):
 
 def test_sequence_regressor_shapes(rows):
     cols = ["log_return_1", "r_mean_5"]
-    model, history = M.sequence_fit(rows.df, cols, seq_len=5, max_iter=20)
-    assert model.coefficients.size == 10 and len(history) >= 1
+    model, history = M.sequence_model(rows.df, cols, seq_len=5, max_iter=20)
+    assert model.model.stages[0].coefficients.size == 10
+    fitted = M.sequence_predict(model, rows.df, cols, seq_len=5).toPandas()
+    assert math.isclose(history[0], (fitted["target"] - fitted["prediction"]).abs().mean(), rel_tol=1e-9)
     preds = M.sequence_predict(model, rows.df, cols, seq_len=5)
     n_symbols = rows.df.select("symbol").distinct().count()
     assert preds.count() == rows.n - 5 * n_symbols
@@ -232,3 +236,98 @@ def test_gram_solve_holds_on_collinear_columns_at_any_size(times):
     w = vt.T @ (np.where(s > 1e-9 * s[0], s * times / (s * s * times + 1.0), 0) * (u.T @ yc))
     exp = y.mean() + xc @ w
     assert np.allclose(x @ np.array(got.weights) + got.intercept, exp, rtol=0, atol=1e-6 * y.std())
+
+
+@pytest.mark.parametrize("horizon,num_samples", [(1, 40), (3, 1000)])
+def test_last_row_forecast_equals_the_whole_one(spark, horizon, num_samples):
+    bars = bars_from_orders(spark, SF)
+    whole = {r.symbol: r for r in M.quantile_forecast(bars, horizon, num_samples).collect()}
+    rows = M.quantile_forecast_rows(bars, horizon, num_samples).toPandas().sort_values("date").groupby("symbol").tail(1)
+    for r in rows.itertuples():
+        assert r.accepted == whole[r.symbol].accepted
+        assert math.isclose(r.pred_price, whole[r.symbol].pred_price, rel_tol=1e-9)
+
+
+def test_context_and_history_have_no_cap(spark):
+    rnd, rows, p = np.random.default_rng(0), [], 100.0
+    for i in range(2000):
+        p *= math.exp(rnd.normal(0, 0.01))
+        rows.append(("X", day(i), p))
+    df = spark.createDataFrame(rows, "symbol string, date date, adj_close double")
+    ctx = M.price_context(df).orderBy("k").collect()
+    assert [r.k for r in ctx] == list(range(2000)) and ctx[0].n_context == 2000
+    lp = np.log([r[2] for r in rows])
+    exp = rows[-1][2] * np.quantile(np.exp(np.diff(lp)), 0.5)
+    assert math.isclose(M.quantile_forecast(df).first().pred_price, exp, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("q", [0.0, 0.3, 0.5, 1.0])
+def test_sample_quantile_equals_numpy_with_ties_and_signs(spark, q):
+    rng = np.random.default_rng(1)
+    data = {g: np.round(rng.normal(0, 3, n), 1).tolist() for g, n in (("a", 501), ("b", 2), ("c", 1))}
+    df = spark.createDataFrame([(g, 1, v) for g, vs in data.items() for v in vs] + [("a", 1, None), ("a", 0, 9.0)], "symbol string, step int, value double")
+    for r in MT.sample_quantile(df, q).collect():
+        assert r.last_step == 1 and math.isclose(r.q_value, np.quantile(data[r.symbol], q), rel_tol=1e-12, abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("family", ["ridge", "automl", "custom_transformer", "hf_finetune"])
+def test_every_family_trains_saves_reloads_and_scores(spark, tmp_path, family):
+    from candlewick.operators.scoring import score_requests
+    from candlewick.sources.requests import REQUEST_SCHEMA
+
+    bars = bars_from_orders(spark, SF)
+    params = {"custom_transformer": {"seq_len": 7}, "hf_finetune": {"num_samples": 20, "min_context": 30, "quantile": 0.4}}.get(family)
+    grid = [M.default_grid()[0]] if family == "automl" else None
+    res = train_pipeline(bars, family=family, horizon=2, n_splits=2, family_params=params, model_path=str(tmp_path / "m"), price_col="close", grid=grid)
+    again = M.read_model(str(tmp_path / "m"))
+    assert type(again) is type(res.model) and again.feature_cols == res.feature_cols
+    assert all(again.params[k] == v for k, v in (params or {}).items())
+    if family == "hf_finetune":
+        assert again.params["horizon"] == 2 and again.params["price_col"] == "close"
+    window = [(day(i).isoformat(), *[100.0 + (i * 7919 % 13)] * 5, 10.0 + i) for i in range(75)]
+    req = spark.createDataFrame([("r", "A", 1, None, None, None, window), (None, "B", None, None, None, None, window[:15]),
+                                 ("m", "C", 1, None, 9.0, [0.01] * 6, None)], REQUEST_SCHEMA)
+    for m in (res.model, again):
+        out = score_requests(req, m, allow_minimal=True)
+        scored = {r.request_id: r for r in out.scored.collect()}
+        rejected = {r.symbol: r.reason for r in out.rejected.collect()}
+        assert len(scored) + len(rejected) == 3 and math.isfinite(scored["r"].pred_return)
+        assert ("C" in rejected) == (family in M.MODEL_KINDS)
+        if family == "hf_finetune":
+            p = [b[5] for b in window][10:]
+            exp = np.log(np.quantile([p[i] / p[i - 2] for i in range(len(p) - 20, len(p))], 0.4))
+            assert math.isclose(scored["r"].pred_return, exp, abs_tol=1e-12) and "30 valid prices" in rejected["B"]
+        if family == "custom_transformer":
+            assert "seq_len=7" in rejected["B"]
+
+
+def test_sequence_model_scores_a_table_like_its_requests(spark, rows):
+    model, _ = M.sequence_model(rows.df, ["log_return_1"], seq_len=4, max_iter=5)
+    out = model.transform(rows.df, keep=["symbol", "date", "pos"])
+    n_symbols = rows.df.select("symbol").distinct().count()
+    assert out.count() == rows.n - 3 * n_symbols
+
+
+def test_metrics_of_a_run_are_replaced_not_doubled(spark, tmp_path):
+    bars, path = bars_from_orders(spark, SF), str(tmp_path / "metrics")
+    for run in ("a", "b", "a"):
+        train_pipeline(bars, family="ridge", n_splits=2, run=run, metrics_path=path)
+    stored = spark.read.parquet(path)
+    assert stored.where("run = 'a'").count() == stored.where("run = 'b'").count() == stored.select("run", "family", "fold", "metric").distinct().count() / 2
+    assert stored.where("metric = 'param_n_splits'").first().value == 2
+
+
+def test_automl_needs_a_validation_frame(rows):
+    from candlewick.operators.train import fit_family
+
+    with pytest.raises(ValueError, match="validation"):
+        fit_family("automl")(rows.df, ["log_return_1"], None)
+
+
+def test_training_leaves_only_its_metrics_table(spark, tmp_path, monkeypatch):
+    from candlewick import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"file://{tmp_path}")
+    train_pipeline(bars_from_orders(spark, SF), family="ridge", n_splits=2)
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "candlewick-tables").iterdir()}
+    assert not any(n.startswith(("training-rows", "complete-rows")) for n in left)

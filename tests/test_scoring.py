@@ -146,3 +146,48 @@ def test_stream_restart_adds_no_duplicates(spark, model, tmp_path):
     ids = [r.request_id for r in second.select("request_id").collect()]
     assert len(ids) == len(set(ids)) and len(ids) > n_first
     assert len(ids) + rej.count() == reqs.count()
+
+
+def test_records_without_or_with_equal_ids_stay_apart(requests, model):
+    """Two senders without an id, two with the same: each is priced from its own bars."""
+    bars = {price: window(30, price0=price) for price in (100.0, 5000.0, 20.0, 700.0)}
+    named = requests([req(str(p), bars=b) for p, b in bars.items()])
+    exp = sorted((r.pred_return, r.pred_price) for r in S.score_windows(named, model).scored.collect())
+    poor = requests([req(i, bars=b) for i, b in zip((None, None, "x", "x"), bars.values(), strict=True)])
+    res = S.score_windows(poor, model)
+    assert sorted((r.pred_return, r.pred_price) for r in res.scored.collect()) == exp and res.rejected.count() == 0
+    assert S.features_for_requests(poor).count() == 4 * 20
+
+
+def test_equal_records_are_each_answered(requests, model):
+    res = S.score_requests(requests([req(None, bars=window(30))] * 3 + [req("w", bars=window(5))] * 2), model)
+    assert res.scored.count() == 3 and res.rejected.count() == 2
+    assert len({r.pred_price for r in res.scored.collect()}) == 1
+
+
+def test_omitted_horizon_is_one_and_returns_must_be_numbers(requests):
+    got = {r.request_id: r for r in S.validate_requests(requests([
+        req("none", horizon=None, bars=window(20)), req("null", last_close=1.0, last_returns=[0.1, None, 0.1, 0.1, 0.1]),
+        req("nan", last_close=1.0, last_returns=[0.1, float("nan"), 0.1, 0.1, 0.1])])).collect()}
+    assert got["none"].accepted and not got["null"].accepted and not got["nan"].accepted
+
+
+def test_pretty_printed_request_file(spark, model, tmp_path):
+    import json
+
+    from candlewick.sources.requests import read_requests
+
+    bars = [dict(zip(("date", "open", "high", "low", "close", "adj_close", "volume"), b)) for b in window(75)]
+    (tmp_path / "one.json").write_text(json.dumps({"symbol": "AAPL", "ohlcv_window": bars}, indent=2))
+    req_ = read_requests(spark, str(tmp_path), multi_line=True)
+    assert req_.count() == 1
+    res = S.score_windows(req_, model, min_rows=64, loaded_at=12.5)
+    r = res.scored.first()
+    assert r.symbol == "AAPL" and r.loaded_at_unix == 12.5 and math.isclose(r.pred_price, bars[-1]["adj_close"] * math.exp(r.pred_return))
+
+
+def test_window_without_a_usable_row_is_rejected_once(requests, model):
+    bad = [(f"no date {i}", *b[1:]) for i, b in enumerate(window(20))]
+    res = S.score_requests(requests([req("bad", bars=bad), req("ok", bars=window(20))]), model)
+    assert [r.request_id for r in res.scored.collect()] == ["ok"]
+    assert [(r.request_id, r.reason) for r in res.rejected.collect()] == [("bad", S.MSG_NO_USABLE_ROWS)]

@@ -42,8 +42,8 @@ def test_command_line(spark, tmp_path, capsys):
                  "--allow-minimal"]) == 0
     assert main(["score", "--requests", req_path, "--model", str(tmp_path / "m"), "--out", str(tmp_path / "so"),
                  "--allow-minimal", "--stream", "--available-now", "--checkpoint", str(tmp_path / "ck")]) == 0
-    batch = spark.read.parquet(str(tmp_path / "o" / "scored")).count()
-    stream = spark.read.parquet(str(tmp_path / "so" / "scored")).count()
+    batch = spark.read.parquet(str(tmp_path / "o")).where("kind = 'scored'").count()
+    stream = spark.read.parquet(str(tmp_path / "so")).where("kind = 'scored'").count()
     assert batch == stream > 0
 
 
