@@ -61,7 +61,8 @@ def build_index(rows: DataFrame, k: int) -> DataFrame:
                          "_x": [x.tobytes()], "_edges": [edges.astype("<i4").tobytes()], "_start": pa.array([start], pa.int32())})
 
     dealt = nodes.withColumn("_shard", F.pmod(F.xxhash64("_v"), F.lit(shards)).cast("int"))
-    index = dealt.groupBy("_shard").applyInArrow(
+    # shards are few and small but slow: a number of partitions of their own, which is not coalesced by size
+    index = dealt.repartition(2 * shards, "_shard").groupBy("_shard").applyInArrow(
         make, "_shard int, _ids array<array<long>>, _x binary, _edges binary, _start int")
     return save(index, "ann-index").df
 
@@ -112,7 +113,8 @@ def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
                                                  ["query_id", "vec_id", "score"])
 
-    found = sent.join(index, "_shard").mapInArrow(answer, "query_id long, vec_id long, score double")
+    wide = 2 * max(1, len(shards))
+    found = sent.repartition(wide, "_shard").join(index.repartition(wide, "_shard"), "_shard").mapInArrow(answer, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
