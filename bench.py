@@ -74,8 +74,7 @@ def main() -> None:
 
     def batch_scoring():
         res = score_requests(state["req"], state["model"], allow_minimal=True)
-        run(res.scored)
-        run(res.rejected)
+        run(res.outcomes)
     timed("batch_scoring_lineitem_requests", batch_scoring)
 
     timed("quantile_forecast_lineitem", lambda: run(quantile_forecast(lb, horizon=1)))

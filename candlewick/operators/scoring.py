@@ -277,17 +277,27 @@ def score_requests(req: DataFrame, model: FittedModel, allow_minimal: bool = Fal
     return _outcomes(req, model, allow_minimal, True, min_rows, row, model_uri, loaded_at)
 
 
-def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = DEFAULT_SEGMENT) -> DataFrame:
-    """Row 55: the newest complete feature row of every symbol, scored."""
-    feats = tabular_features(bars, segment=segment)
-    cols = model_feature_names(feats)
-    complete = drop_incomplete(feats, cols, target=None)
-    latest = tail_rows(complete, 1, "symbol", ["date"])
-    preds = model.transform(latest, keep=["symbol", "date", "adj_close"])
+def score_latest_bars(bars: DataFrame, model: FittedModel, segment: str | Column | None = DEFAULT_SEGMENT,
+                      since=None) -> DataFrame:
+    """Row 55: the newest complete feature row of every symbol, scored.
+
+    ``since`` (a date) prunes the scan to newer bars; only symbols without a
+    complete row there are looked up in their whole history.
+    """
+    recent = _latest_rows(bars if since is None else bars.where(F.col("date") >= F.lit(since)), segment)
+    if since is not None:
+        missing = bars.join(recent.select("symbol"), "symbol", "left_anti")
+        recent = recent.unionByName(_latest_rows(missing, segment))
+    preds = model.transform(recent, keep=["symbol", "date", "adj_close"])
     return preds.select("symbol", "date", F.col("prediction").alias("pred_return"),
                         price_from_return("adj_close", "prediction").alias("pred_price"))
 
 
+def _latest_rows(bars: DataFrame, segment: str | Column | None) -> DataFrame:
+    feats = tabular_features(bars, segment=segment)
+    return tail_rows(drop_incomplete(feats, model_feature_names(feats), target=None), 1, "symbol", ["date"])
+
+
 def compare_families(df: DataFrame, models: dict[str, FittedModel], keep: Sequence[str] = ("symbol", "date", "target")
                      ) -> tuple[DataFrame, DataFrame]:
     """Row 57: score one input with every family side by side, plus grouped

@@ -975,6 +975,22 @@ def q_read_model_1f(spark, sf_dir):
     return round_doubles(ridge_score(again, va, keep=["symbol", "date"]))
 
 
+@register("write_model", f"""
+WITH {_ONE_FEATURE_BASE}
+SELECT symbol, date, {o.cn("st5.my - st5.b * st5.mx + st5.b * r_mean_5")} AS prediction, true AS same_features, 'ridge' AS family
+FROM p, st5""")
+def q_write_model(spark, sf_dir):
+    """Row 4: a written model holds its family, features and coefficients."""
+    from candlewick.operators.models import read_model, write_model
+
+    _, m5 = _one_feature_models(spark, sf_dir)
+    path = _scratch(spark, "model-w")
+    write_model(m5, path)
+    again = read_model(path)
+    out = again.transform(_training_rows(spark, sf_dir).df, keep=["symbol", "date"])
+    return round_doubles(out.select("*", F.lit(again.feature_cols == m5.feature_cols).alias("same_features"), F.lit(again.family).alias("family")))
+
+
 @register("score_stream", f"""
 WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL},{_MINIMAL_SCORED_SQL},
 ms AS (SELECT request_id, symbol, st.my - st.b * st.mx AS pred, last_close AS last_price FROM mk, st)

@@ -71,9 +71,15 @@ def final_only(plan: str) -> str:
     return "\n".join(out)
 
 
-def summarize(name: str, plan: str) -> str:
-    plan = final_only(strip_cached(plan))
-    lines = [f"### {name}", "", "| operator | count |", "| --- | --- |"]
+def section(spark, name: str, make) -> str:
+    """Build a frame, run it, and count the jobs of both and the operators of the final plan."""
+    group = f"plans-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    df = make()
+    built = jobs()
+    plan = final_only(strip_cached(executed(df)))
+    lines = [f"### {name}", "", "| what | count |", "| --- | --- |", f"| jobs while the frame is built | {built} |", f"| jobs in all | {jobs()} |"]
     for label, pat in PATTERNS.items():
         lines.append(f"| {label} | {len(re.findall(pat, plan))} |")
     spans = set(re.findall(r'\*\((\d+)\)', plan))
@@ -90,24 +96,23 @@ def main() -> None:
     ob = materialize(bars_from_orders(spark, sf_dir), "bars-orders")
     lb = materialize(bars_from_lineitem(spark, sf_dir), "bars-lineitem")
     bars_path = ob.inputFiles()[0].rsplit("/", 1)[0]
-    out = [f"# Executed plan shapes ({sf_dir}, local[8], 16 shuffle partitions, AQE on)", "",
-           "Generated by `scripts/explain_plans.py`; counts are over the final adaptive plan.", ""]
-    out.append(summarize("bar adapter: orders -> daily bars (partial aggregation, pruned scan)",
-                         executed(bars_from_orders(spark, sf_dir))))
-    out.append(summarize("load_bars with a universe (filter pushed to the Parquet scan)",
-                         executed(load_bars(spark, bars_path, universe=["1-URGENT", "5-LOW"]))))
-    out.append(summarize("tabular_features, segment='auto' (small table: one exchange, one sort, two windows)",
-                         executed(feat.tabular_features(lb, horizon=1))))
-    out.append(summarize("tabular_features, segment='year' (hot-symbol form: data exchange + small halo branches)",
-                         executed(feat.tabular_features(lb, horizon=1, segment="year"))))
     rows = training_rows(lb, horizon=1)
-    out.append(summarize("training rows as read by every fold (stored frame + bounded broadcast of segment offsets)",
-                         executed(rows.df)))
     split = chronological_holdout(rows.df, rows.n)
     model = ridge_fit(split.where("is_train"), rows.feature_cols)
     req = materialize(requests_from_bars(lb), "requests")
-    out.append(summarize("score_requests (scored rows)", executed(score_requests(req, model, allow_minimal=True).scored)))
-    out.append(summarize("quantile_forecast (top-k tails, bounded per symbol)", executed(quantile_forecast(lb, horizon=1))))
+    out = [f"# Executed plan shapes ({sf_dir}, local[8], 16 shuffle partitions, AQE on)", "",
+           "Generated by `scripts/explain_plans.py`; operators are counted over the final adaptive plan, jobs over building and running.", ""]
+    for name, make in (
+        ("bar adapter: orders -> daily bars", lambda: bars_from_orders(spark, sf_dir)),
+        ("bar adapter: lineitem -> daily bars", lambda: bars_from_lineitem(spark, sf_dir)),
+        ("load_bars with a universe (filter pushed to the Parquet scan)", lambda: load_bars(spark, bars_path, universe=["1-URGENT", "5-LOW"])),
+        ("tabular_features, segment=None (one series per task)", lambda: feat.tabular_features(lb, horizon=1, segment=None)),
+        ("tabular_features, segment='year' (the default: data exchange + small halo branches)", lambda: feat.tabular_features(lb, horizon=1)),
+        ("training_rows: the stored frame with positions", lambda: training_rows(lb, horizon=1).df),
+        ("score_requests (all outcomes)", lambda: score_requests(req, model, allow_minimal=True).outcomes),
+        ("quantile_forecast (whole history)", lambda: quantile_forecast(lb, horizon=1)),
+    ):
+        out.append(section(spark, name, make))
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()

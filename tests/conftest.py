@@ -1,16 +1,15 @@
-import datetime as dt
 import os
 import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers import the library wherever the tests are started
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 from candlewick.session import local_session  # noqa: E402
-
-BAR_SCHEMA = ("symbol string, date date, open double, high double, low double, close double, "
-              "adj_close double, volume bigint")
-
+from helpers import BAR_SCHEMA  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -19,16 +18,6 @@ def spark(tmp_path_factory):
     yield s
 
 
-def day(i: int, start=dt.date(2024, 1, 1)) -> dt.date:
-    return start + dt.timedelta(days=i)
-
-
-def bar(symbol, i, price, volume=100, open_=None, start=dt.date(2024, 1, 1)):
-    o = price if open_ is None else open_
-    return (symbol, day(i, start), float(o), float(max(o, price) + 1), float(min(o, price) - 1), float(price),
-            None if price is None else float(price), int(volume))
-
-
 @pytest.fixture
 def make_bars(spark):
     def _make(rows, schema=BAR_SCHEMA):

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from conftest import day
+from helpers import day
 from pyspark.sql import functions as F
 
 from candlewick.operators import metrics as MT

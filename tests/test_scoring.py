@@ -131,6 +131,14 @@ def test_latest_bar_scoring(spark, model):
     assert len(out) == 5 and all(r.pred_price > 0 for r in out)
 
 
+def test_latest_bars_since_a_date_equal_the_whole_history(spark, model):
+    bars = bars_from_orders(spark, SF)
+    last = bars.agg(F.max("date")).first()[0]
+    cut = bars.where(~((F.col("symbol") == "5-LOW") & (F.col("date") > last - dt.timedelta(days=900))))   # one symbol has no recent bars
+    exp = sorted(S.score_latest_bars(cut, model).collect())
+    assert sorted(S.score_latest_bars(cut, model, since=last - dt.timedelta(days=120)).collect()) == exp and len(exp) == 5
+
+
 def test_stream_restart_adds_no_duplicates(spark, model, tmp_path):
     """New files after a restart from the same checkpoint are scored once;
     files already processed are not replayed."""

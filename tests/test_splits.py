@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import splits
 from candlewick.plans.prefix import running_offsets
 
-from conftest import bar
+from helpers import bar
 
 
 def expected_folds(n, k):
