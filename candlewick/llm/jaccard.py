@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
@@ -42,8 +42,8 @@ from candlewick.llm.words import U64, mix, rolling, slices, windows, words_of
 from candlewick.session import save
 
 SHINGLE, PERCENT = 5, 75
-#: Shingles of one column block, about.
-BLOCK = 3_000_000
+#: Shingles of one column block, about, and the least number of blocks.
+BLOCK, MIN_BLOCKS = 3_000_000, 48
 #: Bytes of a shingle's hash within its block.
 ID_BYTES = 6
 #: Sets that a map task remembers as sent.
@@ -120,7 +120,7 @@ def _column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
 def shared_sets(docs: DataFrame, text: str, total: int) -> DataFrame:
     """(_c, _n, _ids, _df): shared shingles of each class that passes the size
     bound; ``_ids`` packed 8-byte names, ``_df`` their log2 frequencies."""
-    blocks = max(12, -(-total // BLOCK))
+    blocks = max(MIN_BLOCKS, -(-total // BLOCK))
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -214,8 +214,9 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def candidate_columns(sets: DataFrame) -> DataFrame:
-    """(_id, _c, _n, _u): the rarest ``m - t + 1`` shared shingles of each
-    class; ``_u``: how many of its shingles no other class has."""
+    """(_id, _c, _n, _u, _r): the rarest ``m - t + 1`` shared shingles of each
+    class; ``_u``: how many of its shingles no other class has; ``_r``: how
+    many shared ones follow in the order of rarity, this one included."""
     def rarest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c, n, ids, df in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
@@ -224,14 +225,20 @@ def candidate_columns(sets: DataFrame) -> DataFrame:
                 chosen = ids[np.lexsort((ids, np.frombuffer(df, np.uint8)))[:keep]]
                 size = len(chosen)
                 yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64)), pa.array(np.full(size, c, np.int64)),
-                                                  pa.array(np.full(size, n, np.int32)), pa.array(np.full(size, n - len(ids), np.int32))],
-                                                 ["_id", "_c", "_n", "_u"])
+                                                  pa.array(np.full(size, n, np.int32)), pa.array(np.full(size, n - len(ids), np.int32)),
+                                                  pa.array((len(ids) - np.arange(size)).astype(np.int32))],
+                                                 ["_id", "_c", "_n", "_u", "_r"])
 
-    return sets.select("_c", "_n", "_ids", "_df").mapInArrow(rarest, "_id long, _c long, _n int, _u int")
+    return sets.select("_c", "_n", "_ids", "_df").mapInArrow(rarest, "_id long, _c long, _n int, _u int, _r int")
 
 
-def _sizes_fit(a: str, b: str, percent: int = PERCENT):
-    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+def _can_link(na: str, ra: str, nb: str, rb: str, percent: int = PERCENT) -> Column:
+    """Whether two classes that meet in a column can link, if it is the first
+    they share: what follows in either order bounds their overlap, and the
+    sizes say how large it must be.  (In a later shared column the answer
+    does not matter, as the first one has seen the pair.)"""
+    most = F.least(ra, rb)
+    return F.lit(100) * most >= F.lit(percent) * (F.col(na) + F.col(nb) - most)
 
 
 def compare(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -258,7 +265,10 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 def class_links(sets: DataFrame) -> DataFrame | None:
     """(node, component) of all classes that link, smallest class number first."""
     columns = save(candidate_columns(sets), "jaccard-columns").df
-    links, found = None, None
+    # a class that could not even link with the column's smallest class leaves the column
+    small = columns.groupBy("_id").agg(F.min("_n").alias("_lo"), F.count(F.lit(1)).alias("_k")).where("_k > 1")
+    columns = save(columns.join(small, "_id").where(_can_link("_n", "_r", "_lo", "_r")).drop("_lo", "_k"), "jaccard-open").df
+    links, found, new = None, None, None
     for turn in range(ROUNDS + 1):
         if found is None:
             held = columns.withColumn("_g", F.col("_c"))
@@ -266,20 +276,20 @@ def class_links(sets: DataFrame) -> DataFrame | None:
             held = columns.join(found.withColumnRenamed("node", "_c"), "_c", "left").withColumn("_g", F.coalesce("component", "_c"))
             held = held.drop("component")
         # per column: the largest component and one class of it that all others meet, at first the least edited
-        pick = F.min(F.struct(F.col("_u") if turn == 0 else F.xxhash64("_c", F.lit(turn)), "_c", "_n"))
+        pick = F.min(F.struct(F.col("_u") if turn == 0 else F.xxhash64("_c", F.lit(turn)), "_c", "_n", "_r"))
         groups = held.groupBy("_id", "_g").agg(F.count(F.lit(1)).alias("_k"), pick.alias("_p"))
         order = F.col("_p") if turn == 0 else F.struct(-F.col("_k"), "_p")
-        heads = groups.groupBy("_id").agg(F.min_by(F.struct("_p._c", "_p._n", "_g"), order).alias("h"),
+        heads = groups.groupBy("_id").agg(F.min_by(F.struct("_p._c", "_p._n", "_p._r", "_g"), order).alias("h"),
                                           F.count(F.lit(1)).alias("_m")).where("_m > 1")
         open_ = held.join(heads, "_id")
-        if turn and (turn == ROUNDS or _pairs_left(held, heads) <= 4 * max(1, columns.count())):
+        if turn and (turn == ROUNDS or new.isEmpty() or _pairs_left(held, heads) <= 4 * max(1, columns.count())):
             other = held.join(heads.select("_id"), "_id", "left_semi")
-            left, right = (other.select("_id", *[F.col(c).alias(f"{c}{s}") for c in ("_c", "_n", "_g")]) for s in "ab")
-            pairs = (left.join(right, "_id").where((F.col("_ca") < F.col("_cb")) & (F.col("_ga") != F.col("_gb")) & _sizes_fit("_na", "_nb"))
+            left, right = (other.select("_id", *[F.col(c).alias(f"{c}{s}") for c in ("_c", "_n", "_r", "_g")]) for s in "ab")
+            pairs = (left.join(right, "_id").where((F.col("_ca") < F.col("_cb")) & (F.col("_ga") != F.col("_gb")) & _can_link("_na", "_ra", "_nb", "_rb"))
                      .select(F.col("_ca").alias("_a"), F.col("_cb").alias("_b")))
             last = True
         else:
-            pairs = (open_.where((F.col("_g") != F.col("h._g")) & _sizes_fit("_n", "h._n"))
+            pairs = (open_.where((F.col("_g") != F.col("h._g")) & _can_link("_n", "_r", "h._n", "h._r"))
                      .select(F.col("h._c").alias("_a"), F.col("_c").alias("_b")))
             last = False
         pairs = save(pairs.distinct(), "jaccard-pairs").df
