@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm import graph
+from candlewick.llm.words import lean
 from candlewick.session import save
 
 SHARD = 4096
@@ -114,7 +115,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                                                  ["query_id", "vec_id", "score"])
 
     wide = 2 * max(1, len(shards))
-    found = sent.repartition(wide, "_shard").join(index.repartition(wide, "_shard"), "_shard").mapInArrow(answer, "query_id long, vec_id long, score double")
+    found = sent.repartition(wide, "_shard").join(index.repartition(wide, "_shard"), "_shard").mapInArrow(lean(answer), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

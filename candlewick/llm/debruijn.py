@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlewick.llm.minimizers import MANY, PIECE, buckets, chain_rows, cover, keyed, pieces, settled, unpack
+from candlewick.llm.words import lean
 from candlewick.session import save
 
 K = 35
@@ -61,7 +62,7 @@ def path_pieces(docs: DataFrame, text: str, k: int = K) -> DataFrame:
             yield pieces(table, row[hit], at[hit], np.zeros(int(hit.sum()), bool))
 
     rows = chain_rows(docs, text, k, same_place=True)
-    return rows.repartition("_m").sortWithinPartitions("_m").mapInArrow(compact, PIECE)
+    return rows.repartition("_m").sortWithinPartitions("_m").mapInArrow(lean(compact), PIECE)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
@@ -89,7 +90,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
                     + [pa.array([d[0].decode() for d in done], pa.string()), *(pa.array([d[i] for d in done], pa.int64()) for i in (1, 2))],
                     schema=arrow)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
 
 
 def glued(text: bytes | None, pieces: list[dict] | None, k: int) -> tuple[bytes, int, int]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
 from candlewick.llm.minimizers import buckets
-from candlewick.llm.words import U64, mix, rolling, slices, windows, words_of
+from candlewick.llm.words import U64, lean, mix, rolling, slices, windows, words_of
 from candlewick.session import save
 
 SHINGLE, PERCENT = 5, 75
@@ -90,7 +90,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                                                  ["_key", "_c", "_n"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(count, f"_key {kind}, _c long, _n long")
+    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(lean(count), f"_key {kind}, _c long, _n long")
 
 
 def _packed(values: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
@@ -181,9 +181,9 @@ def shared_sets(docs: DataFrame, text: str, total: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c[first][fits]), pa.array(n[fits]), _packed(ids, ends, 8), _packed(weight, ends, 1)],
                                              ["_c", "_n", "_ids", "_df"])
 
-    rows = docs.select(F.col(text).alias("_text")).mapInArrow(spread, "_b int, _c long, _n int, _h binary")
-    counted = rows.repartition("_b").sortWithinPartitions("_b", "_c").mapInArrow(count, "_c long, _n int, _b int, _h binary")
-    return counted.repartition("_c").sortWithinPartitions("_c").mapInArrow(gather, "_c long, _n int, _ids binary, _df binary")
+    rows = docs.select(F.col(text).alias("_text")).mapInArrow(lean(spread), "_b int, _c long, _n int, _h binary")
+    counted = rows.repartition("_b").sortWithinPartitions("_b", "_c").mapInArrow(lean(count), "_c long, _n int, _b int, _h binary")
+    return counted.repartition("_c").sortWithinPartitions("_c").mapInArrow(lean(gather), "_c long, _n int, _ids binary, _df binary")
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
@@ -229,7 +229,7 @@ def candidate_columns(sets: DataFrame) -> DataFrame:
                                                   pa.array((len(ids) - np.arange(size)).astype(np.int32))],
                                                  ["_id", "_c", "_n", "_u", "_r"])
 
-    return sets.select("_c", "_n", "_ids", "_df").mapInArrow(rarest, "_id long, _c long, _n int, _u int, _r int")
+    return sets.select("_c", "_n", "_ids", "_df").mapInArrow(lean(rarest), "_id long, _c long, _n int, _u int, _r int")
 
 
 def _can_link(na: str, ra: str, nb: str, rb: str, percent: int = PERCENT) -> Column:
@@ -259,7 +259,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
                 linked[i] = 100 * common >= percent * (int(na[i]) + int(nb[i]) - common)
             yield pa.RecordBatch.from_arrays([get("_a"), get("_b")], ["_a", "_b"]).filter(pa.array(linked))
 
-    return joined.select("_a", "_b", "_na", "_nb", "_ia", "_ib").mapInArrow(overlap, "_a long, _b long")
+    return joined.select("_a", "_b", "_na", "_nb", "_ia", "_ib").mapInArrow(lean(overlap), "_a long, _b long")
 
 
 def class_links(sets: DataFrame) -> DataFrame | None:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.words import buffers
+from candlewick.llm.words import buffers, lean, trim
 
 #: Rows that training sees at most (those with the smallest hashes), and windows of each.
 TRAIN_ROWS, TRAIN_WINDOWS = 3000, 4
@@ -135,7 +135,7 @@ def fit_language_model(docs: DataFrame, eligible: Column, text: str = "text", la
                 w, _ = take_windows(data, nth * WINDOW, np.full(len(nth), len(data)))
                 yield pa.RecordBatch.from_pydict({"_place": [place], "_lang": [label], "_windows": [w.tobytes()]})
 
-    found = near.mapInArrow(cut, "_place long, _lang string, _windows binary")
+    found = near.mapInArrow(lean(cut), "_place long, _lang string, _windows binary")
     sample = found.orderBy("_place", "_lang", "_windows").limit(rows).collect()
     parts = [np.frombuffer(bytes(r["_windows"]), np.uint8).reshape(-1, WINDOW) for r in sample]
     labels = sorted({r["_lang"] for r in sample})
@@ -145,9 +145,11 @@ def fit_language_model(docs: DataFrame, eligible: Column, text: str = "text", la
 
 
 def _has_letter(texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122)
-    upto = np.concatenate(([0], np.cumsum(ascii_letter)))
-    out = upto[offsets[1:]] > upto[offsets[:-1]]
+    out = np.zeros(len(offsets) - 1, bool)
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        low = data | np.uint8(32)
+        out[some] = np.logical_or.reduceat((low >= 97) & (low <= 122), offsets[some])
     for i in np.flatnonzero(~out):
         out[i] = any(c.isalpha() for c in (texts[i].as_py() or ""))
     return out
@@ -184,6 +186,7 @@ def identify_language(docs: DataFrame, model: ByteConv | None, text: str = "text
     @F.arrow_udf("struct<lang:string,score:double>")
     def guess(texts: pa.Array) -> pa.Array:
         lang, p = predict(model, texts)
+        trim()
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(p, pa.float64())], ["lang", "score"])
 
     return (docs.withColumn("_lid", guess(F.col(text)))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.words import U64, Words, mix, rolling, slices, windows, words_of
+from candlewick.llm.words import U64, Words, lean, mix, rolling, slices, windows, words_of
 
 GRAM = 8
 _PLACE_BITS = 28        # words of one slice or text that fit a place
@@ -144,7 +144,7 @@ def chain_rows(docs: DataFrame, text: str, k: int, same_place: bool) -> DataFram
              pa.array(np.where(settled, count, n).astype(np.int32)), binary], ["_m", "_k1", "_k2", "_at", "_n", "_w"])
         yield rows.filter(pa.array(keep))
 
-    return docs.select("_k1", "_k2", F.col(text).alias("_text")).mapInArrow(cut, CHAIN)
+    return docs.select("_k1", "_k2", F.col(text).alias("_text")).mapInArrow(lean(cut), CHAIN)
 
 
 def buckets(batches: Iterable[pa.RecordBatch], block: int = BLOCK) -> Iterator[pa.Table]:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.tokens import encoder
+from candlewick.llm.words import lean
 from candlewick.session import save
 
 LENGTH = 2048
@@ -97,7 +98,7 @@ def tokenized(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text
                     ["_place", "_doc", "_ids"])
 
     kind = docs.schema[doc].dataType.simpleString()
-    return docs.select(doc, text).mapInArrow(encode, f"_place long, _doc {kind}, _ids binary")
+    return docs.select(doc, text).mapInArrow(lean(encode), f"_place long, _doc {kind}, _ids binary")
 
 
 def _sequences(rows: Iterator[tuple[object, np.ndarray]], length: int, base: int) -> Iterator[list[tuple]]:
@@ -164,5 +165,5 @@ def pack(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", le
 
     field = docs.schema[doc]
     doc_type = to_arrow_type(field.dataType)
-    return ranged.mapInArrow(fill, f"`{doc}` {field.dataType.simpleString()}, start long, length long, doc_tokens long, "
+    return ranged.mapInArrow(lean(fill), f"`{doc}` {field.dataType.simpleString()}, start long, length long, doc_tokens long, "
                                    "sequence_id long, offset long, ids binary")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlewick.llm.minimizers import MANY, PIECE, buckets, chain_rows, cover, keyed, pieces, settled, unpack
-from candlewick.llm.words import words_of
+from candlewick.llm.words import lean, words_of
 from candlewick.session import save
 
 MIN_WORDS = 50
@@ -72,7 +72,7 @@ def repeated_pieces(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> D
             yield pieces(table, *match_neighbours(table))
 
     rows = chain_rows(docs, text, min_words, same_place=False)
-    return rows.repartition("_m").sortWithinPartitions("_m").mapInArrow(compare, PIECE)
+    return rows.repartition("_m").sortWithinPartitions("_m").mapInArrow(lean(compare), PIECE)
 
 
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -108,7 +108,7 @@ def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
                 cols += [pa.array([o[j] for o in out], arrow.field(len(cols) + j - 1).type) for j in range(1, 5)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
 
 
 def _runs(on: np.ndarray) -> list[tuple[int, int]]:

@@ -7,13 +7,35 @@ the Arrow buffers of one batch, without a Python loop over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+
+
+def lean(body: Callable) -> Callable:
+    """A mapInArrow body that hands its worker's memory back at the end: a
+    worker waits for its next task with what allocators have kept, beside an
+    executor that may just then need it."""
+    def run(batches):
+        try:
+            yield from body(batches)
+        finally:
+            trim()
+
+    return run
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
 _BASE = U64(0x9E3779B97F4A7C15)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 #: Bytes of text that one slice of a batch holds (one longer text is a slice of its own).

@@ -50,10 +50,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard_join(docs).where("doc_id is not null").select(F.col("doc_id").alias("_id"), "n_shingles", "component_id")
     # one winner per group is an aggregate with partial sums: a group of any size is no window
     best = groups.groupBy("component_id").agg(F.min(F.struct(-F.col("n_shingles"), "_id")).alias("b")).select("b._id").distinct()
-    kept = docs.join(best, F.col("doc_id") == F.col("_id"), "left_semi")
+    rows = groups.groupBy("_id").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = docs.join(best.join(rows, "_id"), F.col("doc_id") == F.col("_id")).drop("_id")
+    # only ids that several rows have need their rows side by side
     once = Window.partitionBy("doc_id").orderBy(F.md5(F.coalesce("text", F.lit(""))), "source", "lang")
-    one = kept.withColumn("_r", F.row_number().over(once)).where("_r = 1").select(docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    many = kept.where("_rows > 1").withColumn("_r", F.row_number().over(once)).where("_r = 1")
+    out = kept.where("_rows = 1").select(docs.columns).unionByName(many.select(docs.columns))
+    return out.unionByName(docs.where("doc_id is null"))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
