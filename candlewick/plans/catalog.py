@@ -632,7 +632,7 @@ def _full_ridge(spark, sf_dir):
 
 
 @register("score_windows_full")
-def q_score_windows(spark, sf_dir):
+def q_score_windows_full(spark, sf_dir):
     from candlewick.operators.scoring import score_windows
 
     res = score_windows(_requests(spark, sf_dir), _full_ridge(spark, sf_dir), model_uri="ridge:holdout")
@@ -662,14 +662,14 @@ def q_score_windows_rejected(spark, sf_dir):
 
 
 @register("score_minimal_full")
-def q_score_minimal(spark, sf_dir):
+def q_score_minimal_full(spark, sf_dir):
     from candlewick.operators.scoring import score_minimal
 
     return round_doubles(score_minimal(_requests(spark, sf_dir), _full_ridge(spark, sf_dir)).scored)
 
 
 @register("score_latest_bars_full")
-def q_score_latest_bars(spark, sf_dir):
+def q_score_latest_bars_full(spark, sf_dir):
     from candlewick.operators.scoring import score_latest_bars
 
     return round_doubles(score_latest_bars(orders_bars(spark, sf_dir), _full_ridge(spark, sf_dir)))
@@ -752,7 +752,7 @@ def q_quantile_forecast(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 @register("select_model_full")
-def q_select_model(spark, sf_dir):
+def q_select_model_full(spark, sf_dir):
     from candlewick.operators.models import select_model
     from candlewick.operators.splits import chronological_holdout
 
@@ -766,7 +766,7 @@ def q_select_model(spark, sf_dir):
 
 
 @register("sequence_regressor_full")
-def q_sequence_regressor(spark, sf_dir):
+def q_sequence_regressor_full(spark, sf_dir):
     from candlewick.operators.metrics import fold_metrics
     from candlewick.operators.models import sequence_model, sequence_predict
     from candlewick.operators.splits import chronological_holdout
@@ -782,7 +782,7 @@ def q_sequence_regressor(spark, sf_dir):
 
 
 @register("compare_families_full")
-def q_compare_families(spark, sf_dir):
+def q_compare_families_full(spark, sf_dir):
     from candlewick.operators.models import ridge_fit, select_model
     from candlewick.operators.scoring import compare_families
     from candlewick.operators.splits import chronological_holdout
@@ -798,7 +798,7 @@ def q_compare_families(spark, sf_dir):
 
 
 @register("write_model_full")
-def q_write_model(spark, sf_dir):
+def q_write_model_full(spark, sf_dir):
     from candlewick.operators.models import read_model, write_model
     from candlewick.streaming.scoring_stream import scratch_dir
 
@@ -817,7 +817,7 @@ def q_write_model(spark, sf_dir):
 
 
 @register("train_pipeline_full")
-def q_train_pipeline(spark, sf_dir):
+def q_train_pipeline_full(spark, sf_dir):
     from candlewick.operators.train import train_pipeline
 
     res = train_pipeline(orders_bars(spark, sf_dir), family="ridge", horizon=1, n_splits=5, run="ridge_full")
@@ -825,7 +825,7 @@ def q_train_pipeline(spark, sf_dir):
 
 
 @register("score_stream_full")
-def q_score_stream(spark, sf_dir):
+def q_score_stream_full(spark, sf_dir):
     from candlewick.sources.requests import write_requests_json
     from candlewick.streaming.scoring_stream import score_stream, scratch_dir
 
@@ -921,7 +921,7 @@ _SCORED_COLS = f"""{o.cn("pred")} AS pred_return, {o.cn("last_price * exp(pred)"
 WITH {_ONE_FEATURE_BASE},{_WINDOW_SCORED_SQL}
 SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:log_return_1' AS model_uri, CAST(0.0 AS DOUBLE) AS loaded_at_unix,
        'tabular_from_window_adj_close' AS used_mode FROM ws""")
-def q_score_windows_1f(spark, sf_dir):
+def q_score_windows(spark, sf_dir):
     from candlewick.operators.scoring import score_windows
 
     m1, _ = _one_feature_models(spark, sf_dir)
@@ -934,7 +934,7 @@ ms AS (SELECT request_id, symbol, st5.my - st5.b * st5.mx + st5.b * list_avg(s5)
        FROM mk, st5)
 SELECT request_id, symbol, {_SCORED_COLS}, 'ridge:r_mean_5' AS model_uri, CAST(0.0 AS DOUBLE) AS loaded_at_unix,
        'tabular_minimal' AS used_mode FROM ms""")
-def q_score_minimal_1f(spark, sf_dir):
+def q_score_minimal(spark, sf_dir):
     from candlewick.operators.scoring import score_minimal
 
     _, m5 = _one_feature_models(spark, sf_dir)
@@ -949,7 +949,7 @@ fc AS (SELECT symbol, date, adj_close, log_return_1,
 ls AS (SELECT symbol, date, st.my - st.b * st.mx + st.b * log_return_1 AS pred, adj_close AS last_price
        FROM fc, st WHERE rn = 1)
 SELECT symbol, date, {_SCORED_COLS} FROM ls""")
-def q_score_latest_bars_1f(spark, sf_dir):
+def q_score_latest_bars(spark, sf_dir):
     from candlewick.operators.scoring import score_latest_bars
 
     m1, _ = _one_feature_models(spark, sf_dir)
@@ -960,7 +960,7 @@ def q_score_latest_bars_1f(spark, sf_dir):
 WITH {_ONE_FEATURE_BASE}
 SELECT symbol, date, {o.cn("st.my - st.b * st.mx + st.b * log_return_1")} AS prediction
 FROM p, nn, st WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)""")
-def q_read_model_1f(spark, sf_dir):
+def q_read_model(spark, sf_dir):
     """Row 4: write the model, read it back, score the holdout rows with the copy."""
     from candlewick.operators.models import read_model, ridge_score, write_model
     from candlewick.operators.splits import chronological_holdout
@@ -997,7 +997,7 @@ ms AS (SELECT request_id, symbol, st.my - st.b * st.mx AS pred, last_close AS la
 SELECT request_id, symbol, {_SCORED_COLS}, 'tabular_from_window_adj_close' AS used_mode FROM ws
 UNION ALL
 SELECT request_id, symbol, {_SCORED_COLS}, 'tabular_minimal' AS used_mode FROM ms""")
-def q_score_stream_1f(spark, sf_dir):
+def q_score_stream(spark, sf_dir):
     """Row 56 with a one-feature model: JSON request files -> micro-batches ->
     scored rows (minimal mode has no log return, so it predicts the intercept)."""
     from candlewick.sources.requests import write_requests_json
@@ -1040,7 +1040,7 @@ pr AS (SELECT 'ridge_log_return_1' AS family, target, st.my - st.b * st.mx + st.
 SELECT family, {o.cn("avg(abs(target - prediction))")} AS mae,
        {o.cn("avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END)")} AS diracc, count(*) AS n
 FROM pr GROUP BY family""")
-def q_compare_families_1f(spark, sf_dir):
+def q_compare_families(spark, sf_dir):
     """Row 57 with closed-form-checkable models: two one-feature ridges side by side."""
     from candlewick.operators.scoring import compare_families
     from candlewick.operators.splits import chronological_holdout
@@ -1070,7 +1070,7 @@ lng AS (SELECT fold, 'mae_fold_' || fold AS metric, mae AS value FROM fm
         UNION ALL SELECT NULL, k, x FROM (VALUES ('param_num_features', 1), ('param_horizon', 1), ('param_n_splits', 5), ('param_alpha', 1)) c(k, x))
 SELECT 'ridge_one_feature' AS run, 'ridge' AS family, CAST(fold AS INTEGER) AS fold, metric, {o.cn("value")} AS value
 FROM lng""")
-def q_train_pipeline_1f(spark, sf_dir):
+def q_train_pipeline(spark, sf_dir):
     """Row 51 end to end with one model input: CV metrics, holdout fit, val_mae."""
     from candlewick.operators.train import train_pipeline
 

@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 
 from helpers import day
-from pyspark.sql import functions as F
 
 from candlewick.operators import metrics as MT
 from candlewick.operators import models as M

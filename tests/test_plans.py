@@ -1,6 +1,5 @@
 """Physical-plan properties: pushdown, pruning, partial aggregation, exchange count."""
 
-import random
 
 from candlewick.operators import features as feat
 from candlewick.sources import bars as src
