@@ -24,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from candlewick.llm.tokens import encoder
 from candlewick.llm.words import lean
