@@ -49,15 +49,16 @@ def test_global_position_dense_and_ordered(spark, make_bars):
         assert [(r.symbol, r.date) for r in got] == sorted((r.symbol, r.date) for r in got)
 
 
-def test_running_offsets_distributed_matches_single_task(spark):
+def test_running_offsets_do_not_depend_on_the_pieces(spark):
     df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7 + 1).alias("w"))
-    small = {r.k: r.o for r in running_offsets(df, ["k"], "w", "o").collect()}
-    big = {r.k: r.o for r in running_offsets(df, ["k"], "w", "o", single_task_max_rows=0, pieces=6).collect()}
+    one, six = (running_offsets(df, ["k"], "w", "o", pieces=n) for n in (1, 6))
     exp, acc = {}, 0
     for k in range(500):
         exp[k] = acc
         acc += k % 7 + 1
-    assert small == exp and big == exp
+    for got in (one, six):
+        assert {r.k: r.o for r in got.df.collect()} == exp and got.total == acc
+    assert running_offsets(df.where("false"), ["k"], "w", "o").total == 0
 
 
 def test_date_folds_never_split_a_date(spark, make_bars):
