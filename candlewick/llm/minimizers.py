@@ -5,7 +5,8 @@ A window's minimiser is the smallest of the hashes of its ``p``-word grams
 offsets, and neighbouring windows mostly share theirs, so a text falls into
 short chains of consecutive windows with one minimiser each: about
 ``2 / (k - p + 2)`` chains per word.  Dealing chains by their minimiser
-brings all equal windows together with one small row per chain.
+brings all equal windows together with one small row per chain.  The windows
+of a very common gram are dealt one by one, by their own hash.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.words import U64, Words, lean, mix, rolling, slices, windows, words_of
+from candlewick.session import save
 
 GRAM = 8
 _PLACE_BITS = 28        # words of one slice or text that fit a place
@@ -28,6 +30,10 @@ HASH_BYTES = 7
 _HASH = U64((1 << (8 * HASH_BYTES)) - 1)
 #: Rows that a task compares at a time; a bucket is never split.
 BLOCK = 200_000
+#: A bucket with more chains than this (and than a ``MAX_HOT``th of all) is dealt by window.
+HOT, MAX_HOT = 200_000, 100_000
+#: Every so manieth document, by hash, tells which buckets are so large.
+TOLD_BY = 32
 #: Chains that a map task remembers as met before.
 SEEN = 200_000
 #: ``_n``: of a chain with hashes 0, or MANY if the map task has met it twice; else, without
@@ -71,6 +77,18 @@ def chains(words: Words, k: int, p: int = GRAM) -> tuple[np.ndarray, ...]:
     return gram[low[first]], at[first], count, rolling(words.hash, k, salt=1)[at] & _HASH
 
 
+def _one_by_one(common: np.ndarray, m: np.ndarray, at: np.ndarray, count: np.ndarray, hashes: np.ndarray):
+    """Chains with those of the common minimisers cut into single windows,
+    each in a bucket named by minimiser and window."""
+    times = np.where(common, count, 1)
+    chain = np.repeat(np.arange(len(m)), times)
+    nth = np.arange(len(chain)) - np.repeat(np.cumsum(times) - times, times)
+    single = common[chain]
+    own = (np.cumsum(count) - count)[chain] + nth
+    return (np.where(single, mix(m[chain] ^ mix(hashes[own])), m[chain]), at[chain] + np.where(single, nth, 0),
+            np.where(single, 1, count[chain]))
+
+
 class _Combiner:
     """Map-side combine: of equal chains that one task meets, only the one
     at the smallest place (document, word) is sent, marked MANY; the others
@@ -100,10 +118,29 @@ class _Combiner:
         return out
 
 
+def hot_grams(docs: DataFrame, text: str, k: int) -> np.ndarray:
+    """Minimisers of large buckets, sorted.  Like the bounds of a range
+    partitioning these come from a sample: they say how rows are dealt, and
+    no result depends on them.  At most ``2 * MAX_HOT`` numbers."""
+    def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                yield pa.RecordBatch.from_arrays([pa.array(chains(words_of(part.column(0)), k)[0].view(np.int64))], ["_m"])
+
+    told = docs.where(F.pmod(F.xxhash64("_k1", "_k2"), F.lit(TOLD_BY)) == 0).select(F.col(text).alias("_text"))
+    counts = save(told.mapInArrow(lean(grams), "_m long").groupBy("_m").count(), "grams")
+    total = counts.df.agg(F.sum("count")).first()[0] or 0
+    found = counts.df.where(F.col("count") > max(HOT // TOLD_BY, total // MAX_HOT)).select("_m").collect()
+    counts.drop()
+    return np.sort(np.array([r["_m"] for r in found], np.int64).view(U64))
+
+
 def chain_rows(docs: DataFrame, text: str, k: int, same_place: bool) -> DataFrame:
     """Rows (``CHAIN``) of the keyed documents: minimiser, document, first
     window's word in the text, packed window hashes.  ``same_place``: whether
     rows that agree in id and text count as different places."""
+    hot = hot_grams(docs, text, k)
+
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         combiner = _Combiner(same_place)
         for batch in batches:
@@ -115,6 +152,8 @@ def chain_rows(docs: DataFrame, text: str, k: int, same_place: bool) -> DataFram
         m, at, count, hashes = chains(words, k)
         if not len(m):
             return
+        if len(hot) and (common := np.isin(m, hot)).any():
+            m, at, count = _one_by_one(common, m, at, count, hashes)
         row = np.searchsorted(words.first, at, "right") - 1
         k1, k2 = (part.column(i).to_numpy()[row] for i in (0, 1))
         start = at - words.first[row]

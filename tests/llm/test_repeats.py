@@ -63,6 +63,18 @@ def test_suffixes_equal_brute_force(spark, make_docs, seed, k):
             assert (r["text"] or "") == by_id[r["doc_id"]]      # clean texts stay byte for byte
 
 
+def test_common_grams_are_dealt_by_window(spark, make_docs, monkeypatch):
+    """Every bucket with two sampled chains is split: the answers stay."""
+    rows = sample(8, "abcd")
+    whole = {(r["doc_id"], r["kept_text"]) for r in remove_repeats(make_docs(rows), k=12).collect()}
+    cut = {(r["doc_id"], r["text"], str(r["spans"])) for r in remove_passages(make_docs(rows), min_words=12).collect()}
+    monkeypatch.setattr(M, "HOT", 1)
+    monkeypatch.setattr(M, "TOLD_BY", 1)
+    assert len(M.hot_grams(M.keyed(make_docs(rows), "doc_id", "text"), "text", 12)) > 50
+    assert {(r["doc_id"], r["kept_text"]) for r in remove_repeats(make_docs(rows), k=12).collect()} == whole
+    assert {(r["doc_id"], r["text"], str(r["spans"])) for r in remove_passages(make_docs(rows), min_words=12).collect()} == cut
+
+
 def test_clashing_columns_empty_tables_and_string_ids(spark, make_docs):
     docs = make_docs([(1, "a b c"), (2, None)]).selectExpr("cast(doc_id as string) as doc_id", "text", "1 as n_words", "'x' as spans", "2 as n_removed", "3 as kept_text")
     assert {r["doc_id"]: r["n_words"] for r in remove_passages(docs).collect()} == {"1": 3, "2": 0}
