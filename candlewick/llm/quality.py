@@ -125,7 +125,8 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text",
     """
     scored = document_rules(docs, text)
     scored = save(scored.drop(text) if drop_text else scored, "quality").df
-    hosts = host_verdicts(scored, host, max_rate).select("_q_host", "_q_host_rate", "_q_host_rejected")
+    # written, so that its size is known: documents are only shuffled by host if there are very many hosts
+    hosts = save(host_verdicts(scored, host, max_rate).select("_q_host", "_q_host_rate", "_q_host_rejected"), "hosts").df
     out = scored.join(hosts, F.col(host) == F.col("_q_host"), "left").drop("_q_host")
     base = F.col("_q_too_short") | F.col("_q_repetitive")
     return out.withColumns({
