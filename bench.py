@@ -2,6 +2,8 @@
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Every query is forced to completion with the ``noop`` sink (no collect).
+Daily bars of a symbol are a few thousand rows, so the jobs say
+``segment=None``: one window per series (the default splits it by year).
 """
 
 from __future__ import annotations
@@ -51,13 +53,13 @@ def main() -> None:
     timed("build_bars_lineitem", lambda: tables.__setitem__("lb", materialize(bars_from_lineitem(spark, sf_dir), "bars-lineitem")))
     ob, lb = tables["ob"], tables["lb"]
 
-    timed("features_orders", lambda: run(feat.tabular_features(ob, horizon=1)))
-    timed("features_lineitem", lambda: run(feat.tabular_features(lb, horizon=1)))
+    timed("features_orders", lambda: run(feat.tabular_features(ob, horizon=1, segment=None)))
+    timed("features_lineitem", lambda: run(feat.tabular_features(lb, horizon=1, segment=None)))
 
     state = {}
 
     def cv_orders():
-        rows = training_rows(ob, horizon=1)
+        rows = training_rows(ob, horizon=1, segment=None)
         metrics, _ = cross_validate(rows, "ridge", 5)
         metrics.collect()
     timed("walk_forward_ridge_orders", cv_orders)
@@ -65,7 +67,7 @@ def main() -> None:
     # end to end: features -> complete rows -> positions -> 5-fold walk-forward
     # ridge and the 80/20 holdout model (one Gram pass) -> validation metrics
     def pipeline_lineitem():
-        res = train_pipeline(lb, family="ridge", horizon=1, n_splits=5, run="bench")
+        res = train_pipeline(lb, family="ridge", horizon=1, n_splits=5, run="bench", segment=None)
         res.metrics.collect()
         state["model"] = res.model
     timed("train_pipeline_lineitem", pipeline_lineitem)
@@ -77,7 +79,7 @@ def main() -> None:
         run(res.outcomes)
     timed("batch_scoring_lineitem_requests", batch_scoring)
 
-    timed("quantile_forecast_lineitem", lambda: run(quantile_forecast(lb, horizon=1)))
+    timed("quantile_forecast_lineitem", lambda: run(quantile_forecast(lb, horizon=1, segment=None)))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({

@@ -383,7 +383,11 @@ def price_context(df: DataFrame, group_col: str = "symbol", min_context: int = M
     """
     valid, full = _valid_prices(df, group_col, price_col)
     seg = segment_of("date", segment)
-    base = valid.withColumn(SEG, seg if seg is not None else F.lit(0).cast("long"))
+    if seg is None:     # one window per series
+        w = Window.partitionBy(group_col)
+        k, n = F.row_number().over(w.orderBy(*full)) - 1, F.count(F.lit(1)).over(w)
+        return valid.select(group_col, "date", k.cast("long").alias("k"), "price", n.alias("n_context"), (n >= min_context).alias("accepted"))
+    base = valid.withColumn(SEG, seg)
     counts = base.groupBy(group_col, SEG).agg(F.count(F.lit(1)).alias("_n"))
     over = Window.partitionBy(group_col)
     sizes = counts.select(group_col, SEG, F.sum("_n").over(over).alias("n_context"),
@@ -401,18 +405,22 @@ def sample_paths(df: DataFrame, horizon: int = 1, num_samples: int | None = None
     newest), replayed from the latest price; ``num_samples`` keeps the newest
     so many."""
     context = price_context(df, group_col, 0, segment, price_col)
-    last = context.groupBy(group_col).agg(F.max_by("price", "k").alias("last_price"))
+    if segment is None:
+        newest = Window.partitionBy(group_col).orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        context = context.withColumn("last_price", F.last("price").over(newest))
+    else:
+        context = context.join(context.groupBy(group_col).agg(F.max_by("price", "k").alias("last_price")), group_col)
     halo = with_halo(context, [group_col], ["k"], segment_of("date", segment), back=horizon)
     w = Window.partitionBy(group_col, SEG).orderBy("k")
     lp = F.ln(F.col("price"))
     steps = halo.select(
-        group_col, HALO, (F.col("n_context") - 1 - F.col("k")).alias("sample_id"), F.lag(lp, horizon).over(w).alias("_base"),
+        group_col, HALO, "last_price", (F.col("n_context") - 1 - F.col("k")).alias("sample_id"), F.lag(lp, horizon).over(w).alias("_base"),
         # step s (1..h) of the path ending at this row: ln p[t-h+s]
         F.array(*[F.lag(lp, horizon - s).over(w) if s < horizon else lp for s in range(1, horizon + 1)]).alias("_steps"))
     samples = steps.where((F.col(HALO) == 0) & F.col("_base").isNotNull())
     if num_samples is not None:
         samples = samples.where(F.col("sample_id") < num_samples)
-    return samples.join(last, group_col).select(
+    return samples.select(
         group_col, "sample_id", "last_price", F.posexplode("_steps").alias("_s", "_lp"), "_base",
     ).select(group_col, "sample_id", (F.col("_s") + 1).alias("step"),
              (F.col("last_price") * F.exp(F.col("_lp") - F.col("_base"))).alias("price"), "last_price")
@@ -474,47 +482,63 @@ class Moments:
     scale: "np.ndarray"
 
 
-def column_moments(df: DataFrame, feature_cols: Sequence[str], label: str = "target") -> Moments:
-    """Mean and deviation of every cleaned column, one aggregate.  Grams are
-    taken of pivoted and scaled columns, so that rounding stays far below
-    the penalty whatever the number of rows."""
-    import numpy as np
-
-    cols = [F.coalesce(finite_or_null(c), F.lit(0.0)) for c in feature_cols] + [F.col(label).cast("double")]
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    value = lambda k, empty: np.array([empty if row[f"{k}{i}"] is None else row[f"{k}{i}"] for i in range(len(cols))], float)
-    scale = value("s", 1.0)
-    return Moments(value("m", 0.0), np.where(scale > 0, scale, 1.0))
-
-
-def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, moments: Moments,
-                label: str = "target") -> dict[int, "np.ndarray"]:
-    """Sum of z z^T per block, z = [1, x_1..x_d, y] with pivoted and scaled
-    x and y (non-finite x -> 0.0 before that)."""
+def _arrow_sums(df: DataFrame, cols: Sequence[str], label: str, block: Column, of) -> dict[int, "np.ndarray"]:
+    """Sums by block of the vector ``of(x, y)`` makes of a batch's cleaned
+    features and labels: numpy per partition, added up by Spark."""
     import numpy as np
     import pandas as pd
     from pyspark.ml.stat import Summarizer
 
-    cols = list(feature_cols)
-    m = len(cols) + 2
+    cols = list(cols)
 
-    def grams(batches):
+    def sums(batches):
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float, na_value=np.nan)
             x[~np.isfinite(x)] = 0.0
-            xy = (np.column_stack([x, pdf[label].to_numpy(dtype=float)]) - moments.pivot) / moments.scale
-            z = np.column_stack([np.ones(len(pdf)), xy])
-            for b in np.unique(pdf["_blk"].to_numpy()):
-                zb = z[pdf["_blk"].to_numpy() == b]
-                acc[int(b)] = acc.get(int(b), 0.0) + zb.T @ zb
+            y, blocks = pdf[label].to_numpy(dtype=float), pdf["_blk"].to_numpy()
+            for b in np.unique(blocks):
+                own = blocks == b
+                acc[int(b)] = acc.get(int(b), 0.0) + of(x[own], y[own])
         if acc:
-            yield pd.DataFrame({"_blk": list(acc), "gram": [g.reshape(-1).tolist() for g in acc.values()]})
+            yield pd.DataFrame({"_blk": list(acc), "sums": [g.tolist() for g in acc.values()]})
 
     per_part = df.select(block.cast("int").alias("_blk"), *[F.col(c).cast("double") for c in cols],
-                         F.col(label).cast("double")).mapInPandas(grams, "_blk int, gram array<double>")
-    summed = per_part.groupBy("_blk").agg(Summarizer.sum(array_to_vector("gram")).alias("g"))
-    return {int(r["_blk"]): np.asarray(r["g"].toArray()).reshape(m, m) for r in summed.collect()}
+                         F.col(label).cast("double")).mapInPandas(sums, "_blk int, sums array<double>")
+    total = per_part.groupBy("_blk").agg(Summarizer.sum(array_to_vector("sums")).alias("g"))
+    return {int(r["_blk"]): np.asarray(r["g"].toArray()) for r in total.collect()}
+
+
+def column_moments(df: DataFrame, feature_cols: Sequence[str], label: str = "target") -> Moments:
+    """Mean and deviation of every cleaned column, one pass.  Grams are taken
+    of pivoted and scaled columns, so that rounding stays far below the
+    penalty whatever the number of rows."""
+    import numpy as np
+
+    def powers(x, y):
+        z = np.column_stack([x, y])
+        return np.concatenate([[len(z)], z.sum(0), (z * z).sum(0)])
+
+    d = len(feature_cols) + 1
+    got = _arrow_sums(df, feature_cols, label, F.lit(0), powers).get(0, np.zeros(2 * d + 1))
+    n = max(got[0], 1.0)
+    mean = got[1:d + 1] / n
+    var = got[d + 1:] / n - mean * mean
+    return Moments(mean, np.sqrt(np.where(var > 1e-14 * mean * mean, var, 1.0)))
+
+
+def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, moments: Moments,
+                label: str = "target") -> dict[int, "np.ndarray"]:
+    """Sum of z z^T per block, z = [1, x_1..x_d, y] with pivoted and scaled
+    x and y (non-finite x -> 0.0 before that)."""
+    import numpy as np
+
+    def gram(x, y):
+        z = np.column_stack([np.ones(len(x)), (np.column_stack([x, y]) - moments.pivot) / moments.scale])
+        return (z.T @ z).reshape(-1)
+
+    m = len(feature_cols) + 2
+    return {b: g.reshape(m, m) for b, g in _arrow_sums(df, feature_cols, label, block, gram).items()}
 
 
 def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float, moments: Moments) -> LinearCoefficients:
