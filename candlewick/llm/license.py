@@ -1,11 +1,12 @@
 """License scan: sparse TF-IDF cosine to templates, then nearest-ancestor
 directory inheritance.
 
-1. Document frequencies of the templates' words, over all files, give idf.
+1. Document frequencies of all words, over all files, give idf: a written
+   table, of which only the templates' words are collected.
 2. Units of a file are compared with every template: each line and each
    paragraph (headers) and the whole file (a licence file).  A unit's vector
-   has one dimension per template word and one for all other words, whose
-   idf is that of a word in no file.  Only units that hold a telling word
+   has a dimension for each of its words, whose idf it gets by a join with
+   that table.  Only units that hold a telling word
    can reach the threshold: the words left out carry so little of any
    template's norm that without a telling word no cosine gets there.
 3. A file's own licence is its best template at or above ``HEADER_COSINE``.
@@ -41,7 +42,6 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 HEADER_COSINE, FILE_COSINE = 0.8, 0.6
-OTHER = "*"
 
 
 def tokens(text: Column) -> Column:
@@ -81,11 +81,12 @@ def scan(files: DataFrame, key: str, path: str, text: str, templates: dict[str,
     words = sorted({w for v in counts.values() for w in v})
     body = files.select(F.col(key).alias("_key"), F.col(path).alias("_path"), F.col(text).alias("_text"))
 
-    found = body.select(F.array_intersect(tokens(F.coalesce("_text", F.lit(""))), F.array(*map(F.lit, words))).alias("w"))
-    df = found.select(F.explode("w").alias("w")).groupBy("w").count()
-    freq = {r["w"]: r["count"] for r in df.collect()}       # at most one row per template word
+    found = body.select(F.explode(F.array_distinct(tokens(F.coalesce("_text", F.lit(""))))).alias("_w"))
+    df = save(found.groupBy("_w").agg(F.count(F.lit(1)).alias("_df")), "license-words").df
+    freq = {r["_w"]: r["_df"] for r in df.where(F.col("_w").isin(words)).collect()}     # at most one row per template word
     n = body.count()
-    idf = {w: math.log((1 + n) / (1 + freq.get(w, 0))) + 1 for w in [*words, OTHER]}
+    idf = {w: math.log((1 + n) / (1 + freq.get(w, 0))) + 1 for w in words}
+    all_idf = df.select("_w", (F.log((1 + F.lit(n)) / (1 + F.col("_df"))) + 1).alias("_idf"))
     weights = {name: {w: c * idf[w] for w, c in v.items()} for name, v in counts.items()}
     telling = "|".join(telling_words(weights, min(header, whole)))
 
@@ -97,7 +98,7 @@ def scan(files: DataFrame, key: str, path: str, text: str, templates: dict[str,
     rows = (texts.select("_key", "_path", F.explode(units).alias("u")).select("_key", "_path", "u.whole", "u.unit")
             .where(F.lower("unit").rlike(rf"(?<![a-z0-9])({telling})(?![a-z0-9])")))
     rows = rows.withColumn("_unit", F.md5("unit"))
-    best = _best(rows.dropDuplicates(["_unit"]).select("_unit", "unit"), weights, idf, words)
+    best = _best(rows.dropDuplicates(["_unit"]).select("_unit", "unit"), weights, idf, all_idf)
     scored = rows.select("_key", "_path", "whole", "_unit").join(best, "_unit").where(F.col("s.cosine") >= min(header, whole))
     scored = save(scored.drop("_unit"), "license-units").df
 
@@ -120,20 +121,19 @@ def scan(files: DataFrame, key: str, path: str, text: str, templates: dict[str,
                       F.when(F.col("s").isNotNull(), "own").when(F.col("_ds").isNotNull(), "inherited").otherwise("none").alias("origin"))
 
 
-def _best(units: DataFrame, weights: dict[str, dict[str, float]], idf: dict[str, float], words: list[str]) -> DataFrame:
+def _best(units: DataFrame, weights: dict[str, dict[str, float]], idf: dict[str, float], all_idf: DataFrame) -> DataFrame:
     """(_unit, s): each distinct unit's best template, by a join of the sparse
-    vectors on their words."""
+    vectors on their words; every word of a unit has its own idf in the norm."""
     spark = units.sparkSession
     # one row per template word: as bounded as the templates
     entry = [F.struct(F.lit(-i).alias("order"), F.lit(name).alias("license"), F.lit(w).alias("_w"),
                       F.lit(x * idf[w] / math.sqrt(sum(y * y for y in v.values()))).alias("share"))
              for i, (name, v) in enumerate(sorted(weights.items())) for w, x in v.items()]
     table = F.broadcast(spark.range(1).select(F.inline(F.array(*entry))))
-    weight = F.coalesce(F.element_at(F.create_map(*[x for w in words for x in (F.lit(w), F.lit(idf[w]))]), F.col("_w")), F.lit(idf[OTHER]))
     tf = units.select("_unit", F.explode(tokens(F.col("unit"))).alias("_w"))
-    tf = tf.withColumn("_w", F.when(F.col("_w").isin(words), F.col("_w")).otherwise(OTHER))
-    tf = tf.groupBy("_unit", "_w").agg(F.count(F.lit(1)).alias("_n"))
-    norm = F.sqrt(F.sum(F.pow(F.col("_n") * weight, 2)).over(Window.partitionBy("_unit")))
+    # units are texts of the files, so the table has each of their words
+    tf = tf.groupBy("_unit", "_w").agg(F.count(F.lit(1)).alias("_n")).join(all_idf, "_w")
+    norm = F.sqrt(F.sum(F.pow(F.col("_n") * F.col("_idf"), 2)).over(Window.partitionBy("_unit")))
     dots = tf.withColumn("_norm", norm).join(table, "_w").groupBy("_unit", "order", "license").agg(
         (F.sum(F.col("_n") * F.col("share")) / F.first("_norm")).alias("cosine"))
     return dots.groupBy("_unit").agg(F.max(F.struct(F.round("cosine", 9).alias("cosine"), "order", "license")).alias("s"))

@@ -1,8 +1,12 @@
 """Revisit resolution and license scan on hand-made cases."""
 
 import datetime as dt
+import math
 import random
+import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick.llm import license as L
@@ -89,6 +93,25 @@ def test_scan_of_no_files_and_repeated_files(spark):
     assert sorted(r["origin"] for r in L.scan(df, "id", "path", "body").collect()) == ["inherited"] * 2 + ["own"] * 3
 
 
+def test_other_words_count_with_their_own_idf(spark):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(30)]
+    files = [(f"f{i}", f"z/{i}.txt", " ".join(rng.sample(common, 20))) for i in range(120)]
+    headers = {f"h{i}": " ".join([L.TEMPLATES["GPL-3.0"], *common[:i]]) for i in range(1, 6)}
+    files += [(k, f"h/{k}.txt", t) for k, t in headers.items()]
+    words = {k: re.findall("[a-z0-9]+", t.lower()) for k, _, t in files}
+    df = Counter(w for v in words.values() for w in set(v))
+    vector = lambda v: {w: c * (math.log((1 + len(files)) / (1 + df[w])) + 1) for w, c in Counter(v).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    b = vector(re.findall("[a-z0-9]+", L.TEMPLATES["GPL-3.0"].lower()))
+    table = spark.createDataFrame(files, "id string, path string, body string")
+    got = {r["id"]: (r["license"], r["cosine"]) for r in L.scan(table, "id", "path", "body").collect()}
+    for k in headers:
+        a = vector(words[k])
+        cosine = sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)
+        assert cosine > 0.9 and got[k] == ("GPL-3.0", pytest.approx(cosine, abs=1e-8))
+
+
 def test_telling_words_bound_the_rest():
     weights = {"x": {"a": 3.0, "b": 1.0, "c": 0.5}, "y": {"d": 1.0, "e": 1.0}}
     chosen = set(L.telling_words(weights, 0.6))
