@@ -297,7 +297,7 @@ def class_links(sets: DataFrame) -> DataFrame | None:
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             found = components(links, "_a", "_b").df
-        if last or pairs.isEmpty():
+        if last:
             break
     return found
 

@@ -63,6 +63,13 @@ def test_the_last_round_alone_finds_every_link(spark, make_docs, monkeypatch):
     assert got == brute(rows)
 
 
+def test_links_of_columns_whose_head_links_with_nothing(spark, make_docs):
+    w = [f"w{i}" for i in range(1, 12)]
+    rows = [(1, " ".join([*w, "x"])), (2, " ".join([*w, "y"]))] + [(10 + i, " ".join(w[i:i + 5])) for i in range(7)]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.jaccard_join(make_docs(rows)).collect())
+    assert got == brute(rows) and got[1] == (2, 8, 1)
+
+
 def test_nulls_repeats_and_no_rows(spark, make_docs):
     docs = make_docs([(5, "a b c d e f"), (5, "a b c d e f"), (3, "A B C D E F"), (None, "a b c d e f"), (7, None), (8, " "), (9, "a b")])
     out = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.jaccard_join(docs).collect()), key=str)
