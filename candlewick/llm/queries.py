@@ -134,6 +134,30 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "origin")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from candlewick.llm.alignment import align
+
+    out = align(_documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return out.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from candlewick.llm.pieces import piece_decode, piece_encode
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_encode(_documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(piece_decode(path, "ids"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -145,6 +169,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_graph_neighbours": op10_graph_neighbours,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
