@@ -134,6 +134,12 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "origin")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.collocations import collocations
+
+    return collocations(_documents(spark, sf_dir).select("text", "lang"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -169,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_graph_neighbours": op10_graph_neighbours,
+    "op11_collocations": op11_collocations,
     "op12_token_alignment": op12_token_alignment,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -223,6 +230,29 @@ SELECT 2 * page_id + 1 AS record_id, url_key, later AS seconds, status, CASE WHE
 FROM s
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(s, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, 1 AS m, unnest(w) AS phrase FROM w
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) >= 2
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) >= 3),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS x, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+k AS (SELECT lang, m, phrase, x, f, unnest(range(1, m)) AS k FROM c WHERE m >= 2),
+s AS (SELECT k.lang, k.phrase, k.f AS a, k.k, l.f AS l, r.f AS r,
+             ((1000000::HUGEINT * k.f * k.f) // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM k JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(k.x[1:k.k], ' ')
+             JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(k.x[k.k + 1:], ' ')),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM s) WHERE o = 1),
+e AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, f, unnest([array_to_string(x[1:2], ' '), array_to_string(x[2:3], ' ')]) AS part FROM c WHERE m = 3) GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM b LEFT JOIN e ON e.lang = b.lang AND e.part = b.phrase WHERE NOT coalesce(100 * e.f >= 50 * a, false))
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def _op8_sql() -> str:
     from candlewick.llm.license import TEMPLATES
 
@@ -267,4 +297,5 @@ ORACLES: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
     "op7_warc_revisits": OP7_SQL,
     "op8_license_scan": _op8_sql(),
+    "op11_collocations": OP11_SQL,
 }
