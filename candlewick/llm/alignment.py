@@ -29,23 +29,26 @@ gives an empty table.  Only the two named columns are read.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.pieces import PieceEncoder, piece_encoder
+from candlewick.llm.pieces import PieceEncoder, piece_encoder, spelled, spelling
 from candlewick.llm.tokens import Encoder, _byte_of, encoder
-from candlewick.llm.words import lean, slices
+from candlewick.llm.words import buffers, lean, slices, trim
 from candlewick.session import save
 
 #: Bytes of text of a block, about.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Bytes of a shard's dense table of counts, at most (8 for each A id and B id).
 TABLE_BYTES = 64 << 20
 #: Blocks that are summed, or looked up, in one group.
@@ -59,17 +62,21 @@ PAIRS = 4_000_000
 def pointers(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
     """Pointer of every token (A's, then B's) to its farthest-right overlapping
     one, by the tokens' byte ends; of two that end together, B's."""
-    n = len(a_end)
-    to_b = n + np.searchsorted(b_end, a_end)
-    i = np.searchsorted(a_end, b_end)
+    n, size = len(a_end), int(a_end[-1]) + 1
+    before = []
+    for end in (a_end, b_end):      # how many tokens end before each byte
+        mark = np.zeros(size, np.int32)
+        mark[end] = 1
+        before.append(np.cumsum(mark, dtype=np.int32) - mark)
+    i = before[0][b_end]
     last = a_end[i] == b_end
-    return np.concatenate([to_b, np.where(last, n + np.arange(len(b_end)), i)])
+    return np.concatenate([n + before[1][a_end], np.where(last, n + np.arange(len(b_end), dtype=np.int32), i)])
 
 
 def terminals(pointer: np.ndarray) -> np.ndarray:
     """Where each chain of pointers ends, by doubling those not yet there."""
     pointer = pointer.copy()
-    open_ = np.arange(len(pointer))
+    open_ = np.arange(len(pointer), dtype=np.int32)
     while len(open_):
         further = pointer[pointer[open_]]
         moved = further != pointer[open_]
@@ -83,8 +90,7 @@ def groups_of(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndar
     if not len(a_end):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     label = terminals(pointers(a_end, b_end))
-    last = np.flatnonzero(label == np.arange(len(label)))
-    group = np.searchsorted(last, label)
+    group = (np.cumsum(label == np.arange(len(label)), dtype=np.int32) - 1)[label].astype(np.int64)
     return group[:len(a_end)], group[len(a_end):]
 
 
@@ -142,7 +148,10 @@ class Block:
         na, nb = np.bincount(self.a_group, minlength=g), np.bincount(self.b_group, minlength=g)
         one = (na == 1) & (nb == 1)         # most groups
         one_a, one_b = one[self.a_group], one[self.b_group]
-        parts = [_summed(self.group_doc[one], shards.of(self.a[one_a], self.b[one_b]), np.ones(int(one.sum()), np.int64), shards)]
+        whole = shards.number * shards.cells
+        key = np.sort(self.group_doc[one] * whole + shards.of(self.a[one_a], self.b[one_b]))
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        parts = [(*np.divmod(key[first], whole), np.diff(np.append(first, len(key))))]
 
         def distinct(group, ids):
             key, n = np.unique(group << 32 | ids, return_counts=True)
@@ -170,19 +179,14 @@ class Block:
         at_b = np.arange(len(self.b)) + before_a[self.b_group] if g else at_a
         ids, key = (np.empty(len(at_a) + len(at_b), np.int64) for _ in range(2))
         ids[at_a], ids[at_b], key[at_a], key[at_b] = self.a, self.b, 2 * self.a_group, 2 * self.b_group + 1
-        digits, width = _decimals(int(ids.max(initial=0)))
-        cell = np.zeros((len(ids), digits.shape[1] + 1), np.uint8)
-        cell[:, :-1] = digits[ids]
-        used = np.arange(cell.shape[1]) >= (digits.shape[1] - width[ids])[:, None]
-        doc = self.group_doc[key >> 1] if len(ids) else key
-        same = key[1:] == key[:-1]
-        cell[:-1, -1] = np.where(same, ord(","), np.where((key[:-1] & 1) == 0, ord("|"), ord(";")))
-        last = np.ones(len(ids), bool)
-        last[:-1] = doc[1:] != doc[:-1]
-        used[last, -1] = False
-        per_doc = np.bincount(doc, used.sum(axis=1), self.docs).astype(np.int64)
-        ends = np.concatenate(([0], np.cumsum(per_doc)))
-        return pa.Array.from_buffers(pa.large_string(), self.docs, [None, pa.py_buffer(ends), pa.py_buffer(cell[used].tobytes())])
+        digits, shown = _decimals(len(str(int(ids.max(initial=0)))))
+        cell, used = digits[ids], shown[ids]
+        doc = self.group_doc[key >> 1]
+        cell[:-1, -1] = np.where(key[1:] == key[:-1], ord(","), np.where((key[:-1] & 1) == 0, ord("|"), ord(";")))
+        used[np.flatnonzero(np.diff(doc, append=-1)), -1] = False       # nothing follows a document's last token
+        upto = np.concatenate(([0], np.cumsum(used.sum(axis=1))))
+        ends = upto[np.searchsorted(doc, np.arange(self.docs + 1))]
+        return pa.Array.from_buffers(pa.large_string(), self.docs, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(cell[used].tobytes())])
 
 
 def _summed(doc: np.ndarray, pair: np.ndarray, n: np.ndarray, shards: Shards) -> tuple[np.ndarray, ...]:
@@ -199,15 +203,13 @@ def _kind(ids: int) -> str:
 
 
 @lru_cache(maxsize=4)
-def _decimals_to(width: int) -> tuple[np.ndarray, np.ndarray]:
+def _decimals(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digits of the numbers of up to ``width`` places, right-aligned before a
+    place for what follows, and which of the places each number uses."""
     n = np.arange(10 ** width)
-    digits = np.stack([n // 10 ** k % 10 for k in range(width - 1, -1, -1)], axis=1).astype(np.uint8) + ord("0")
-    return digits, np.maximum(1, sum((n >= 10 ** k).astype(np.int64) for k in range(width)))
-
-
-def _decimals(largest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Right-aligned decimal digits of 0 to ``largest`` (a vocabulary's id), and how many count."""
-    return _decimals_to(len(str(largest)))
+    digits = np.stack([n // 10 ** k % 10 + ord("0") for k in range(width - 1, -1, -1)] + [0 * n], axis=1).astype(np.uint8)
+    shown = np.stack([n >= (10 ** k if k else 0) for k in range(width - 1, -1, -1)] + [n >= 0], axis=1)
+    return digits, shown
 
 
 # ---- tokenizing ------------------------------------------------------------
@@ -223,8 +225,7 @@ class Sides:
         self.a_bytes = [b""] * self.a.size
         for token, i in vocab.items():
             self.a_bytes[i] = token.encode() if token in special else bytes(map(byte_of.__getitem__, token))
-        self.a_size = np.array(list(map(len, self.a_bytes)))
-        self.b_size = np.array(list(map(len, self.b.raw)))
+        self.a_spelling = spelling(self.a_bytes)
 
     def a_ids(self, text: str) -> list[int]:
         """Ids with the special tokens' strings as plain text."""
@@ -236,16 +237,34 @@ class Sides:
         finally:
             self.a.tokenizer.encode_special_tokens = False
 
-    def both(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both sides; none if either does not spell a space and the text."""
-        none = np.zeros(0, np.int32), np.zeros(0, np.int32)
-        if not text:
-            return none
-        a, b = self.a_ids(" " + text), self.b.ids(text)
-        body = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != body or b"".join(map(self.b.raw.__getitem__, b.tolist())) != body:
-            return none
-        return np.array(a, np.int32), b
+    def both(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends) of either side; none where one of them does not spell a
+        blank and the text."""
+        plain = pc.fill_null(texts.cast(pa.large_string()), "")
+        blank = pc.binary_join_element_wise(pc.if_else(pc.equal(pc.binary_length(plain), 0), *(pa.scalar(x, pa.large_string()) for x in ("", " "))),
+                                            plain, pa.scalar("", pa.large_string()))
+        coded = [array("i", self.a_ids(x)) if x else b"" for x in blank.to_pylist()]
+        a = np.frombuffer(b"".join(coded), np.int32)
+        a_end = np.concatenate(([0], np.cumsum([len(x) for x in coded], dtype=np.int64)))
+        b, b_end = self.b.batch(plain)
+        data, offsets = buffers(blank)
+        right = self._spell(a, a_end, self.a_spelling, data, offsets) & self._spell(b, b_end, self.b.spelling, data, offsets)
+        return *_only(a, a_end, right), *_only(b, b_end, right)
+
+    @staticmethod
+    def _spell(ids: np.ndarray, ends: np.ndarray, table: tuple[np.ndarray, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether the ids of each text stand for its bytes."""
+        spelt, size = spelled(ids, *table)
+        upto = np.concatenate(([0], np.cumsum(size)))[ends]
+        if np.array_equal(upto, offsets) and np.array_equal(spelt, data):
+            return np.ones(len(ends) - 1, bool)
+        return np.array([spelt[upto[i]:upto[i + 1]].tobytes() == data[offsets[i]:offsets[i + 1]].tobytes() for i in range(len(ends) - 1)], bool)
+
+
+def _only(ids: np.ndarray, ends: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the ids of the texts that are not right."""
+    size = np.diff(ends)
+    return ids[np.repeat(right, size)], np.concatenate(([0], np.cumsum(np.where(right, size, 0))))
 
 
 @lru_cache(maxsize=2)
@@ -260,23 +279,19 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: st
         s, number = sides(path_a, path_b), TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "_text", BLOCK_BYTES):
-                ids = [s.both(x) for x in part.column(1).to_pylist()]
-                s.b.check()
-                a, b = (np.concatenate([x[k] for x in ids]) for k in (0, 1))
-                a_end, b_end = np.cumsum(s.a_size[a]), np.cumsum(s.b_size[b])
-                ga, gb = groups_of(a_end, b_end)
+                a, upto, b, _ = s.both(part.column(1))
+                ga, gb = groups_of(*(np.cumsum(spelt[1][x + 1] - spelt[1][x]) for x, spelt in ((a, s.a_spelling), (b, s.b.spelling))))
                 n = int(ga[-1]) + 1 if len(ga) else 0
                 sizes = np.stack([np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)], axis=1).astype("<u4")
                 # a document's groups: up to that of its last token
-                last = np.cumsum([len(x[0]) for x in ids])
-                upto = np.where(last > 0, np.concatenate(([0], ga + 1))[last], 0)
-                per = np.diff(np.concatenate(([0], upto)))
+                per = np.diff(np.where(upto > 0, np.concatenate(([0], ga + 1))[upto], 0))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number], pa.int64()), pa.array([part.column(0)], pa.list_(part.column(0).type)),
                      pa.array([per.astype(np.int64)], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary())
                                                                 for x in (a.astype(_kind(shards.a_ids)), b.astype(_kind(shards.b_ids)), sizes))],
                     ["_block", "_keys", "_groups", "_a", "_b", "_sizes"])
                 number += 1
+            trim()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
@@ -312,8 +327,6 @@ def _requests(blocks: DataFrame, shards: Shards, salts: int) -> DataFrame:
 
 def _runs(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple[tuple, Iterator[dict]]]:
     """Consecutive rows with equal values of ``names``, one row at a time."""
-    from itertools import groupby
-
     rows = (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows))
     yield from groupby(rows, key=lambda r: tuple(r[n] for n in names))
 

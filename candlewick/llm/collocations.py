@@ -1,10 +1,14 @@
 """Phrase collocation mining over sorted count streams.
 
-1. ``phrase_counts``: words and phrases of up to ``max_words`` words are
-   counted per language.  A map task sorts the phrases of a few MB of text at
-   a time (word numbers packed in one integer each, exact) and sends sums;
-   phrases found ``least`` times or more are written.  With a phrase all its
-   parts are found as often, so nothing that is needed later is missing.
+1. ``phrase_counts``: a map task sorts the phrases of ``max_words`` words (at
+   the end of a piece, of a word less) of some MB of text at a time, word
+   numbers packed in one integer each, and sends their counts.  Spark
+   range-partitions and sorts these by first words, language and last word;
+   one walk through a partition sums equal phrases, and the counts of their
+   first words from the same rows.  Shorter phrases than that are sent as
+   they are.  What a partition's edge may cut is summed afterwards.  Phrases
+   found ``least`` times or more are written: with a phrase all its parts are
+   found as often, so nothing that is needed later is missing.
 2. The counts are laid out twice: in prefix order (first word first) and in
    suffix order (last word first), range-partitioned and sorted in pieces.
    Where a piece starts inside a group, it also gets the counts of the
@@ -36,9 +40,9 @@ from candlewick.llm.words import buffers, lean, slices
 from candlewick.session import save
 
 #: Bytes of text whose phrases are sorted together.
-SORTED_BYTES = 8 << 20
+SORTED_BYTES = 4 << 20
 #: Words that are numbered together; the numbers of a phrase share 63 bits.
-SORTED_WORDS = 1 << 20
+SORTED_WORDS = 1 << 19
 #: Partitions of a language's best phrases before they are ranked as one.
 RANKED = 64
 _BREAKS = np.zeros(256, bool)
@@ -79,67 +83,125 @@ def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[pa.
     return coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
 
-def _counted(langs: np.ndarray, texts: pa.Array, max_words: int) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-    """(number of words, language, phrase, count) of one slice of texts;
-    ``langs`` are numbers."""
+def _counted(langs: np.ndarray, texts: pa.Array, max_words: int) -> Iterator[tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]]:
+    """(language, head, tail, count) of one slice of texts, ``langs`` being
+    numbers: phrases of ``max_words`` words, of which the last is the tail;
+    where a piece ends, phrases of a word less; and all that are shorter still."""
     data, start, end, text, piece = words_in_pieces(texts)
     # a step cuts the words where it must; phrases that begin in it may end behind it
     bits = 63 // max_words
-    step = min(SORTED_WORDS, (1 << bits) - max_words) if max_words > 1 else SORTED_WORDS
+    step = max(1, min(SORTED_WORDS, (1 << bits) - max_words))
     for at in range(0, len(start), step):
         upto = min(len(start), at + step + max_words - 1)
         own = min(len(start), at + step) - at
         words, number = _distinct(data, start[at:upto], end[at:upto])
         t, p = text[at:upto], piece[at:upto]
         # words of different languages get numbers of their own
-        lang, number = _pairs(langs[t], number, len(words))
-        key, go = number, np.ones(len(number), bool)
+        known, number = np.unique(langs[t] * len(words) + number, return_inverse=True)
+        lang, word = np.divmod(known, len(words))
+        key, go = number.astype(np.int64), np.ones(len(number), bool)
         for n in range(1, max_words + 1):
             if n > 1:
                 go = go[:-1] & (t[n - 1:] == t[:len(t) - n + 1]) & (p[n - 1:] == p[:len(p) - n + 1])
                 key = key[:-1] << bits | number[n - 1:]
-            kept = np.sort(key[:own][go[:own]])
+            send = go[:own]
+            if n == max_words - 1:      # the others are the first words of longer ones
+                longer = np.zeros(len(send), bool)
+                more = go[:-1] & (t[n:] == t[:len(t) - n]) & (p[n:] == p[:len(p) - n])
+                longer[:min(len(more), len(send))] = more[:len(send)]
+                send = send & ~longer
+            kept = np.sort(key[:own][send])
             first = np.flatnonzero(np.diff(kept, prepend=-1))
-            count = np.diff(np.append(first, len(kept)))
-            of = [kept[first] >> bits * (n - 1 - i) & ((1 << bits) - 1) if n > 1 else kept[first] for i in range(n)]
-            parts = [words.take(pa.array(lang.word[x])) for x in of]
-            phrase = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-            yield n, lang.lang[of[0]], phrase, count
-
-
-class _Numbered:
-    """Language and word of each number."""
-
-    def __init__(self, lang: np.ndarray, word: np.ndarray):
-        self.lang, self.word = lang, word
-
-
-def _pairs(lang: np.ndarray, word: np.ndarray, words: int) -> tuple[_Numbered, np.ndarray]:
-    known, number = np.unique(lang * max(words, 1) + word, return_inverse=True)
-    return _Numbered(known // max(words, 1), known % max(words, 1)), number.astype(np.int64)
+            of = [kept[first] >> bits * (n - 1 - i) & ((1 << bits) - 1) for i in range(n)]
+            parts = [words.take(pa.array(word[x])) for x in of]
+            head = parts[:max_words - 1]
+            head = head[0] if len(head) == 1 else pc.binary_join_element_wise(*head, pa.scalar(b" ", pa.large_binary()))
+            yield (lang[of[0]], head, parts[-1] if n == max_words else pa.nulls(len(first), pa.large_binary()),
+                   np.diff(np.append(first, len(kept))))
+
+
+def _same(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first equals the one before; null equals null."""
+    a, b = column[1:], column[:-1]
+    equal = pc.fill_null(pc.equal(a, b), False)
+    if column.null_count:
+        equal = pc.or_(equal, pc.and_(pc.is_null(a), pc.is_null(b)))
+    return equal.to_numpy(zero_copy_only=False)
+
+
+def sum_stream(batches: Iterable[pa.RecordBatch], max_words: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (_lang, _head, _tail, _c) of one partition to (_lang,
+    _phrase, _words, _c): sums of phrases and of heads that reach ``least``.
+    Rarer single words come as one sum without a phrase for each language.
+    The first and the last head of the partition are told whatever their sum
+    is, as neighbours may hold more of them."""
+    fields = ["_lang", "_head", "_tail", "_c"]
+    held, before, first_head = None, 0, True
+
+    def told(lang, phrase, words, c) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(words, pa.int32()), pa.array(c, pa.int64())],
+                                          ["_lang", "_phrase", "_words", "_c"])
+
+    for batch in chain(batches, [None]):
+        rows = [x for x in (held, batch) if x is not None and x.num_rows]
+        if not rows:
+            continue
+        table = pa.Table.from_batches(rows).combine_chunks()
+        lang, head, tail = (table.column(x).combine_chunks() for x in fields[:3])
+        c = table.column("_c").to_numpy()
+        same_head = _same(lang) & _same(head)
+        key = np.flatnonzero(np.concatenate(([True], ~(same_head & _same(tail)))))
+        heads = np.flatnonzero(np.concatenate(([True], ~same_head)))
+        sums, head_sums = np.add.reduceat(c, key), np.add.reduceat(c, heads)
+        head_sums[0] += before
+        if batch is not None:       # the last phrase and head may go on
+            keep = key[-1]
+            held = pa.RecordBatch.from_arrays([lang[keep:keep + 1], head[keep:keep + 1], tail[keep:keep + 1], pa.array(sums[-1:], pa.int64())], fields)
+            before = int(head_sums[-1] - sums[-1])
+            key, sums, heads, head_sums = key[:-1], sums[:-1], heads[:-1], head_sums[:-1]
+        own = pa.array(key[(sums >= least) & ~pc.is_null(tail).to_numpy(zero_copy_only=False)[key]])
+        yield told(lang.take(own), pc.binary_join_element_wise(head.take(own), tail.take(own), " "), np.full(len(own), max_words),
+                   sums[(sums >= least) & ~pc.is_null(tail).to_numpy(zero_copy_only=False)[key]])
+        words = pc.count_substring(head.take(pa.array(heads)), " ").to_numpy() + 1
+        often = head_sums >= least
+        if len(heads):
+            often[0] |= first_head
+            first_head = False
+            often[-1] |= batch is None
+        own = pa.array(heads[often])
+        yield told(lang.take(own), head.take(own), words[often], head_sums[often])
+        rare = ~often & (words == 1)
+        if rare.any():
+            at = heads[rare]
+            of = lang.take(pa.array(at)).dictionary_encode()
+            sums_of = np.zeros(len(of.dictionary), np.int64)
+            np.add.at(sums_of, of.indices.to_numpy(), head_sums[rare])
+            yield told(of.dictionary, pa.nulls(len(sums_of), pa.string()), np.ones(len(sums_of)), sums_of)
+        if batch is None:
+            held, before = None, 0
 
 
 def phrase_counts(docs: DataFrame, text: str, lang: str, max_words: int, least: int) -> tuple[DataFrame, DataFrame]:
     """(_lang, _phrase, _words, _c) of the phrases found ``least`` times or
     more, and (_lang, _n): all words of each language."""
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        as_text = lambda x: x.cast(pa.binary()).cast(pa.string())
         for batch in batches:
             for part in slices(batch, "_text", SORTED_BYTES):
                 names = part.column(1).dictionary_encode()
-                for n, of, phrase, count in _counted(names.indices.to_numpy().astype(np.int64), part.column(0), max_words):
-                    yield pa.RecordBatch.from_arrays(
-                        [names.dictionary.take(pa.array(of)), phrase.cast(pa.binary()).cast(pa.string()), pa.array(np.full(len(count), n, np.int32)),
-                         pa.array(count.astype(np.int64))], ["_lang", "_phrase", "_words", "_c"])
+                for of, head, tail, count in _counted(names.indices.to_numpy().astype(np.int64), part.column(0), max_words):
+                    yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(of)), as_text(head), as_text(tail), pa.array(count, pa.int64())],
+                                                     ["_lang", "_head", "_tail", "_c"])
 
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), F.coalesce(F.col(lang), F.lit("und")).alias("_lang"))
-    sent = rows.mapInArrow(lean(body), "_lang string, _phrase string, _words int, _c long")
-    # every word of a language, the rare ones too, is counted in the sum that the phrases' sums pass through
-    summed = sent.groupBy("_lang", "_phrase", "_words").agg(F.sum("_c").alias("_c"))
-    seen = (F.col("_c") >= least)
-    kept = save(summed.select("_lang", F.when(seen, F.col("_phrase")).alias("_phrase"), "_words", "_c").where(seen | (F.col("_words") == 1))
-                .groupBy("_lang", "_phrase", "_words").agg(F.sum("_c").alias("_c")), "phrase-counts").df
-    n = kept.where("_words = 1").groupBy("_lang").agg(F.sum("_c").alias("_n"))
-    return kept.where("_phrase is not null"), n
+    sent = rows.mapInArrow(lean(body), "_lang string, _head string, _tail string, _c long")
+    order = ["_head", "_lang", "_tail"]         # heads first: most comparisons end at their first bytes
+    summed = (sent.repartitionByRange(*order).sortWithinPartitions(*order)
+              .mapInArrow(lean(lambda b: sum_stream(b, max_words, least)), "_lang string, _phrase string, _words int, _c long"))
+    # partitions' edges and the rare words' sums come together
+    counts = save(summed.groupBy("_lang", "_phrase", "_words").agg(F.sum("_c").alias("_c")), "phrase-counts").df
+    n = counts.where("_words = 1").groupBy("_lang").agg(F.sum("_c").alias("_n"))
+    return counts.where((F.col("_c") >= least) & F.col("_phrase").isNotNull()), n
 
 
 # ---- streams -------------------------------------------------------------------

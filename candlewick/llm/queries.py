@@ -154,14 +154,14 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from candlewick.llm.pieces import piece_decode, piece_encode
+    from candlewick.llm.pieces import piece_encode
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = piece_encode(_documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    coded = piece_encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded="text")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(piece_decode(path, "ids"), 256).alias("decoded_sha256"))
+        F.sha2("text", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -71,6 +71,7 @@ def test_small_steps_pieces_and_longer_phrases(spark, make_docs, monkeypatch):
     monkeypatch.setattr(C, "SORTED_BYTES", 50)
     rows = made(3, "abcd", 60)
     assert got(C.collocations(make_docs(rows), max_words=4, least=3, inside=60, top=9)) == slow(rows, 4, 3, 60, 9)
+    assert got(C.collocations(make_docs(rows), max_words=2, least=2)) == slow(rows, 2, 2)
 
 
 def test_very_long_text(spark, make_docs, monkeypatch):

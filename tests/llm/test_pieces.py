@@ -4,7 +4,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -33,43 +35,42 @@ def texts(n, seed):
 def test_ids_and_text_equal_the_library(library):
     enc = PieceEncoder(PATH)
     for x in [*texts(3000, 1), *filter(None, ODD)]:
-        ids = enc.ids(x).tolist()
+        ids = enc.batch(pa.array([x]))[0].tolist()
         assert ids == library.encode(x), x
         assert enc.text([*ids, enc.end]) == library.decode(library.encode(x, add_eos=True)), x
-    enc.check()
 
 
 def test_any_ids_decode_as_in_the_library(library):
-    enc, rng = PieceEncoder(PATH), random.Random(2)
+    enc, rng, lists = PieceEncoder(PATH), random.Random(2), [None]
     for _ in range(5000):
         ids = [rng.choice([rng.randint(0, 260), rng.randint(0, 31999), 28705, 259, 0, 1, 2]) for _ in range(rng.randint(0, 8))]
         assert enc.text(ids) == library.decode(ids), ids
+        lists.append(ids)
+    assert enc.texts(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == [None, *map(library.decode, lists[1:])]
 
 
-def test_whole_text_agenda_equals_the_cut_one():
+def test_heap_and_matrix_agendas_agree():
     enc = PieceEncoder(PATH)
-    whole = PieceEncoder(PATH)
-    whole.cut = None
     for x in texts(500, 3):
-        assert enc.packed(x) == whole.packed(x)
+        whole = " " + x.replace("▁", " ") if x else ""
+        assert enc.batch(pa.array([x]))[0].tolist() == enc.agenda(whole.replace(" ", "▁"))
 
 
 def test_a_wrong_id_ends_the_job():
     enc = PieceEncoder(PATH)
-    enc.memory.encode = lambda chunk: [5]
-    enc.packed("some words")
+    enc.chunk_ids = lambda chunks: (np.full(len(chunks), 5, np.int32), np.arange(len(chunks) + 1))
     with pytest.raises(RuntimeError, match="differ"):
-        enc.check()
+        enc.batch(pa.array(["some words"]))
 
 
 def test_encode_decode_frames(spark, make_docs, library):
     rows = list(enumerate(ODD)) + [(3, "  "), (3, "  ")]
     docs = make_docs(rows).withColumn("ids", F.lit("clash"))
-    out = piece_encode(docs, PATH).withColumn("back", piece_decode(PATH, "ids")).collect()
+    out = piece_encode(docs, PATH, decoded="lang").withColumn("back", piece_decode(PATH, "ids")).collect()
     assert len(out) == len(rows) and out[0].__fields__ == [*docs.columns, "back"]
     for r in out:
         ids = library.encode(r["text"] or "", add_eos=True)
-        assert list(r["ids"]) == ids and r["back"] == library.decode(ids)
+        assert list(r["ids"]) == ids and r["back"] == r["lang"] == library.decode(ids)
     assert piece_encode(make_docs([]), PATH).count() == 0
 
 
@@ -143,7 +144,7 @@ def test_terminals_are_the_common_ends():
         n = rng.randint(1, 40)
         a, b = (sorted({*rng.sample(range(1, n + 1), rng.randint(0, n)), n}) for _ in range(2))
         common = sorted({*a} & {*b})
-        ga, gb = A.groups_of(A.np.array(a), A.np.array(b))
+        ga, gb = A.groups_of(np.array(a), np.array(b))
         assert ga.tolist() == [sum(c < x for c in common) for x in a]
         assert gb.tolist() == [sum(c < x for c in common) for x in b]
 
