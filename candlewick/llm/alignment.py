@@ -9,8 +9,8 @@ both sides end.  All pairs of an A and a B token of one group are links.
 1. ``aligned_blocks``: texts are tokenized once, some MB of text a row (a
    *block*; a longer text is a block of its own), and written: ids of both
    sides and the group ends.
-2. Per block, the distinct id pairs and how many of its documents hold each
-   are dealt to shards by A id.  A shard's counts are one dense table, whose
+2. A block also tells its distinct id pairs and how many of its documents
+   hold each; they are dealt to shards by A id.  A shard's counts are one dense table, whose
    size the two vocabularies bound (``TABLE_BYTES``); blocks are summed in
    salted groups first, then the groups.  The best B ids of an A id are in
    one shard.
@@ -128,7 +128,8 @@ class Block:
 
     @classmethod
     def read(cls, row: dict, shards: Shards) -> Block:
-        a, b, sizes = (np.frombuffer(row[c], t) for c, t in (("_a", _kind(shards.a_ids)), ("_b", _kind(shards.b_ids)), ("_sizes", "<u4")))
+        width = "<u4" if len(row["_sizes"]) > 2 * sum(row["_groups"]) else "u1"
+        a, b, sizes = (np.frombuffer(row[c], t) for c, t in (("_a", _kind(shards.a_ids)), ("_b", _kind(shards.b_ids)), ("_sizes", width)))
         a_size, b_size = sizes[0::2].astype(np.int64), sizes[1::2].astype(np.int64)
         group = np.arange(len(a_size))
         doc = np.repeat(np.arange(len(row["_groups"])), row["_groups"])
@@ -273,29 +274,43 @@ def sides(path_a: str, path_b: str) -> Sides:
 
 
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: str, shards: Shards) -> DataFrame:
-    """(_block, _keys, _groups, _a, _b, _sizes): documents by blocks; number of
-    groups of each, ids of both sides and sizes of the groups (packed)."""
+    """(_block, _keys, _groups, _a, _b, _sizes, _pairs): documents by blocks;
+    number of groups of each, ids of both sides and sizes of the groups
+    (packed); the block's distinct pairs by shard, as places in its table, and
+    how many of the documents hold each."""
+    def block(number: int, part: pa.RecordBatch) -> pa.RecordBatch:
+        s = sides(path_a, path_b)
+        a, upto, b, _ = s.both(part.column(1))
+        ga, gb = groups_of(*(np.cumsum(spelt[1][x + 1] - spelt[1][x]) for x, spelt in ((a, s.a_spelling), (b, s.b.spelling))))
+        n = int(ga[-1]) + 1 if len(ga) else 0
+        sizes = np.stack([np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)], axis=1)
+        # a document's groups: up to that of its last token
+        per = np.diff(np.where(upto > 0, np.concatenate(([0], ga + 1))[upto], 0)).astype(np.int64)
+        row = {"_groups": per.tolist(), "_a": _ints(a, _kind(shards.a_ids)), "_b": _ints(b, _kind(shards.b_ids)),
+               "_sizes": _ints(sizes, "u1" if sizes.max(initial=0) < 256 else "<u4")}
+        place, held = np.unique(Block.read(row, shards).pairs(shards)[1], return_counts=True)
+        cut = np.flatnonzero(np.diff(place // shards.cells, prepend=-1))
+        ends = np.append(cut, len(place))
+        pairs = [{"_s": int(place[x] // shards.cells), "_places": _ints(place[x:y] % shards.cells, "<u4"), "_n": _ints(held[x:y], "<i8")}
+                 for x, y in zip(ends, ends[1:], strict=False)]
+        kind = pa.list_(pa.struct([("_s", pa.int32()), ("_places", pa.binary()), ("_n", pa.binary())]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), pa.array([part.column(0)], pa.list_(part.column(0).type)), pa.array([per], pa.list_(pa.int64())),
+             *(pa.array([row[c]], pa.binary()) for c in ("_a", "_b", "_sizes")), pa.array([pairs], kind)],
+            ["_block", "_keys", "_groups", "_a", "_b", "_sizes", "_pairs"])
+
     def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, number = sides(path_a, path_b), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "_text", BLOCK_BYTES):
-                a, upto, b, _ = s.both(part.column(1))
-                ga, gb = groups_of(*(np.cumsum(spelt[1][x + 1] - spelt[1][x]) for x, spelt in ((a, s.a_spelling), (b, s.b.spelling))))
-                n = int(ga[-1]) + 1 if len(ga) else 0
-                sizes = np.stack([np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)], axis=1).astype("<u4")
-                # a document's groups: up to that of its last token
-                per = np.diff(np.where(upto > 0, np.concatenate(([0], ga + 1))[upto], 0))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([part.column(0)], pa.list_(part.column(0).type)),
-                     pa.array([per.astype(np.int64)], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary())
-                                                                for x in (a.astype(_kind(shards.a_ids)), b.astype(_kind(shards.b_ids)), sizes))],
-                    ["_block", "_keys", "_groups", "_a", "_b", "_sizes"])
+                yield block(number, part)
                 number += 1
             trim()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        lean(body), f"_block long, _keys array<{kind}>, _groups array<long>, _a binary, _b binary, _sizes binary")
+        lean(body), f"_block long, _keys array<{kind}>, _groups array<long>, _a binary, _b binary, _sizes binary, "
+                    "_pairs array<struct<_s: int, _places: binary, _n: binary>>")
 
 
 # ---- counts over all documents ---------------------------------------------
@@ -304,27 +319,6 @@ def _ints(values: np.ndarray, kind: str) -> bytes:
     return values.astype(kind).tobytes()
 
 
-def _requests(blocks: DataFrame, shards: Shards, salts: int) -> DataFrame:
-    """(_s, _k, _block, _places, _n): a block's distinct pairs in one shard and
-    how many of its documents hold each."""
-    def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                place, n = np.unique(Block.read(row, shards).pairs(shards)[1], return_counts=True)
-                cut = np.flatnonzero(np.diff(place // shards.cells, prepend=-1))
-                ends = np.append(cut, len(place))
-                s = place[cut] // shards.cells
-                place %= shards.cells
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(s, pa.int32()), pa.array(np.full(len(s), row["_block"] % salts), pa.int32()), pa.array(np.full(len(s), row["_block"], np.int64)),
-                     pa.array([_ints(place[ends[j]:ends[j + 1]], "<u4") for j in range(len(s))], pa.binary()),
-                     pa.array([_ints(n[ends[j]:ends[j + 1]], "<i8") for j in range(len(s))], pa.binary())],
-                    ["_s", "_k", "_block", "_places", "_n"])
-
-    return blocks.select("_block", "_groups", "_a", "_b", "_sizes").mapInArrow(lean(body), "_s int, _k int, _block long, _places binary, _n binary")
-
-
 def _runs(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple[tuple, Iterator[dict]]]:
     """Consecutive rows with equal values of ``names``, one row at a time."""
     rows = (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows))
@@ -380,31 +374,28 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     shards = Shards(both.a.size, both.b.size)
     blocks = save(aligned_blocks(docs, path_a, path_b, key, text, shards), "aligned-blocks").df
     salts = 1 + blocks.count() // SALTED
-    requests = save(_requests(blocks, shards, salts), "alignment-pairs").df
+    requests = blocks.select("_block", F.pmod("_block", F.lit(salts)).cast("int").alias("_k"), F.inline("_pairs"))
     tables = save(_summed_tables(_summed_tables(requests, shards, "_s", "_k"), shards, "_s"), "alignment-counts").df
-    answers = _answers(requests.drop("_n"), tables, shards, salts)
-    # a block's answers: at most one row a shard
-    answered = answers.groupBy("_block").agg(F.collect_list(F.struct("_s", "_found")).alias("_found"))
-
-    def body(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                row = one.select([c for c in one.schema.names if c != "_keys"]).to_pylist()[0]
-                block = Block.read(row, shards)
-                doc, pair, n = block.pairs(shards)
-                _, at = np.unique(pair, return_inverse=True)
-                found = np.frombuffer(b"".join(x["_found"] for x in sorted(row["_found"] or [], key=lambda x: x["_s"])), "<i8")[at]
-                count, best = found >> 1, found & 1
-                n_best, total = np.zeros(block.docs, np.int64), np.zeros(block.docs, np.int64)
-                np.add.at(n_best, doc, n * best)
-                np.add.at(total, doc, n * count)
-                keys = one.column(one.schema.get_field_index("_keys")).flatten()
-                na, nb, groups, links = block.sizes()
-                yield pa.RecordBatch.from_arrays(
-                    [keys, *(pa.array(x, pa.int64()) for x in (na, nb, groups, links, n_best, total)), block.text().cast(pa.string())],
-                    [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+    answers = save(_answers(requests.drop("_n"), tables, shards, salts), "alignment-answers").df
+
+    def body(left: pa.Table, right: pa.Table) -> pa.Table:
+        """One block and its answers, at most one a shard."""
+        left = left.combine_chunks()
+        row = left.drop_columns(["_keys"]).to_pylist()[0]
+        block = Block.read(row, shards)
+        doc, pair, n = block.pairs(shards)
+        _, at = np.unique(pair, return_inverse=True)
+        parts = sorted(right.to_pylist(), key=lambda x: x["_s"])
+        found = np.frombuffer(b"".join(x["_found"] for x in parts), "<i8")[at]
+        n_best, total = np.zeros(block.docs, np.int64), np.zeros(block.docs, np.int64)
+        np.add.at(n_best, doc, n * (found & 1))
+        np.add.at(total, doc, n * (found >> 1))
+        keys = left.column("_keys").chunk(0).flatten()
+        columns = [keys, *(pa.array(x, pa.int64()) for x in (*block.sizes(), n_best, total)), block.text().cast(pa.string())]
+        trim()
+        return pa.table(columns, names=[key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return blocks.join(answered, "_block", "left").mapInArrow(
-        lean(body), f"`{key}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+    # block by block: a batch holds one
+    return (blocks.drop("_pairs").groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(
+        body, f"`{key}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"))

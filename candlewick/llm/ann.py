@@ -82,7 +82,7 @@ def flat(x: np.ndarray) -> np.ndarray:
 def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows (_id, _v) of ``queries``."""
     n = queries.count()
-    shards = [r["_shard"] for r in index.select("_shard").collect()]
+    shards = 1 + (index.agg(F.max("_shard")).first()[0] or 0)
 
     def block(group: pa.Table) -> pa.Table:
         return pa.table({"_block": group.column("_block")[:1], "_q": pa.array([group.column("_id").to_pylist()], pa.list_(pa.int64())),
@@ -90,8 +90,8 @@ def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     blocks = queries.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(max(1, -(-n // BLOCK)))).cast("int"))
     blocks = blocks.groupBy("_block").applyInArrow(block, "_block int, _q array<long>, _qx binary")
-    # every block of queries to every shard: shards are few (rows / SHARD), and listed by number
-    sent = blocks.withColumn("_shard", F.explode(F.array([F.lit(s) for s in shards] or [F.lit(-1)])))
+    # every block of queries to every shard, by number
+    sent = blocks.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def answer(batches):
         for batch in batches:
@@ -114,7 +114,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
                                                  ["query_id", "vec_id", "score"])
 
-    wide = 2 * max(1, len(shards))
+    wide = 2 * shards
     found = sent.repartition(wide, "_shard").join(index.repartition(wide, "_shard"), "_shard").mapInArrow(lean(answer), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -70,7 +70,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     space), ``n_words`` and ``n_removed``."""
     docs = keyed(docs, key, text)
     # written, so that the windows' shuffle is gone before texts are shuffled
-    lists = save(path_pieces(docs, text, k), "path-pieces").df.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_at", "_n")).alias("_pieces"))
+    # and rows of one id and text have the same pieces: one list does for all
+    found = save(path_pieces(docs, text, k), "path-pieces").df.dropDuplicates(["_k1", "_k2", "_at", "_n"])
+    lists = found.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_at", "_n")).alias("_pieces"))
     added = ["kept_text", "n_words", "n_removed"]
     joined = docs.join(lists, ["_k1", "_k2"], "left").drop("_k1", "_k2", *[c for c in added if c in docs.columns and c != text])
     kept = [c for c in joined.columns if c not in (text, "_pieces", *added)]

@@ -265,50 +265,54 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 def class_links(sets: DataFrame) -> DataFrame | None:
     """(node, component) of all classes that link, smallest class number first."""
     columns = save(candidate_columns(sets), "jaccard-columns").df
-    # a class that could not even link with the column's smallest class leaves the column
-    small = columns.groupBy("_id").agg(F.min("_n").alias("_lo"), F.count(F.lit(1)).alias("_k")).where("_k > 1")
-    columns = save(columns.join(small, "_id").where(_can_link("_n", "_r", "_lo", "_r")).drop("_lo", "_k"), "jaccard-open").df
-    links, found, new = None, None, None
-    for turn in range(ROUNDS + 1):
+    # a class that could not even link with the column's smallest class leaves the column; at first
+    # all others meet the least edited one
+    heads = columns.groupBy("_id").agg(F.min("_n").alias("_lo"), F.count(F.lit(1)).alias("_k"),
+                                       F.min(F.struct("_u", "_c", "_n", "_r")).alias("h")).where("_k > 1")
+    met = columns.join(heads, "_id").where(_can_link("_n", "_r", "_lo", "_r"))
+    columns = save(met.drop("_lo", "_k"), "jaccard-open").df
+    pairs = (columns.where((F.col("_c") != F.col("h._c")) & _can_link("_n", "_r", "h._n", "h._r"))
+             .select(F.col("h._c").alias("_a"), F.col("_c").alias("_b")))
+    columns = columns.drop("h")
+    links, found = None, None
+    for turn in range(1, ROUNDS + 1):
+        new = save(compare(save(pairs.distinct(), "jaccard-pairs").df, sets), "jaccard-links").df
+        grown = not new.isEmpty()
+        if grown:
+            # what has been found already goes in as its components, not as all its links
+            links = new if found is None else new.unionByName(found.select(F.col("component").alias("_a"), F.col("node").alias("_b")))
+            found = components(links, "_a", "_b").df
         if found is None:
             held = columns.withColumn("_g", F.col("_c"))
         else:
-            held = columns.join(found.withColumnRenamed("node", "_c"), "_c", "left").withColumn("_g", F.coalesce("component", "_c"))
+            held = columns.drop("_g").join(found.withColumnRenamed("node", "_c"), "_c", "left").withColumn("_g", F.coalesce("component", "_c"))
             held = held.drop("component")
-        # per column: the largest component and one class of it that all others meet, at first the least edited
-        pick = F.min(F.struct(F.col("_u") if turn == 0 else F.xxhash64("_c", F.lit(turn)), "_c", "_n", "_r"))
-        groups = held.groupBy("_id", "_g").agg(F.count(F.lit(1)).alias("_k"), pick.alias("_p"))
-        order = F.col("_p") if turn == 0 else F.struct(-F.col("_k"), "_p")
-        heads = groups.groupBy("_id").agg(F.min_by(F.struct("_p._c", "_p._n", "_p._r", "_g"), order).alias("h"),
-                                          F.count(F.lit(1)).alias("_m")).where("_m > 1")
-        open_ = held.join(heads, "_id")
-        if turn and (turn == ROUNDS or new.isEmpty() or _pairs_left(held, heads) <= 4 * max(1, columns.count())):
-            other = held.join(heads.select("_id"), "_id", "left_semi")
-            left, right = (other.select("_id", *[F.col(c).alias(f"{c}{s}") for c in ("_c", "_n", "_r", "_g")]) for s in "ab")
-            pairs = (left.join(right, "_id").where((F.col("_ca") < F.col("_cb")) & (F.col("_ga") != F.col("_gb")) & _can_link("_na", "_ra", "_nb", "_rb"))
+        # columns that hold one component only are done
+        groups = held.groupBy("_id", "_g").agg(
+            F.count(F.lit(1)).alias("_k"), F.min(F.struct(F.xxhash64("_c", F.lit(turn)), "_c", "_n", "_r")).alias("_p"))
+        heads = groups.groupBy("_id").agg(
+            F.min_by(F.struct("_p._c", "_p._n", "_p._r", "_g"), F.struct(-F.col("_k"), "_p")).alias("h"), F.count(F.lit(1)).alias("_m"),
+            F.sum("_k").alias("_s"), F.sum(F.col("_k") * F.col("_k")).alias("_q")).where("_m > 1")
+        columns = save(held.join(heads.drop("_m"), "_id"), "jaccard-open").df
+        left, rows = columns.agg(F.sum((F.col("_s") * F.col("_s") - F.col("_q")) / (2 * F.col("_s"))), F.count(F.lit(1))).first()
+        if not rows:
+            break
+        if turn == ROUNDS or not grown or left <= 4 * rows:
+            # all that is left: classes of different components in one column
+            a, b = (columns.select("_id", *[F.col(c).alias(f"{c}{s}") for c in ("_c", "_n", "_r", "_g")]) for s in "ab")
+            pairs = (a.join(b, "_id").where((F.col("_ca") < F.col("_cb")) & (F.col("_ga") != F.col("_gb")) & _can_link("_na", "_ra", "_nb", "_rb"))
                      .select(F.col("_ca").alias("_a"), F.col("_cb").alias("_b")))
-            last = True
-        else:
-            pairs = (open_.where((F.col("_g") != F.col("h._g")) & _can_link("_n", "_r", "h._n", "h._r"))
-                     .select(F.col("h._c").alias("_a"), F.col("_c").alias("_b")))
-            last = False
-        pairs = save(pairs.distinct(), "jaccard-pairs").df
-        new = save(compare(pairs, sets), "jaccard-links").df
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            found = components(links, "_a", "_b").df
-        if last:
+            new = save(compare(save(pairs.distinct(), "jaccard-pairs").df, sets), "jaccard-links").df
+            if not new.isEmpty():
+                links = new if found is None else new.unionByName(found.select(F.col("component").alias("_a"), F.col("node").alias("_b")))
+                found = components(links, "_a", "_b").df
             break
+        pairs = (columns.where((F.col("_g") != F.col("h._g")) & _can_link("_n", "_r", "h._n", "h._r"))
+                 .select(F.col("h._c").alias("_a"), F.col("_c").alias("_b")))
+        columns = columns.drop("h", "_s", "_q")
     return found
 
 
-def _pairs_left(held: DataFrame, heads: DataFrame) -> int:
-    """Pairs of classes of different components in one column, over all columns."""
-    sizes = held.join(heads.select("_id"), "_id", "left_semi").groupBy("_id", "_g").agg(F.count(F.lit(1)).alias("k"))
-    per = sizes.groupBy("_id").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("p"))
-    return int(per.agg(F.sum("p")).first()[0] or 0)
-
-
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, class_id, component_id): ``class_id`` is the smallest
     id with the same set, ``component_id`` the smallest id reachable by links."""
