@@ -38,6 +38,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,8 +129,9 @@ class Block:
 
     @classmethod
     def read(cls, row: dict, shards: Shards) -> Block:
-        width = "<u4" if len(row["_sizes"]) > 2 * sum(row["_groups"]) else "u1"
-        a, b, sizes = (np.frombuffer(row[c], t) for c, t in (("_a", _kind(shards.a_ids)), ("_b", _kind(shards.b_ids)), ("_sizes", width)))
+        raw = {c: zstandard.decompress(row[c]) for c in ("_a", "_b", "_sizes")}
+        width = "<u4" if len(raw["_sizes"]) > 2 * sum(row["_groups"]) else "u1"
+        a, b, sizes = (np.frombuffer(raw[c], t) for c, t in (("_a", _kind(shards.a_ids)), ("_b", _kind(shards.b_ids)), ("_sizes", width)))
         a_size, b_size = sizes[0::2].astype(np.int64), sizes[1::2].astype(np.int64)
         group = np.arange(len(a_size))
         doc = np.repeat(np.arange(len(row["_groups"])), row["_groups"])
@@ -276,7 +278,7 @@ def sides(path_a: str, path_b: str) -> Sides:
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: str, shards: Shards) -> DataFrame:
     """(_block, _keys, _groups, _a, _b, _sizes, _pairs): documents by blocks;
     number of groups of each, ids of both sides and sizes of the groups
-    (packed); the block's distinct pairs by shard, as places in its table, and
+    (packed and compressed); the block's distinct pairs by shard, as places in its table, and
     how many of the documents hold each."""
     def block(number: int, part: pa.RecordBatch) -> pa.RecordBatch:
         s = sides(path_a, path_b)
@@ -286,8 +288,8 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, key: str, text: st
         sizes = np.stack([np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)], axis=1)
         # a document's groups: up to that of its last token
         per = np.diff(np.where(upto > 0, np.concatenate(([0], ga + 1))[upto], 0)).astype(np.int64)
-        row = {"_groups": per.tolist(), "_a": _ints(a, _kind(shards.a_ids)), "_b": _ints(b, _kind(shards.b_ids)),
-               "_sizes": _ints(sizes, "u1" if sizes.max(initial=0) < 256 else "<u4")}
+        row = {"_groups": per.tolist()} | {c: zstandard.compress(_ints(x, t), 1) for c, x, t in (
+            ("_a", a, _kind(shards.a_ids)), ("_b", b, _kind(shards.b_ids)), ("_sizes", sizes, "u1" if sizes.max(initial=0) < 256 else "<u4"))}
         place, held = np.unique(Block.read(row, shards).pairs(shards)[1], return_counts=True)
         cut = np.flatnonzero(np.diff(place // shards.cells, prepend=-1))
         ends = np.append(cut, len(place))

@@ -262,11 +262,9 @@ WITH t(license, txt) AS (VALUES {rows}),
 tw AS (SELECT license, w, count(*) AS n FROM (SELECT license, unnest(regexp_extract_all(lower(txt), '[a-z0-9]+')) AS w FROM t) GROUP BY ALL),
 d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
              source || '/' || doc_id // 1024 || '/' || doc_id // 64 AS dir FROM documents),
-f AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM d)
-      WHERE w IN (SELECT w FROM tw) GROUP BY w),
+f AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM d) GROUP BY w),
 n AS (SELECT count(*) AS n FROM d),
-idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN f USING (w), n
-        UNION ALL SELECT '*', ln(1 + n) + 1 FROM n),
+idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT w FROM f UNION SELECT w FROM tw) LEFT JOIN f USING (w), n),
 v AS (SELECT license, w, tw.n * idf AS x FROM tw JOIN idf USING (w)),
 share AS (SELECT license, w, x * idf / sqrt(sum(x * x) OVER (PARTITION BY license)) AS x FROM v JOIN idf USING (w)),
 u AS (SELECT k, 0 AS whole, unnest(string_split(text, chr(10))) AS unit FROM d
@@ -276,8 +274,7 @@ u AS (SELECT k, 0 AS whole, unnest(string_split(text, chr(10))) AS unit FROM d
 ')) FROM d
       UNION ALL SELECT k, 1, text FROM d),
 h AS (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT * FROM u)),
-tf AS (SELECT i, CASE WHEN w IN (SELECT w FROM tw) THEN w ELSE '*' END AS w, count(*) AS n
-       FROM (SELECT i, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS w FROM h) GROUP BY ALL),
+tf AS (SELECT i, w, count(*) AS n FROM (SELECT i, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS w FROM h) GROUP BY ALL),
 m AS (SELECT i, sqrt(sum((n * idf) ** 2)) AS norm FROM tf JOIN idf USING (w) GROUP BY i),
 c AS (SELECT i, license, round(sum(n * x) / any_value(norm), 9) AS cosine FROM tf JOIN share USING (w) JOIN m USING (i) GROUP BY ALL),
 s AS (SELECT k, whole, license, cosine FROM c JOIN h USING (i)),
