@@ -71,11 +71,12 @@ def sample_quantile(samples: DataFrame, q: float, group: Sequence[str] = ("symbo
     """Row 43: exact linear-interpolation quantile per (group, step); keep the last step.
 
     Two levels, so that no task holds a group: values are counted by bucket
-    (a growing function of the value), running counts over a group's buckets
+    (a growing function of the value, odd because ``asinh`` loses its digits
+    far below zero), running counts over a group's buckets
     find those with the wanted ranks, and only their values are ranked.
     """
     keys = [*group, step]
-    v, b = F.col("_v"), F.floor(F.asinh(F.col("_v")) * QUANTILE_BUCKETS)
+    v, b = F.col("_v"), F.floor(F.signum("_v") * F.asinh(F.abs("_v")) * QUANTILE_BUCKETS)
     counts = (samples.select(*keys, F.col(value).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", b))
     over = Window.partitionBy(*keys)

@@ -31,7 +31,6 @@ from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, to
 # Model defaults that must equal the reference's.
 RIDGE_ALPHA = 1.0
 SEQ_LEN = 30
-NUM_SAMPLES = 256
 QUANTILE = 0.5
 MIN_CONTEXT = 64
 MSG_NO_PRICE_COLUMN = "No price column found (expected adj_close/close/price)."
@@ -125,7 +124,8 @@ class ForecastModel(FittedModel):
         short = F.when(F.col("route") == "minimal", MSG_NEEDS_WINDOW).when(F.size(prices) < p["min_context"], MSG_CONTEXT_TOO_SHORT.format(n=p["min_context"]))
         moves = F.when(F.size(prices) > h, F.transform(F.sequence(F.lit(h + 1), F.size(prices)),
                                                        lambda i: F.element_at(prices, i) / F.element_at(prices, i - h)))
-        newest = F.array_sort(F.slice(moves, F.greatest(F.size(moves) - p["num_samples"] + 1, F.lit(1)), p["num_samples"]))
+        m = p["num_samples"]
+        newest = F.array_sort(moves if m is None else F.slice(moves, F.greatest(F.size(moves) - m + 1, F.lit(1)), m))
         at = (F.size(newest) - 1) * F.lit(q)
         lo, hi = (F.element_at(newest, f(at).cast("int") + 1) for f in (F.floor, F.ceil))
         move = lo + (hi - lo) * (at - F.floor(at))
@@ -565,7 +565,7 @@ def ridge_from_gram(g: "np.ndarray", feature_cols: Sequence[str], alpha: float,
     return LinearCoefficients(list(feature_cols), [float(x) for x in w], float(b))
 
 
-def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = NUM_SAMPLES, quantile: float = QUANTILE,
+def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int | None = None, quantile: float = QUANTILE,
                            min_context: int = MIN_CONTEXT, group_col: str = "symbol",
                            segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None,
                            keep: Sequence[str] = ()) -> DataFrame:
@@ -573,20 +573,21 @@ def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int = N
     ``quantile_forecast(num_samples=...)`` would make of the prices up to it.
 
     Paths replayed from the row's own price p_t scale with p_t, so the
-    quantile of the last step is p_t * percentile(exp(r_h)) over the newest
-    ``num_samples`` h-step log returns r_h (fewer at a series' start), a
-    sliding window.  Long series are segmented with an exact halo.  ``keep``
-    columns ride along."""
+    quantile of the last step is p_t * percentile(exp(r_h)) over all h-step
+    log returns r_h up to the row, one growing window per series; or over the
+    newest ``num_samples``, a sliding window, with long series segmented with
+    an exact halo.  ``keep`` columns ride along."""
     keep = [c for c in keep if c not in (group_col, "date")]
     pc = price_col or pick_price_col(df)
     df, full, _ = total_order(df, ["date"])
     valid = df.select(group_col, *full, *[c for c in keep if c not in full], finite_or_null(pc).alias("_p")).where(F.col("_p").isNotNull())
-    back = max(num_samples + horizon - 1, min_context - 1)
-    halo = with_halo(valid, [group_col], full, segment_of("date", segment), back=back)
+    back = max((num_samples or 0) + horizon - 1, min_context - 1)
+    # the whole history up to each row is no halo
+    halo = with_halo(valid, [group_col], full, None if num_samples is None else segment_of("date", segment), back=back)
     w = Window.partitionBy(group_col, SEG).orderBy(*full)
     lp = F.ln(F.col("_p"))
     step = halo.select("*", (lp - F.lag(lp, horizon).over(w)).alias("_rh"))
-    frame = w.rowsBetween(-(num_samples - 1), 0)
+    frame = w.rowsBetween(Window.unboundedPreceding if num_samples is None else -(num_samples - 1), 0)
     ctx = w.rowsBetween(-(min_context - 1), 0)
     q_price = F.col("_p") * F.percentile(F.exp(F.col("_rh")), quantile).over(frame)
     accepted = F.count(F.lit(1)).over(ctx) == min_context

@@ -20,6 +20,7 @@ from candlewick.operators.guards import drop_incomplete
 from candlewick.operators.models import FittedModel
 from candlewick.plans.segments import DEFAULT_SEGMENT, total_order
 from candlewick.sources.bars import parse_date
+from candlewick.sources.requests import ERROR
 
 # Fixed values that must equal the reference's.
 HORIZON_MIN, HORIZON_MAX = 1, 30
@@ -46,7 +47,9 @@ def _join_reasons(*reasons: Column) -> Column:
 
 
 def validate_requests(req: DataFrame) -> DataFrame:
-    """Row 9: the request schema rules -> ``accepted`` and ``reject_reason``."""
+    """Row 9: the request schema rules -> ``accepted`` and ``reject_reason``.
+    A record whose fields are of a wrong type (``parse_requests``) is
+    rejected for that alone."""
     def bar_ok(b: Column) -> Column:
         ok = F.lit(True)
         for f in BAR_FIELDS:
@@ -67,6 +70,8 @@ def validate_requests(req: DataFrame) -> DataFrame:
         _reason(F.col("ohlcv_window").isNotNull() & ~bars_ok,
                 "every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume"),
     )
+    if ERROR in req.columns:
+        reason = F.coalesce(F.col(ERROR), reason)
     return req.withColumn("reject_reason", reason).withColumn("accepted", F.col("reject_reason").isNull())
 
 

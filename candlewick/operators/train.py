@@ -193,7 +193,7 @@ class TrainResult:
 #: Parameters of the sequence families and their defaults.
 FAMILY_PARAMS = {
     "custom_transformer": {"seq_len": M.SEQ_LEN},
-    "hf_finetune": {"num_samples": M.NUM_SAMPLES, "quantile": M.QUANTILE, "min_context": M.MIN_CONTEXT},
+    "hf_finetune": {"num_samples": None, "quantile": M.QUANTILE, "min_context": M.MIN_CONTEXT},
 }
 
 
@@ -233,7 +233,7 @@ def _train(rows: TrainingRows, fam: str, fp: dict, horizon: int, n_splits: int,
     params = {"rows": int(info["rows"]), "universe_size": int(info["universe_size"]), "num_features": len(cols),
               "horizon": horizon, "n_splits": max(n_splits, 2), "holdout_cut": cut, "price_col": price_col, **fp}
     # (metric, value) rows besides the folds: parameters that are numbers, then what the family reports
-    extra: list[tuple[str, float | None]] = [(f"param_{k}", float(v)) for k, v in params.items() if not isinstance(v, str)]
+    extra: list[tuple[str, float | None]] = [(f"param_{k}", float(v)) for k, v in params.items() if v is not None and not isinstance(v, str)]
 
     fold_df: DataFrame | None = None
     split = chronological_holdout(rows.df, rows.n)

@@ -521,6 +521,38 @@ def q_validate_requests(spark, sf_dir):
     return validate_requests(_requests(spark, sf_dir)).select("request_id", "accepted", "reject_reason")
 
 
+_TYPE_ERRORS = {1: "symbol must be text", 2: "horizon must be a whole number", 3: "horizon must be a whole number", 4: "ohlcv_window must be a list",
+                6: "last_returns must be numbers", 8: "horizon must be a whole number", 9: "as_of must be text", 10: "last_close must be a number",
+                11: "not a JSON record", 12: "the date of a bar must be text"}
+
+
+@register("validate_typed_requests", f"""
+WITH {_REQ},
+m AS (SELECT request_id, symbol, month(CAST(as_of AS DATE)) AS m FROM req),
+e AS (SELECT *, CASE m {" ".join(f"WHEN {k} THEN '{v}'" for k, v in _TYPE_ERRORS.items())} END AS reject_reason FROM m)
+SELECT CASE WHEN m <> 11 THEN request_id END AS request_id, CASE WHEN m NOT IN (1, 11) THEN symbol END AS symbol,
+       CAST(CASE m WHEN 5 THEN 12.5 WHEN 7 THEN 3.0 END AS DOUBLE) AS last_close, reject_reason IS NULL AS accepted, reject_reason,
+       reject_reason IS NOT NULL AS kept_raw FROM e""")
+def q_validate_typed_requests(spark, sf_dir):
+    """Row 9 on records as text, with a field of a wrong type in ten months of
+    twelve, and numbers sent as text (which are right) in two."""
+    from candlewick.operators.scoring import validate_requests
+    from candlewick.sources.requests import parse_requests
+
+    req = _requests(spark, sf_dir)
+    ident = F.concat(F.lit('{"request_id":"'), "request_id", F.lit('",'))
+    symbol = F.concat(F.lit('"symbol":"'), "symbol", F.lit('"'))
+    rest = {1: '"symbol":5,"horizon":1', 2: '"horizon":"abc"', 3: '"horizon":1.5', 4: '"ohlcv_window":"none"', 5: '"last_close":"12.5"',
+            6: '"last_returns":[0.1,0.1,"x",0.1,0.1]', 7: '"last_close":3,"last_returns":["0.1",0.1,0.1,0.1,1e-1]', 8: '"horizon":null',
+            9: '"as_of":20240101', 10: '"last_close":{"a":1}', 12: '"ohlcv_window":[{"date":20240101,"open":1,"high":1,"low":1,"close":1,"adj_close":1,"volume":1}]'}
+    text = F.lit('{"request_id":')
+    for k, v in rest.items():
+        line = F.concat(ident, F.lit(v + "}")) if k == 1 else F.concat(ident, symbol, F.lit(f",{v}}}"))
+        text = F.when(F.month("as_of") == k, line).otherwise(text)
+    out = validate_requests(parse_requests(req.select(text.alias("value"))))
+    return out.select("request_id", "symbol", "last_close", "accepted", "reject_reason", F.col("raw_record").isNotNull().alias("kept_raw"))
+
+
 @register("min_window_guard", f"""
 WITH {_REQ}
 SELECT request_id, CAST(len(ohlcv_window) AS INTEGER) AS n_bars,
@@ -735,6 +767,19 @@ def q_sample_quantile(spark, sf_dir):
     return round_doubles(sample_quantile(paths, 0.5, ["symbol"], "step", "price"))
 
 
+@register("sample_quantile_negative", f"""
+WITH bars AS ({o.BARS_ORDERS}),
+v AS (SELECT symbol, -1000 * adj_close + 1e8 * (CASE WHEN day(date) = 1 THEN 1 ELSE 0 END) AS x FROM bars)
+SELECT symbol, {o.cn("quantile_cont(x, 0.3)")} AS q_value, 1 AS last_step FROM v GROUP BY symbol""")
+def q_sample_quantile_negative(spark, sf_dir):
+    """Row 43 on values of both signs, most of them far below zero."""
+    from candlewick.operators.metrics import sample_quantile
+
+    high = F.when(F.dayofmonth("date") == 1, F.lit(1e8)).otherwise(F.lit(0.0))
+    values = orders_bars(spark, sf_dir).select("symbol", F.lit(1).alias("step"), (F.lit(-1000) * F.col("adj_close") + high).alias("value"))
+    return round_doubles(sample_quantile(values, 0.3))
+
+
 @register("quantile_forecast", f"""
 WITH {_paths_sql(1)}
 SELECT cnt.symbol, cnt.n_context, cnt.n_context >= 64 AS accepted, {o.cn("lp.last_price")} AS last_price,
@@ -1017,7 +1062,7 @@ v AS (SELECT symbol, date, adj_close AS p FROM bars WHERE adj_close IS NOT NULL
 rh AS (SELECT symbol, date, p, ln(p) - lag(ln(p), 1) OVER (PARTITION BY symbol ORDER BY date) AS r FROM v),
 w AS (SELECT symbol, date, p,
              count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
-             quantile_cont(exp(r), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 255 PRECEDING AND CURRENT ROW) AS qe
+             quantile_cont(exp(r), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS qe
       FROM rh)
 SELECT symbol, date, {o.cn("p")} AS last_price, nc = 64 AS accepted,
        {o.cn("CASE WHEN nc = 64 THEN p * qe END")} AS pred_price,
@@ -1027,8 +1072,7 @@ def q_quantile_forecast_rows(spark, sf_dir):
     """Row 49 per row (quirk Q8): the forecast a request ending at each bar would get."""
     from candlewick.operators.models import quantile_forecast_rows
 
-    return round_doubles(quantile_forecast_rows(orders_bars(spark, sf_dir), horizon=1, num_samples=256,
-                                                quantile=0.5, min_context=64))
+    return round_doubles(quantile_forecast_rows(orders_bars(spark, sf_dir), horizon=1, quantile=0.5, min_context=64))
 
 
 @register("compare_families", f"""
@@ -1165,7 +1209,7 @@ def q_sequence_regressor(spark, sf_dir):
 _FORECAST = """
 fr AS (SELECT *, ln(adj_close) - lag(ln(adj_close), 1) OVER (PARTITION BY symbol ORDER BY date) AS rh FROM p),
 fc AS (SELECT *, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
-              ln(quantile_cont(exp(rh), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 31 PRECEDING AND CURRENT ROW)) AS fpred
+              ln(quantile_cont(exp(rh), 0.5) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS fpred
        FROM fr)"""
 _ERRORS = ("avg(abs(target - prediction)) AS mae, avg(CASE WHEN (target >= 0) = (prediction >= 0) THEN 1.0 ELSE 0.0 END) AS diracc, "
            "count(*) AS n")
@@ -1174,7 +1218,7 @@ _ERRORS = ("avg(abs(target - prediction)) AS mae, avg(CASE WHEN (target >= 0) =
 def _forecaster(cols):
     from candlewick.operators.models import ForecastModel
 
-    return ForecastModel(None, cols, "hf_finetune", {"horizon": 1, "num_samples": 32, "quantile": 0.5, "min_context": 64, "price_col": "adj_close"})
+    return ForecastModel(None, cols, "hf_finetune", {"horizon": 1, "num_samples": None, "quantile": 0.5, "min_context": 64, "price_col": "adj_close"})
 
 
 @register("compare_four_families", f"""
@@ -1215,7 +1259,7 @@ def q_cross_validate_sample_paths(spark, sf_dir):
     """Row 50 for the sample-path forecaster: every test row with enough context is forecast."""
     from candlewick.operators.train import _cv_sequence
 
-    fp = {"num_samples": 32, "quantile": 0.5, "min_context": 64}
+    fp = {"num_samples": None, "quantile": 0.5, "min_context": 64}
     return round_doubles(_cv_sequence(_training_rows(spark, sf_dir), "hf_finetune", 5, fp, 1, "adj_close"))
 
 

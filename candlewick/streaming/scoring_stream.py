@@ -1,7 +1,7 @@
 """Row 56: micro-batch scoring over a stream of request records.
 
 Each request carries its whole bar window, so the stream is stateless:
-``readStream`` of JSON request files -> ``foreachBatch`` runs the batch
+``readStream`` of JSON request files (parsed field by field) -> ``foreachBatch`` runs the batch
 scorer (row windows are not allowed on streaming frames, but are on the
 static frame a batch hands us) -> one write of all outcomes to
 ``<out>/batch_id=<id>/kind=scored|rejected`` with ``overwrite``, so a batch
@@ -17,16 +17,16 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.models import FittedModel
 from candlewick.operators.scoring import RESULT_COLUMNS, ScoreResult, score_requests
-from candlewick.sources.requests import REQUEST_SCHEMA
+from candlewick.sources.requests import parse_requests
 
 
 def start_scoring_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
                          model: FittedModel, allow_minimal: bool = False, available_now: bool = True,
                          max_files_per_trigger: int | None = None, model_uri: str = "", loaded_at: float | None = None):
-    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(source_dir)
+    stream = parse_requests(reader.text(source_dir).where(F.trim("value") != ""))
     loaded_at = time.time() if loaded_at is None else loaded_at
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:

@@ -237,7 +237,7 @@ def test_gram_solve_holds_on_collinear_columns_at_any_size(times):
     assert np.allclose(x @ np.array(got.weights) + got.intercept, exp, rtol=0, atol=1e-6 * y.std())
 
 
-@pytest.mark.parametrize("horizon,num_samples", [(1, 40), (3, 1000)])
+@pytest.mark.parametrize("horizon,num_samples", [(1, None), (3, None), (1, 40), (3, 1000)])
 def test_last_row_forecast_equals_the_whole_one(spark, horizon, num_samples):
     bars = bars_from_orders(spark, SF)
     whole = {r.symbol: r for r in M.quantile_forecast(bars, horizon, num_samples).collect()}
@@ -247,6 +247,15 @@ def test_last_row_forecast_equals_the_whole_one(spark, horizon, num_samples):
         assert math.isclose(r.pred_price, whole[r.symbol].pred_price, rel_tol=1e-9)
 
 
+def test_sample_quantile_of_both_signs(spark):
+    rnd = np.random.default_rng(1)
+    for values in (-5e7 + 1e5 * rnd.normal(size=2000), 1e9 * rnd.normal(size=2001), np.array([-1e300, -1.0, 0.0, 1e-300, 7.0])):
+        df = spark.createDataFrame([("a", 1, float(x)) for x in values], "symbol string, step int, value double")
+        for q in (0.0, 0.25, 0.5, 1.0):
+            got = M.sample_quantile(df, q).first()["q_value"]
+            assert math.isclose(got, np.quantile(values, q), rel_tol=1e-12), q
+
+
 def test_context_and_history_have_no_cap(spark):
     rnd, rows, p = np.random.default_rng(0), [], 100.0
     for i in range(2000):

@@ -199,3 +199,29 @@ def test_window_without_a_usable_row_is_rejected_once(requests, model):
     res = S.score_requests(requests([req("bad", bars=bad), req("ok", bars=window(20))]), model)
     assert [r.request_id for r in res.scored.collect()] == ["ok"]
     assert [(r.request_id, r.reason) for r in res.rejected.collect()] == [("bad", S.MSG_NO_USABLE_ROWS)]
+
+
+def test_fields_of_a_wrong_type(spark):
+    """Each probed record is rejected with its own reason and kept as text."""
+    import json
+
+    from candlewick.sources.requests import parse_requests
+
+    bar = {"open": 1, "high": "1", "low": 1.0, "close": 1, "adj_close": 1e0, "volume": 3}
+    good = [{"symbol": "A"}, {"symbol": "A", "horizon": "5", "last_close": "12.5", "last_returns": ["0.1", 0, 1, 2, 3], "more": []},
+            {"symbol": "A", "horizon": 2.0, "as_of": None, "ohlcv_window": [bar, bar | {"date": "2024-01-02"}], "last_close": None}]
+    bad = [({"symbol": 5}, "symbol must be text"), ({"symbol": "A", "horizon": "abc"}, "horizon must be a whole number"),
+           ({"symbol": "A", "horizon": 1.5}, "horizon must be a whole number"), ({"symbol": "A", "horizon": None}, "horizon must be a whole number"),
+           ({"symbol": "A", "ohlcv_window": "none"}, "ohlcv_window must be a list"), ({"symbol": "A", "ohlcv_window": [3]}, "ohlcv_window must hold records"),
+           ({"symbol": "A", "ohlcv_window": [bar | {"date": 3}]}, "the date of a bar must be text"),
+           ({"symbol": "A", "last_close": "x"}, "last_close must be a number"), ({"symbol": "A", "last_returns": [1, 2, 3, 4, "x"]}, "last_returns must be numbers"),
+           ({"symbol": "A", "last_returns": 3}, "last_returns must be a list"), ([], "not a JSON record"), (None, "not a JSON record")]
+    rules = [({}, "symbol is required"), ({"symbol": "A", "horizon": 10 ** 12}, "horizon must be between 1 and 30"),
+             ({"symbol": "A", "ohlcv_window": [{**bar, "open": "x"}]}, "every ohlcv_window bar needs numeric open, high, low, close, adj_close and volume")]
+    lines = [*map(json.dumps, good), *(json.dumps(x) for x, _ in [*bad, *rules]), "{", None]
+    df = parse_requests(spark.createDataFrame([(x, ) for x in lines], "value string").coalesce(1))
+    got = S.validate_requests(df).collect()
+    assert [r["reject_reason"] for r in got] == [None] * len(good) + [x for _, x in [*bad, *rules]] + ["not a JSON record"] * 2
+    assert [r["raw_record"] for r in got] == [x if r["record_error"] else None for r, x in zip(got, lines, strict=True)]
+    assert got[1]["horizon"] == 5 and got[1]["last_close"] == 12.5 and got[1]["last_returns"] == [0.1, 0, 1, 2, 3]
+    assert [b["high"] for b in got[2]["ohlcv_window"]] == [1.0, 1.0] and got[2]["ohlcv_window"][1]["date"] == "2024-01-02"
