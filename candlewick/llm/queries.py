@@ -35,7 +35,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_q_words").alias("n_words"), F.col("_q_chars").alias("word_chars"),
         F.col("_q_symbols").alias("n_symbols"), F.col("_q_dup_lines").alias("n_dup_lines"),
         F.col("_q_repeat_words").alias("n_repeat_words"), F.col("_q_base_failed").alias("base_failed"),
-        F.round("_q_host_rate", 6).alias("host_rate"), F.col("_q_kept").alias("kept"))
+        F.round("_q_host_rate", 6).alias("host_rate"), F.round("_q_host_bound", 6).alias("host_bound"),
+        F.col("_q_host_worse").alias("host_worse"), F.col("_q_kept").alias("kept"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,15 +196,18 @@ c AS (SELECT w.k, doc_id, source, len(w) AS n_words, length(array_to_string(w, '
       FROM w LEFT JOIN p ON w.k = p.k),
 f AS (SELECT *, n_words < 50 AS r1, 100 * n_repeat_words > 50 * n_words AS r2, 100 * n_symbols > 30 * n_words AS r3,
              100 * n_dup_lines > 50 * n_lines AS r4 FROM c),
-u AS (UNPIVOT (SELECT source, r1::INT AS r1, r2::INT AS r2, r3::INT AS r3, r4::INT AS r4 FROM f WHERE source IS NOT NULL)
-      ON r1, r2, r3, r4 INTO NAME rule VALUE bad),
+u AS (UNPIVOT (SELECT source, r1::INT AS r1, r2::INT AS r2, r3::INT AS r3, r4::INT AS r4, (r1 OR r2 OR r3 OR r4)::INT AS r0
+               FROM f WHERE source IS NOT NULL) ON r0, r1, r2, r3, r4 INTO NAME rule VALUE bad),
 h AS (SELECT source, rule, count(*) AS n, sum(bad) AS s FROM u GROUP BY ALL),
 m AS (SELECT rule, sum(s) / sum(n) AS mean, sum(s * s / n) / sum(n) - (sum(s) / sum(n)) ** 2 AS var FROM h GROUP BY rule),
 k AS (SELECT rule, mean, CASE WHEN var * 1e6 <= mean * (1 - mean) THEN 1e6
                               ELSE greatest(mean * (1 - mean) / var - 1, 1.0) END AS k FROM m),
-v AS (SELECT source, max((s + mean * k) / (n + k)) AS rate FROM h JOIN k USING (rule) GROUP BY source)
+a AS (SELECT *, (s + mean * k) / (n + k) AS post FROM h JOIN k USING (rule)),
+v AS (SELECT source, max(post) FILTER (rule <> 'r0') AS rate, any_value(mean) FILTER (rule = 'r0') AS peers,
+             any_value(post - sqrt(post * (1 - post) / (n + k + 1))) FILTER (rule = 'r0') AS bound FROM a GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 OR r2 AS base_failed,
-       round(rate, 6) AS host_rate, NOT (r1 OR r2) AND NOT coalesce(rate > 0.75, false) AS kept
+       round(rate, 6) AS host_rate, round(bound, 6) AS host_bound, bound > peers AS host_worse,
+       NOT (r1 OR r2) AND NOT coalesce(rate > 0.75, false) AND NOT ((r3 OR r4) AND coalesce(bound > peers, false)) AS kept
 FROM f LEFT JOIN v ON f.source = v.source
 """
 

@@ -44,6 +44,30 @@ def test_prior_shrinks_small_hosts(spark, make_docs):
     assert kept[201] == (False, True)           # no host, no verdict
 
 
+def test_doubtful_texts_of_hosts_worse_than_their_peers(spark, make_docs):
+    """The host decides on texts that fail ``symbols`` or ``dup_lines``; clean
+    texts stay, and so do doubtful ones of ordinary hosts or of none."""
+    good = " ".join(f"w{i}" for i in range(60))
+    doubtful = " ".join(f"w{i}#" for i in range(60))
+    lines = "\n".join([" ".join(f"v{i}" for i in range(60))] + ["next page"] * 6)
+    rows = [(h * 100 + i, doubtful if i < 3 else good, "en", f"peer{h}") for h in range(8) for i in range(60)]
+    rows += [(1000 + i, (doubtful, lines, good)[i % 3], "en", "farm") for i in range(60)] + [(2000, doubtful, "en", None)]
+    out = {r["doc_id"]: r for r in quality_rules(make_docs(rows)).collect()}
+    assert len(out) == len(rows)
+    assert {r["source"] for r in out.values() if r["_q_host_worse"]} == {"farm"}
+    assert out[2000]["_q_host_worse"] is None
+    lost = {i for i, r in out.items() if not r["_q_kept"]}
+    assert lost == {1000 + i for i in range(60) if i % 3 < 2}
+    assert not any(r["_q_base_failed"] for r in out.values())
+
+
+def test_one_host_is_its_own_peer(spark, make_docs):
+    doubtful = " ".join(f"w{i}#" for i in range(60))
+    good = " ".join(f"w{i}" for i in range(60))
+    out = quality_rules(make_docs([(i, good if i % 2 else doubtful, "en", "only") for i in range(9)])).collect()
+    assert len(out) == 9 and all(r["_q_kept"] and not r["_q_host_worse"] for r in out)
+
+
 def test_equal_rates_and_no_rows(spark, make_docs):
     scored = document_rules(make_docs([(1, "short", "en", "a"), (2, "short", "en", "b")]))
     hosts = scored.groupBy("source").count().selectExpr("source", "count as _q_n", *[f"0L as _q_f_{r}" for r in ("too_short", "repetitive", "symbols", "dup_lines")])
