@@ -11,6 +11,7 @@ from candlewick.operators.models import (
     price_context, quantile_forecast, quantile_forecast_rows, read_model, ridge_fit, ridge_score, select_model,
     sequence_model, sequence_predict, sequence_windows, write_model,
 )
+from candlewick.operators.running import running_forecast_rows, running_quantile
 from candlewick.operators.scoring import (
     features_for_requests, score_latest_bars, score_minimal, score_requests, score_windows, triage,
     validate_requests,
@@ -27,6 +28,7 @@ __all__ = [
     "align_features", "drop_incomplete", "min_rows_guard",
     "cv_summary", "directional_accuracy", "fold_metrics", "mae", "run_summary",
     "price_context", "quantile_forecast", "quantile_forecast_rows", "read_model", "ridge_fit", "ridge_score",
+    "running_forecast_rows", "running_quantile",
     "select_model", "sequence_model", "sequence_predict", "sequence_windows", "write_model",
     "features_for_requests", "score_latest_bars", "score_minimal", "score_requests", "score_windows", "triage",
     "validate_requests",

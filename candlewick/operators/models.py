@@ -114,7 +114,12 @@ class ForecastModel(FittedModel):
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """The forecast at every row whose context is long enough."""
         p = self.params
-        rows = quantile_forecast_rows(df, p["horizon"], p["num_samples"], p["quantile"], p["min_context"], price_col=p["price_col"], keep=keep)
+        if p["num_samples"] is None:
+            from candlewick.operators.running import running_forecast_rows
+
+            rows = running_forecast_rows(df, p["horizon"], p["quantile"], p["min_context"], price_col=p["price_col"], keep=keep)
+        else:
+            rows = quantile_forecast_rows(df, p["horizon"], p["num_samples"], p["quantile"], p["min_context"], price_col=p["price_col"], keep=keep)
         return rows.where("accepted").select(*keep, F.col("pred_return").alias("prediction"))
 
     def predict_records(self, records: DataFrame, min_rows: int, row: str) -> DataFrame:
@@ -576,7 +581,9 @@ def quantile_forecast_rows(df: DataFrame, horizon: int = 1, num_samples: int | N
     quantile of the last step is p_t * percentile(exp(r_h)) over all h-step
     log returns r_h up to the row, one growing window per series; or over the
     newest ``num_samples``, a sliding window, with long series segmented with
-    an exact halo.  ``keep`` columns ride along."""
+    an exact halo.  ``keep`` columns ride along.  The growing window sorts a
+    row's history anew: ``running.running_forecast_rows`` is the form for long
+    series."""
     keep = [c for c in keep if c not in (group_col, "date")]
     pc = price_col or pick_price_col(df)
     df, full, _ = total_order(df, ["date"])

@@ -1075,6 +1075,25 @@ def q_quantile_forecast_rows(spark, sf_dir):
     return round_doubles(quantile_forecast_rows(orders_bars(spark, sf_dir), horizon=1, quantile=0.5, min_context=64))
 
 
+@register("running_forecast_rows", f"""
+WITH bars AS ({o.BARS_ORDERS}),
+v AS (SELECT symbol, date, adj_close AS p FROM bars WHERE adj_close IS NOT NULL AND NOT isnan(adj_close) AND NOT isinf(adj_close)),
+rh AS (SELECT symbol, date, p, ln(p) - lag(ln(p), 5) OVER (PARTITION BY symbol ORDER BY date) AS r FROM v),
+w AS (SELECT symbol, date, p,
+             count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
+             quantile_cont(exp(r), 0.3) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS qe
+      FROM rh)
+SELECT symbol, date, {o.cn("p")} AS last_price, nc = 64 AS accepted,
+       {o.cn("CASE WHEN nc = 64 THEN p * qe END")} AS pred_price,
+       {o.cn("CASE WHEN nc = 64 THEN ln(greatest(p * qe, 1e-12) / greatest(p, 1e-12)) END")} AS pred_return
+FROM w""")
+def q_running_forecast_rows(spark, sf_dir):
+    """Row 49 per row over whole histories of any length, five steps ahead: blocks and rank slices in place of a growing window."""
+    from candlewick.operators.running import running_forecast_rows
+
+    return round_doubles(running_forecast_rows(orders_bars(spark, sf_dir), horizon=5, quantile=0.3, min_context=64, block_rows=256))
+
+
 @register("compare_families", f"""
 WITH {_ONE_FEATURE_BASE},
 va AS (SELECT * FROM p, nn WHERE pos >= CAST(floor(n * 0.8) AS BIGINT)),

@@ -20,13 +20,14 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.session import save
+from candlewick.session import Saved, save
 
 
 @dataclass
 class Offsets:
     df: DataFrame   # input rows + the offset
     total: int      # sum of the weight over all rows
+    table: Saved    # what ``df`` reads: drop it once nothing does
 
 
 def running_offsets(df: DataFrame, order: Sequence[str], weight: str, out: str = "_offset", pieces: int | None = None) -> Offsets:
@@ -35,11 +36,12 @@ def running_offsets(df: DataFrame, order: Sequence[str], weight: str, out: str =
     ``order`` must be a total order of ``df`` (unique keys).
     """
     pieces = pieces or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-    ranged = save(df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()), "prefix").df
+    table = save(df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id()), "prefix")
+    ranged = table.df
     # at most ``pieces`` rows of two numbers
     totals = sorted((r["_piece"], int(r["t"] or 0)) for r in ranged.groupBy("_piece").agg(F.sum(weight).alias("t")).collect())
     before = dict(zip((p for p, _ in totals), accumulate((t for _, t in totals), initial=0)))
     base = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("_piece")) if before else F.lit(0)
     wp = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = F.sum(weight).over(wp) - F.col(weight)
-    return Offsets(ranged.withColumn(out, (base + local).cast("long")).drop("_piece"), sum(t for _, t in totals))
+    return Offsets(ranged.withColumn(out, (base + local).cast("long")).drop("_piece"), sum(t for _, t in totals), table)
