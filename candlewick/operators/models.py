@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from candlewick.functions.columns import PRICE_COLUMN_PREFERENCE, finite_or_null, return_from_price
 from candlewick.operators.metrics import mae, sample_quantile
 from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, total_order, with_halo
+from candlewick.sources.versions import commit_version, current_version, new_version
 
 # Model defaults that must equal the reference's.
 RIDGE_ALPHA = 1.0
@@ -231,24 +232,32 @@ def validation_mae(model: FittedModel, val: DataFrame, label: str = "target") ->
 # --------------------------------------------------------------------------
 
 def write_model(model: FittedModel, path: str) -> None:
-    """Any family: the fitted pipeline (if it has one) and a JSON sidecar."""
+    """Any family: the fitted pipeline (if it has one) and a JSON sidecar, as
+    a new version that readers see once all of it is written."""
     from pyspark.sql import SparkSession
 
+    spark = SparkSession.active()
+    folder = new_version(spark, path)
     if model.model is not None:
-        model.model.write().overwrite().save(path)
+        model.model.write().save(f"{folder}/pipeline")
     meta = json.dumps({"family": model.family, "feature_cols": model.feature_cols, "params": model.params})
-    (SparkSession.active().createDataFrame([(meta,)], "value string")
-     .coalesce(1).write.mode("overwrite").text(f"{path}/candlewick_meta"))
+    spark.createDataFrame([(meta,)], "value string").coalesce(1).write.text(f"{folder}/candlewick_meta")
+    commit_version(spark, folder)
 
 
 def read_model(path: str) -> FittedModel:
+    """The last committed version of the model at ``path``."""
     from pyspark.sql import SparkSession
 
-    meta = json.loads(SparkSession.active().read.text(f"{path}/candlewick_meta").first()["value"])
+    spark = SparkSession.active()
+    folder = current_version(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no committed model at {path}")
+    meta = json.loads(spark.read.text(f"{folder}/candlewick_meta").first()["value"])
     if not meta["feature_cols"]:
         raise RuntimeError(f"model at {path} carries no feature list; refusing to score")
     kind = MODEL_KINDS.get(meta["family"], FittedModel)
-    return kind(None if kind is ForecastModel else PipelineModel.load(path), meta["feature_cols"], meta["family"], meta["params"])
+    return kind(None if kind is ForecastModel else PipelineModel.load(f"{folder}/pipeline"), meta["feature_cols"], meta["family"], meta["params"])
 
 
 MODEL_KINDS = {"custom_transformer": SequenceModel, "hf_finetune": ForecastModel}
