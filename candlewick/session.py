@@ -45,6 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch while a table is written.  A batch lies in the executor and in its Python
+#: worker at once, in buffers that grow by doubling, so Spark's 64 MB come to several hundred for a core.
+BATCH_BYTES = "16m"
 
 
 @dataclass
@@ -69,16 +73,21 @@ def save(df: DataFrame, name: str = "table") -> Saved:
     One pass computes and writes the data (a reliable ``checkpoint()`` of an
     unpersisted plan computes it twice); the table survives executor loss,
     and later reads prune columns and push filters like any Parquet scan.
-    Shuffle files that only the write needed are deleted with its end.
+    Shuffle files that only the write needed are deleted with its end, and
+    Arrow batches are bounded unless the session bounds them itself.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/candlewick-tables/{name}-{uuid.uuid4().hex}"
-    held = spark.conf.get(SHUFFLE_CLEANUP)
+    cleanup, batch = spark.conf.get(SHUFFLE_CLEANUP), spark.conf.get(ARROW_BYTES, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
+    if batch is None:
+        spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     try:
         df.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, held)
+        spark.conf.set(SHUFFLE_CLEANUP, cleanup)
+        if batch is None:
+            spark.conf.unset(ARROW_BYTES)
     return Saved(spark.read.schema(df.schema).parquet(path), path)
 
 
