@@ -16,6 +16,7 @@ from candlewick.operators.scoring import (
     features_for_requests, score_latest_bars, score_minimal, score_requests, score_windows, triage,
     validate_requests,
 )
+from candlewick.operators.sequence import sequence_fit
 from candlewick.operators.splits import chronological_holdout, date_folds, global_position, walk_forward_folds
 from candlewick.operators.train import cross_validate, train_pipeline, training_rows
 from candlewick.session import local_session, materialize
@@ -29,7 +30,7 @@ __all__ = [
     "cv_summary", "directional_accuracy", "fold_metrics", "mae", "run_summary",
     "price_context", "quantile_forecast", "quantile_forecast_rows", "read_model", "ridge_fit", "ridge_score",
     "running_forecast_rows", "running_quantile",
-    "select_model", "sequence_model", "sequence_predict", "sequence_windows", "write_model",
+    "select_model", "sequence_fit", "sequence_model", "sequence_predict", "sequence_windows", "write_model",
     "features_for_requests", "score_latest_bars", "score_minimal", "score_requests", "score_windows", "triage",
     "validate_requests",
     "chronological_holdout", "date_folds", "global_position", "walk_forward_folds",

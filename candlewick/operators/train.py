@@ -19,6 +19,7 @@ from candlewick.operators import models as M
 from candlewick.operators.features import model_feature_names, series_window, tabular_features
 from candlewick.operators.guards import drop_incomplete, min_rows_guard
 from candlewick.operators.metrics import cv_summary, fold_metrics, metrics_long, run_summary, write_metrics
+from candlewick.operators.sequence import EPOCHS, RATE, sequence_fit
 from candlewick.operators.splits import (
     FoldPlan, chronological_holdout, date_position, fold_plan, fold_test, fold_train, global_position, holdout_cut,
 )
@@ -192,7 +193,7 @@ class TrainResult:
 
 #: Parameters of the sequence families and their defaults.
 FAMILY_PARAMS = {
-    "custom_transformer": {"seq_len": M.SEQ_LEN},
+    "custom_transformer": {"seq_len": M.SEQ_LEN, "epochs": EPOCHS, "rate": RATE},
     "hf_finetune": {"num_samples": None, "quantile": M.QUANTILE, "min_context": M.MIN_CONTEXT},
 }
 
@@ -259,7 +260,7 @@ def _train(rows: TrainingRows, fam: str, fp: dict, horizon: int, n_splits: int,
         if deep_cv:
             fold_df = materialize(_cv_sequence(rows, fam, n_splits, fp, horizon, price_col), "fold-metrics")
         if fam == "custom_transformer":
-            model, history = M.sequence_model(tr, cols, fp["seq_len"])
+            model, history = sequence_fit(tr, cols, fp["seq_len"], epochs=int(fp["epochs"]), rate=fp["rate"])
             extra += [(f"train_mae_epoch_{i}", v) for i, v in enumerate(history)]
         else:
             model = M.ForecastModel(None, cols, fam, {**fp, "horizon": horizon, "price_col": price_col})
@@ -286,19 +287,17 @@ def _cv_sequence(rows: TrainingRows, fam: str, n_splits: int, fp: dict, horizon:
     pos = F.col("pos")
     fold = F.floor((pos - plan.first_test) / plan.size).cast("int")
     if fam == "custom_transformer":
-        # windows over all rows (a test row's window may reach into training
-        # rows) built once for every fold; each fold fits on its own prefix
-        windows = (M.sequence_windows(rows.df, rows.feature_cols, fp["seq_len"], keep=["pos"])
+        # windows of the test rows (which may reach into training rows) built
+        # once for every fold; each fold fits on the pieces of its own prefix
+        windows = (M.sequence_windows(rows.df, rows.feature_cols, fp["seq_len"], keep=["pos"]).where(pos >= plan.first_test)
                    .select("pos", "target", array_to_vector("seq").alias("features")))
         stored = save(windows, "sequence-windows")
 
         def one(i: int) -> DataFrame:
-            from pyspark.ml.regression import LinearRegression
-
-            lr = LinearRegression(featuresCol="features", labelCol="target", loss="huber", maxIter=50, regParam=0.0)
-            model = lr.fit(stored.df.where(pos < plan.test_start(i)).select("target", "features"))
+            model, _ = sequence_fit(rows.df.where(pos < plan.test_start(i)), rows.feature_cols, fp["seq_len"],
+                                    epochs=int(fp["epochs"]), rate=fp["rate"])
             test = stored.df.where((pos >= plan.test_start(i)) & (pos < plan.test_end(i)))
-            return model.transform(test).select(F.lit(i).alias("fold"), "target", "prediction")
+            return model.model.transform(test).select(F.lit(i).alias("fold"), "target", "prediction")
 
         with ThreadPoolExecutor(max_workers=plan.k) as pool:
             parts = list(pool.map(one, range(plan.k)))

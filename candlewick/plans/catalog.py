@@ -1225,6 +1225,44 @@ def q_sequence_regressor(spark, sf_dir):
     return out.select("symbol", "date", "pos", (F.abs("prediction") < float("inf")).alias("predicted"))
 
 
+def _epochs_sql(lags: int, epochs: int, rate: float) -> str:
+    """Adam on the mean absolute error of ``lags`` earlier returns, an epoch a
+    pair of CTEs: gradients at the parameters, then the step."""
+    names = ["b", *[f"w{j}" for j in range(lags)]]
+    xs = ", ".join(f"lag((log_return_1 - mx) / sx, {lags - j}) OVER (PARTITION BY symbol ORDER BY date) AS x{j}" for j in range(lags))
+    ctes = [f"""mo AS (SELECT avg(log_return_1) AS mx, stddev_pop(log_return_1) AS sx, avg(target) AS my, stddev_pop(target) AS sy FROM t)""",
+            f"wn AS (SELECT * FROM (SELECT (target - my) / sy AS y, {xs} FROM t, mo) WHERE x0 IS NOT NULL)",
+            "a0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS {n}, 0.0::DOUBLE AS m_{n}, 0.0::DOUBLE AS v_{n}" for n in names) + ")"]
+    for i in range(1, epochs + 1):
+        fit = " + ".join(["b", *[f"w{j} * x{j}" for j in range(lags)]])
+        grads = ", ".join([f"avg(sign(r) * {'1' if n == 'b' else 'x' + n[1:]}) AS g_{n}" for n in names])
+        ctes.append(f"g{i} AS (SELECT avg(abs(r)) AS e, {grads} FROM (SELECT wn.*, {fit} - y AS r FROM wn, a{i - 1}))")
+        step = ", ".join(f"0.9 * m_{n} + 0.1::DOUBLE * g_{n} AS m_{n}, 0.999 * v_{n} + 0.001::DOUBLE * g_{n} * g_{n} AS v_{n}" for n in names)
+        move = ", ".join(f"{n} - {rate}::DOUBLE * (m_{n} / (1 - pow(0.9::DOUBLE, {i}))) / (sqrt(v_{n} / (1 - pow(0.999::DOUBLE, {i}))) + 1e-8) AS {n}, "
+                         f"m_{n}, v_{n}" for n in names)
+        ctes.append(f"h{i} AS (SELECT {', '.join(names)}, {step} FROM a{i - 1}, g{i}), a{i} AS (SELECT {move} FROM h{i})")
+    last = f"a{epochs}"
+    weights = " + ".join(f"w{j}" for j in range(lags))
+    parts = [f"SELECT 'train_mae' AS metric, {i - 1} AS i, {o.cn('sy * e')} AS value FROM g{i}, mo" for i in range(1, epochs + 1)]
+    parts += [f"SELECT 'weight', {j}, {o.cn(f'sy * w{j} / sx')} FROM {last}, mo" for j in range(lags)]
+    parts.append(f"SELECT 'intercept', 0, {o.cn(f'my + sy * b - sy * mx / sx * ({weights})')} FROM {last}, mo")
+    return f"WITH {_T},\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
+@register("sequence_epochs", _epochs_sql(lags=5, epochs=6, rate=0.05))
+def q_sequence_epochs(spark, sf_dir):
+    """Row 48: the training error of each epoch, and the coefficients reached."""
+    from candlewick.operators.sequence import sequence_fit
+
+    rows = _training_rows(spark, sf_dir)
+    model, errors = sequence_fit(rows.df, ["log_return_1"], seq_len=5, epochs=6, rate=0.05)
+    rows.release()
+    stage = model.model.stages[0]
+    out = [("train_mae", i, e) for i, e in enumerate(errors)]
+    out += [("weight", j, w) for j, w in enumerate(stage.getOrDefault("weights"))] + [("intercept", 0, stage.getOrDefault("intercept"))]
+    return round_doubles(spark.createDataFrame(out, "metric string, i int, value double"))
+
+
 _FORECAST = """
 fr AS (SELECT *, ln(adj_close) - lag(ln(adj_close), 1) OVER (PARTITION BY symbol ORDER BY date) AS rh FROM p),
 fc AS (SELECT *, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS nc,
