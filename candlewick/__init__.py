@@ -22,6 +22,7 @@ from candlewick.operators.train import cross_validate, train_pipeline, training_
 from candlewick.session import local_session, materialize
 from candlewick.sources.bars import filter_universe, load_bars, prepare_bars
 from candlewick.sources.requests import REQUEST_SCHEMA, read_requests
+from candlewick.sources.store import read_bar_store, write_bar_store
 from candlewick.streaming.scoring_stream import score_stream, start_scoring_stream
 
 __all__ = [
@@ -37,6 +38,6 @@ __all__ = [
     "cross_validate", "train_pipeline", "training_rows",
     "local_session", "materialize",
     "filter_universe", "load_bars", "prepare_bars",
-    "REQUEST_SCHEMA", "read_requests",
+    "read_bar_store", "write_bar_store", "REQUEST_SCHEMA", "read_requests",
     "score_stream", "start_scoring_stream",
 ]

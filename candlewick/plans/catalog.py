@@ -64,6 +64,30 @@ def q_load_bars(spark, sf_dir):
     return round_doubles(src.load_bars(spark, path, fmt="json").withColumn("date", F.to_date("date")).drop("note"))
 
 
+_STORE_DAYS = ("1996-06-01", "1998-02-28")
+
+
+def _bar_store(spark, sf_dir, **kw) -> DataFrame:
+    """Bars written to a store of their own and read from it."""
+    from candlewick.sources.store import read_bar_store, write_bar_store
+
+    path = _scratch(spark, "store")
+    table = "bars_" + "".join(c for c in path.rsplit("/", 1)[-1] if c.isalnum())
+    write_bar_store(orders_bars(spark, sf_dir), table, buckets=8, path=path)
+    return read_bar_store(spark, table, **kw)
+
+
+@register("bar_store", f"""
+SELECT symbol, date, {o.r6(["open", "high", "low", "close", "adj_close"])}, volume
+FROM ({o.BARS_ORDERS}) b WHERE date BETWEEN DATE '{_STORE_DAYS[0]}' AND DATE '{_STORE_DAYS[1]}'""")
+def q_bar_store(spark, sf_dir):
+    """Row 1 from the bucketed store: a date bound skips the years outside it."""
+    import datetime as dt
+
+    since, until = (dt.date.fromisoformat(d) for d in _STORE_DAYS)
+    return round_doubles(_bar_store(spark, sf_dir, since=since, until=until))
+
+
 def _scratch(spark, name: str) -> str:
     from candlewick.streaming.scoring_stream import scratch_dir
 
@@ -90,6 +114,15 @@ def q_tabular_features(spark, sf_dir):
     return round_doubles(df.select("symbol", "date", *o.ALL_FEATURES))
 
 
+@register("tabular_features_from_store", f"""
+WITH {o.features_ctes()}
+SELECT symbol, date, {o.r6(o.ALL_FEATURES)} FROM f""")
+def q_tabular_features_from_store(spark, sf_dir):
+    """Rows 20-30 on the bucketed store, without an exchange."""
+    df = feat.tabular_features(_bar_store(spark, sf_dir), segment=None)
+    return round_doubles(df.select("symbol", "date", *o.ALL_FEATURES))
+
+
 def _select(df: DataFrame, *cols: str) -> DataFrame:
     return round_doubles(df.select(*cols))
 
