@@ -6,6 +6,7 @@ Spark ML job; see README.md for the full operator map).
 
 from candlewick.operators.features import add_returns, forward_target, tabular_features
 from candlewick.operators.guards import align_features, drop_incomplete, min_rows_guard
+from candlewick.operators.halving import select_by_halving
 from candlewick.operators.metrics import cv_summary, directional_accuracy, fold_metrics, mae, run_summary
 from candlewick.operators.models import (
     price_context, quantile_forecast, quantile_forecast_rows, read_model, ridge_fit, ridge_score, select_model,
@@ -31,7 +32,7 @@ __all__ = [
     "cv_summary", "directional_accuracy", "fold_metrics", "mae", "run_summary",
     "price_context", "quantile_forecast", "quantile_forecast_rows", "read_model", "ridge_fit", "ridge_score",
     "running_forecast_rows", "running_quantile",
-    "select_model", "sequence_fit", "sequence_model", "sequence_predict", "sequence_windows", "write_model",
+    "select_by_halving", "select_model", "sequence_fit", "sequence_model", "sequence_predict", "sequence_windows", "write_model",
     "features_for_requests", "score_latest_bars", "score_minimal", "score_requests", "score_windows", "triage",
     "validate_requests",
     "chronological_holdout", "date_folds", "global_position", "walk_forward_folds",

@@ -32,7 +32,7 @@ def _train(args) -> int:
                             alpha=args.alpha, run=args.run, cv_for_deep_models=args.cv_for_deep_models,
                             by=args.split_by, model_path=args.model_path, metrics_path=args.metrics_path,
                             price_col=args.price_col, segment=args.segment,
-                            family_params={k: v for k in ("seq_len", "num_samples", "quantile", "min_context")
+                            family_params={k: v for k in ("seq_len", "epochs", "rate", "num_samples", "quantile", "min_context", "budget_rows")
                                            if (v := getattr(args, k)) is not None})
     summary = {"family": res.family, "rows": res.n_rows, "features": len(res.feature_cols), **res.params}
     print(json.dumps(summary))
@@ -76,7 +76,10 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--price-col", default="adj_close")
     t.add_argument("--segment", default="year", help="longest piece of a series: year ... day, hour, minute, none")
     t.add_argument("--seq-len", type=int, help="custom_transformer")
+    t.add_argument("--epochs", type=int, help="custom_transformer")
+    t.add_argument("--rate", type=float, help="custom_transformer")
     t.add_argument("--num-samples", type=int, help="hf_finetune")
+    t.add_argument("--budget-rows", type=int, help="automl: successive halving within so many training rows")
     t.add_argument("--quantile", type=float, help="hf_finetune")
     t.add_argument("--min-context", type=int, help="hf_finetune")
     t.add_argument("--run", default="run")

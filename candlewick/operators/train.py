@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import models as M
 from candlewick.operators.features import model_feature_names, series_window, tabular_features
 from candlewick.operators.guards import drop_incomplete, min_rows_guard
+from candlewick.operators.halving import select_by_halving
 from candlewick.operators.metrics import cv_summary, fold_metrics, metrics_long, run_summary, write_metrics
 from candlewick.operators.sequence import EPOCHS, RATE, sequence_fit
 from candlewick.operators.splits import (
@@ -191,8 +192,9 @@ class TrainResult:
     params: dict = field(default_factory=dict)
 
 
-#: Parameters of the sequence families and their defaults.
+#: Parameters of the families and their defaults.
 FAMILY_PARAMS = {
+    "automl": {"budget_rows": None},
     "custom_transformer": {"seq_len": M.SEQ_LEN, "epochs": EPOCHS, "rate": RATE},
     "hf_finetune": {"num_samples": None, "quantile": M.QUANTILE, "min_context": M.MIN_CONTEXT},
 }
@@ -250,7 +252,10 @@ def _train(rows: TrainingRows, fam: str, fp: dict, horizon: int, n_splits: int,
         extra += [("param_alpha", float(alpha)), ("val_mae", None if val is None else val["mae"])]
     elif fam == "automl":
         fold_df = materialize(cross_validate(rows, fam, n_splits, alpha, grid=grid)[0], "fold-metrics")
-        found = M.select_model(tr, va, cols, grid=grid)
+        if fp["budget_rows"] is None:
+            found = M.select_model(tr, va, cols, grid=grid)
+        else:
+            found = select_by_halving(tr, va, cols, int(fp["budget_rows"]), grid=grid)
         model = found.best
         extra.append(("val_mae", model.params["val_mae"]))
         for i, t in enumerate(found.trials):

@@ -1237,6 +1237,43 @@ def q_select_model(spark, sf_dir):
     return round_doubles(spark.createDataFrame(out, "reg_param double, val_mae double, best boolean"))
 
 
+_HALVING_GRID = (5.0, 0.0, 0.5, 0.05)
+
+
+def _halving_sql() -> str:
+    """Rungs of 4, 2 and 1 points; each rung has a third of as many rows as the training set."""
+    ctes = ["c AS (SELECT CAST(floor(n * 0.8) AS BIGINT) AS c FROM nn)"]
+    for j, k in enumerate((4, 2, 1)):
+        fits = " UNION ALL ".join(
+            f"SELECT {i} AS i, {r}::DOUBLE AS reg_param, c // {3 * k} AS train_rows, c, avg(log_return_1) AS mx, avg(target) AS my, "
+            f"covar_pop(log_return_1, target) / (var_pop(log_return_1) + {r} / stddev_pop(target)) AS b "
+            f"FROM p, c WHERE pos < c // {3 * k} GROUP BY c" for i, r in enumerate(_HALVING_GRID))
+        alive = "" if j == 0 else f" WHERE m.i IN (SELECT i FROM k{j - 1} WHERE kept)"
+        ctes.append(f"f{j} AS ({fits}), e{j} AS (SELECT m.i, m.reg_param, m.train_rows, avg(abs(target - (my - b * mx + b * log_return_1))) AS val_mae "
+                    f"FROM f{j} m JOIN p ON pos >= m.c{alive} GROUP BY m.i, m.reg_param, m.train_rows), "
+                    f"k{j} AS (SELECT *, row_number() OVER (ORDER BY val_mae, i) <= {max(1, k // 2)} AS kept FROM e{j})")
+    parts = [f"SELECT {j} AS rung, reg_param, train_rows, {o.cn('val_mae')} AS val_mae, kept FROM k{j}" for j in range(3)]
+    return f"WITH {_N}, " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
+@register("successive_halving", _halving_sql())
+def q_successive_halving(spark, sf_dir):
+    """Row 47 under a budget of as many rows as the training set has: the rung table."""
+    from pyspark.ml.regression import LinearRegression
+
+    from candlewick.operators.halving import select_by_halving
+    from candlewick.operators.splits import chronological_holdout, holdout_cut
+
+    rows = _training_rows(spark, sf_dir)
+    split = chronological_holdout(rows.df, rows.n)
+    grid = [("linear", {"regParam": r}, LinearRegression(featuresCol="features", labelCol="target", solver="normal", regParam=r,
+                                                         standardization=False, elasticNetParam=0.0)) for r in _HALVING_GRID]
+    res = select_by_halving(split.where("is_train"), split.where("NOT is_train"), ["log_return_1"], holdout_cut(rows.n), grid=grid)
+    rows.release()
+    out = [(t["rung"], float(t["regParam"]), t["rows"], float(t["val_mae"]), t["kept"]) for t in res.trials]
+    return round_doubles(spark.createDataFrame(out, "rung int, reg_param double, train_rows long, val_mae double, kept boolean"))
+
+
 _SEQ_ROWS = """
 sq AS (SELECT symbol, date, pos, count(*) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS k FROM p)"""
 
