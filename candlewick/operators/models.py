@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.columns import PRICE_COLUMN_PREFERENCE, finite_or_null, return_from_price
 from candlewick.operators.metrics import mae, sample_quantile
-from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, total_order, with_halo
+from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, has_long_series, segment_of, total_order, with_halo
 from candlewick.sources.versions import commit_version, current_version, new_version
 
 # Model defaults that must equal the reference's.
@@ -424,7 +424,10 @@ def sample_paths(df: DataFrame, horizon: int = 1, num_samples: int | None = None
         context = context.withColumn("last_price", F.last("price").over(newest))
     else:
         context = context.join(context.groupBy(group_col).agg(F.max_by("price", "k").alias("last_price")), group_col)
-    halo = with_halo(context, [group_col], ["k"], segment_of("date", segment), back=horizon)
+    cut = None
+    if isinstance(segment, str) and segment == DEFAULT_SEGMENT:
+        cut = has_long_series(_valid_prices(df, group_col, price_col)[0], [group_col])
+    halo = with_halo(context, [group_col], ["k"], segment_of("date", segment), back=horizon, cut=cut)
     w = Window.partitionBy(group_col, SEG).orderBy("k")
     lp = F.ln(F.col("price"))
     steps = halo.select(

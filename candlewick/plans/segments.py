@@ -17,6 +17,10 @@ Only *tails* and *heads* of segments (at most ``back``/``fwd`` rows per
 segment, pre-limited on the map side by Spark's ``WindowGroupLimit``) and a
 per-segment count table are shuffled besides the data itself, so the extra
 cost is O(segments x halo), independent of how hot a symbol is.
+
+Tables whose series are all short need none of it: ``has_long_series`` is a
+scalar subquery, counted from the keys alone, under which ``with_halo`` cuts
+and copies, or leaves every series whole.
 """
 
 from __future__ import annotations
@@ -35,6 +39,17 @@ HALO = "_halo"  # 0 = own row, 1 = look-back copy, 2 = look-ahead copy
 DEFAULT_SEGMENT = "year"
 
 
+#: Rows of a series that one window takes whole where the cut is the default one.
+LONG_SERIES = 25_000
+
+
+def has_long_series(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Whether a series of ``df`` has more than ``LONG_SERIES`` rows, found
+    when the plan runs."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg((F.coalesce(F.max("_n"), F.lit(0)) > LONG_SERIES).alias("_long")).scalar()
+
+
 def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
     """Segment id (bigint) that never decreases along a series' date order;
     ``None`` when the series should not be split."""
@@ -79,17 +94,27 @@ def _order_cols(order: Sequence[str], descending: bool) -> list[Column]:
 
 
 def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column | None,
-              back: int, fwd: int = 0) -> DataFrame:
+              back: int, fwd: int = 0, cut: Column | None = None) -> DataFrame:
     """Return ``df`` plus halo copies, with columns ``_seg`` and ``_halo``.
 
     ``order`` must be a total order inside each key (add a tie-breaker).
-    Rows with ``_halo = 0`` are the input rows, each exactly once.
+    Rows with ``_halo = 0`` are the input rows, each exactly once.  Unless
+    ``cut`` (a condition on the whole table) holds, series stay whole; rows
+    without a key or a segment, which have no halo, keep theirs either way.
     """
     keys = list(keys)
     if segment is None:  # one segment per key: nothing to copy
         return df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HALO, F.lit(0))
-    base = df.withColumn(SEG, segment.cast("long"))
-    own = base.withColumn(HALO, F.lit(0))
+    seg = segment.cast("long")
+    if cut is not None and (back > 0 or fwd > 0):
+        keyed = seg.isNotNull()
+        for k in keys:
+            keyed = keyed & F.col(k).isNotNull()
+        base = df.where(cut).withColumn(SEG, seg)
+        own = df.withColumn(SEG, F.when(keyed & ~cut, F.lit(0).cast("long")).otherwise(seg)).withColumn(HALO, F.lit(0))
+    else:
+        base = df.withColumn(SEG, seg)
+        own = base.withColumn(HALO, F.lit(0))
     if back <= 0 and fwd <= 0:
         return own
 

@@ -51,6 +51,19 @@ ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = "16m"
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Have generated methods split below the 8000 bytes that HotSpot compiles.
+
+    A select of dozens of formulas makes a longer one, which Spark would run
+    interpreted for every row.  A limit the session sets itself is kept.
+    """
+    if spark.conf.get(METHOD_LIMIT, None) is None:
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 @dataclass
 class Saved:
     """A written table: ``df`` reads it, ``drop()`` deletes its folder."""
