@@ -50,6 +50,19 @@ def has_long_series(df: DataFrame, keys: Sequence[str]) -> Column:
     return sizes.agg((F.coalesce(F.max("_n"), F.lit(0)) > LONG_SERIES).alias("_long")).scalar()
 
 
+def has_keys(keys: Sequence[str], seg: Column) -> Column:
+    out = seg.isNotNull()
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
+def only_if(df: DataFrame, whole: Column, row: Column) -> DataFrame:
+    """The rows that meet ``row`` if the table meets ``whole``, else none: one
+    condition on the rows' keys, so that it reaches the scan below an aggregate."""
+    return df.where(F.when(whole, row).otherwise(F.lit(False)))
+
+
 def segment_of(date_col: str, unit: str | Column | None) -> Column | None:
     """Segment id (bigint) that never decreases along a series' date order;
     ``None`` when the series should not be split."""
@@ -107,10 +120,8 @@ def with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment:
         return df.withColumn(SEG, F.lit(0).cast("long")).withColumn(HALO, F.lit(0))
     seg = segment.cast("long")
     if cut is not None and (back > 0 or fwd > 0):
-        keyed = seg.isNotNull()
-        for k in keys:
-            keyed = keyed & F.col(k).isNotNull()
-        base = df.where(cut).withColumn(SEG, seg)
+        keyed = has_keys(keys, seg)
+        base = only_if(df, cut, keyed).withColumn(SEG, seg)
         own = df.withColumn(SEG, F.when(keyed & ~cut, F.lit(0).cast("long")).otherwise(seg)).withColumn(HALO, F.lit(0))
     else:
         base = df.withColumn(SEG, seg)
