@@ -464,10 +464,14 @@ def quantile_forecast(df: DataFrame, horizon: int = 1, num_samples: int | None =
 # Rows 45 + 50, one-pass form: ridge over expanding folds from block Gram
 # matrices.  Fold i trains on blocks 0..i, so every fold's normal equations
 # are a prefix sum of per-block sufficient statistics, all gathered in ONE
-# pass over the data (numpy Gram per partition and block, summed per block
-# by Spark).  Only k+1 matrices of (d+2)^2 numbers reach the driver.
+# pass over the data (for many columns a numpy Gram per partition and block,
+# summed per block by Spark).  Only k+1 matrices of (d+2)^2 numbers reach the driver.
 # --------------------------------------------------------------------------
 
+#: Features up to which a Gram matrix is summed entry by entry.
+FEW_COLUMNS = 6
+
+
 @dataclass
 class LinearCoefficients:
     feature_cols: list[str]
@@ -523,30 +527,39 @@ def _arrow_sums(df: DataFrame, cols: Sequence[str], label: str, block: Column, o
     return {int(r["_blk"]): np.asarray(r["g"].toArray()) for r in total.collect()}
 
 
+def _cleaned(cols: Sequence[str], label: str) -> list[Column]:
+    """Features (non-finite or missing -> 0.0), then the label (missing -> NaN)."""
+    x = [F.col(c).cast("double") for c in cols]
+    return [*[F.when(F.abs(v) < F.lit(float("inf")), v).otherwise(F.lit(0.0)) for v in x],
+            F.coalesce(F.col(label).cast("double"), F.lit(float("nan")))]
+
+
 def column_moments(df: DataFrame, feature_cols: Sequence[str], label: str = "target") -> Moments:
-    """Mean and deviation of every cleaned column, one pass.  Grams are taken
-    of pivoted and scaled columns, so that rounding stays far below the
-    penalty whatever the number of rows."""
+    """Mean and deviation of every cleaned column, one built-in aggregate.
+    Grams are taken of pivoted and scaled columns, so that rounding stays far
+    below the penalty whatever the number of rows."""
     import numpy as np
 
-    def powers(x, y):
-        z = np.column_stack([x, y])
-        return np.concatenate([[len(z)], z.sum(0), (z * z).sum(0)])
-
-    d = len(feature_cols) + 1
-    got = _arrow_sums(df, feature_cols, label, F.lit(0), powers).get(0, np.zeros(2 * d + 1))
-    n = max(got[0], 1.0)
-    mean = got[1:d + 1] / n
-    var = got[d + 1:] / n - mean * mean
-    return Moments(mean, np.sqrt(np.where(var > 1e-14 * mean * mean, var, 1.0)))
+    z = _cleaned(feature_cols, label)
+    got = df.agg(*[f(v).alias(f"{n}{i}") for i, v in enumerate(z) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean, sd = (np.array([got[f"{n}{i}"] or 0.0 for i in range(len(z))]) for n in "ms")
+    return Moments(mean, np.where(sd * sd > 1e-14 * mean * mean, sd, 1.0))
 
 
 def block_grams(df: DataFrame, feature_cols: Sequence[str], block: Column, moments: Moments,
                 label: str = "target") -> dict[int, "np.ndarray"]:
     """Sum of z z^T per block, z = [1, x_1..x_d, y] with pivoted and scaled
-    x and y (non-finite x -> 0.0 before that)."""
+    x and y (non-finite x -> 0.0 before that).  Few columns are summed by a
+    built-in aggregate, many by numpy per partition."""
     import numpy as np
 
+    if len(feature_cols) <= FEW_COLUMNS:
+        z = [F.lit(1.0), *[(v - F.lit(float(p))) / F.lit(float(s)) for v, p, s in zip(_cleaned(feature_cols, label), moments.pivot, moments.scale)]]
+        pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
+        rows = (df.select(block.cast("int").alias("_blk"), *[v.alias(f"_z{i}") for i, v in enumerate(z)]).groupBy("_blk")
+                .agg(*[F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")).alias(f"{i}_{j}") for i, j in pairs]).collect())
+        return {int(r["_blk"]): np.array([[r[f"{min(i, j)}_{max(i, j)}"] for j in range(len(z))] for i in range(len(z))]) for r in rows}
+
     def gram(x, y):
         z = np.column_stack([np.ones(len(x)), (np.column_stack([x, y]) - moments.pivot) / moments.scale])
         return (z.T @ z).reshape(-1)

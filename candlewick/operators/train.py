@@ -60,7 +60,8 @@ class TrainingRows:
 
 
 def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close", universe: Sequence[str] | None = None,
-                  segment: str | Column | None = DEFAULT_SEGMENT, by: str = "position", checkpoint: bool = True) -> TrainingRows:
+                  segment: str | Column | None = DEFAULT_SEGMENT, by: str = "position", checkpoint: bool = True,
+                  inputs: Sequence[str] | None = None) -> TrainingRows:
     """Rows 1, 6, 20, 30, 31, 13, 16, 7, 32: complete rows with their position.
 
     ``by="position"`` (the reference's order) runs as one feature pass: the
@@ -69,6 +70,9 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     exchange or sort).  That frame is written once; positions are the
     segment offsets (a small prefix sum over per-segment counts, joined back
     behind a size check) plus the rank.
+
+    Rows are complete in every feature; ``inputs`` names those that the
+    training reads, and the frame then carries (and the table holds) no other.
     """
     require_columns(bars, ["date", "symbol", price_col])
     df = bars.dropna(subset=[price_col, "symbol", "date"])
@@ -77,6 +81,9 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
         feats = tabular_features(df, price_col=price_col, horizon=horizon, segment=segment).dropna(subset=["target"])
         feature_cols = model_feature_names(feats)
         rows = drop_incomplete(feats, feature_cols, "target")
+        if inputs is not None:
+            feature_cols = list(inputs)
+            rows = rows.select("symbol", "date", *feature_cols, "target")
         if by == "date":
             complete = save(rows, "complete-rows") if checkpoint else None     # read by the date counts and the join
             placed = date_position(complete.df if complete else rows, out="pos")
@@ -92,6 +99,9 @@ def training_rows(bars: DataFrame, horizon: int = 1, price_col: str = "adj_close
     feature_cols = model_feature_names(feats)
     order = ["date", "_tb"]
     rows = drop_incomplete(feats, feature_cols, "target")
+    if inputs is not None:
+        feature_cols = list(inputs)
+        rows = rows.select("symbol", *order, SEG, *feature_cols, "target")
     ranked = rows.withColumn("_rn", F.row_number().over(series_window("symbol", order)) - 1)
     saved = save(ranked, "training-rows")       # with the tie-breaker, which later windows use
     stored = saved.df
@@ -165,19 +175,18 @@ def _ridge_cv_gram(rows: TrainingRows, plan: FoldPlan, cols: list[str], alpha: f
     pos = F.col("pos")
     fold = F.floor((pos - plan.first_test) / plan.size).cast("int")
     cases = " ".join(f"WHEN _fold = {i} THEN {models[st].sql()}" for i, st in enumerate(starts))
-    entries = [F.when(pos >= plan.first_test,
-                      F.struct(F.col("_fold").alias("fold"), F.expr(f"CASE {cases} END").alias("prediction")))]
-    low = plan.first_test
-    if holdout_cut is not None:
-        entries.append(F.when(pos >= holdout_cut,
-                              F.struct(F.lit(-1).alias("fold"), models[holdout_cut].predict().alias("prediction"))))
-        low = min(low, holdout_cut)
-    preds = (
-        rows.df.where(pos >= low)
-        .select(fold.alias("_fold"), "pos", "target", *cols)
-        .select("target", F.explode(F.array_compact(F.array(*entries))).alias("_p"))
-        .select("target", F.col("_p.fold").alias("fold"), F.col("_p.prediction").alias("prediction"))
-    )
+    prediction = F.expr(f"CASE {cases} END")
+    rated = rows.df.select(fold.alias("_fold"), "pos", "target", *cols)
+    if holdout_cut is None:     # every row is of one fold
+        preds = rated.where(pos >= plan.first_test).select("target", F.col("_fold").alias("fold"), prediction.alias("prediction"))
+    else:
+        entries = [F.when(pos >= plan.first_test, F.struct(F.col("_fold").alias("fold"), prediction.alias("prediction"))),
+                   F.when(pos >= holdout_cut, F.struct(F.lit(-1).alias("fold"), models[holdout_cut].predict().alias("prediction")))]
+        preds = (
+            rated.where(pos >= min(plan.first_test, holdout_cut))
+            .select("target", F.explode(F.array_compact(F.array(*entries))).alias("_p"))
+            .select("target", F.col("_p.fold").alias("fold"), F.col("_p.prediction").alias("prediction"))
+        )
     metrics = fold_metrics(preds.withColumn("family", F.lit("ridge")), by=("family", "fold"))
     return metrics, models
 

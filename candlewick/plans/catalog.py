@@ -295,10 +295,10 @@ def q_return_from_price(spark, sf_dir):
 # Training rows, positions and splits
 # --------------------------------------------------------------------------
 
-def _training_rows(spark, sf_dir, by="position"):
+def _training_rows(spark, sf_dir, by="position", inputs=None):
     from candlewick.operators.train import training_rows
 
-    return training_rows(orders_bars(spark, sf_dir), horizon=1, by=by)
+    return training_rows(orders_bars(spark, sf_dir), horizon=1, by=by, inputs=inputs)
 
 
 _T = o.training_rows_ctes()
@@ -436,8 +436,8 @@ pr AS (SELECT fp.fold, fp.target, st.my - st.b * st.mx + st.b * fp.log_return_1
 def _ridge1_cv(spark, sf_dir):
     from candlewick.operators.train import cross_validate
 
-    rows = _training_rows(spark, sf_dir)
-    metrics, _ = cross_validate(rows, "ridge", 5, 1.0, feature_cols=["log_return_1"])
+    rows = _training_rows(spark, sf_dir, inputs=["log_return_1"])
+    metrics, _ = cross_validate(rows, "ridge", 5, 1.0)
     return metrics
 
 

@@ -339,3 +339,41 @@ def test_training_leaves_only_its_metrics_table(spark, tmp_path, monkeypatch):
     train_pipeline(bars_from_orders(spark, SF), family="ridge", n_splits=2)
     left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "candlewick-tables").iterdir()}
     assert not any(n.startswith(("training-rows", "complete-rows")) for n in left)
+
+
+def test_few_columns_give_the_gram_of_many(spark, rows, monkeypatch):
+    from pyspark.sql import functions as F
+
+    cols, block = ["log_return_1", "vol_mean_5"], F.floor(F.col("pos") / 500)
+    df = rows.df.withColumn("vol_mean_5", F.when(F.col("pos") % 7 > 0, F.col("vol_mean_5")).otherwise(F.lit(float("nan"))))
+    pdf = df.select(*cols, "target").toPandas().fillna(0.0).to_numpy()
+    moments = M.column_moments(df, cols)
+    assert np.allclose(moments.pivot, pdf.mean(0), rtol=1e-9) and np.allclose(moments.scale, pdf.std(0), rtol=1e-9)
+    few = M.block_grams(df, cols, block, moments)
+    monkeypatch.setattr(M, "FEW_COLUMNS", 0)
+    many = M.block_grams(df, cols, block, moments)
+    assert few.keys() == many.keys() and len(few) > 1
+    for b in few:
+        assert np.allclose(few[b], many[b], rtol=1e-9, atol=1e-7)
+
+
+@pytest.mark.parametrize("by", ["position", "date"])
+def test_training_rows_hold_only_the_inputs(spark, by):
+    """The same complete rows at the same positions, without the features no model reads."""
+    bars = bars_from_orders(spark, SF)
+    whole, some = training_rows(bars, by=by), training_rows(bars, by=by, inputs=["log_return_1"])
+    assert some.n == whole.n and some.feature_cols == ["log_return_1"]
+    assert set(some.stored.df.columns) <= {"symbol", "date", "log_return_1", "target", "pos", "_tb", "_seg", "_rn"}
+    shared = ["symbol", "date", "pos", "log_return_1", "target"]
+    assert sorted(map(tuple, some.df.select(shared).collect())) == sorted(map(tuple, whole.df.select(shared).collect()))
+
+
+def test_the_cross_validation_query_runs_no_python_and_writes_its_inputs_only(spark, monkeypatch):
+    from candlewick.operators import train
+    from candlewick.plans import catalog
+
+    written, save = {}, train.save
+    monkeypatch.setattr(train, "save", lambda df, name: written.setdefault(name, save(df, name)))
+    monkeypatch.setattr(M, "_arrow_sums", lambda *a: pytest.fail("the Gram of one feature needs no Python"))
+    assert catalog.QUERIES["cross_validate"](spark, SF).count() == 5
+    assert "r_std_10" not in written["training-rows"].df.columns
