@@ -67,18 +67,24 @@ QUANTILE_BUCKETS = 4096
 
 
 def sample_quantile(samples: DataFrame, q: float, group: Sequence[str] = ("symbol",), step: str = "step",
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", whole: bool = False) -> DataFrame:
     """Row 43: exact linear-interpolation quantile per (group, step); keep the last step.
 
-    Two levels, so that no task holds a group: values are counted by bucket
+    ``whole`` sorts the values of each group in one array, for groups known to
+    be small (and keys that are not NULL).  Otherwise two levels, so that no task holds a group: values are counted by bucket
     (a growing function of the value, odd because ``asinh`` loses its digits
     far below zero), running counts over a group's buckets
     find those with the wanted ranks, and only their values are ranked.
     """
     keys = [*group, step]
     v, b = F.col("_v"), F.floor(F.signum("_v") * F.asinh(F.abs("_v")) * QUANTILE_BUCKETS)
-    counts = (samples.select(*keys, F.col(value).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", b))
+    values = samples.select(*keys, F.col(value).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+    if whole:
+        lists = (values.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+                 .withColumn("_at", (F.size("_vs") - 1) * F.lit(float(q))))
+        pick = lambda rank: F.element_at("_vs", rank.cast("int") + 1)
+        return _last_step(lists.select(*keys, "_at", pick(F.floor("_at")).alias("_x"), pick(F.ceil("_at")).alias("_y")), group, step)
+    counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", b)
     over = Window.partitionBy(*keys)
     upto = over.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     at = F.col("_at")
@@ -91,6 +97,12 @@ def sample_quantile(samples: DataFrame, q: float, group: Sequence[str] = ("symbo
             .withColumn("_hi", F.col("_start") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c")))
     holds = lambda rank: F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), v))
     per_step = near.groupBy(*keys).agg(holds(F.floor(at)).alias("_x"), holds(F.ceil(at)).alias("_y"), F.first("_at").alias("_at"))
+    return _last_step(per_step, group, step)
+
+
+def _last_step(per_step: DataFrame, group: Sequence[str], step: str) -> DataFrame:
+    """Interpolate between the neighbours ``_x`` and ``_y`` of rank ``_at``; the last step of each group."""
+    at = F.col("_at")
     per_step = per_step.withColumn("_q", F.col("_x") + (F.col("_y") - F.col("_x")) * (at - F.floor(at)))
     return per_step.groupBy(*group).agg(
         F.max_by("_q", step).alias("q_value"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.columns import PRICE_COLUMN_PREFERENCE, finite_or_null, return_from_price
 from candlewick.operators.metrics import mae, sample_quantile
-from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, segment_of, total_order, with_halo
+from candlewick.plans.segments import DEFAULT_SEGMENT, HALO, SEG, has_keys, has_long_series, only_if, segment_of, total_order, with_halo
 from candlewick.sources.versions import commit_version, current_version, new_version
 
 # Model defaults that must equal the reference's.
@@ -445,13 +446,30 @@ def quantile_forecast(df: DataFrame, horizon: int = 1, num_samples: int | None =
                       segment: str | Column | None = DEFAULT_SEGMENT, price_col: str | None = None) -> DataFrame:
     """Row 49: context guard -> sample paths -> quantile of the last step ->
     log return against the latest price.  The whole history is sampled
-    unless ``num_samples`` says how many of the newest paths are."""
+    unless ``num_samples`` says how many of the newest paths are.
+
+    With the default cut, tables whose series are all short
+    (``segments.LONG_SERIES``) take each series in one window and one sorted
+    array; the other form then reads nothing, and the other way round."""
     valid, full = _valid_prices(df, group_col, price_col)
     counts = valid.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_context"),
                                           F.max_by("price", F.struct(*full)).alias("last_price"))
-    paths = sample_paths(df, horizon, num_samples, group_col, segment, price_col)
-    q = sample_quantile(paths.where(F.col("step") == horizon), quantile, group=[group_col], step="step", value="price")
-    out = counts.join(q, group_col, "left")
+    parts = [(df, segment)]
+    if isinstance(segment, str) and segment == DEFAULT_SEGMENT:
+        long, seg = has_long_series(df, [group_col]), segment_of("date", segment)
+        keyed = has_keys([group_col], F.col("date"))
+        # the price in the condition keeps it above an aggregate, whose exchange then serves the counts too
+        priced = keyed & F.col(price_col or pick_price_col(df)).isNotNull()
+        parts = [(only_if(df, ~long, priced), None), (only_if(df, long, keyed), seg)]
+    forms = [
+        sample_quantile(sample_paths(part, horizon, num_samples, group_col, cut, price_col).where(F.col("step") == horizon), quantile,
+                        group=[group_col], step="step", value="price", whole=cut is None)
+        for part, cut in parts
+    ]
+    q = reduce(DataFrame.unionByName, forms)
+    # one row of each table per series, brought together without a condition on the key
+    out = (counts.unionByName(q.select(group_col, "q_value"), allowMissingColumns=True).groupBy(group_col)
+           .agg(*[F.max(c).alias(c) for c in ("n_context", "last_price", "q_value")]))
     accepted = F.col("n_context") >= min_context
     return out.select(
         group_col, "n_context", accepted.alias("accepted"), "last_price",

@@ -377,3 +377,39 @@ def test_the_cross_validation_query_runs_no_python_and_writes_its_inputs_only(sp
     monkeypatch.setattr(M, "_arrow_sums", lambda *a: pytest.fail("the Gram of one feature needs no Python"))
     assert catalog.QUERIES["cross_validate"](spark, SF).count() == 5
     assert "r_std_10" not in written["training-rows"].df.columns
+
+
+@pytest.mark.parametrize("horizon,num_samples", [(1, None), (3, None), (2, 9)])
+def test_forecasts_of_whole_and_cut_series_are_equal(spark, monkeypatch, horizon, num_samples):
+    """Also for bars without symbol, date or price, ties, and series too short to be forecast."""
+    from candlewick.plans import segments
+
+    rnd = np.random.default_rng(3)
+    rows = [(s, day(11 * i), float(p)) for s, n in (("A", 90), ("B", 70), ("C", 2), ("D", 1)) for i, p in enumerate(np.exp(rnd.normal(0, 0.1, n)))]
+    rows += [("A", day(22), 1.5), ("A", day(22), 1.5), (None, day(1), 2.0), (None, day(2), 2.5), ("A", None, 3.0), ("E", None, 4.0),
+             ("B", day(5), None), ("B", day(6), math.nan), ("B", day(7), math.inf)]
+    df = spark.createDataFrame(rows, "symbol string, date date, adj_close double")
+    found = []
+    for most in (25_000, 10):
+        monkeypatch.setattr(segments, "LONG_SERIES", most)
+        found.append(sorted(map(repr, M.quantile_forecast(df, horizon, num_samples, 0.3).collect())))
+    assert found[0] == found[1] and len(found[0]) == 6
+    cut = M.quantile_forecast(df.where("symbol is not null and date is not null"), horizon, num_samples, 0.3, segment="month").collect()
+    whole = {r.symbol: r for r in M.quantile_forecast(df, horizon, num_samples, 0.3).collect()}
+    assert all(r.pred_price == whole[r.symbol].pred_price for r in cut) and whole["A"].pred_price is not None
+
+
+def test_a_short_series_forecast_counts_no_values_and_reads_its_bars_once(spark):
+    """The plan that ran holds the aggregate of the bars once, besides the one that counts them."""
+    df = M.quantile_forecast(bars_from_orders(spark, SF))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "_bc" not in final
+
+
+@pytest.mark.parametrize("q", [0.0, 0.3, 0.5, 1.0])
+def test_quantile_of_whole_groups_equals_that_of_buckets(spark, q):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(g, s, float(v)) for g, n in (("a", 301), ("b", 2), ("c", 1)) for s in (1, 2) for v in np.round(rng.normal(0, 3, n), 1)]
+                               + [("a", 1, None), ("a", 2, math.nan), ("d", 1, None)], "symbol string, step int, value double")
+    assert sorted(MT.sample_quantile(df, q, whole=True).collect()) == sorted(MT.sample_quantile(df, q).collect())
